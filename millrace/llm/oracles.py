@@ -12,8 +12,8 @@ WITH w AS (
 ), places AS (
   SELECT doc_id, unnest(g) AS gram, generate_subscripts(g, 1) AS i FROM grams
 ), twice AS (
-  SELECT doc_id, unnest(list_distinct(flatten(list(list_concat(at, list_transform(at, x -> x + 1), list_transform(at, x -> x + 2)))))) AS i
-  FROM (SELECT doc_id, gram, list(i) AS at FROM places GROUP BY doc_id, gram HAVING count(*) > 1) GROUP BY doc_id
+  SELECT doc_id, unnest(list_distinct(flatten(list(list_concat(places_, list_transform(places_, x -> x + 1), list_transform(places_, x -> x + 2)))))) AS i
+  FROM (SELECT doc_id, gram, list(i) AS places_ FROM places GROUP BY doc_id, gram HAVING count(*) > 1) GROUP BY doc_id
 ), again AS (
   SELECT doc_id, count(*) AS n FROM twice GROUP BY doc_id
 ), c AS (
