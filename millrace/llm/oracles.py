@@ -8,18 +8,18 @@ OP10 = rf"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents
 ), grams AS (
-  SELECT doc_id, list_transform(generate_series(1, len(ws) - 2), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS g FROM w WHERE len(ws) > 2
+  SELECT doc_id, list_transform(generate_series(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS g FROM w WHERE len(ws) > 2
 ), places AS (
   SELECT doc_id, unnest(g) AS gram, generate_subscripts(g, 1) AS i FROM grams
 ), twice AS (
-  SELECT doc_id, unnest(list_distinct(flatten(list(list_concat(places_, list_transform(places_, x -> x + 1), list_transform(places_, x -> x + 2)))))) AS i
+  SELECT doc_id, unnest(list_distinct(flatten(list(list_concat(places_, list_transform(places_, lambda x: x + 1), list_transform(places_, lambda x: x + 2)))))) AS i
   FROM (SELECT doc_id, gram, list(i) AS places_ FROM places GROUP BY doc_id, gram HAVING count(*) > 1) GROUP BY doc_id
 ), again AS (
   SELECT doc_id, count(*) AS n FROM twice GROUP BY doc_id
 ), c AS (
   SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(again.n, 0) AS n_repeat_words,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_WORD}')) AS lines,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines,
     strlen(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_bytes,
     strlen(regexp_replace(t, '[\x00-@\[-`\{{-\x7F]', '', 'g')) AS letter_bytes
   FROM w LEFT JOIN again USING (doc_id)
@@ -34,5 +34,35 @@ FROM f
 """
 
 
+_REST = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP9 = rf"""
+WITH p AS (
+  SELECT page_id, url, html, coalesce({_LOWER.format(f"regexp_extract({_REST}, '^([^/?#]*)', 1, 's')")}, '') AS host,
+    coalesce(regexp_extract({_REST}, '^[^/?#]*([^?#]*)', 1, 's'), '') AS path,
+    coalesce(regexp_extract({_REST}, '^[^?#]*\?([^#]*)', 1, 's'), '') AS query
+  FROM pages
+), k AS (
+  SELECT *, array_to_string(list_sort(list_filter(string_split(query, '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(ref|utm_[a-z]+)(=|$)'))), '&') AS q FROM p
+), c AS (
+  SELECT *, CASE WHEN instr(url, '://') > 0 THEN {_LOWER.format("substr(url, 1, instr(url, '://') - 1)")} || '://'
+    || regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':(80|443)?$', ''), '^www\.', '')
+    || regexp_replace(path, '/+$', '') || CASE WHEN q = '' THEN '' ELSE '?' || q END END AS canonical FROM k
+), listed AS (
+  SELECT DISTINCT canonical FROM c WHERE canonical IS NOT NULL AND len(regexp_extract_all(regexp_extract(html, '<title>([^<]*)</title>', 1, 's'), '[#%$*&]{{3}}')) >= 3
+), r AS (
+  SELECT c.*, listed.canonical IS NOT NULL AS listed, CASE
+    WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/') THEN 'net/' END AS rule
+  FROM c LEFT JOIN listed ON c.canonical = listed.canonical
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed FROM r
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": OP10}
+    return {"op9_url_filter": OP9, "op10_quality_rules": OP10}
