@@ -2,10 +2,11 @@
 
 A document's set holds the hashes of its distinct shingles. Equal sets are joined first, so that copies cost nothing
 later. In each of TREES independent trees a set starts in the node of one minwise token. A node is settled once all its
-sets are in one component. Every node's members are compared with its smallest id (the star); of what is not settled
+sets are in one component. Every node's members are compared with its smallest id (the star; in large nodes also with two members picked by hash); of what is not settled
 then, small nodes are compared exhaustively and large ones branch: each set goes on to BRANCH children, chosen by
-minwise tokens that the node's path selects. Comparisons look at the 128 minwise values first and only pairs that may
-reach the threshold are confirmed on the full sets.
+minwise tokens that the node's path selects. In a large node with few sets outside its largest component, and at DEPTH,
+those outside are compared with all, block by block. Members of one component are never compared again. Comparisons look
+at the 128 minwise values first and only pairs that may reach the threshold are confirmed on the full sets.
 
 Recall: sets of similarity s share a first node with probability s, and a node's children hold both with probability
 1-(1-s)^2. At s = 0.75 a tree keeps a pair together to any depth with probability 2/3 at least, so 12 trees miss it with
@@ -30,7 +31,8 @@ from ._text import Block, blocks, mix, stream
 
 SHINGLE, NUM, DEN = 5, 75, 100
 WIDTH = 128  #: minwise values of a set
-TREES, BRANCH, SMALL, DEPTH = 12, 2, 48, 16
+TREES, BRANCH, SMALL, DEPTH = 12, 2, 48, 4
+BLOCK = 1024  #: sets that SMALL ones outside are compared with at once
 _A = (stream(101, WIDTH) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (stream(102, WIDTH) >> np.uint64(32)).astype(np.uint32)
 
@@ -119,7 +121,7 @@ def _near(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, num: int
 
 
 def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs of a node's member and its smallest id that may be similar."""
+    """Distinct pairs (a > b) of a member and a centre of its node that may be similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,21 +131,22 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
                 ok = pa.array(_near(x, y, nx, ny, num, den))
                 yield pa.RecordBatch.from_pydict({"a": batch.column(0).filter(ok), "b": batch.column(1).filter(ok)})
 
-    pairs = members.where("id <> lo").select(F.col("id").alias("a"), F.col("lo").alias("b")).distinct()
+    pairs = members.where("id <> lo").select(F.greatest("id", "lo").alias("a"), F.least("id", "lo").alias("b")).distinct()
     sided = pairs.join(reps.selectExpr("id a", "sig xa", "n na"), "a").join(reps.selectExpr("id b", "sig xb", "n nb"), "b")
     return sided.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
 def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
-    """Pairs that may be similar within the small nodes (key, id, comp, n, sig), but for those of one component already."""
+    """Pairs that may be similar within the groups (key, id, comp, n, sig, outer), but for those of one component already.
+    Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once."""
 
-    def compare(key, ids, comp, size, sig):
+    def compare(ids, comp, size, sig, outer):
         out = []
-        for lo, hi in zip(key, np.append(key[1:], len(ids)), strict=True):
-            for i in range(lo, hi - 1):
-                other = slice(i + 1, hi)
-                ok = _near(sig[i], sig[other], size[i], size[other], num, den) & (comp[i] != comp[other])
-                out += [(ids[j + i + 1], ids[i]) for j in np.flatnonzero(ok)]
+        for i in np.flatnonzero(outer).tolist():
+            other = np.flatnonzero((comp != comp[i]) & (~outer | (np.arange(len(ids)) > i)))
+            if len(other):
+                ok = _near(sig[i], sig[other], size[i], size[other], num, den)
+                out += [(ids[j], ids[i]) for j in other[ok].tolist() if ids[j] != ids[i]]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,30 +155,43 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
         def done(t: pa.Table):
             if not t.num_rows:
                 return
-            key = t["key"].to_numpy()
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            key, ids, comp, n, outer = (t[c].to_numpy() for c in ("key", "id", "comp", "n", "outer"))
             sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(-1, WIDTH)
-            got = compare(first, t["id"].to_numpy(), t["comp"].to_numpy(), t["n"].to_numpy(), sig)
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            got = []
+            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=True):
+                got += compare(ids[lo:hi], comp[lo:hi], n[lo:hi], sig[lo:hi], outer[lo:hi])
             if got:
                 a = np.array(got, np.int64)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a.max(axis=1)), "b": pa.array(a.min(axis=1))})
 
         for batch in batches:  # sorted by key: the last key of a batch may go on in the next
-            if not batch.num_rows:
-                continue
-            t = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, t]) if held is not None else t
-            key = held["key"].to_numpy()
-            cut = int(np.flatnonzero(key == key[-1])[0])
-            yield from done(held.slice(0, cut))
-            held = held.slice(cut)
+            for lo in range(0, batch.num_rows, 2048):
+                t = pa.Table.from_batches([batch.slice(lo, 2048)])
+                held = pa.concat_tables([held, t]) if held is not None else t
+                key = held["key"].to_numpy()
+                cut = int(np.flatnonzero(key == key[-1])[0])
+                yield from done(held.slice(0, cut))
+                held = held.slice(cut)
         if held is not None:
             yield from done(held)
 
-    rows = members.select("key", "id", "comp", "n", "sig").repartition(p, "key").sortWithinPartitions("key")
+    rows = members.select("key", "id", "comp", "n", "sig", "outer").repartition(p, "key").sortWithinPartitions("key")
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _in_blocks(large: DataFrame) -> DataFrame:
+    """Large nodes (with outer and the counts n_out and size) cut into groups of BLOCK members and SMALL outer ones."""
+    rows, cols = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_out") / SMALL).cast("int")
+    at = large.withColumn("r", F.pmod(F.xxhash64("id"), rows).cast("int")).withColumn("c", F.pmod(F.xxhash64(F.lit(3), "id"), cols).cast("int"))
+    # every member is in one block of rows, with all columns; every outer one in one column, with all rows
+    inner = at.where("not outer").select("*", F.explode(F.sequence(F.lit(0), cols - 1)).alias("to")).select("key", "id", "comp", "n", "sig", F.lit(False).alias("outer"), "r", F.col("to").alias("c"))
+    outer = at.where("outer").select("*", F.explode(F.sequence(F.lit(0), rows - 1)).alias("to")).select("key", "id", "comp", "n", "sig", F.lit(True).alias("outer"), F.col("to").alias("r"), "c")
+    among = at.where("outer").select("key", "id", "comp", "n", "sig", F.lit(True).alias("outer"), F.explode(F.sequence(F.lit(0), cols - 1)).alias("to"), "c")
+    among = among.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), "id", "comp", "n", "sig", "outer")
+    return inner.union(outer).select(F.xxhash64(F.lit("i"), "key", "r", "c").alias("key"), "id", "comp", "n", "sig", "outer").union(among)
+
+
 def _first_keys(reps: DataFrame) -> DataFrame:
     """A set's node in each tree: its minwise token."""
     return reps.select("id", F.explode(F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(sig, 4 * t + 1, 4)))")).alias("key"))
@@ -194,29 +210,39 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
     ids = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
     hashed = rows.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("id"), "h1", "h2", "n", "sig")
     reps = scratch.table(hashed.join(ids, ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1", "h2"]).select("id", "n", "sig"))
-    level, links, rest, comp = _first_keys(reps), None, [], None
+    level, rest = _first_keys(reps), []
     for depth in range(1, DEPTH + 1):
-        nodes = level.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lo")).where("size > 1")
-        members = scratch.table(level.join(nodes, "key").select("key", "id", "size", "lo"))
-        found = _confirm(docs, scratch.table(_star(members, reps, num, den)), k, num, den, scratch)
-        links = found if links is None else links.union(found)
-        comp = scratch.table(components(links, scratch))
-        at = members.where("size > 2").join(comp, "id", "left").select("key", "id", "size", F.coalesce("component", "id").alias("comp"))
+        size, lo = F.count(F.lit(1)).alias("size"), F.min("id").alias("lo")
+        picked = [F.min(F.struct(F.xxhash64(F.lit(i), "id").alias("h"), "id")).alias(f"p{i}") for i in (1, 2)]
+        nodes = level.groupBy("key").agg(size, lo, *picked).where("size > 1")
+        nodes = nodes.select("key", "size", "lo", F.col("p1.id").alias("p1"), F.col("p2.id").alias("p2"))
+        members = scratch.table(level.join(nodes, "key"))
+        if depth == 1:
+            large = members.where(F.col("size") > SMALL)
+            centres = members.select("id", "lo").union(large.select("id", "p1")).union(large.select("id", "p2"))
+            star = scratch.table(_star(centres, reps, num, den))
+            links = _confirm(docs, star, k, num, den, scratch)
+            comp = scratch.table(components(links, scratch))
+        at = members.where("size > 2" if depth == 1 else "size > 1").select("key", "id", "size").join(comp, "id", "left")
+        at = at.select("key", "id", "size", F.coalesce("component", "id").alias("comp"))
         open_ = at.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
-        at = scratch.table(at.join(open_, "key", "left_semi").join(reps, "id").select("key", "id", "size", "comp", "n", "sig"))
+        at = scratch.table(at.join(open_, "key", "left_semi"))
         scratch.drop(members)
-        rest.append(_exhaustive(at.where(F.col("size") <= SMALL), num, den, p))
+        small = at.where(F.col("size") <= SMALL).withColumn("outer", F.lit(True))
+        rest.append(_exhaustive(small.join(reps, "id"), num, den, p))
         large = at.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
-        if depth == DEPTH:  # what minwise tokens cannot part: blocks of the node, each compared with each
-            m = F.ceil(F.col("size") / SMALL).cast("int")
-            cut = large.withColumn("m", m).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
-            cut = cut.withColumn("j", F.explode(F.expr("sequence(0, m - 1)")))
-            cut = cut.select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "id", "comp", "n", "sig")
-            rest.append(_exhaustive(cut, num, den, p))
-        level = _child_keys(large)
-    pairs = scratch.table(_union(rest).distinct())
+        most = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp")).alias("t"))
+        large = large.join(most.select("key", F.col("t.comp").alias("top"), F.col("t.m").alias("m")), "key")
+        large = scratch.table(large.select("key", "id", "comp", "size", (F.col("comp") != F.col("top")).alias("outer"), (F.col("size") - F.col("m")).alias("n_out")))
+        direct = large if depth == DEPTH else large.where(F.col("n_out") <= SMALL)
+        rest.append(_exhaustive(_in_blocks(direct.join(reps, "id")), num, den, p))
+        parted = large.where(F.col("n_out") > SMALL)
+        if depth == DEPTH or parted.isEmpty():
+            break
+        level = _child_keys(parted.select("key", "id").join(reps.select("id", "sig"), "id"))
+    pairs = scratch.table(_union(rest).distinct().join(star, ["a", "b"], "left_anti"))
     last = _confirm(docs, pairs, k, num, den, scratch)
     if not last.isEmpty():
         comp = scratch.table(components(links.union(last), scratch))
