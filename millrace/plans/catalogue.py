@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import chunks, corpus, embeddings, extraction, relations, texts  # noqa: F401  they register their queries
+from .registry import QUERIES, SQL, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
+def flagship(spark, sf_dir: str):
+    return chunks.flagship(spark, sf_dir)
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("source").count()
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
