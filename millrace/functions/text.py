@@ -7,7 +7,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -75,6 +75,17 @@ def nfkc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+def with_nfkc(df: DataFrame, column: str) -> DataFrame:
+    """The same for a column of a table; also where the column comes from nested lambda functions, which an Arrow function
+    can't follow in one projection."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(**{column: b[column].map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))})
+
+    return df.mapInPandas(run, df.schema)
+
+
 @F.pandas_udf(StringType())
 def unescape(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """All HTML entities."""

@@ -144,8 +144,8 @@ def footer_lines(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def clean_text(spark: SparkSession, d: str) -> DataFrame:
     """The whole cleaning pass, compatibility forms included."""
-    docs = table(spark, d, "documents").withColumn("text", T.clean(T.fix_encoding(F.col("text")))).withColumn("text", T.nfkc(F.col("text")))
-    return docs.select(*_digest("doc_id", "text", F.col("text")))
+    docs = table(spark, d, "documents").select("doc_id", T.clean(T.fix_encoding(F.col("text"))).alias("text"))
+    return T.with_nfkc(docs, "text").select(*_digest("doc_id", "text", F.col("text")))
 
 
 def _paged(spark: SparkSession, d: str) -> DataFrame:
