@@ -2,11 +2,12 @@
 
 Suffixes are retained at content-selected positions only: a word position stays if the hash of the K words from it is the
 least of some WINDOW consecutive ones (a minimiser), so equal passages of K + WINDOW - 1 words or more retain the same
-positions. Retained suffixes whose first K words occur once are dropped by their counts. The others are sorted by the words
-that follow (range partitions, so that a passage in a third of all documents is split over many tasks), each is compared
-with its sorted neighbours from other documents and with the earliest suffix of its group, and a match is extended left and
-right. With WINDOW - 1 words of context each retained suffix proves a run of K + WINDOW - 1 words by itself, and the runs of
-successive suffixes join to the whole passage.
+positions. Retained suffixes whose first K words occur once are dropped by their counts. The others are dealt out by those
+words and sorted. A match of K words is extended left and right: for each split of the remaining MIN_WORDS - K words, m before
+and the rest after, the suffixes are sorted by them and neighbours compared, so no partner of a suffix hides another one. Each
+retained suffix so proves runs of MIN_WORDS words by itself, and the runs of successive suffixes join to the whole passage.
+Groups of more than HOT suffixes, a passage in a large share of all documents, don't go to one task: their rows and splits are
+matched by a shuffle with map-side sums.
 
 Null texts and texts of fewer than MIN_WORDS words have no passages. Passages that repeat within one document only are not
 reported. Rows that share a doc_id are one document. Rows without doc_id are ignored by ``passages`` and kept as they are by
@@ -31,6 +32,7 @@ K = MIN_WORDS - WINDOW + 1
 CTX = WINDOW - 1  #: words of context on each side
 _W = 3  #: bytes of a word's hash in a context
 ROWS_PER_PART = 60_000
+HOT = 20_000  #: suffixes of one group that a task compares; larger groups are compared through shuffled keys
 
 
 def _slide(x: np.ndarray, w: int, f, pad) -> np.ndarray:
@@ -96,27 +98,28 @@ def _contexts(rows: DataFrame) -> DataFrame:
             at = batch.column(2)
             for lo, hi, b in blocks(batch.column(1)):
                 w = (b.words >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_W]
-                out = {"h": [], "doc_id": [], "pos": [], "lc": [], "rc": []}
+                out = {"h": [], "doc_id": [], "pos": [], "hot": [], "lc": [], "rc": []}
                 back = np.ascontiguousarray(w[::-1]).tobytes()
                 ahead, n = np.ascontiguousarray(w).tobytes(), len(w)
                 for i in range(lo, hi):
                     first, end = int(b.bounds[i - lo]), int(b.bounds[i - lo + 1])
                     here = at.slice(i, 1).flatten()
-                    pos, h = (x.to_numpy() for x in here.flatten())
+                    pos, h, hot = (x.to_numpy(zero_copy_only=False) for x in here.flatten())
                     p = first + pos.astype(np.int64)
                     ok = p + K <= end  # a row of the same doc_id with another text
-                    p, h = p[ok], h[ok]
+                    p, h, hot = p[ok], h[ok], hot[ok]
                     out["h"].append(h)
+                    out["hot"].append(hot)
                     out["pos"].append((p - first).astype(np.int32))
                     out["doc_id"].append(np.full(len(p), batch.column(0)[i].as_py(), np.int64))
                     out["rc"] += [ahead[_W * (x + K) : _W * min(end, x + K + CTX)] for x in p.tolist()]
                     out["lc"] += [back[_W * (n - x) : _W * (n - max(first, x - CTX))] for x in p.tolist()]
                 yield pa.RecordBatch.from_pydict({
                     "h": pa.array(np.concatenate(out["h"])), "doc_id": pa.array(np.concatenate(out["doc_id"])), "pos": pa.array(np.concatenate(out["pos"])),
-                    "lc": pa.array(out["lc"], pa.binary()), "rc": pa.array(out["rc"], pa.binary()),
+                    "hot": pa.array(np.concatenate(out["hot"])), "lc": pa.array(out["lc"], pa.binary()), "rc": pa.array(out["rc"], pa.binary()),
                 })
 
-    return rows.mapInArrow(run, "h long, doc_id long, pos int, lc binary, rc binary")
+    return rows.mapInArrow(run, "h long, doc_id long, pos int, hot boolean, lc binary, rc binary")
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -127,73 +130,63 @@ def _matrix(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[:, :, 0] | raw[:, :, 1] << 8 | raw[:, :, 2] << 16, lens
 
 
-def _extent(x, y, i, j) -> np.ndarray:
-    """How many words the contexts i of x and j of y share."""
-    (mx, lx), (my, ly) = x, y
-    same = (mx[i] == my[j]) & (np.arange(CTX) < np.minimum(lx[i], ly[j])[:, None])
-    return np.logical_and.accumulate(same, axis=1).sum(axis=1)
+def _prefixes(words: np.ndarray, c: int) -> np.ndarray:
+    """Hashes of the first 0, 1, ... CTX words of each context."""
+    out = np.zeros((len(words), CTX + 1), np.uint64)
+    for m in range(CTX):
+        out[:, m + 1] = out[:, m] * np.uint64(c) + words[:, m].astype(np.uint64) + np.uint64(1)
+    return out
 
 
-def _spans(doc, pos, other, opos, left, right) -> dict:
-    """What i shares with j, if it is long enough; ``later`` if the partner comes first."""
-    ok = (left + K + right >= MIN_WORDS) & (doc != other)
-    return {"doc_id": doc[ok], "start": (pos - left)[ok].astype(np.int64), "end": (pos + K + right)[ok].astype(np.int64), "later": (other < doc)[ok]}
+_OUT = "doc_id long, start long, end long, later boolean"
 
 
-_OUT = "kind int, doc_id long, start long, end long, later boolean, h long, lc binary, rc binary"
+def _keys(t: pa.Table | pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each split m: hashes of the m words before, the K words, and the CTX - m after; and which suffixes have so many."""
+    h = t.column(t.schema.get_field_index("h")).to_numpy().view(np.uint64)
+    (L, nl), (R, nr) = _matrix(t.column(t.schema.get_field_index("lc"))), _matrix(t.column(t.schema.get_field_index("rc")))
+    HL, HR = _prefixes(L, 0x2545F4914F6CDD1D), _prefixes(R, 0x9E6C63D0876A9A47)
+    each = range(CTX + 1)
+    return [mix(HL[:, m] ^ mix(HR[:, CTX - m] + h + np.uint64(m))) for m in each], [np.flatnonzero((nl >= m) & (nr >= CTX - m)) for m in each]
 
 
-def _neighbours(sorted_: DataFrame) -> DataFrame:
-    """Compares sorted suffixes within each partition. kind 0: spans; kind 1: the earliest suffix of the partition's first
-    and last group, which may go on in another partition (start is its position)."""
+def _neighbours(rows: DataFrame) -> DataFrame:
+    """The spans that the suffixes of each partition prove; groups lie in one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         if not got:
             return
         t = pa.Table.from_batches(got).combine_chunks()
-        h, doc, pos = (t[c].to_numpy() for c in ("h", "doc_id", "pos"))
-        pos, n = pos.astype(np.int64), len(h)
-        L, R = _matrix(t["lc"]), _matrix(t["rc"])
-        new_h = np.concatenate([[True], h[1:] != h[:-1]])
-        group = np.cumsum(new_h) - 1
-        run_ = np.cumsum(new_h | np.concatenate([[True], doc[1:] != doc[:-1]])) - 1  # neighbours of one document
-        first, last = np.flatnonzero(np.diff(run_, prepend=-1)), np.flatnonzero(np.diff(run_, append=n + 1))
-        before, after = first[run_] - 1, last[run_] + 1
-        by_age = np.lexsort((pos, doc, group))
-        leader = by_age[np.flatnonzero(np.diff(group[by_age], prepend=-1))][group]
-        here = np.arange(n)
-        for j in (before, after, leader):
-            ok = (j >= 0) & (j < n)
-            ok[ok] &= group[j[ok]] == group[ok]
-            a, b = here[ok], j[ok]
-            s = _spans(doc[a], pos[a], doc[b], pos[b], _extent(L, L, a, b), _extent(R, R, a, b))
-            m = len(s["doc_id"])
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(np.zeros(m, np.int32))} | {k: pa.array(v) for k, v in s.items()} | {"h": pa.nulls(m, pa.int64()), "lc": pa.nulls(m, pa.binary()), "rc": pa.nulls(m, pa.binary())})
-        edge = np.unique(leader[[0, n - 1]])
-        e = t.take(pa.array(edge))
-        m = len(edge)
-        yield pa.RecordBatch.from_pydict({
-            "kind": pa.array(np.ones(m, np.int32)), "doc_id": e["doc_id"].combine_chunks(), "start": pa.array(pos[edge]), "end": pa.array(pos[edge]), "later": pa.array(np.zeros(m, bool)),
-            "h": e["h"].combine_chunks(), "lc": e["lc"].combine_chunks(), "rc": e["rc"].combine_chunks(),
-        })
-
-    return sorted_.mapInArrow(run, _OUT)
-
-
-def _across(rows: DataFrame) -> DataFrame:
-    """Spans that suffixes share with another suffix of their group, given beside them (l_*)."""
+        doc, pos = t["doc_id"].to_numpy(), t["pos"].to_numpy().astype(np.int64)
+        found, later = np.zeros((2, len(doc), CTX + 1), bool)
+        for m, (key, at) in enumerate(zip(*_keys(t), strict=True)):
+            at = at[np.lexsort((doc[at], key[at]))]
+            g = np.cumsum(np.concatenate([[False], np.diff(key[at]) != 0]))[: len(at)]
+            first, last = np.searchsorted(g, g), np.searchsorted(g, g, side="right") - 1
+            found[at, m] = doc[at[first]] != doc[at[last]]
+            later[at, m] = doc[at[first]] < doc[at]
+        for kind, flag in ((found & ~later, False), (found & later, True)):
+            i = np.flatnonzero(kind.any(axis=1))
+            most, least = CTX - kind[i][:, ::-1].argmax(axis=1), kind[i].argmax(axis=1)
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc[i]), "start": pa.array(pos[i] - most), "end": pa.array(pos[i] + K + CTX - least), "later": pa.array(np.full(len(i), flag))})
+
+    return rows.mapInArrow(run, _OUT)
+
+
+def _hot_spans(rows: DataFrame) -> DataFrame:
+    """The same for groups of any size, by a shuffle of every split's key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            doc, pos, other, opos = (b.column(b.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("doc_id", "pos", "l_doc", "l_pos"))
-            L, R, l2, r2 = (_matrix(b.column(b.schema.get_field_index(c))) for c in ("lc", "rc", "l_lc", "l_rc"))
-            i = np.arange(b.num_rows)
-            yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in _spans(doc, pos, other, opos, _extent(L, l2, i, i), _extent(R, r2, i, i)).items()})
+        for batch in batches:
+            if batch.num_rows:
+                doc, pos = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("doc_id", "pos"))
+                for m, (key, at) in enumerate(zip(*_keys(batch), strict=True)):
+                    yield pa.RecordBatch.from_pydict({"key": pa.array(key[at].view(np.int64)), "doc_id": pa.array(doc[at]), "start": pa.array(pos[at] - m)})
 
-    return rows.mapInArrow(run, "doc_id long, start long, end long, later boolean")
+    keys = rows.mapInArrow(run, "key long, doc_id long, start long")
+    both = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
+    return keys.join(both, "key").select("doc_id", "start", (F.col("start") + MIN_WORDS).alias("end"), (F.col("first") < F.col("doc_id")).alias("later"))
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -212,23 +205,20 @@ def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
     spark = docs.sparkSession
     ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kept = scratch.table(_retained(ids))
-    twice = kept.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    wanted = scratch.table(kept.join(twice, "h", "left_semi"))
+    twice = kept.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot"))
+    wanted = scratch.table(kept.join(twice, "h"))
     scratch.drop(kept)
     scratch.tidy()
-    at = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h")).alias("at"))
+    at = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h", "hot")).alias("at"))
     rows = scratch.table(_contexts(ids.join(at, "doc_id").select("doc_id", "text", "at")))
     n = rows.count()
     scratch.drop(wanted)
     scratch.tidy()
     p = max(parts(spark), n // ROWS_PER_PART + 1)
-    sorted_ = rows.repartitionByRange(p, "h", "rc", "lc", "doc_id", "pos").sortWithinPartitions("h", "rc", "lc", "doc_id", "pos")
-    found = scratch.table(_neighbours(sorted_))
-    edges = found.where("kind = 1").groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "start", "lc", "rc")).alias("l")).where("n > 1")
-    # two groups a partition at most: bounded by the number of partitions, and smaller still as few groups go on
-    edges = F.broadcast(edges.selectExpr("h", "l.doc_id l_doc", "l.start l_pos", "l.lc l_lc", "l.rc l_rc"))
-    spans = found.where("kind = 0").select("doc_id", "start", "end", "later")
-    return scratch.table(spans.union(_across(rows.join(edges, "h"))))
+    spans = _neighbours(rows.where("not hot").repartition(p, "h"))
+    if not rows.where("hot").isEmpty():
+        spans = spans.union(_hot_spans(rows.where("hot")))
+    return scratch.table(spans)
 
 
 def passages(docs: DataFrame) -> DataFrame:
