@@ -2,11 +2,13 @@
 
 A document's set holds the hashes of its distinct shingles. Equal sets are joined first, so that copies cost nothing
 later. In each of TREES independent trees a set starts in the node of one minwise token. A node is settled once all its
-sets are in one component. Every node's members are compared with its smallest id (the star; in large nodes also with two members picked by hash); of what is not settled
-then, small nodes are compared exhaustively and large ones branch: each set goes on to BRANCH children, chosen by
-minwise tokens that the node's path selects. In a large node with few sets outside its largest component, and at DEPTH,
-those outside are compared with all, block by block. Members of one component are never compared again. Comparisons look
-at the 128 minwise values first and only pairs that may reach the threshold are confirmed on the full sets.
+sets are in one component. Every node's members are compared with its smallest id (the star; in large nodes also with two
+members picked by hash), and what may be similar is confirmed on the full sets. Nodes that are not settled then are compared
+exhaustively on 128 minwise values if they are small; large ones branch: each set goes on to BRANCH children, chosen by
+minwise tokens that the node's path selects. In a large node that one component fills (half of it, or all but a few sets), and at DEPTH,
+those outside are compared with all, block by block. What a set outside meets is a component, not a set: a set is compared
+with all full sets of each component that it met, block by block, until one links it. So a group of copies costs its size
+times the share outside its first component, in blocks, and no pairs are written.
 
 Recall: sets of similarity s share a first node with probability s, and a node's children hold both with probability
 1-(1-s)^2. At s = 0.75 a tree keeps a pair together to any depth with probability 2/3 at least, so 12 trees miss it with
@@ -32,7 +34,8 @@ from ._text import Block, blocks, mix, stream
 SHINGLE, NUM, DEN = 5, 75, 100
 WIDTH = 128  #: minwise values of a set
 TREES, BRANCH, SMALL, DEPTH = 12, 2, 48, 4
-BLOCK = 1024  #: sets that SMALL ones outside are compared with at once
+MOST_WORDS = 1 << 19  #: 64-bit words of the Bloom filter over ids, at most
+BLOCK, OUTER = 1024, 256  #: sets of a component and sets outside it that are compared at once
 _A = (stream(101, WIDTH) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (stream(102, WIDTH) >> np.uint64(32)).astype(np.uint32)
 
@@ -85,8 +88,16 @@ def _full(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
             for lo, hi, b in blocks(batch.column(1), lower=True):
                 yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(lo, hi - lo), "s": pa.array([s.tobytes() for s in shingle_sets(b, k)], pa.binary())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")).join(ids, "id", "left_semi")
-    return rows.mapInArrow(run, "id long, s binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+    # a Bloom filter of MOST_WORDS rows at most keeps other texts out of the exact join's shuffle
+    words = min(MOST_WORDS, 1 << max(6, (ids.count() // 8).bit_length()))
+    place = F.pmod(F.xxhash64(F.lit(77), "id"), F.lit(64 * words))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_h").bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    word = F.shiftright("_h", 6).alias("_w")
+    filt = ids.select(place.alias("_h")).select(word, bit.alias("_b")).groupBy("_w").agg(F.bit_or("_b").alias("_bits"))
+    near = rows.withColumn("_h", place).withColumn("_w", word).join(F.broadcast(filt), "_w").where(F.col("_bits").bitwiseAND(bit) != 0)
+    # an inner join with distinct ids: a semi join would be pushed below the filter
+    return near.select("id", "text").join(ids.distinct(), "id").mapInArrow(run, "id long, s binary")
 
 
 def _confirm(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
@@ -137,8 +148,8 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
-    """Pairs that may be similar within the groups (key, id, comp, n, sig, outer), but for those of one component already.
-    Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once."""
+    """(id, met): the components with a set that may be similar to an outer one, within the groups (key, id, comp, n, sig,
+    outer). Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once."""
 
     def compare(ids, comp, size, sig, outer):
         out = []
@@ -146,7 +157,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             other = np.flatnonzero((comp != comp[i]) & (~outer | (np.arange(len(ids)) > i)))
             if len(other):
                 ok = _near(sig[i], sig[other], size[i], size[other], num, den)
-                out += [(ids[j], ids[i]) for j in other[ok].tolist() if ids[j] != ids[i]]
+                out += [(ids[i], c) for c in np.unique(comp[other[ok]]).tolist()]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +174,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
                 got += compare(ids[lo:hi], comp[lo:hi], n[lo:hi], sig[lo:hi], outer[lo:hi])
             if got:
                 a = np.array(got, np.int64)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a.max(axis=1)), "b": pa.array(a.min(axis=1))})
+                yield pa.RecordBatch.from_pydict({"id": pa.array(a[:, 0]), "met": pa.array(a[:, 1])})
 
         for batch in batches:  # sorted by key: the last key of a batch may go on in the next
             for lo in range(0, batch.num_rows, 2048):
@@ -177,7 +188,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             yield from done(held)
 
     rows = members.select("key", "id", "comp", "n", "sig", "outer").repartition(p, "key").sortWithinPartitions("key")
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "id long, met long")
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
@@ -236,19 +247,78 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
         most = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp")).alias("t"))
         large = large.join(most.select("key", F.col("t.comp").alias("top"), F.col("t.m").alias("m")), "key")
         large = scratch.table(large.select("key", "id", "comp", "size", (F.col("comp") != F.col("top")).alias("outer"), (F.col("size") - F.col("m")).alias("n_out")))
-        direct = large if depth == DEPTH else large.where(F.col("n_out") <= SMALL)
+        # minwise tokens don't part the copies of one text, so a node that one component fills is not branched further
+        filled = (F.col("n_out") <= SMALL) | (2 * F.col("n_out") <= F.col("size"))
+        direct = large if depth == DEPTH else large.where(filled)
         rest.append(_exhaustive(_in_blocks(direct.join(reps, "id")), num, den, p))
-        parted = large.where(F.col("n_out") > SMALL)
+        parted = large.where(~filled)
         if depth == DEPTH or parted.isEmpty():
             break
         level = _child_keys(parted.select("key", "id").join(reps.select("id", "sig"), "id"))
-    pairs = scratch.table(_union(rest).distinct().join(star, ["a", "b"], "left_anti"))
-    last = _confirm(docs, pairs, k, num, den, scratch)
+    met = scratch.table(_union(rest).distinct())
+    last = _link(docs, met, reps, comp, k, num, den, p, scratch)
     if not last.isEmpty():
         comp = scratch.table(components(links.union(last), scratch))
     return rows, comp
 
 
+def _link(docs: DataFrame, met: DataFrame, reps: DataFrame, comp: DataFrame, k: int, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between sets and the components they met, on full sets; one for each set and block of a component."""
+    of = reps.select("id").join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("met"))
+    inner = of.join(met.select("met").distinct(), "met", "left_semi")
+    n = inner.groupBy("met").agg(F.count(F.lit(1)).alias("n")).join(met.groupBy("met").agg(F.count(F.lit(1)).alias("m")), "met")
+    n = n.select("met", F.ceil(F.col("n") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("m") / OUTER).cast("int").alias("cols"))
+    r, c = F.pmod(F.xxhash64("id"), F.col("rows")).cast("int").alias("r"), F.pmod(F.xxhash64(F.lit(3), "id"), F.col("cols")).cast("int").alias("c")
+    spread = lambda col: F.explode(F.sequence(F.lit(0), F.col(col) - 1))
+    left = inner.join(n, "met").select("met", "id", r, spread("cols").alias("c"), F.lit(False).alias("outer"))
+    right = met.join(n, "met").select("met", "id", c, spread("rows").alias("r"), F.lit(True).alias("outer")).select("met", "id", "r", "c", "outer")
+    rows = scratch.table(left.union(right).select(F.xxhash64("met", "r", "c").alias("key"), "id", "outer"))
+    full = scratch.table(_full(docs, rows.select("id").distinct(), k))
+    scratch.tidy()
+
+    def compare(ids: np.ndarray, outer: np.ndarray, sets: list[np.ndarray]):
+        at = np.flatnonzero(~outer)
+        size = np.array([len(sets[i]) for i in at.tolist()])
+        if not len(at) or not outer.any():
+            return
+        owner = np.repeat(np.arange(len(at)), size)
+        tokens = np.concatenate([sets[i] for i in at.tolist()])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        for i in np.flatnonzero(outer).tolist():
+            x = sets[i]
+            lo, hi = np.searchsorted(tokens, x), np.searchsorted(tokens, x, side="right")
+            span = hi - lo
+            hit = np.repeat(lo - np.cumsum(span) + span, span) + np.arange(span.sum())
+            inter = np.bincount(owner[hit], minlength=len(at))
+            ok = np.flatnonzero((den * inter >= num * (size + len(x) - inter)) & (inter > 0) & (ids[at] != ids[i]))
+            if len(ok):
+                yield ids[i], ids[at[ok[0]]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, outer, sets = None, [], [], []
+
+        def done():
+            got = list(compare(np.array(ids, np.int64), np.array(outer, bool), sets)) if ids else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in got], pa.int64()), "b": pa.array([int(y) for _, y in got], pa.int64())})
+
+        for batch in batches:  # sorted by key; a group has BLOCK and OUTER sets or few more
+            for g, i, o, raw in zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True):
+                if g != key:
+                    yield done()
+                    key, ids, outer, sets = g, [], [], []
+                ids.append(i)
+                outer.append(o)
+                sets.append(np.frombuffer(raw, np.uint64))
+        yield done()
+
+    sided = rows.join(full, "id").select("key", "id", "outer", "s").repartition(p, "key").sortWithinPartitions("key")
+    out = scratch.table(sided.mapInArrow(run, "a long, b long"))
+    scratch.drop(full)
+    scratch.tidy()
+    return out
+
+
 def _union(tables: list[DataFrame]) -> DataFrame:
     out = tables[0]
     for t in tables[1:]:
