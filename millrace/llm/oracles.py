@@ -64,5 +64,45 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 """
 
 
+OP1 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(generate_series(1, len(ws) - 4), lambda i: hash(array_to_string(ws[i:i + 4], ' '))))
+    WHEN len(ws) > 0 THEN [hash(array_to_string(ws, ' '))] ELSE [] END AS sh FROM w
+), u AS (
+  SELECT doc_id, unnest(sh) AS x FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * c >= 75 * (len(x.sh) + len(y.sh) - c)
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM s UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.r
+)
+SELECT doc_id, len(any_value(sh))::BIGINT AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept FROM reach JOIN s USING (doc_id) GROUP BY doc_id
+"""
+
+
+def _joined(windows: str) -> str:
+    """Overlapping or adjoining windows (doc_id, s, e) of a document joined."""
+    return f"""SELECT doc_id, min(s) AS s, max(e) AS e FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM (
+      SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS new FROM ({windows}))) GROUP BY doc_id, g"""
+
+
+OP7 = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents
+), g AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 49)) AS i FROM w)
+), r AS (
+  SELECT h, min(doc_id) AS f FROM g GROUP BY h HAVING min(doc_id) <> max(doc_id)
+), m AS (
+  SELECT doc_id, i - 1 AS s, i + 49 AS e, f < doc_id AS later FROM g JOIN r USING (h)
+), a AS ({_joined("SELECT doc_id, s, e FROM m")}), b AS ({_joined("SELECT doc_id, s, e FROM m WHERE later")})
+SELECT doc_id, s::BIGINT AS start_word, e::BIGINT AS end_word, (e - s)::BIGINT AS n_words,
+  coalesce((SELECT sum(least(b.e, a.e) - greatest(b.s, a.s)) FROM b WHERE b.doc_id = a.doc_id AND b.s < a.e AND b.e > a.s), 0)::BIGINT AS n_removed FROM a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filter": OP9, "op10_quality_rules": OP10}
+    return {"op1_minhash_dedup": OP1, "op7_suffix_dedup": OP7, "op9_url_filter": OP9, "op10_quality_rules": OP10}
