@@ -27,7 +27,7 @@ from ._text import blocks
 
 TRAIN_ROWS = 20_000
 LEXICON_ROWS = 3_000  #: words and beginnings taken at most
-HEAD = 5  #: letters of a word's beginning
+HEADS = (4, 5, 6)  #: letters of a word's beginning
 
 # Common insults, and second-person words of the languages here.
 INSULTS = frozenset("idiot idiots moron morons stupid dumb loser losers trash garbage pathetic worthless disgusting scum clown clowns fool jerk creep ugly vermin filth imbecile".split())
@@ -78,7 +78,7 @@ def features(texts: pa.Array, lex: Lexicon) -> np.ndarray:
             m = max(len(words), 1)
             kinds = set(words)
             found = kinds & lex.words
-            heads = {w for w in kinds if w[:HEAD] in lex.heads} - found
+            heads = {w for w in kinds if w[:4] in lex.heads or w[:5] in lex.heads or w[:6] in lex.heads} - found
             second = kinds & SECOND
             row = out[i]
             if found or heads:
@@ -198,17 +198,27 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").join(ids, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"), part)
 
 
+def _head(k: int):
+    return lambda w: F.concat(F.lit("h"), F.substring(w, 1, k))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """docs: doc_id, text; labels: doc_id, toxic."""
     sample = _sample(docs, labels, rows).persist()
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 2))
-    both = F.concat(F.transform(words, lambda w: F.concat(F.lit("w"), w)), F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > HEAD), lambda w: F.concat(F.lit("h"), F.substring(w, 1, HEAD)))))
+    both = F.transform(words, lambda w: F.concat(F.lit("w"), w))
+    for k in HEADS:
+        # of words longer than that
+        both = F.concat(both, F.array_distinct(F.transform(F.filter(words, lambda w: F.length(w) > HEADS[0] + 1), _head(k))))
+    both = F.array_distinct(both)
     first = sample.where("part = 0")
     total = first.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("t")).first()
     t, c = total.t, total.n - total.t
     odds = F.log((F.col("t") + 0.5) / (t + 1)) - F.log((F.col("n") - F.col("t") + 0.5) / (c + 1))
     used = first.select("y", F.explode(both).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("t")).where("t >= 4").withColumn("odds", odds)
-    best = used.where(F.col("odds") > 3.0).orderBy(F.desc("odds"), "w").limit(LEXICON_ROWS).collect()
+    # beginnings are common words' too, so toxic texts that have them must be many; how often they come is a feature
+    head = F.startswith("w", F.lit("h")) & (F.col("odds") > 2.0) & (F.col("t") >= max(5, 0.02 * t))
+    best = used.where(head | (F.startswith("w", F.lit("w")) & (F.col("odds") > 3.0))).orderBy(F.desc("odds"), "w").limit(LEXICON_ROWS).collect()
     lex = Lexicon(INSULTS | {r.w[1:] for r in best if r.w[0] == "w"}, frozenset(r.w[1:] for r in best if r.w[0] == "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
