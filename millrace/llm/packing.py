@@ -20,11 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._text import blocks
+
 WINDOW, END = 4096, 2
 SHARD = 1024  #: documents a shard, on average
 QUERY_TERMS, NEIGHBOURS = 24, 48
 K1, B = 1.2, 0.75
-CACHE = 500_000  #: words in each of the two generations of an encoder's memory
+CACHE = 450_000  #: words in each of the two generations of an encoder's memory
 
 
 class Encoder(dict):
@@ -52,8 +54,18 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for each worker process, so that its memory serves all tasks that come there."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 class Index:
-    """BM25 over the documents of one shard; terms are given as integers, each document's in one array."""
+    """BM25 over the documents of one shard; terms are given as hashes, each document's in one array."""
 
     def __init__(self, terms: list[np.ndarray]):
         n = len(terms)
@@ -136,18 +148,15 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHA
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(tokenizer)
+        enc = encoder(tokenizer)
         held: list[tuple] = []
         used: dict[int, int] = {}  # sequences that a shard has so far
 
         def done():
             base = used.get(held[0][0], 0)
-            number = {}
-            ids, terms = [], []
-            for _, _, text in held:
-                words = (text or "").split()
-                terms.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
-                ids.append(enc.ids(text or "") + tail)
+            texts = pa.array([text or "" for _, _, text in held], pa.large_string())
+            ids = [enc.ids(text) + tail for text in texts.to_pylist()]
+            terms = [b.words[b.bounds[i] : b.bounds[i + 1]] for _, _, b in blocks(texts, lower=True) for i in range(b.n)]
             out = list(fill([len(x) // 4 for x in ids], Index(terms), window))
             i, start, length, seq, off = (np.array(x, np.int64) for x in zip(*out, strict=True))
             used.clear()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-CACHE = 300_000  #: segments in each of the two generations of a codec's memory
+CACHE = 600_000  #: segments in each of the two generations of a codec's memory
 SHORT = 24
 _CUT = ""
 _NONE = np.int64(1) << 60
@@ -62,6 +62,12 @@ class Model:
         self.surface = [b"" if i in self.special else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
         for i, b in self.byte_of.items():
             self.surface[i] = bytes([b])
+        self.decimal = [b"%d," % i for i in range(n)]
+        #: the piece of each code point, or -2 less the code point
+        self.of_char = -2 - np.arange(0x110000, dtype=np.int64)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.of_char[ord(p)] = i
 
     def fallback(self, char: str) -> list[int]:
         return [self.byte[b] for b in char.encode()]
@@ -98,11 +104,12 @@ class Model:
         for part in np.array_split(live, max(1, len(live) // 4096)):
             if not len(part):
                 continue
-            width = max(len(segments[i]) for i in part.tolist())
+            chosen = [segments[i] for i in part.tolist()]
+            sizes = np.array([len(s) for s in chosen])
+            width = int(sizes.max())
             sym = np.full((len(part), width + 1), -1, np.int64)
-            for r, i in enumerate(part.tolist()):
-                s = segments[i]
-                sym[r, : len(s)] = [self.ids.get(c, -2 - ord(c)) for c in s]
+            codes = np.frombuffer("".join(chosen).encode("utf-32-le", "surrogatepass"), "<u4")
+            sym[:, :width][np.arange(width) < sizes[:, None]] = self.of_char[codes]
             pair = self._pairs(sym[:, :-1], sym[:, 1:])
             rows = np.arange(len(part))
             while len(rows):
@@ -125,13 +132,9 @@ class Model:
                 prev = np.maximum(best - 1, 0)
                 p[at, prev] = np.where(best > 0, self._pairs(moved[at, prev], moved[at, prev + 1]), p[at, prev])
                 pair[rows] = p
-            for r, i in enumerate(part.tolist()):
-                got: list[int] = []
-                for x in sym[r].tolist():
-                    if x == -1:
-                        break
-                    got += [x] if x >= 0 else self.fallback(chr(-2 - x))
-                out[i] = got
+            plain = (sym >= -1).all(axis=1)
+            for i, row, n, ok in zip(part.tolist(), sym.tolist(), (sym != -1).sum(axis=1).tolist(), plain.tolist(), strict=True):
+                out[i] = row[:n] if ok else [y for x in row[:n] for y in ([x] if x >= 0 else self.fallback(chr(-2 - x)))]
         return out
 
     def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -142,11 +145,13 @@ class Model:
 
 
 class Codec(dict):
-    """segment -> (ids as decimal text, each with a comma after it; decoded bytes)."""
+    """segment -> ids as decimal text, each with a comma after it. ``odd`` has what a segment's ids decode to where that isn't
+    the segment itself; for all others decoding has been found to give it back."""
 
     def __init__(self, path: str):
         self.model = Model(path)
-        self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.old: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}
 
     def segments(self, text: str) -> list[str]:
         text = SPACE + text.replace(" ", SPACE)
@@ -163,18 +168,30 @@ class Codec(dict):
                     new.append(s)
                 else:
                     self[s] = got
-        short = [s for s in new if len(s) <= SHORT]
-        for s, ids in [*zip(short, self.model.agendas(short), strict=True), *((s, self.model.agenda(s)) for s in new if len(s) > SHORT)]:
-            self[s] = (b"".join(b"%d," % i for i in ids), b"".join(self.model.surface[i] for i in ids))
+        short, long_ = [s for s in new if len(s) <= SHORT], [s for s in new if len(s) > SHORT]
+        new = short + long_
+        mine = self.model.agendas(short) + [self.model.agenda(s) for s in long_]
         # the library starts a text with a space of its own, which a line end parts from the segment
-        for s, ids in zip(new, self.model.sp.encode(["\n" + s for s in new], num_threads=1), strict=True):
-            if b"".join(b"%d," % i for i in ids[2:]) != self[s][0]:
-                raise AssertionError(f"the library encodes {s!r} as {ids[2:]}, not as {self[s][0]!r}")
+        theirs = self.model.sp.encode(["\n" + s for s in new], num_threads=1)
+        decimal, surface = self.model.decimal.__getitem__, self.model.surface.__getitem__
+        for s, ids, checked in zip(new, mine, theirs, strict=True):
+            if checked[2:] != ids:
+                raise AssertionError(f"the library encodes {s!r} as {checked[2:]}, not as {ids}")
+            self[s] = b"".join(map(decimal, ids))
+            raw = b"".join(map(surface, ids))
+            if raw != s.replace(SPACE, " ").encode():
+                self.odd[s] = raw
+
+    def decoded(self, seg: list[str]) -> bytes:
+        """What the ids of a text's segments decode to, the dummy prefix left out."""
+        if self.odd and not self.odd.keys().isdisjoint(seg):
+            return b"".join([self.odd.get(s) or s.replace(SPACE, " ").encode() for s in seg])[1:]
+        return "".join(seg).replace(SPACE, " ").encode()[1:]
 
     def encode(self, text: str) -> list[int]:
         seg = self.segments(text) if text else []
         self.learn(set(seg))
-        return [int(x) for s in seg for x in self[s][0].split(b",")[:-1]]
+        return [int(x) for s in seg for x in self[s].split(b",")[:-1]]
 
     def decode(self, ids: list[int]) -> str:
         """The first piece loses the dummy prefix; bytes that aren't UTF-8 become U+FFFD each."""
@@ -185,6 +202,17 @@ class Codec(dict):
         if len(self) >= CACHE:
             self.old = dict(self)
             self.clear()
+            self.odd = {s: x for s, x in self.odd.items() if s in self.old}
+
+
+_codecs: dict[str, Codec] = {}
+
+
+def codec_of(path: str) -> Codec:
+    """One for each worker process, so that its memory serves all tasks that come there."""
+    if path not in _codecs:
+        _codecs[path] = Codec(path)
+    return _codecs[path]
 
 
 def text_of(raw: bytes) -> str:
@@ -210,10 +238,8 @@ def encode_texts(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids (decimal, joined by commas) and decoded, of every row."""
 
     def one(codec: Codec, seg: list[str]) -> tuple[int, bytes, bytes]:
-        got = [codec[s] for s in seg]
-        ids = b"".join([a for a, _ in got])
-        raw = b"".join([b for _, b in got])
-        return ids.count(b","), ids[:-1], raw[1:]
+        ids = b"".join(map(codec.__getitem__, seg))
+        return ids.count(b","), ids[:-1], codec.decoded(seg)
 
     return _run(docs, model, one, "doc_id long, n_tokens long, ids string, decoded string", lambda r: [r[0], r[1].decode(), text_of(r[2])])
 
@@ -222,9 +248,7 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256, of every row."""
 
     def one(codec: Codec, seg: list[str]) -> tuple[int, str, str]:
-        got = [codec[s] for s in seg]
-        ids = b"".join([a for a, _ in got])
-        raw = b"".join([b for _, b in got])[1:]
+        ids, raw = b"".join(map(codec.__getitem__, seg)), codec.decoded(seg)
         try:
             raw.decode()
         except UnicodeDecodeError:
@@ -239,7 +263,7 @@ def _run(docs: DataFrame, model: str, one, schema: str, final) -> DataFrame:
     types = [pa.int64() if c.endswith(" long") else pa.string() for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = codec_of(model)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 texts = batch.column(1).slice(lo, 512).to_pylist()
