@@ -12,6 +12,9 @@ null doc_id are packed too. Extra columns are ignored. A shard's texts are held
 
 from __future__ import annotations
 
+import json
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -20,18 +23,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._agenda import Merges
 from ._text import blocks
 
 WINDOW, END = 4096, 2
 SHARD = 1024  #: documents a shard, on average
 QUERY_TERMS, NEIGHBOURS = 24, 48
 K1, B = 1.2, 0.75
+SHORT = 32  #: characters of words whose merges run in lock step
+_BESIDE = re.compile(r"(?:[^\w\s]|_)(?:[^\w\s]|_)")
 CACHE = 450_000  #: words in each of the two generations of an encoder's memory
 
 
 class Encoder(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes. The tokenizer drops white space and never merges across it,
-    so a text's ids are those of what stands between its spaces and line ends, one after the other."""
+    """word -> its ids as little-endian unsigned 32-bit bytes.
+
+    The tokenizer normalises to NFC, lower-cases, drops white space and cuts at it, and cuts between letters and other
+    characters. So a text's ids are those of its words, and a stop or comma after a word is a word of its own, unless it
+    stands beside other punctuation. Words that a shard brings anew and that are lower-case letters only have their merges
+    run in lock step; the library encodes all others."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -39,19 +49,63 @@ class Encoder(dict):
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.old: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.merges = Merges({(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)})
+        self.inner = np.array([vocab[c] for c in _byte_chars()], np.int64)
+        self.last = np.array([vocab[c + end] for c in _byte_chars()], np.int64)
 
     def __missing__(self, word: str) -> bytes:
         out = self.old.get(word)
         if out is None:
             out = np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = out
+        return out
+
+    def words(self, text: str) -> list[str]:
+        if "Σ" not in text and "İ" not in text and unicodedata.is_normalized("NFC", text) and not _BESIDE.search(text):
+            text = text.lower().replace(".", " .").replace(",", " ,")
+        return text.replace("\n", " ").split(" ")
+
+    def learn(self, words: set[str]) -> None:
+        """Takes in new words together."""
         if len(self) >= CACHE:
             self.old = dict(self)
             self.clear()
-        self[word] = out
-        return out
+        new = []
+        for w in words:
+            if w not in self:
+                got = self.old.get(w)
+                if got is not None:
+                    self[w] = got
+                elif w.isalpha() and len(w) <= SHORT and (w.isascii() or unicodedata.is_normalized("NFC", w)) and w == w.lower() and all(unicodedata.category(c)[0] == "L" for c in w):
+                    new.append(w)
+        new.sort(key=len)
+        for lo in range(0, len(new), 4096):
+            part = [w.encode() for w in new[lo : lo + 4096]]
+            sizes = np.array([len(w) for w in part])
+            width = int(sizes.max())
+            sym = np.full((len(part), width + 1), -1, np.int64)
+            raw = np.frombuffer(b"".join(part), np.uint8)
+            sym[:, :width][np.arange(width) < sizes[:, None]] = self.inner[raw]
+            sym[np.arange(len(part)), sizes - 1] = self.last[raw[np.cumsum(sizes) - 1]]
+            self.merges.run(sym)
+            n = 4 * (sym != -1).sum(axis=1)
+            bytes_, step = sym.astype("<u4").tobytes(), 4 * (width + 1)
+            for k, (w, m) in enumerate(zip(new[lo : lo + 4096], n.tolist(), strict=True)):
+                self[w] = bytes_[k * step : k * step + m]
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        return b"".join(map(self.__getitem__, self.words(text)))
+
+
+def _byte_chars() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself, or one from 256 on."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -155,7 +209,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHA
         def done():
             base = used.get(held[0][0], 0)
             texts = pa.array([text or "" for _, _, text in held], pa.large_string())
-            ids = [enc.ids(text) + tail for text in texts.to_pylist()]
+            words = [enc.words(text) for text in texts.to_pylist()]
+            enc.learn(set().union(*words))
+            ids = [b"".join(map(enc.__getitem__, w)) + tail for w in words]
             terms = [b.words[b.bounds[i] : b.bounds[i + 1]] for _, _, b in blocks(texts, lower=True) for i in range(b.n)]
             out = list(fill([len(x) // 4 for x in ids], Index(terms), window))
             i, start, length, seq, off = (np.array(x, np.int64) for x in zip(*out, strict=True))

@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._agenda import Merges
+
 SPACE = "▁"
 CACHE = 600_000  #: segments in each of the two generations of a codec's memory
 SHORT = 24
 _CUT = ""
-_NONE = np.int64(1) << 60
 
 
 class Model:
@@ -54,11 +55,7 @@ class Model:
         self.rank = {i: rank[self.score[i]] for i in self.ids.values()}
         pairs = {(self.ids[p[:k]], self.ids[p[k:]]): i for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids}
         self.pairs = pairs
-        keys = np.array([(a << 32) | b for a, b in pairs], np.int64)
-        order_ = np.argsort(keys)
-        self.keys = keys[order_]
-        self.to = np.array(list(pairs.values()), np.int64)[order_]
-        self.ranks = np.array([self.rank[i] for i in self.to.tolist()], np.int64)
+        self.merges = Merges({k: (self.rank[i], i) for k, i in pairs.items()})
         self.surface = [b"" if i in self.special else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
         for i, b in self.byte_of.items():
             self.surface[i] = bytes([b])
@@ -110,39 +107,12 @@ class Model:
             sym = np.full((len(part), width + 1), -1, np.int64)
             codes = np.frombuffer("".join(chosen).encode("utf-32-le", "surrogatepass"), "<u4")
             sym[:, :width][np.arange(width) < sizes[:, None]] = self.of_char[codes]
-            pair = self._pairs(sym[:, :-1], sym[:, 1:])
-            rows = np.arange(len(part))
-            while len(rows):
-                best = pair[rows].argmin(axis=1)
-                low = pair[rows, best]
-                go = low < _NONE
-                rows, best, low = rows[go], best[go], low[go]
-                if not len(rows):
-                    break
-                shift = np.arange(width + 1) > best[:, None]
-                src = np.minimum(np.arange(width + 1) + shift, width)
-                moved = np.take_along_axis(sym[rows], src, axis=1)
-                moved[np.arange(len(rows)), best] = low & 0xFFFFFFFF
-                moved[:, width] = -1
-                sym[rows] = moved
-                p = np.take_along_axis(pair[rows], np.minimum(src[:, :-1], width - 1), axis=1)
-                p[:, width - 1] = _NONE
-                at = np.arange(len(rows))
-                p[at, best] = self._pairs(moved[at, best], moved[at, best + 1])
-                prev = np.maximum(best - 1, 0)
-                p[at, prev] = np.where(best > 0, self._pairs(moved[at, prev], moved[at, prev + 1]), p[at, prev])
-                pair[rows] = p
+            self.merges.run(sym)
             plain = (sym >= -1).all(axis=1)
             for i, row, n, ok in zip(part.tolist(), sym.tolist(), (sym != -1).sum(axis=1).tolist(), plain.tolist(), strict=True):
                 out[i] = row[:n] if ok else [y for x in row[:n] for y in ([x] if x >= 0 else self.fallback(chr(-2 - x)))]
         return out
 
-    def _pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """rank << 32 | merged piece of each pair, or _NONE."""
-        key = np.where((a >= 0) & (b >= 0), (a << 32) | np.maximum(b, 0), -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, (self.ranks[at] << 32) | self.to[at], _NONE)
-
 
 class Codec(dict):
     """segment -> ids as decimal text, each with a comma after it. ``odd`` has what a segment's ids decode to where that isn't
