@@ -147,14 +147,14 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     return sided.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
-def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
+def _exhaustive(members: DataFrame, num: int, den: int, p: int, among: bool) -> DataFrame:
     """(id, met): the components with a set that may be similar to an outer one, within the groups (key, id, comp, n, sig,
-    outer). Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once."""
+    outer). Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once if ``among``."""
 
     def compare(ids, comp, size, sig, outer):
         out = []
         for i in np.flatnonzero(outer).tolist():
-            other = np.flatnonzero((comp != comp[i]) & (~outer | (np.arange(len(ids)) > i)))
+            other = np.flatnonzero((comp != comp[i]) & (~outer | (among & (np.arange(len(ids)) > i))))
             if len(other):
                 ok = _near(sig[i], sig[other], size[i], size[other], num, den)
                 out += [(ids[i], c) for c in np.unique(comp[other[ok]]).tolist()]
@@ -191,16 +191,34 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
     return rows.mapInArrow(run, "id long, met long")
 
 
-def _in_blocks(large: DataFrame) -> DataFrame:
+def _in_blocks(large: DataFrame, among: bool) -> DataFrame:
     """Large nodes (with outer and the counts n_out and size) cut into groups of BLOCK members and SMALL outer ones."""
     rows, cols = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_out") / SMALL).cast("int")
     at = large.withColumn("r", F.pmod(F.xxhash64("id"), rows).cast("int")).withColumn("c", F.pmod(F.xxhash64(F.lit(3), "id"), cols).cast("int"))
     # every member is in one block of rows, with all columns; every outer one in one column, with all rows
     inner = at.where("not outer").select("*", F.explode(F.sequence(F.lit(0), cols - 1)).alias("to")).select("key", "id", "comp", "n", "sig", F.lit(False).alias("outer"), "r", F.col("to").alias("c"))
     outer = at.where("outer").select("*", F.explode(F.sequence(F.lit(0), rows - 1)).alias("to")).select("key", "id", "comp", "n", "sig", F.lit(True).alias("outer"), F.col("to").alias("r"), "c")
-    among = at.where("outer").select("key", "id", "comp", "n", "sig", F.lit(True).alias("outer"), F.explode(F.sequence(F.lit(0), cols - 1)).alias("to"), "c")
-    among = among.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), "id", "comp", "n", "sig", "outer")
-    return inner.union(outer).select(F.xxhash64(F.lit("i"), "key", "r", "c").alias("key"), "id", "comp", "n", "sig", "outer").union(among)
+    out = inner.union(outer).select(F.xxhash64(F.lit("i"), "key", "r", "c").alias("key"), "id", "comp", "n", "sig", "outer")
+    if not among:
+        return out
+    pairs = at.where("outer").select("key", "id", "comp", "n", "sig", F.lit(True).alias("outer"), F.explode(F.sequence(F.lit(0), cols - 1)).alias("to"), "c")
+    return out.union(pairs.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), "id", "comp", "n", "sig", "outer"))
+
+
+def _met(nodes: DataFrame, comp: DataFrame, reps: DataFrame, num: int, den: int, p: int, among: bool, scratch: Scratch) -> DataFrame:
+    """What the sets of the nodes (key, id) that hold several components meet: each node's largest component, and with
+    ``among`` each other."""
+    at = nodes.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    sums = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("size"), F.count(F.lit(1)).alias("k"), F.max(F.struct("m", "comp")).alias("t")).where("k > 1")
+    at = at.join(sums.select("key", "size", F.col("t.comp").alias("top"), (F.col("size") - F.col("t.m")).alias("n_out")), "key")
+    at = scratch.table(at.select("key", "id", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer")).join(reps, "id"))
+    small = _exhaustive(at.where(F.col("size") <= SMALL), num, den, p, among)
+    large = at.where(F.col("size") > SMALL)
+    if not large.isEmpty():
+        small = small.union(_exhaustive(_in_blocks(large, among), num, den, p, among))
+    out = scratch.table(small.distinct())
+    scratch.drop(at)
+    return out
 
 
 def _first_keys(reps: DataFrame) -> DataFrame:
@@ -221,7 +239,7 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
     ids = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
     hashed = rows.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("id"), "h1", "h2", "n", "sig")
     reps = scratch.table(hashed.join(ids, ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1", "h2"]).select("id", "n", "sig"))
-    level, rest = _first_keys(reps), []
+    level, opened = _first_keys(reps), []
     for depth in range(1, DEPTH + 1):
         size, lo = F.count(F.lit(1)).alias("size"), F.min("id").alias("lo")
         picked = [F.min(F.struct(F.xxhash64(F.lit(i), "id").alias("h"), "id")).alias(f"p{i}") for i in (1, 2)]
@@ -239,8 +257,7 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
         open_ = at.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
         at = scratch.table(at.join(open_, "key", "left_semi"))
         scratch.drop(members)
-        small = at.where(F.col("size") <= SMALL).withColumn("outer", F.lit(True))
-        rest.append(_exhaustive(small.join(reps, "id"), num, den, p))
+        opened.append(at.where(F.col("size") <= SMALL).select("key", "id"))
         large = at.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
@@ -250,15 +267,19 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
         # minwise tokens don't part the copies of one text, so a node that one component fills is not branched further
         filled = (F.col("n_out") <= SMALL) | (2 * F.col("n_out") <= F.col("size"))
         direct = large if depth == DEPTH else large.where(filled)
-        rest.append(_exhaustive(_in_blocks(direct.join(reps, "id")), num, den, p))
+        opened.append(direct.select("key", "id"))
         parted = large.where(~filled)
         if depth == DEPTH or parted.isEmpty():
             break
         level = _child_keys(parted.select("key", "id").join(reps.select("id", "sig"), "id"))
-    met = scratch.table(_union(rest).distinct())
-    last = _link(docs, met, reps, comp, k, num, den, p, scratch)
-    if not last.isEmpty():
-        comp = scratch.table(components(links.union(last), scratch))
+    nodes = scratch.table(_union(opened))
+    # first what each node's largest component takes in, then those that are still apart
+    for among in (False, True):
+        met = _met(nodes, comp, reps, num, den, p, among, scratch)
+        last = _link(docs, met, reps, comp, k, num, den, p, scratch)
+        if not last.isEmpty():
+            links = links.union(last)
+            comp = scratch.table(components(links, scratch))
     return rows, comp
 
 
