@@ -14,8 +14,9 @@ Recall: sets of similarity s share a first node with probability s, and a node's
 1-(1-s)^2. At s = 0.75 a tree keeps a pair together to any depth with probability 2/3 at least, so 12 trees miss it with
 3^-12, about 2e-6.
 
-Null and empty texts have empty sets and are linked with nothing. Rows that share a doc_id are one document of the
-graph. A null doc_id without links has a null component and is kept. Extra columns are ignored.
+Null and empty texts have empty sets and are linked with nothing. The join knows a row by a hash of its doc_id and text, so
+rows of null or equal doc_ids with different texts are documents of their own. A component is named by its smallest doc_id;
+one of null doc_ids only has a null component and is kept. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
@@ -63,32 +64,37 @@ def minwise(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def _key() -> Column:
+    """What the join knows a row by; only repeated rows share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
+
+
 def _sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n, h1, h2 (a 128-bit hash of the set) and sig of every row."""
+    """key, doc_id, n, h1, h2 (a 128-bit hash of the set) and sig of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi, b in blocks(batch.column(1), lower=True):
+            for lo, hi, b in blocks(batch.column(2), lower=True):
                 n, h1, h2, sig = [], [], [], []
                 for s in shingle_sets(b, k):
                     n.append(len(s))
                     h1.append(int(mix(s + np.uint64(0x51ED270B)).sum().astype(np.int64)))
                     h2.append(int(mix(s ^ np.uint64(0xB492B66FBE98F273)).sum().astype(np.int64)))
                     sig.append(minwise(s).tobytes() if len(s) else None)
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(lo, hi - lo), "n": pa.array(n, pa.int64()), "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()), "sig": pa.array(sig, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"key": batch.column(0).slice(lo, hi - lo), "doc_id": batch.column(1).slice(lo, hi - lo), "n": pa.array(n, pa.int64()), "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()), "sig": pa.array(sig, pa.binary())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, "doc_id long, n long, h1 long, h2 long, sig binary")
+    return docs.select(_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, "key long, doc_id long, n long, h1 long, h2 long, sig binary")
 
 
 def _full(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(id, s): the whole sets of some documents."""
+    """(id, s): the whole sets of some documents, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, b in blocks(batch.column(1), lower=True):
                 yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(lo, hi - lo), "s": pa.array([s.tobytes() for s in shingle_sets(b, k)], pa.binary())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+    rows = docs.select(_key().alias("id"), F.col("text").alias("text"))
     # a Bloom filter of MOST_WORDS rows at most keeps other texts out of the exact join's shuffle
     words = min(MOST_WORDS, 1 << max(6, (ids.count() // 8).bit_length()))
     place = F.pmod(F.xxhash64(F.lit(77), "id"), F.lit(64 * words))
@@ -97,7 +103,7 @@ def _full(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     filt = ids.select(place.alias("_h")).select(word, bit.alias("_b")).groupBy("_w").agg(F.bit_or("_b").alias("_bits"))
     near = rows.withColumn("_h", place).withColumn("_w", word).join(F.broadcast(filt), "_w").where(F.col("_bits").bitwiseAND(bit) != 0)
     # an inner join with distinct ids: a semi join would be pushed below the filter
-    return near.select("id", "text").join(ids.distinct(), "id").mapInArrow(run, "id long, s binary")
+    return near.select("id", "text").join(ids.distinct(), "id").dropDuplicates(["id"]).mapInArrow(run, "id long, s binary")
 
 
 def _confirm(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
@@ -233,11 +239,11 @@ def _child_keys(members: DataFrame) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): every row's doc_id, n, h1, h2; and (id, component) of the class representatives that are linked."""
+    """(rows, classes): every row's key, doc_id, n, h1, h2; and (id, component) of the class representatives that are linked."""
     p = parts(docs.sparkSession)
     rows = scratch.table(_sets(docs, k))
-    ids = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
-    hashed = rows.where("n > 0 and doc_id is not null").select(F.col("doc_id").alias("id"), "h1", "h2", "n", "sig")
+    ids = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("id"))
+    hashed = rows.where("n > 0").select(F.col("key").alias("id"), "h1", "h2", "n", "sig")
     reps = scratch.table(hashed.join(ids, ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1", "h2"]).select("id", "n", "sig"))
     level, opened = _first_keys(reps), []
     for depth in range(1, DEPTH + 1):
@@ -347,20 +353,28 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+def _labelled(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """key, doc_id, n, node (of its component, any number) and component_id of every row."""
     scratch = Scratch(docs.sparkSession)
     rows, comp = similar_sets(docs, scratch, k, num, den)
-    classes = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
-    classes = classes.join(comp, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
-    full = rows.where("n > 0").select("doc_id", "n", "h1", "h2").join(classes, ["h1", "h2"])
-    out = full.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
-    empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.union(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    classes = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("id"), F.min("doc_id").alias("first")).join(comp, "id", "left")
+    names = classes.where("component is not null").groupBy("component").agg(F.min("first").alias("name"))
+    classes = classes.join(names, "component", "left").select("h1", "h2", F.coalesce("component", "id").alias("node"), F.when(F.col("component").isNull(), F.col("first")).otherwise(F.col("name")).alias("component_id"))
+    full = rows.where("n > 0").select("key", "doc_id", "n", "h1", "h2").join(classes, ["h1", "h2"])
+    empty = rows.where("n = 0").select("key", "doc_id", "n", F.col("key").alias("node"), F.col("doc_id").alias("component_id"))
+    return full.select("key", "doc_id", "n", "node", "component_id").union(empty)
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    out = _labelled(docs, k, num, den).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each group does; of rows with one doc_id, one stays."""
-    stay = near_duplicates(docs, k, num, den).where("kept").select(F.col("doc_id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay when one document of each component does, that of its smallest doc_id; of repeated rows
+    one stays. Rows that merely share a doc_id, or have none, all stay."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f")
+    stay = _labelled(docs, k, num, den).groupBy(F.col("n") == 0, "node").agg(first).select(F.col("f.key").alias("_stay")).distinct()
+    rows = docs.withColumn("_stay", _key()).withColumn("_hash", F.hash("text"))
+    return rows.join(stay, "_stay", "left_semi").dropDuplicates(["_stay", "doc_id", "_hash"]).select(docs.columns)

@@ -62,6 +62,18 @@ def test_keep_one(spark, docs, rows, empty):
     assert minhash_dedup.keep_one(odd).count() == 2
 
 
+def test_keep_one_leaves_rows_that_only_share_an_id(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    texts = [(None, a), (None, b), (None, b + " more"), (None, b), (5, c), (5, d), (2, c + " more"), (None, d + " more"), (9, ""), (9, " ")]
+    odd = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in minhash_dedup.keep_one(odd).collect()]
+    near = [x for x in kept if x[0] is None and x[1].startswith("b0")]
+    assert len(near) == 1 and near[0] in texts
+    assert sorted(kept, key=str) == sorted([(None, a), near[0], (2, c + " more"), (5, d), (9, ""), (9, " ")], key=str)
+    got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in minhash_dedup.near_duplicates(odd).where("n_shingles > 0").collect())
+    assert got == sorted([("None", "None", True)] * 4 + [("5", "2", False), ("5", "5", True), ("2", "2", True), ("None", "5", False)])
+
+
 # --- 2
 
 
