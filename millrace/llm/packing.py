@@ -1,8 +1,8 @@
 """Packing of tokenised documents into training sequences by lexical retrieval.
 
 Documents are dealt into shards of about SHARD rows by a hash of doc_id and text. Each shard builds a BM25 inverted index over the
-words of its documents; a seed document (what is left of the last one cut, or else the next unused one) asks it for unused
-neighbours, which fill the seed's window in the order of their scores. A document that doesn't fit is cut, and its rest is
+words of its documents; a seed document (what is left of the last one cut, or else the next unused one) asks it with all its
+words for unused neighbours, which fill the seed's window in the order of their scores, as many as have one. A document that doesn't fit is cut, and its rest is
 the next seed. So all windows of a shard are full; what remains at a shard's end is cut into sequences whose lengths are
 powers of two, which need no padding.
 
@@ -28,7 +28,6 @@ from ._text import blocks
 
 WINDOW, END = 4096, 2
 SHARD = 1024  #: documents a shard, on average
-QUERY_TERMS, NEIGHBOURS = 24, 48
 K1, B = 1.2, 0.75
 SHORT = 32  #: characters of words whose merges run in lock step
 _BESIDE = re.compile(r"(?:[^\w\s]|_)(?:[^\w\s]|_)")
@@ -138,21 +137,19 @@ class Index:
         self.n, self.df = n, df
         ends = np.concatenate([[0], np.cumsum([len(u) for u, _ in uniq])])
         self.queries = []
-        for i in range(n):  # a document's heaviest words that others have as well
+        for i in range(n):  # a document's words that others have as well
             t = inv[ends[i] : ends[i + 1]]
-            w = weight[ends[i] : ends[i + 1]] * (df[t] > 1)
-            best = np.argsort(-w, kind="stable")[:QUERY_TERMS]
-            self.queries.append(t[best[w[best] > 0]])
+            self.queries.append(t[df[t] > 1])
 
     def neighbours(self, i: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents by score, at most NEIGHBOURS, ties by place."""
+        """All unused documents with a score, by score, ties by place."""
         q = self.queries[i]
         if not len(q):
             return q
         at = np.concatenate([np.arange(self.at[t], self.at[t + 1]) for t in q])
         score = np.bincount(self.doc[at], self.weight[at], self.n) * unused
         found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")][:NEIGHBOURS]
+        return found[np.argsort(-score[found], kind="stable")]
 
 
 def fill(lengths: list[int], index: Index, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
@@ -164,18 +161,18 @@ def fill(lengths: list[int], index: Index, window: int = WINDOW) -> Iterator[tup
     sizes: list[int] = [1 << k for k in range(window.bit_length() - 1, -1, -1) if (total - tail) >> k & 1]
     seq, off, room, done = 0, 0, window if tail else (sizes.pop(0) if sizes else 0), 0
     rest: tuple[int, int] | None = None
-    queue: list[int] = []
+    queue: list[int] = []  # best last
     nxt = 0
     seed = None
     while done < total:
         if rest is None:
-            while queue and not unused[queue[0]]:
-                queue.pop(0)
+            while queue and not unused[queue[-1]]:
+                queue.pop()
             if not queue and seed is not None:
-                queue = index.neighbours(seed, unused).tolist()
+                queue = index.neighbours(seed, unused)[::-1].tolist()
                 seed = None
             if queue:
-                i = queue.pop(0)
+                i = queue.pop()
             else:
                 while not unused[nxt]:
                     nxt += 1

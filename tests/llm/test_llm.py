@@ -242,6 +242,17 @@ def test_neighbours_share_words():
     assert index.neighbours(1, np.array([1, 0, 1, 1, 1], bool)).tolist() == [3]
 
 
+def test_windows_take_the_whole_ranking():
+    rng = random.Random(8)
+    # two subjects by turns, with more documents and words than any fixed number of neighbours or query words
+    terms = [np.array([k % 2 * 1000 + w for w in rng.sample(range(40), 30)]) for k in range(200)]
+    index = packing.Index(terms)
+    assert len(index.neighbours(0, np.arange(200) > 0)) == 99
+    assert {len(q) for q in index.queries} == {30}
+    got = list(packing.fill([10] * 200, index, window=1000))
+    assert all({i % 2 for i, _, _, seq, _ in got if seq == s} == {s} for s in (0, 1))
+
+
 # --- 7
 
 
