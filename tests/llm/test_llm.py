@@ -319,6 +319,27 @@ def test_image_copies(spark):
     assert image_copies.copies(df.limit(0)).count() == 0
 
 
+def test_copies_meet_by_one_shared_entry(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+
+    def fresh():
+        r = np.zeros(10, image_copies.RECORD)
+        r["x"], r["y"], r["bits"] = rng.permutation(10) * 9, rng.permutation(10) * 9, rng.integers(0, 256, (10, 32))
+        return r
+
+    a, c, d = fresh(), fresh(), fresh()
+    b = a.copy()
+    b["bits"][:, ::8] ^= 1  # a bit of each 64
+    b["bits"][0, 0] ^= 1
+    # 1 and 2 share more entries with 4, but no places
+    c["bits"][:3, 8:16], d["bits"][:3, 8:16] = b["bits"][:3, 8:16], b["bits"][3:6, 8:16]
+    desc = spark.createDataFrame([(1, c.tobytes()), (2, d.tobytes()), (3, a.tobytes()), (4, b.tobytes())], "id long, desc binary")
+    monkeypatch.setattr(image_copies, "_described", lambda images: desc)
+    images = spark.createDataFrame([(i, bytes([i])) for i in range(1, 5)], "id long, image binary")
+    got = {r.id: r.class_id for r in image_copies.copies(images).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 3}
+
+
 # --- 9
 
 
