@@ -81,28 +81,32 @@ def hashing_encoder(dim: int = 64) -> Callable[[], Callable[[list[str]], np.ndar
     return make
 
 
-def nearest(queries: DataFrame, base: DataFrame, k: int, rows: int = 4096) -> DataFrame:
+def _blocks(vectors: DataFrame, rows: int, name: str) -> DataFrame:
+    """Vectors in blocks of about ``rows``, one a row, with their ids."""
+    n = max(1, -(-vectors.count() // rows))
+    dealt = vectors.select("id", "vector", F.pmod(F.xxhash64("id"), F.lit(n)).alias("block"))
+    return dealt.groupBy("block").agg(F.collect_list(F.struct("id", "vector")).alias("v")).select(F.col("v.id").alias(f"{name}_id"), F.col("v.vector").alias(f"{name}_vector"))
+
+
+def nearest(queries: DataFrame, base: DataFrame, k: int, rows: int = 1024) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of highest cosine to each query, exact. Both sides have id and vector.
 
-    A stated, bounded query set goes to the executors, is compared with the base in blocks, and only each block's k best go on."""
-    got = queries.select("id", "vector").orderBy("id").toPandas()
-    ids, q = got["id"].to_numpy(), np.array(got["vector"].tolist(), np.float64).reshape(len(got), -1)
-    q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-30)
-    shared = queries.sparkSession.sparkContext.broadcast((ids, q))
+    Blocks of queries meet blocks of the base on the executors, and only each pair's k best go on; no vector is collected."""
+
+    def unit(vectors) -> np.ndarray:
+        x = np.array([np.asarray(v, np.float64) for v in vectors]).reshape(len(vectors), -1)
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qi, qv = shared.value
         for b in batches:
-            for lo in range(0, len(b), rows):
-                part = b.iloc[lo : lo + rows]
-                v = np.array(part["vector"].tolist(), np.float64).reshape(len(part), -1)
-                s = np.round((v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-30)) @ qv.T, 6)
-                ids_ = part["id"].to_numpy()
+            for qi, q, vi, v in zip(b["q_id"], b["q_vector"], b["b_id"], b["b_vector"], strict=True):
+                s, vi = np.round(unit(v) @ unit(q).T, 6), np.asarray(vi)
                 for j in range(len(qi)):
-                    top = np.lexsort((ids_, -s[:, j]))[: k + 1]
-                    yield pd.DataFrame({"query_id": qi[j], "vec_id": ids_[top], "score": s[top, j]})
+                    top = np.lexsort((vi, -s[:, j]))[: k + 1]
+                    yield pd.DataFrame({"query_id": qi[j], "vec_id": vi[top], "score": s[top, j]})
 
-    cand = base.select("id", "vector").mapInPandas(run, "query_id long, vec_id long, score double").where("query_id <> vec_id")
+    met = _blocks(queries, rows, "q").crossJoin(_blocks(base, rows, "b"))
+    cand = met.mapInPandas(run, "query_id long, vec_id long, score double").where("query_id <> vec_id")
     best = cand.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("b"))
     one = best.select("query_id", F.posexplode("b").alias("rank", "r"))
     return one.select("query_id", (F.col("rank") + 1).cast("long").alias("rank"), F.col("r.vec_id").alias("vec_id"), (-F.col("r.s")).alias("score"))

@@ -191,3 +191,19 @@ def test_eviction_keeps_the_last_used(spark):
     c = spark.sql("SELECT concat('k', id) AS cache_key, 10L AS size, timestamp_seconds(id * 50000) AS last_accessed FROM range(20)")
     assert incremental.evict(c, 1000).count() == 20
     assert sorted(int(r.cache_key[1:]) for r in incremental.evict(c, 100).collect()) == list(range(12, 20))
+
+
+def test_nearest_of_every_fiftieth_row_collects_no_vectors(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import DataFrame
+
+    from millrace.operators import vectors
+
+    x = np.random.default_rng(3).normal(size=(500, 8))
+    base = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<float>")
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = {(i, r + 1, j) for i in range(0, 500, 50) for r, j in enumerate([j for j in np.lexsort((np.arange(500), -np.round(u @ u[i], 6))).tolist() if j != i][:5])}
+    monkeypatch.setattr(type(base), "toPandas", None)
+    got = vectors.nearest(base.where("id % 50 = 0"), base, 5, rows=64).collect()
+    assert isinstance(base, DataFrame) and {(r.query_id, r.rank, r.vec_id) for r in got} == want
