@@ -5,48 +5,82 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch, where the session keeps Spark's own 64 MB.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+_open: list[list[Scratch]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one is set only where none is configured (tests, local mode)."""
+    """The cluster's shared folder. Where none is configured, a local one is set, but in local mode only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             return known.get()
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(base)
     return base
 
 
+@contextmanager
+def released() -> Iterator[None]:
+    """Deletes, at its end, all tables that were written within; what is returned must be stored elsewhere by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for s in _open.pop():
+            s.close()
+
+
 class Scratch:
-    """Writes DataFrames as Parquet tables, which cuts their lineage and outlives executors."""
+    """Writes DataFrames as Parquet tables, which cuts their lineage and outlives executors. They go when the driver ends, or
+    earlier with ``drop``, ``close`` and ``released``."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.base = f"{shared_dir(spark).rstrip('/')}/millrace/{uuid.uuid4().hex}"
         self.n = 0
-        self.paths: dict[int, str] = {}
+        if spark.conf.get(BATCH, None) in (None, "67108864b"):  # Spark's own default
+            spark.conf.set(BATCH, str(BATCH_BYTES))
+        p = self._path(self.base)
+        self._fs(p).deleteOnExit(p)
+        if _open:
+            _open[-1].append(self)
+
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _fs(self, path):
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def table(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._millrace_path = path
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         """Deletes tables that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
         for t in tables:
             path = getattr(t, "_millrace_path", None)
             if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+                p = self._path(path)
+                self._fs(p).delete(p, True)
+
+    def close(self) -> None:
+        p = self._path(self.base)
+        self._fs(p).delete(p, True)
 
     def tidy(self) -> None:
         """Lets Spark remove the shuffle files of finished steps."""
