@@ -1,13 +1,15 @@
 """URLs judged by host and path rules and by a list of canonical URLs, with DataFrame functions only.
 
 The list goes into a blocked Bloom filter: the hash of a canonical URL picks one block of four 64-bit words and two bits in
-each. A block is one row of a table, made by a map-side combined bit-or. Pages meet the filter by a hash join on the block,
-and only those whose bits are all set go on to the exact hash join on the canonical URL, which removes false positives.
-Spark broadcasts the filter or the list only below its own size threshold.
+each. A block is one row of a table, made by a map-side combined bit-or. Pages meet the filter on the block: it is broadcast
+up to MOST_BLOCKS blocks, so that no page is shuffled, and hash joined beyond. Only pages whose bits are all set go on to the
+exact hash join on the canonical URL, which removes false positives; all others are settled and join the result by a union.
 
 The canonical form: lower-case scheme and host, no user, default port, fragment, ``www.`` or trailing slash, and the query
 without ``ref`` and ``utm_*`` parameters. Null urls and those without ``://`` have an empty host and path and are allowed.
-Repeated rows are judged alike; an empty list allows everything that no rule blocks. Extra columns are ignored.
+Repeated rows are judged alike; an empty list allows everything that no rule blocks, an empty table gives an empty result.
+Urls of any length are read whole; of two rules that fit the longer one wins, and rules of one length are tried in the order
+given. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,8 +19,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._scratch import Scratch
+
 #: Listed URLs per block of 256 bits: 8 bits set for each, about 1.5 % false positives.
 PER_BLOCK = 16
+#: Blocks of 40 bytes up to which the filter is broadcast.
+MOST_BLOCKS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -95,22 +101,22 @@ def bloom(listed: DataFrame, per_block: int = PER_BLOCK) -> tuple[DataFrame, int
     return rows.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(4)]), n
 
 
-def listed_pages(pages: DataFrame, listed: DataFrame, per_block: int = PER_BLOCK) -> tuple[DataFrame, DataFrame]:
+def listed_pages(pages: DataFrame, listed: DataFrame, per_block: int = PER_BLOCK, most_blocks: int = MOST_BLOCKS) -> tuple[DataFrame, DataFrame]:
     """(pages with canonical, possible and listed; the filter). pages has url; listed has canonical ones in url."""
-    listed = listed.select("url").where("url is not null").distinct()
+    listed = Scratch(pages.sparkSession).table(listed.select("url").where("url is not null").distinct())
     filt, n = bloom(listed, per_block)
     own = pages.withColumn("canonical", canonical(F.col("url")))
     block, bits = _probe(F.col("canonical"), F.lit(n))
-    met = own.withColumn("block", F.when(F.col("canonical").isNotNull(), block)).join(filt, "block", "left")
+    filt = filt.withColumnRenamed("block", "_block")
+    met = own.join(F.broadcast(filt) if n <= most_blocks else filt, block == F.col("_block"), "left")
     possible = F.lit(True)
     for i, b in enumerate(bits):
         possible = possible & (F.col(f"w{i}").bitwiseAND(b) == b)
-    met = met.withColumn("possible", F.coalesce(possible, F.lit(False))).drop("block", "w0", "w1", "w2", "w3")
-    # only possible hits have a key for the exact join
-    key = F.when(F.col("possible"), F.col("canonical"))
-    exact = listed.select(F.col("url").alias("_url"), F.lit(True).alias("_hit"))
-    out = met.withColumn("_key", key).join(exact, F.col("_key") == F.col("_url"), "left")
-    return out.withColumn("listed", F.coalesce("_hit", F.lit(False))).drop("_key", "_url", "_hit"), filt
+    met = met.withColumn("possible", F.coalesce(possible, F.lit(False))).drop("_block", "w0", "w1", "w2", "w3")
+    exact = listed.select(F.col("url").alias("_url"))
+    hits = met.where("possible").join(exact, F.col("canonical") == F.col("_url"), "left")
+    hits = hits.withColumn("listed", F.col("_url").isNotNull()).drop("_url")
+    return met.where("not possible").withColumn("listed", F.lit(False)).union(hits), filt
 
 
 def judge(pages: DataFrame, listed: DataFrame, rules: tuple[Rule, ...] = RULES, per_block: int = PER_BLOCK) -> DataFrame:
