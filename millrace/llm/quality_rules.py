@@ -1,11 +1,13 @@
 """Quality rules as a short-circuit cascade.
 
-Each rule is measured on a bounded sample: what it costs a text and which share of the texts it rejects. The rules
-then run by rejection per cost, and a text that one rule rejects is not shown to the next ones. The order changes the
-work, never the verdict: a text is kept if no rule rejects it.
-
-Null and empty texts have no words and are rejected as ``too_short``. Repeated rows are judged one by one. Empty tables
-give empty results. Other columns of the input, whatever their names, are neither read nor changed.
+Each rule is measured on a sample of about SAMPLE texts from all over the table, on the executors: what it costs a text and
+which share of the texts it rejects. The rules then run by rejection per cost, and a text that one rule rejects is not shown
+to the next ones. The order changes the work, never the verdict: a text is kept if no rule rejects it. Which of several
+rejecting rules is named depends on the order, hence on measured times; with a given ``order`` it is always the same one.
+
+Null and empty texts have no words and are rejected as ``too_short``. Texts of any length are judged whole. Repeated rows are
+judged one by one and alike. Rules of equal worth keep their order in RULES. Empty tables give empty results. Other columns of
+the input, whatever their names, are neither read nor changed.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ._text import Block, blocks, repeated
 
-#: Texts that the costs and selectivities are estimated on.
+#: Texts that the costs and selectivities are estimated on, on average.
 SAMPLE = 400
 
 _SYMBOL = np.zeros(256, bool)
@@ -71,24 +74,35 @@ RULES: tuple[Rule, ...] = (
 )
 
 
-def order_rules(texts: list[str | None], rules: tuple[Rule, ...] = RULES) -> list[tuple[Rule, float, float]]:
-    """(rule, seconds a text, share rejected), best rejection per cost first; without a sample, in the order given."""
-    if not texts:
-        return [(r, 0.0, 0.0) for r in rules]
-    col = pa.array(texts, pa.large_string())
+def measured(col: pa.Array, rules: tuple[Rule, ...] = RULES) -> list[tuple[float, int]]:
+    """(seconds, texts rejected) of each rule."""
     found = []
     for r in rules:
         began, rejected = time.perf_counter(), 0
         for _, _, b in blocks(col):
             rejected += int(r.rejects(b).sum())
-        found.append((r, (time.perf_counter() - began) / len(texts), rejected / len(texts)))
-    return sorted(found, key=lambda x: -x[2] / max(x[1], 1e-9))
+        found.append((time.perf_counter() - began, rejected))
+    return found
+
+
+def ordered(costs: dict[str, tuple[float, int]], rules: tuple[Rule, ...] = RULES) -> list[Rule]:
+    """Best rejection per cost first; without a sample, in the order given."""
+    worth = lambda r: costs.get(r.name, (0.0, 0))[1] / max(costs.get(r.name, (0.0, 0))[0], 1e-9)
+    return sorted(rules, key=lambda r: -worth(r))
 
 
 def plan(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> list[Rule]:
-    n = docs.count()
-    rows = docs.select(docs[text].alias("text")).sample(False, min(1.0, 1.5 * sample / max(n, 1)), seed=7).limit(sample).collect()
-    return [r for r, _, _ in order_rules([r.text for r in rows], rules)]
+    """The rules in the order that a sample suggests; only sums of seconds and rejections reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                got = measured(batch.column(0), rules)
+                yield pa.RecordBatch.from_pydict({"rule": [r.name for r in rules], "s": pa.array([x for x, _ in got], pa.float64()), "n": pa.array([x for _, x in got], pa.int64())})
+
+    rows = docs.select(docs[text].alias("text")).sample(False, min(1.0, sample / max(docs.count(), 1)), seed=7)
+    sums = rows.mapInArrow(run, "rule string, s double, n long").groupBy("rule").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    return ordered({r.rule: (r.s, r.n) for r in sums.collect()}, rules)
 
 
 def cascade(col: pa.Array, order: list[Rule]) -> np.ndarray:
@@ -104,10 +118,10 @@ def cascade(col: pa.Array, order: list[Rule]) -> np.ndarray:
     return out
 
 
-def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE, keep_only: bool = False) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE, keep_only: bool = False, order: list[Rule] | None = None) -> DataFrame:
     """``docs`` with ``rejected_by`` (name of a rule or null) added in place of any column of that name, or only the
-    kept rows with the columns they came with."""
-    order = plan(docs, text, rules, sample)
+    kept rows with the columns they came with. ``order`` fixes the order of the rules and saves the sample."""
+    order = order or plan(docs, text, rules, sample)
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +139,7 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
 
 
 def report(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample: int = SAMPLE) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept and the rejecting rule of every document."""
+    """doc_id, the base counts, base_failed and kept of every document."""
     order = plan(docs, "text", rules, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
