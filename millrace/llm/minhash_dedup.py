@@ -1,22 +1,26 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document's set holds the hashes of its distinct shingles. Equal sets are joined first, so that copies cost nothing
-later. In each of TREES independent trees a set starts in the node of one minwise token. A node is settled once all its
-sets are in one component. Every node's members are compared with its smallest id (the star; in large nodes also with two
-members picked by hash), and what may be similar is confirmed on the full sets. Nodes that are not settled then are compared
-exhaustively on 128 minwise values if they are small; large ones branch: each set goes on to BRANCH children, chosen by
-minwise tokens that the node's path selects. In a large node that one component fills (half of it, or all but a few sets), and at DEPTH,
-those outside are compared with all, block by block. What a set outside meets is a component, not a set: a set is compared
-with all full sets of each component that it met, block by block, until one links it. So a group of copies costs its size
-times the share outside its first component, in blocks, and no pairs are written.
+later. In each of TREES independent trees a set starts in the node of one minwise token. Every node's members are compared
+with its smallest id (the star; in large nodes also with two members picked by hash), and what may be similar is confirmed on
+the full sets. A node is settled once all its sets are in one component. Small nodes that are not are compared exhaustively on
+128 minwise values. From large ones those sets are left out first that too many own shingles keep from any partner: of two
+similar sets each shares num / (num + den) of both sizes at least, so a set is alone if fewer of its shingles occur in
+another set of a large node. What remains branches: each set goes on to BRANCH children, chosen by minwise tokens that the
+node's path selects. In a large node that one component fills (half of it, or all but a few sets), and at DEPTH, those outside
+are compared with all, block by block. What a set outside meets is a component, not a set: a set is compared with all full
+sets of each component that it met, in blocks of bounded bytes, until one links it. No pairs are written but a link for each
+set and block.
 
 Recall: sets of similarity s share a first node with probability s, and a node's children hold both with probability
 1-(1-s)^2. At s = 0.75 a tree keeps a pair together to any depth with probability 2/3 at least, so 12 trees miss it with
 3^-12, about 2e-6.
 
-Null and empty texts have empty sets and are linked with nothing. The join knows a row by a hash of its doc_id and text, so
-rows of null or equal doc_ids with different texts are documents of their own. A component is named by its smallest doc_id;
-one of null doc_ids only has a null component and is kept. Extra columns are ignored.
+Null and empty texts have empty sets and are linked with nothing; an empty table gives an empty result. Texts of any length
+give whole sets. The join knows a row by a hash of its doc_id and text, so rows of null or equal doc_ids with different texts
+are documents of their own, and repeated rows share their component. Of equally small partners any may give the link: the
+component is the same. A component is named by its smallest doc_id; one of null doc_ids only has a null component and is kept.
+Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,9 +38,11 @@ from ._text import Block, blocks, mix, stream
 
 SHINGLE, NUM, DEN = 5, 75, 100
 WIDTH = 128  #: minwise values of a set
-TREES, BRANCH, SMALL, DEPTH = 12, 2, 48, 4
+TREES, BRANCH, SMALL, DEPTH = 12, 2, 256, 4
 MOST_WORDS = 1 << 19  #: 64-bit words of the Bloom filter over ids, at most
-BLOCK, OUTER = 1024, 256  #: sets of a component and sets outside it that are compared at once
+BLOCK, OUTER = 1024, 256  #: minwise values of sets of a component and sets outside it that are compared at once
+BLOCK_TOKENS = 1 << 19  #: shingles of either side in a comparison of full sets
+SHARE_TOKENS = 1 << 22  #: shingles that are counted in one task
 _A = (stream(101, WIDTH) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (stream(102, WIDTH) >> np.uint64(32)).astype(np.uint32)
 
@@ -137,6 +143,69 @@ def _near(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, num: int
     return ((x == y).sum(axis=-1) >= least) & (den * np.minimum(nx, ny) >= num * np.maximum(nx, ny))
 
 
+def _shared(full: DataFrame, tokens: int, p: int) -> DataFrame:
+    """(id, n, lim) of the sets (id, s): how many shingles a set has, and how many of them another of these sets has too.
+
+    Shingles are dealt out by their hashes; those that come twice in a batch go on without owners, so one that a third of all
+    sets has costs a place a batch."""
+    buckets = max(1, -(-tokens // SHARE_TOKENS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column(0).to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in batch.column(1).to_pylist()]
+            every = np.concatenate(sets)
+            token, first, times = np.unique(every, return_index=True, return_counts=True)
+            own = np.repeat(ids, [len(x) for x in sets])[first]
+            once, where = times == 1, token % np.uint64(buckets)
+            for k in np.unique(where).tolist():
+                a, b = once & (where == k), ~once & (where == k)
+                yield pa.RecordBatch.from_pydict({"bucket": [k], "token": [token[a].tobytes()], "own": [own[a].tobytes()], "again": [token[b].tobytes()]})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def done():
+            token, own, again = (np.concatenate([np.frombuffer(r[j], np.uint64) for r in held]) for j in range(3))
+            every = np.concatenate([token, again, again])
+            value, first, times = np.unique(every, return_index=True, return_counts=True)
+            one = first[times == 1]
+            owner, n = np.unique(own[one].view(np.int64), return_counts=True)
+            return pa.RecordBatch.from_pydict({"id": pa.array(owner), "alone": pa.array(n.astype(np.int64))})
+
+        for batch in batches:
+            for bucket, *row in zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True):
+                if bucket != at and held:
+                    yield done()
+                    held = []
+                at = bucket
+                held.append(row)
+        if held:
+            yield done()
+
+    dealt = full.mapInArrow(deal, "bucket long, token binary, own binary, again binary")
+    alone = dealt.repartition(min(buckets, 64 * p), "bucket").sortWithinPartitions("bucket").mapInArrow(count, "id long, alone long").groupBy("id").agg(F.sum("alone").alias("alone"))
+    n = F.length("s") / 8
+    return full.select("id", n.cast("long").alias("n")).join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("lim"))
+
+
+def _possible(at: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
+    """Those members (key, id) of nodes that may have a partner there: with ``lim``."""
+    x = at.select("key", "id").join(held, "id")
+    least = x.groupBy("key").agg(F.min("n").alias("least"))
+    size = F.greatest("least", F.ceil(F.col("n") * num / den))
+    return x.join(least, "key").where((num + den) * F.col("lim") >= num * (F.col("n") + size)).select("key", "id", "lim")
+
+
+def _opened(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members (key, id and more) of nodes with several components, with comp and the node's size."""
+    at = members.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+    open_ = at.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
+    return at.join(open_.select("key", "size"), "key")
+
+
 def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     """Distinct pairs (a > b) of a member and a centre of its node that may be similar."""
 
@@ -153,14 +222,15 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
     return sided.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
-def _exhaustive(members: DataFrame, num: int, den: int, p: int, among: bool) -> DataFrame:
-    """(id, met): the components with a set that may be similar to an outer one, within the groups (key, id, comp, n, sig,
-    outer). Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once if ``among``."""
+def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
+    """(id, met): the components with a set that may be similar to an outer one, within the groups (key, id, comp, n, lim, sig,
+    outer). Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once."""
 
-    def compare(ids, comp, size, sig, outer):
+    def compare(ids, comp, size, lim, sig, outer):
         out = []
         for i in np.flatnonzero(outer).tolist():
-            other = np.flatnonzero((comp != comp[i]) & (~outer | (among & (np.arange(len(ids)) > i))))
+            fits = (num + den) * np.minimum(lim[i], lim) >= num * (size[i] + size)
+            other = np.flatnonzero(fits & (comp != comp[i]) & (~outer | (np.arange(len(ids)) > i)))
             if len(other):
                 ok = _near(sig[i], sig[other], size[i], size[other], num, den)
                 out += [(ids[i], c) for c in np.unique(comp[other[ok]]).tolist()]
@@ -172,12 +242,12 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int, among: bool) ->
         def done(t: pa.Table):
             if not t.num_rows:
                 return
-            key, ids, comp, n, outer = (t[c].to_numpy() for c in ("key", "id", "comp", "n", "outer"))
+            key, ids, comp, n, lim, outer = (t[c].to_numpy() for c in ("key", "id", "comp", "n", "lim", "outer"))
             sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(-1, WIDTH)
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             got = []
             for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=True):
-                got += compare(ids[lo:hi], comp[lo:hi], n[lo:hi], sig[lo:hi], outer[lo:hi])
+                got += compare(ids[lo:hi], comp[lo:hi], n[lo:hi], lim[lo:hi], sig[lo:hi], outer[lo:hi])
             if got:
                 a = np.array(got, np.int64)
                 yield pa.RecordBatch.from_pydict({"id": pa.array(a[:, 0]), "met": pa.array(a[:, 1])})
@@ -193,35 +263,34 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int, among: bool) ->
         if held is not None:
             yield from done(held)
 
-    rows = members.select("key", "id", "comp", "n", "sig", "outer").repartition(p, "key").sortWithinPartitions("key")
+    rows = members.select("key", "id", "comp", "n", "lim", "sig", "outer").repartition(p, "key").sortWithinPartitions("key")
     return rows.mapInArrow(run, "id long, met long")
 
 
-def _in_blocks(large: DataFrame, among: bool) -> DataFrame:
-    """Large nodes (with outer and the counts n_out and size) cut into groups of BLOCK members and SMALL outer ones."""
-    rows, cols = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_out") / SMALL).cast("int")
+def _in_blocks(large: DataFrame) -> DataFrame:
+    """Large nodes (with outer and the counts n_out and size) cut into groups of BLOCK members and OUTER outer ones."""
+    rows, cols = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_out") / OUTER).cast("int")
     at = large.withColumn("r", F.pmod(F.xxhash64("id"), rows).cast("int")).withColumn("c", F.pmod(F.xxhash64(F.lit(3), "id"), cols).cast("int"))
+    own = ["id", "comp", "n", "lim", "sig", "outer"]
     # every member is in one block of rows, with all columns; every outer one in one column, with all rows
-    inner = at.where("not outer").select("*", F.explode(F.sequence(F.lit(0), cols - 1)).alias("to")).select("key", "id", "comp", "n", "sig", F.lit(False).alias("outer"), "r", F.col("to").alias("c"))
-    outer = at.where("outer").select("*", F.explode(F.sequence(F.lit(0), rows - 1)).alias("to")).select("key", "id", "comp", "n", "sig", F.lit(True).alias("outer"), F.col("to").alias("r"), "c")
-    out = inner.union(outer).select(F.xxhash64(F.lit("i"), "key", "r", "c").alias("key"), "id", "comp", "n", "sig", "outer")
-    if not among:
-        return out
-    pairs = at.where("outer").select("key", "id", "comp", "n", "sig", F.lit(True).alias("outer"), F.explode(F.sequence(F.lit(0), cols - 1)).alias("to"), "c")
-    return out.union(pairs.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), "id", "comp", "n", "sig", "outer"))
+    inner = at.where("not outer").select("key", *own, "r", F.explode(F.sequence(F.lit(0), cols - 1)).alias("c"))
+    outer = at.where("outer").select("key", *own, F.explode(F.sequence(F.lit(0), rows - 1)).alias("r"), "c")
+    out = inner.union(outer).select(F.xxhash64(F.lit("i"), "key", "r", "c").alias("key"), *own)
+    pairs = at.where("outer").select("key", *own, F.explode(F.sequence(F.lit(0), cols - 1)).alias("to"), "c")
+    return out.union(pairs.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), *own))
 
 
-def _met(nodes: DataFrame, comp: DataFrame, reps: DataFrame, num: int, den: int, p: int, among: bool, scratch: Scratch) -> DataFrame:
-    """What the sets of the nodes (key, id) that hold several components meet: each node's largest component, and with
-    ``among`` each other."""
-    at = nodes.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    sums = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("size"), F.count(F.lit(1)).alias("k"), F.max(F.struct("m", "comp")).alias("t")).where("k > 1")
+def _met(nodes: DataFrame, comp: DataFrame, reps: DataFrame, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
+    """What the sets of the nodes (key, id, lim) meet that are outside the node's largest component: that one, and each other."""
+    at = nodes.join(comp, "id", "left").select("key", "id", "lim", F.coalesce("component", "id").alias("comp"))
+    sums = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("size"), F.max(F.struct("m", "comp")).alias("t"))
     at = at.join(sums.select("key", "size", F.col("t.comp").alias("top"), (F.col("size") - F.col("t.m")).alias("n_out")), "key")
-    at = scratch.table(at.select("key", "id", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer")).join(reps, "id"))
-    small = _exhaustive(at.where(F.col("size") <= SMALL), num, den, p, among)
+    own = at.select("key", "id", "lim", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer")).join(reps, "id")
+    at = scratch.table(own.withColumn("lim", F.coalesce("lim", "n")))
+    small = _exhaustive(at.where(F.col("size") <= SMALL), num, den, p)
     large = at.where(F.col("size") > SMALL)
     if not large.isEmpty():
-        small = small.union(_exhaustive(_in_blocks(large, among), num, den, p, among))
+        small = small.union(_exhaustive(_in_blocks(large), num, den, p))
     out = scratch.table(small.distinct())
     scratch.drop(at)
     return out
@@ -245,56 +314,55 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
     ids = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("id"))
     hashed = rows.where("n > 0").select(F.col("key").alias("id"), "h1", "h2", "n", "sig")
     reps = scratch.table(hashed.join(ids, ["id", "h1", "h2"], "left_semi").dropDuplicates(["id", "h1", "h2"]).select("id", "n", "sig"))
-    level, opened = _first_keys(reps), []
-    for depth in range(1, DEPTH + 1):
-        size, lo = F.count(F.lit(1)).alias("size"), F.min("id").alias("lo")
-        picked = [F.min(F.struct(F.xxhash64(F.lit(i), "id").alias("h"), "id")).alias(f"p{i}") for i in (1, 2)]
-        nodes = level.groupBy("key").agg(size, lo, *picked).where("size > 1")
-        nodes = nodes.select("key", "size", "lo", F.col("p1.id").alias("p1"), F.col("p2.id").alias("p2"))
-        members = scratch.table(level.join(nodes, "key"))
-        if depth == 1:
-            large = members.where(F.col("size") > SMALL)
-            centres = members.select("id", "lo").union(large.select("id", "p1")).union(large.select("id", "p2"))
-            star = scratch.table(_star(centres, reps, num, den))
-            links = _confirm(docs, star, k, num, den, scratch)
-            comp = scratch.table(components(links, scratch))
-        at = members.where("size > 2" if depth == 1 else "size > 1").select("key", "id", "size").join(comp, "id", "left")
-        at = at.select("key", "id", "size", F.coalesce("component", "id").alias("comp"))
-        open_ = at.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
-        at = scratch.table(at.join(open_, "key", "left_semi"))
-        scratch.drop(members)
-        opened.append(at.where(F.col("size") <= SMALL).select("key", "id"))
-        large = at.where(F.col("size") > SMALL)
-        if large.isEmpty():
-            break
-        most = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp")).alias("t"))
-        large = large.join(most.select("key", F.col("t.comp").alias("top"), F.col("t.m").alias("m")), "key")
-        large = scratch.table(large.select("key", "id", "comp", "size", (F.col("comp") != F.col("top")).alias("outer"), (F.col("size") - F.col("m")).alias("n_out")))
-        # minwise tokens don't part the copies of one text, so a node that one component fills is not branched further
-        filled = (F.col("n_out") <= SMALL) | (2 * F.col("n_out") <= F.col("size"))
-        direct = large if depth == DEPTH else large.where(filled)
-        opened.append(direct.select("key", "id"))
-        parted = large.where(~filled)
-        if depth == DEPTH or parted.isEmpty():
-            break
-        level = _child_keys(parted.select("key", "id").join(reps.select("id", "sig"), "id"))
-    nodes = scratch.table(_union(opened))
-    # first what each node's largest component takes in, then those that are still apart
-    for among in (False, True):
-        met = _met(nodes, comp, reps, num, den, p, among, scratch)
-        last = _link(docs, met, reps, comp, k, num, den, p, scratch)
-        if not last.isEmpty():
-            links = links.union(last)
-            comp = scratch.table(components(links, scratch))
+    level = _first_keys(reps)
+    picked = [F.min(F.struct(F.xxhash64(F.lit(i), "id").alias("h"), "id")).alias(f"p{i}") for i in (1, 2)]
+    nodes = level.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("lo"), *picked).where("size > 1")
+    members = scratch.table(level.join(nodes.select("key", "size", "lo", F.col("p1.id").alias("p1"), F.col("p2.id").alias("p2")), "key"))
+    large = members.where(F.col("size") > SMALL)
+    star = scratch.table(_star(members.select("id", "lo").union(large.select("id", "p1")).union(large.select("id", "p2")), reps, num, den))
+    links = _confirm(docs, star, k, num, den, scratch)
+    comp = scratch.table(components(links, scratch))
+    # the star has compared all of a node of two
+    at = scratch.table(_opened(members.where("size > 2").select("key", "id"), comp))
+    scratch.drop(members, star)
+    found = [at.where(F.col("size") <= SMALL).select("key", "id", F.lit(None).cast("long").alias("lim"))]
+    at = at.where(F.col("size") > SMALL)
+    if not at.isEmpty():
+        ids = at.select("id").distinct()
+        full = scratch.table(_full(docs, ids, k))
+        tokens = reps.join(ids, "id").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        held = scratch.table(_shared(full, tokens, p))
+        scratch.drop(full)
+        scratch.tidy()
+        for depth in range(1, DEPTH + 1):
+            at = scratch.table(_opened(_possible(at, held, num, den), comp))
+            found.append(at.where(F.col("size") <= SMALL).select("key", "id", "lim"))
+            large = at.where(F.col("size") > SMALL)
+            most = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max("m").alias("m"))
+            large = large.join(most, "key").withColumn("n_out", F.col("size") - F.col("m"))
+            # minwise tokens don't part the copies of one text, so a node that one component fills is not branched further
+            filled = F.lit(depth == DEPTH) | (F.col("n_out") <= OUTER) | (2 * F.col("n_out") <= F.col("size"))
+            large = scratch.table(large.select("key", "id", "lim", filled.alias("filled")))
+            found.append(large.where("filled").select("key", "id", "lim"))
+            parted = large.where("not filled")
+            if parted.isEmpty():
+                break
+            at = _child_keys(parted.select("key", "id").join(reps.select("id", "sig"), "id").repartition(p, "id"))
+    nodes = scratch.table(_union(found))
+    met = _met(nodes, comp, reps, num, den, p, scratch)
+    last = _link(docs, met, reps, comp, k, num, den, p, scratch)
+    if not last.isEmpty():
+        comp = scratch.table(components(links.union(last), scratch))
     return rows, comp
 
 
 def _link(docs: DataFrame, met: DataFrame, reps: DataFrame, comp: DataFrame, k: int, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between sets and the components they met, on full sets; one for each set and block of a component."""
-    of = reps.select("id").join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("met"))
+    of = reps.select("id", "n").join(comp, "id", "left").select("id", "n", F.coalesce("component", "id").alias("met"))
     inner = of.join(met.select("met").distinct(), "met", "left_semi")
-    n = inner.groupBy("met").agg(F.count(F.lit(1)).alias("n")).join(met.groupBy("met").agg(F.count(F.lit(1)).alias("m")), "met")
-    n = n.select("met", F.ceil(F.col("n") / BLOCK).cast("int").alias("rows"), F.ceil(F.col("m") / OUTER).cast("int").alias("cols"))
+    outer = met.join(reps.select("id", "n"), "id").groupBy("met").agg(F.sum("n").alias("m"))
+    n = inner.groupBy("met").agg(F.sum("n").alias("n")).join(outer, "met")
+    n = n.select("met", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("rows"), F.ceil(F.col("m") / BLOCK_TOKENS).cast("int").alias("cols"))
     r, c = F.pmod(F.xxhash64("id"), F.col("rows")).cast("int").alias("r"), F.pmod(F.xxhash64(F.lit(3), "id"), F.col("cols")).cast("int").alias("c")
     spread = lambda col: F.explode(F.sequence(F.lit(0), F.col(col) - 1))
     left = inner.join(n, "met").select("met", "id", r, spread("cols").alias("c"), F.lit(False).alias("outer"))
@@ -329,7 +397,7 @@ def _link(docs: DataFrame, met: DataFrame, reps: DataFrame, comp: DataFrame, k:
             got = list(compare(np.array(ids, np.int64), np.array(outer, bool), sets)) if ids else []
             return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in got], pa.int64()), "b": pa.array([int(y) for _, y in got], pa.int64())})
 
-        for batch in batches:  # sorted by key; a group has BLOCK and OUTER sets or few more
+        for batch in batches:  # sorted by key; a group's sides have about BLOCK_TOKENS shingles each, or one longer set
             for g, i, o, raw in zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True):
                 if g != key:
                     yield done()
