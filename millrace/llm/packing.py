@@ -1,13 +1,19 @@
 """Packing of tokenised documents into training sequences by lexical retrieval.
 
-Documents are dealt into shards of about SHARD rows by a hash of doc_id and text. Each shard builds a BM25 inverted index over the
-words of its documents; a seed document (what is left of the last one cut, or else the next unused one) asks it with all its
-words for unused neighbours, which fill the seed's window in the order of their scores, as many as have one. A document that doesn't fit is cut, and its rest is
-the next seed. So all windows of a shard are full; what remains at a shard's end is cut into sequences whose lengths are
-powers of two, which need no padding.
-
-Null texts count as empty; an empty document has its end id alone. Repeated rows are packed as often as they come. Rows of
-null doc_id are packed too. Extra columns are ignored. A shard's texts are held in memory, a bounded number of rows.
+The inverted index is sharded by content. Over all documents the frequency of every word is counted in a sketch of SLOTS
+counters (words that share one add up, so a count is never too low). A document's shard key are two of its words, drawn
+by minwise hashing with weights that grow with a word's rarity, so documents that share rare words tend to have the same key.
+Documents are range partitioned and sorted by key, and consecutive ones, SHARD rows or SHARD_BYTES, form a shard; neighbouring
+keys share a shard, a frequent key has several. A shard's BM25 index weighs words by their frequencies in all documents. A
+seed document (what is left of the last one cut, or else the next unused one) asks it with all its words for unused
+neighbours, which fill the seed's window in the order of their scores, as many as have one. A document that doesn't fit is cut,
+and its rest is the next seed. What does not fill a window at a shard's end goes on to the next shard; only at a partition's
+end it is cut into sequences whose lengths are powers of two, so nothing is padded.
+
+Null texts count as empty; an empty document has its end id alone, an empty table gives an empty result. Repeated rows are
+packed as often as they come, and are next to each other. Equal scores go by place. Rows of null doc_id are packed too. A text of
+any length is tokenised whole and may go over many sequences. Extra columns are ignored, whatever their names. Memory holds a
+shard: SHARD rows or SHARD_BYTES of text and one document more.
 """
 
 from __future__ import annotations
@@ -20,50 +26,63 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._agenda import Merges
-from ._text import blocks
+from ._scratch import Scratch, parts
+from ._text import blocks, mix
 
 WINDOW, END = 4096, 2
-SHARD = 1024  #: documents a shard, on average
+SHARD, SHARD_BYTES = 1024, 16 << 20  #: documents and bytes of a shard
+PART_BYTES = 64 << 20  #: bytes of text in a partition, about
+SLOTS = 1 << 20  #: counters of document frequencies
 K1, B = 1.2, 0.75
-SHORT = 32  #: characters of words whose merges run in lock step
-_BESIDE = re.compile(r"(?:[^\w\s]|_)(?:[^\w\s]|_)")
+RARITY = 3  #: power of the inverse document frequency that weighs words for shard keys
 CACHE = 450_000  #: words in each of the two generations of an encoder's memory
+#: Where a stop or comma need not be a piece of its own: beside another character that is no letter, number or white space.
+_BESIDE = re.compile(r"(?:[^\w\s]|_)(?:[^\w\s]|_)|[\x1c-\x1f]")
+_FAST = {  # what ``words`` relies on
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
 
 
 class Encoder(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes.
+    """word -> its ids as little-endian unsigned 32-bit bytes, all of them the library's.
 
-    The tokenizer normalises to NFC, lower-cases, drops white space and cuts at it, and cuts between letters and other
-    characters. So a text's ids are those of its words, and a stop or comma after a word is a word of its own, unless it
-    stands beside other punctuation. Words that a shard brings anew and that are lower-case letters only have their merges
-    run in lock step; the library encodes all others."""
+    A tokenizer that normalises to NFC, lower-cases, drops white space and cuts at it, and cuts between letters and other
+    characters, gives a text the ids of its words; and a stop or comma beside a letter or number is a word of its own. So words
+    are encoded by the library once, many in a call with a mark between them, and remembered. Texts with one of the tokenizer's
+    own added tokens, and all texts of tokenizers of other kinds, go to the library whole."""
+
+    MARK = "\x01"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.old: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
-        vocab, end = model["vocab"], model.get("end_of_word_suffix") or ""
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merges = Merges({(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(merges)})
-        self.inner = np.array([vocab[c] for c in _byte_chars()], np.int64)
-        self.last = np.array([vocab[c + end] for c in _byte_chars()], np.int64)
+            spec = json.load(f)
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
+        pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        mark = self.tok.encode(self.MARK, add_special_tokens=False).ids
+        self.fast = spec.get("normalizer") == _FAST["normalizer"] and pre[0].get("pattern") == {"Regex": _FAST["pattern"]} and len(mark) == 1 and not any(t.get("normalized") for t in spec.get("added_tokens") or [])
+        self.mark = mark[0] if mark else -1
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
         out = self.old.get(word)
-        if out is None:
-            out = np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = out
+        self[word] = out = self._whole(word) if out is None else out
         return out
 
-    def words(self, text: str) -> list[str]:
+    def words(self, text: str) -> list[str] | None:
+        """What the text's ids come from, or None: the text as a whole."""
+        if not self.fast or any(t in text for t in self.added):
+            return None
         if "Σ" not in text and "İ" not in text and unicodedata.is_normalized("NFC", text) and not _BESIDE.search(text):
             text = text.lower().replace(".", " .").replace(",", " ,")
         return text.replace("\n", " ").split(" ")
@@ -79,32 +98,24 @@ class Encoder(dict):
                 got = self.old.get(w)
                 if got is not None:
                     self[w] = got
-                elif w.isalpha() and len(w) <= SHORT and (w.isascii() or unicodedata.is_normalized("NFC", w)) and w == w.lower() and all(unicodedata.category(c)[0] == "L" for c in w):
+                elif w and self.MARK not in w:
                     new.append(w)
-        new.sort(key=len)
-        for lo in range(0, len(new), 4096):
-            part = [w.encode() for w in new[lo : lo + 4096]]
-            sizes = np.array([len(w) for w in part])
-            width = int(sizes.max())
-            sym = np.full((len(part), width + 1), -1, np.int64)
-            raw = np.frombuffer(b"".join(part), np.uint8)
-            sym[:, :width][np.arange(width) < sizes[:, None]] = self.inner[raw]
-            sym[np.arange(len(part)), sizes - 1] = self.last[raw[np.cumsum(sizes) - 1]]
-            self.merges.run(sym)
-            n = 4 * (sym != -1).sum(axis=1)
-            bytes_, step = sym.astype("<u4").tobytes(), 4 * (width + 1)
-            for k, (w, m) in enumerate(zip(new[lo : lo + 4096], n.tolist(), strict=True)):
-                self[w] = bytes_[k * step : k * step + m]
+        for lo in range(0, len(new), 8192):
+            part = new[lo : lo + 8192]
+            ids = np.array(self.tok.encode(f" {self.MARK} ".join(part), add_special_tokens=False).ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+            if len(ends) == len(part):  # else they are encoded one by one when they come
+                raw, starts = ids.tobytes(), np.append(0, ends[:-1] + 1)
+                self.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.words(text)))
-
+        words = self.words(text)
+        return self._whole(text) if words is None else b"".join(map(self.__getitem__, words))
 
-def _byte_chars() -> list[str]:
-    """The printable character that stands for each byte in byte-level vocabularies: itself, or one from 256 on."""
-    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+    def batch(self, texts: list[str]) -> list[bytes]:
+        words = [self.words(t) for t in texts]
+        self.learn(set().union(*(w for w in words if w is not None)))
+        return [self._whole(t) if w is None else b"".join(map(self.__getitem__, w)) for t, w in zip(texts, words, strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -117,11 +128,53 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _terms(texts: pa.Array) -> list[np.ndarray]:
+    return [b.words[b.bounds[i] : b.bounds[i + 1]] for _, _, b in blocks(texts, lower=True) for i in range(b.n)]
+
+
+def _slots(terms: np.ndarray, slots: int) -> np.ndarray:
+    return (terms.astype(np.uint64) % np.uint64(slots)).astype(np.int64)
+
+
+class Statistics:
+    """Document frequencies (by slot), the number of documents and their mean length in words."""
+
+    def __init__(self, df: np.ndarray, n: int, mean: float):
+        self.df, self.n, self.mean = df, n, mean
+
+    @classmethod
+    def of(cls, terms: list[np.ndarray], slots: int = SLOTS) -> Statistics:
+        df = np.zeros(slots, np.int64)
+        for t in terms:
+            df[np.unique(_slots(t, slots))] += 1
+        return cls(df, len(terms), float(np.mean([len(t) for t in terms])) if terms else 0.0)
+
+    def idf(self, terms: np.ndarray) -> np.ndarray:
+        df = np.minimum(self.df[_slots(terms, len(self.df))], self.n)
+        return np.log(1 + (self.n - df + 0.5) / (df + 0.5))
+
+    def shared(self, terms: np.ndarray) -> np.ndarray:
+        return self.df[_slots(terms, len(self.df))] > 1
+
+    def keys(self, terms: np.ndarray) -> tuple[int, int]:
+        """Two words by weighted minwise hashing: of documents that share words the more likely equal, the rarer those are."""
+        uniq = np.unique(terms)
+        uniq = uniq[self.shared(uniq)]
+        if not len(uniq):
+            return 0, 0
+        u = ((mix(uniq ^ np.uint64(0x7C1D)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+        clock = -np.log(u) / np.maximum(self.idf(uniq), 1e-9) ** RARITY
+        best = np.argsort(clock, kind="stable")[:2]
+        k = mix(uniq[best]).view(np.int64).tolist()
+        return k[0], k[-1]
+
+
 class Index:
-    """BM25 over the documents of one shard; terms are given as hashes, each document's in one array."""
+    """BM25 over the documents of one shard, with the statistics of all; terms are given as hashes, each document's in one array."""
 
-    def __init__(self, terms: list[np.ndarray]):
+    def __init__(self, terms: list[np.ndarray], stats: Statistics | None = None):
         n = len(terms)
+        stats = stats or Statistics.of(terms)
         uniq = [np.unique(t, return_counts=True) for t in terms]
         lens = np.array([len(t) for t in terms], float)
         doc = np.repeat(np.arange(n), [len(u) for u, _ in uniq])
@@ -129,8 +182,7 @@ class Index:
         tf = np.concatenate([c for _, c in uniq]).astype(float) if n else np.zeros(0)
         self.vocab, inv = np.unique(term, return_inverse=True)
         df = np.bincount(inv, minlength=len(self.vocab))
-        self.idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        weight = self.idf[inv] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[doc] / max(lens.mean() if n else 1, 1)))
+        weight = stats.idf(self.vocab)[inv] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[doc] / max(stats.mean, 1)))
         order = np.argsort(inv, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         self.at = np.concatenate([[0], np.cumsum(df)])
@@ -152,12 +204,15 @@ class Index:
         return found[np.argsort(-score[found], kind="stable")]
 
 
-def fill(lengths: list[int], index: Index, window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of every piece of a shard."""
+def fill(lengths: list[int], index: Index, window: int = WINDOW, last: bool = True) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, start, length, sequence, offset) of every piece of a shard; what fills no window is left out but for the
+    last shard."""
     n = len(lengths)
     unused = np.ones(n, bool)
     total = sum(lengths)
     tail = total - total % window
+    if not last:
+        total = tail
     sizes: list[int] = [1 << k for k in range(window.bit_length() - 1, -1, -1) if (total - tail) >> k & 1]
     seq, off, room, done = 0, 0, window if tail else (sizes.pop(0) if sizes else 0), 0
     rest: tuple[int, int] | None = None
@@ -192,48 +247,93 @@ def fill(lengths: list[int], index: Index, window: int = WINDOW) -> Iterator[tup
             seed = rest[0] if rest else None
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHARD, end: int = END) -> DataFrame:
+def statistics(docs: DataFrame, slots: int = SLOTS) -> Statistics:
+    """Of all documents; no more than ``slots`` sums reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, words = np.zeros(slots, np.int64), 0, 0
+        for batch in batches:
+            for _, _, b in blocks(batch.column(0), lower=True):
+                slot = (b.words % np.uint64(slots)).astype(np.int64)
+                own = np.unique(b.doc_of_word * slots + slot) % slots  # a document's words, each once
+                df += np.bincount(own, minlength=slots)
+                n, words = n + b.n, words + len(slot)
+        at = np.flatnonzero(df)
+        # two places beyond the slots hold the numbers of documents and words
+        yield pa.RecordBatch.from_pydict({"slot": pa.array(np.append(at, [slots, slots + 1])), "n": pa.array(np.append(df[at], [n, words]))})
+
+    sums = docs.select(F.col("text").alias("text")).mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    got = sums.toArrow()
+    df = np.zeros(slots + 2, np.int64)
+    df[got["slot"].to_numpy()] = got["n"].to_numpy()
+    return Statistics(df[:slots].astype(np.int32 if df.max() < 2**31 else np.int64), int(df[slots]), df[slots + 1] / max(int(df[slots]), 1))
+
+
+def _keyed(docs: DataFrame, stats: Statistics) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = np.array([stats.keys(t) for t in _terms(batch.column(1))], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), *batch.columns], names=["k1", "k2", "h", "text", "doc_id", "size"])
+
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    return rows.withColumn("size", F.octet_length("text").cast("long")).mapInArrow(run, "k1 long, k2 long, h long, text string, doc_id long, size long")
+
+
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHARD, end: int = END, slots: int = SLOTS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and the piece's ids as bytes."""
-    n = docs.count()
-    shards = max(1, -(-n // shard))
+    scratch = Scratch(docs.sparkSession)
+    stats = statistics(docs, slots)
+    keyed = scratch.table(_keyed(docs, stats))
+    size = keyed.agg(F.coalesce(F.sum(F.col("size") + 64), F.lit(0))).first()[0]
     tail = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        held: list[tuple] = []
-        used: dict[int, int] = {}  # sequences that a shard has so far
-
-        def done():
-            base = used.get(held[0][0], 0)
-            texts = pa.array([text or "" for _, _, text in held], pa.large_string())
-            words = [enc.words(text) for text in texts.to_pylist()]
-            enc.learn(set().union(*words))
-            ids = [b"".join(map(enc.__getitem__, w)) + tail for w in words]
-            terms = [b.words[b.bounds[i] : b.bounds[i + 1]] for _, _, b in blocks(texts, lower=True) for i in range(b.n)]
-            out = list(fill([len(x) // 4 for x in ids], Index(terms), window))
-            i, start, length, seq, off = (np.array(x, np.int64) for x in zip(*out, strict=True))
-            used.clear()
-            used[held[0][0]] = base + int(seq[-1]) + 1
-            piece = [ids[a][4 * b : 4 * (b + c)] for a, b, c in zip(i.tolist(), start.tolist(), length.tolist(), strict=True)]
-            for a in range(0, len(i), 5000):
-                z = slice(a, a + 5000)
+        first = TaskContext.get().partitionId() << 40
+        # per document in hand: doc_id, ids, ids packed before, terms
+        held: list[tuple[int | None, bytes, int, np.ndarray]] = []
+
+        def take(ids: list, texts: list[str]):
+            terms = _terms(pa.array(texts, pa.large_string()))
+            held.extend(zip(ids, (x + tail for x in enc.batch(texts)), [0] * len(ids), terms, strict=True))
+
+        def done(last: bool):
+            nonlocal first, held
+            if not held:
+                return
+            out = list(fill([len(x) // 4 - at for _, x, at, _ in held], Index([t for *_, t in held], stats), window, last))
+            packed = np.zeros(len(held), np.int64)
+            for lo in range(0, len(out), 5000):
+                i, start, length, seq, off = (np.array(x, np.int64) for x in zip(*out[lo : lo + 5000], strict=True))
+                np.add.at(packed, i, length)
+                docs_ = [held[k] for k in i.tolist()]
+                start += np.array([at for _, _, at, _ in docs_])
+                piece = [d[1][4 * a : 4 * (a + n)] for d, a, n in zip(docs_, start.tolist(), length.tolist(), strict=True)]
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array([held[k][1] for k in i[z].tolist()], pa.int64()), "start": pa.array(start[z]), "length": pa.array(length[z]),
-                    "ids_crc32": pa.array([zlib.crc32(x) for x in piece[z]], pa.int64()), "doc_tokens": pa.array([len(ids[k]) // 4 for k in i[z].tolist()], pa.int64()),
-                    "sequence_id": pa.array(held[0][0] * (1 << 32) + base + seq[z]), "offset": pa.array(off[z]), "ids": pa.array(piece[z], pa.binary()),
+                    "doc_id": pa.array([d[0] for d in docs_], pa.int64()), "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array([zlib.crc32(x) for x in piece], pa.int64()),
+                    "doc_tokens": pa.array([len(d[1]) // 4 for d in docs_], pa.int64()), "sequence_id": pa.array(first + seq), "offset": pa.array(off), "ids": pa.array(piece, pa.binary()),
                 })
+            first += out[-1][3] + 1 if out else 0
+            held = [(d, x, at + n, t) for (d, x, at, t), n in zip(held, packed.tolist(), strict=True) if at + n < len(x) // 4]
 
+        ids: list = []
+        texts: list[str] = []
+        size = 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                if held and (held[0][0] != row[0] or len(held) >= 4 * shard):  # a shard of repeated rows is packed part by part
-                    yield from done()
-                    held = []
-                held.append(row)
-        if held:
-            yield from done()
-
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).alias("shard"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    p = min(shards, max(12, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))))
-    return rows.repartition(p, "shard").sortWithinPartitions("shard", "doc_id", "text").mapInArrow(
+            for text, doc_id in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if texts and (len(texts) >= shard or size + len(text) > SHARD_BYTES):
+                    take(ids, texts)
+                    ids, texts, size = [], [], 0
+                    yield from done(False)
+                ids.append(doc_id)
+                texts.append(text)
+                size += len(text)
+        take(ids, texts)
+        yield from done(True)
+
+    # as many partitions as the bytes need, and no more than keep the cores busy on small inputs
+    p = max(1, -(-size // PART_BYTES), min(parts(docs.sparkSession), -(-size // (PART_BYTES >> 4))))
+    ranged = keyed.repartitionByRange(p, "k1", "k2", "h").sortWithinPartitions("k1", "k2", "h", "doc_id", "text")
+    return ranged.select("text", "doc_id").mapInArrow(
         run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
     )

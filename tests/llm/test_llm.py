@@ -225,7 +225,6 @@ def test_packing(docs, rows, empty):
 
     path = tokenizer_path("word_bpe_49k.json")
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     for shard in (16, 1000):
         got = packing.pack(docs, path, window=256, shard=shard).collect()
         pieces, seqs = {}, {}
@@ -248,6 +247,47 @@ def test_packing(docs, rows, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_ids_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), packing.Encoder(path)
+    rng = random.Random(11)
+    pool = [*"abcXYZ012.,;:!?'_-()\n\t \r\x0b\x0c\x1c\x1d\x1f\x85\xa0\x01\x00éÉßΣσİıńŃ中文一二🙂", "\u0301", "\u3000", "\u200b", "½", "²", "Ⅻ", "'s", "'ll", " the", " The.", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "ﬁ", "Å", "ό"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(20000)] + ["x <|endoftext|> y", "a" * 5000, "the " * 3000, "." * 300]
+    for lo in range(0, len(texts), 500):
+        part = texts[lo : lo + 500]
+        want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(part, add_special_tokens=False)]
+        assert enc.batch(part) == want and [enc.ids(t) for t in part[:50]] == want[:50]
+    other = packing.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    assert not other.fast and other.ids("A b.") == np.array(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")).encode("A b.", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_shards_hold_neighbours(spark):
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(500)]
+    subjects = [[f"s{k}w{i}" for i in range(40)] for k in range(60)]
+    rows = [(i, " ".join(rng.choice(subjects[i % 60]) if rng.random() < 0.3 else rng.choice(common) for _ in range(60)), None, None, None) for i in range(1800)]
+    got = packing.pack(spark.createDataFrame(rows, SCHEMA), tokenizer_path("word_bpe_49k.json"), window=1024, shard=60).collect()
+    seqs = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        seqs.setdefault(r.sequence_id, []).append(r.doc_id % 60)
+    same = [a == b for s in seqs.values() for a, b in zip(s, s[1:])]
+    # shards dealt at random would hold one document of the seed's subject on average: a share of 1 / 60
+    assert np.mean(same) > 0.3
+    assert len({r.doc_id for r in got}) == 1800
+
+
+def test_statistics_are_those_of_all_documents(spark, docs, rows):
+    import pyarrow as pa
+
+    terms = packing._terms(pa.array([t or "" for _, t, *_ in rows], pa.large_string()))
+    for slots in (64, 1 << 16):
+        got, want = packing.statistics(docs, slots), packing.Statistics.of(terms, slots)
+        assert got.n == want.n == len(rows) and abs(got.mean - want.mean) < 1e-9
+        assert (got.df == want.df).all()
+
+
 def test_neighbours_share_words():
     terms = [np.array(x) for x in ([1, 2, 3], [9, 8, 7], [1, 2, 5], [9, 8, 6], [4])]
     index = packing.Index(terms)
