@@ -211,12 +211,54 @@ def test_surrogates_stay_distinct(spark):
     from millrace.llm._scratch import Scratch
 
     # ten one-digit mailboxes have few surrogates, and persons share a few names
-    ents = [("email", f"{i}@a.org") for i in range(10)] + [("person", f"Mr {n}") for n in ("Abe", "Bob", "Cid", "Dan", "Eli", "Fay", "Gus", "Hal", "Ike", "Jon", "Kip", "Lou", "Max", "Ned", "Oz Ray", "Pat", "Quinn", "Holt", "Keller", "Torres", "Uma", "Vic", "Wes")]
+    ents = [("email", f"{i}@a.org") for i in range(10)] + [("family", f"l|{n}") for n in ("Abe", "Bob", "Cid", "Dan", "Eli", "Fay", "Gus", "Hal", "Ike", "Jon", "Kip", "Lou", "Max", "Ned", "Oz Ray", "Pat", "Quinn", "Holt", "Keller", "Torres", "Uma", "Vic", "Wes")]
     got = surrogates.assign(spark.createDataFrame(ents, "kind string, canonical string"), "k", Scratch(spark)).collect()
     assert len({(r.kind, r.surrogate) for r in got}) == len(ents) == len(got)
     assert not {r.surrogate for r in got} & {r.canonical for r in got}
 
 
+def test_one_person_is_one_entity(spark):
+    text = "Mr. John Smith called. John Smith and Mr. Smith agreed; Smith's friend John left. Smithson stayed. Herr John Smith, Frau Anna Smith and г-н Иванов, Иванов."
+    df = spark.createDataFrame([(1, text, None, None, None), (2, "Mr. Smith wrote. No John here.", None, None, None)], SCHEMA)
+    new = {r.doc_id: r.text for r in surrogates.replace_entities(df).collect()}
+    given, family = re.match(r"Mr\. ([\w-]+) ([\w-]+) called", new[1]).groups()
+    woman = re.search(rf"Frau ([\w-]+) {family}", new[1])[1]
+    boss = re.search(r"г-н ([\w-]+),", new[1])[1]
+    assert new[1] == f"Mr. {given} {family} called. {given} {family} and Mr. {family} agreed; {family}'s friend {given} left. Smithson stayed. Herr {given} {family}, Frau {woman} {family} and г-н {boss}, {boss}."
+    assert given != "John" and family != "Smith" and woman != "Anna" and boss != "Иванов"
+    assert new[2] == f"Mr. {family} wrote. No John here."
+
+
+def test_surrogates_of_other_forms(spark):
+    cases = ["password: hunter2hunter2", "API_KEY='abcd1234efgh'", "token=qwertyuiopasdfgh", "378282246310005", "3782 822463 10005", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "x.y@sub.site.co.uk", "secret = \"04dbebab91ab85687d33\""]
+    rows = [(i, f"so {c} then", None, None, None) for i, c in enumerate(cases)] + [(100, "the key = important and a token: maybe; keynote = 12", None, None, None)]
+    new = {r.doc_id: r.text for r in surrogates.replace_entities(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert new[100] == rows[-1][1]
+    for i, c in enumerate(cases):
+        assert c not in new[i] and new[i].startswith("so ") and new[i].endswith(" then"), new[i]
+    assert new[0].startswith("so password: ") and new[1].startswith("so API_KEY='")
+    a, b = (re.sub(r"\D", "", new[i]) for i in (3, 4))
+    assert a == b and a[0:2] == "37" and sum(int(x) if (len(a) - k) % 2 else sum(divmod(2 * int(x), 10)) for k, x in enumerate(a)) % 10 == 0
+    assert re.search(r"DE\w\w( \w{4}){4} \w\w then", new[5]) and re.sub(" ", "", new[5][3:-5]) == new[6][3:-5]
+
+
+@pytest.mark.parametrize("unit", ["a.", "1 ", "a@b.", "Mr. Aa ", "+1 22 ", "12-", "key = ", "AB12 ", "\x01", "(017) ", "1.1.", "x" * 7])
+def test_surrogates_of_long_texts(spark, unit):
+    text = unit * (100_000 // len(unit)) + " me@site.org"
+    got = surrogates.replace_entities(spark.createDataFrame([(1, text, None, None, None)], SCHEMA)).first()
+    assert "me@site" not in got.text and len(got.text) >= 90_000
+
+
+def test_full_spaces_exchange_their_forms(spark):
+    from millrace.llm._scratch import Scratch
+
+    # nearly all addresses of a private network and all numbers of four digits occur
+    ents = [("ip", f"192.168.{i}.{j}") for i in range(1, 255, 9) for j in range(1, 255, 9)] + [("ssn", f"{i:02d}") for i in range(100)]
+    got = surrogates.assign(spark.createDataFrame(ents, "kind string, canonical string"), "k", Scratch(spark), rounds=2).collect()
+    assert len({(r.kind, r.surrogate) for r in got}) == len(ents) == len(got)
+    assert all(r.surrogate != r.canonical for r in got)
+
+
 # --- 6
 
 
