@@ -9,9 +9,15 @@ retained suffix so proves runs of MIN_WORDS words by itself, and the runs of suc
 Groups of more than HOT suffixes, a passage in a large share of all documents, don't go to one task: their rows and splits are
 matched by a shuffle with map-side sums.
 
-Null texts and texts of fewer than MIN_WORDS words have no passages. Passages that repeat within one document only are not
-reported. Rows that share a doc_id are one document. Rows without doc_id are ignored by ``passages`` and kept as they are by
-``remove_passages``. Extra columns are ignored or kept.
+Words are compared by hashes: the K words by 64 bits, every other one by 40, so two different words count as equal once in
+10^12 comparisons.
+
+Null and empty texts and texts of fewer than MIN_WORDS words have no passages, an empty table gives an empty result, texts of
+any length are searched whole. Passages that repeat within one document only are not reported. Rows that share a doc_id are one
+document, so what only they share is no repeat; but a row is known by a hash of doc_id and text, so that each is cut by its own
+passages. Repeated rows are cut alike and reported once. Of documents with a passage, the smallest doc_id keeps it. Rows without
+doc_id are ignored by ``passages`` and kept as they are by ``remove_passages``. Extra columns are ignored or kept, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch, parts
@@ -30,7 +36,7 @@ MIN_WORDS = 50
 WINDOW = 17
 K = MIN_WORDS - WINDOW + 1
 CTX = WINDOW - 1  #: words of context on each side
-_W = 3  #: bytes of a word's hash in a context
+_W = 5  #: bytes of a word's hash in a context
 ROWS_PER_PART = 60_000
 HOT = 20_000  #: suffixes of one group that a task compares; larger groups are compared through shuffled keys
 
@@ -76,6 +82,11 @@ def minimisers(b: Block) -> tuple[np.ndarray, np.ndarray]:
     return at, g[at]
 
 
+def _row(text: str = "text") -> Column:
+    """What a row is known by."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col(text))
+
+
 def _retained(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,13 +94,13 @@ def _retained(docs: DataFrame) -> DataFrame:
             for lo, _, b in blocks(batch.column(1)):
                 at, h = minimisers(b)
                 doc = b.doc_of_word[at]
-                yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "doc_id": pa.array(ids[lo + doc]), "pos": pa.array((at - b.bounds[doc]).astype(np.int32))})
+                yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "row": pa.array(ids[lo + doc]), "pos": pa.array((at - b.bounds[doc]).astype(np.int32))})
 
-    return docs.mapInArrow(run, "h long, doc_id long, pos int")
+    return docs.select("row", "text").mapInArrow(run, "h long, row long, pos int")
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
-    """rows: doc_id, text, at (the wanted word positions, with their hashes). One row per position with its contexts.
+    """rows: doc_id, text, at (the wanted word positions, with their hashes), row. One row per position with its contexts.
 
     ``rc`` are the CTX words after the K words, ``lc`` those before them, nearest first; shorter at a text's ends."""
 
@@ -97,8 +108,8 @@ def _contexts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             at = batch.column(2)
             for lo, hi, b in blocks(batch.column(1)):
-                w = (b.words >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :_W]
-                out = {"h": [], "doc_id": [], "pos": [], "hot": [], "lc": [], "rc": []}
+                w = (b.words >> np.uint64(64 - 8 * _W)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_W]
+                out = {"h": [], "row": [], "doc_id": [], "pos": [], "hot": [], "lc": [], "rc": []}
                 back = np.ascontiguousarray(w[::-1]).tobytes()
                 ahead, n = np.ascontiguousarray(w).tobytes(), len(w)
                 for i in range(lo, hi):
@@ -106,39 +117,39 @@ def _contexts(rows: DataFrame) -> DataFrame:
                     here = at.slice(i, 1).flatten()
                     pos, h, hot = (x.to_numpy(zero_copy_only=False) for x in here.flatten())
                     p = first + pos.astype(np.int64)
-                    ok = p + K <= end  # a row of the same doc_id with another text
-                    p, h, hot = p[ok], h[ok], hot[ok]
                     out["h"].append(h)
                     out["hot"].append(hot)
                     out["pos"].append((p - first).astype(np.int32))
                     out["doc_id"].append(np.full(len(p), batch.column(0)[i].as_py(), np.int64))
+                    out["row"].append(np.full(len(p), batch.column(3)[i].as_py(), np.int64))
                     out["rc"] += [ahead[_W * (x + K) : _W * min(end, x + K + CTX)] for x in p.tolist()]
                     out["lc"] += [back[_W * (n - x) : _W * (n - max(first, x - CTX))] for x in p.tolist()]
                 yield pa.RecordBatch.from_pydict({
-                    "h": pa.array(np.concatenate(out["h"])), "doc_id": pa.array(np.concatenate(out["doc_id"])), "pos": pa.array(np.concatenate(out["pos"])),
+                    "h": pa.array(np.concatenate(out["h"])), "row": pa.array(np.concatenate(out["row"])), "doc_id": pa.array(np.concatenate(out["doc_id"])), "pos": pa.array(np.concatenate(out["pos"])),
                     "hot": pa.array(np.concatenate(out["hot"])), "lc": pa.array(out["lc"], pa.binary()), "rc": pa.array(out["rc"], pa.binary()),
                 })
 
-    return rows.mapInArrow(run, "h long, doc_id long, pos int, hot boolean, lc binary, rc binary")
+    return rows.mapInArrow(run, "h long, row long, doc_id long, pos int, hot boolean, lc binary, rc binary")
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Contexts as rows of CTX words, and their lengths in words."""
     got = col.to_pylist()
     lens = np.fromiter((len(x) // _W for x in got), np.int64, len(got))
-    raw = np.frombuffer(b"".join(x.ljust(_W * CTX, b"\0") for x in got), np.uint8).reshape(-1, CTX, _W).astype(np.int32)
-    return raw[:, :, 0] | raw[:, :, 1] << 8 | raw[:, :, 2] << 16, lens
+    raw = np.zeros((len(got), CTX, 8), np.uint8)
+    raw[:, :, :_W] = np.frombuffer(b"".join(x.ljust(_W * CTX, b"\0") for x in got), np.uint8).reshape(-1, CTX, _W)
+    return raw.reshape(-1, 8).view("<u8").reshape(-1, CTX), lens
 
 
 def _prefixes(words: np.ndarray, c: int) -> np.ndarray:
     """Hashes of the first 0, 1, ... CTX words of each context."""
     out = np.zeros((len(words), CTX + 1), np.uint64)
     for m in range(CTX):
-        out[:, m + 1] = out[:, m] * np.uint64(c) + words[:, m].astype(np.uint64) + np.uint64(1)
+        out[:, m + 1] = out[:, m] * np.uint64(c) + mix(words[:, m] + np.uint64(1))
     return out
 
 
-_OUT = "doc_id long, start long, end long, later boolean"
+_OUT = "row long, doc_id long, start long, end long, later boolean"
 
 
 def _keys(t: pa.Table | pa.RecordBatch) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -158,7 +169,7 @@ def _neighbours(rows: DataFrame) -> DataFrame:
         if not got:
             return
         t = pa.Table.from_batches(got).combine_chunks()
-        doc, pos = t["doc_id"].to_numpy(), t["pos"].to_numpy().astype(np.int64)
+        doc, own, pos = t["doc_id"].to_numpy(), t["row"].to_numpy(), t["pos"].to_numpy().astype(np.int64)
         found, later = np.zeros((2, len(doc), CTX + 1), bool)
         for m, (key, at) in enumerate(zip(*_keys(t), strict=True)):
             at = at[np.lexsort((doc[at], key[at]))]
@@ -169,67 +180,86 @@ def _neighbours(rows: DataFrame) -> DataFrame:
         for kind, flag in ((found & ~later, False), (found & later, True)):
             i = np.flatnonzero(kind.any(axis=1))
             most, least = CTX - kind[i][:, ::-1].argmax(axis=1), kind[i].argmax(axis=1)
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(doc[i]), "start": pa.array(pos[i] - most), "end": pa.array(pos[i] + K + CTX - least), "later": pa.array(np.full(len(i), flag))})
+            yield pa.RecordBatch.from_pydict({"row": pa.array(own[i]), "doc_id": pa.array(doc[i]), "start": pa.array(pos[i] - most), "end": pa.array(pos[i] + K + CTX - least), "later": pa.array(np.full(len(i), flag))})
 
     return rows.mapInArrow(run, _OUT)
 
 
-def _hot_spans(rows: DataFrame) -> DataFrame:
+def _hot_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """The same for groups of any size, by a shuffle of every split's key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                doc, pos = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("doc_id", "pos"))
+                own, doc, pos = (batch.column(batch.schema.get_field_index(c)).to_numpy().astype(np.int64) for c in ("row", "doc_id", "pos"))
                 for m, (key, at) in enumerate(zip(*_keys(batch), strict=True)):
-                    yield pa.RecordBatch.from_pydict({"key": pa.array(key[at].view(np.int64)), "doc_id": pa.array(doc[at]), "start": pa.array(pos[at] - m)})
+                    yield pa.RecordBatch.from_pydict({"key": pa.array(key[at].view(np.int64)), "row": pa.array(own[at]), "doc_id": pa.array(doc[at]), "start": pa.array(pos[at] - m)})
+
+    keys = rows.mapInArrow(run, "key long, row long, doc_id long, start long")
+    # stored, so that the join has two shuffles of its own, whose large keys are split
+    both = scratch.table(keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last"))
+    return keys.join(both, "key").select("row", "doc_id", "start", (F.col("start") + MIN_WORDS).alias("end"), (F.col("first") < F.col("doc_id")).alias("later"))
+
+
+def _union(spans: np.ndarray) -> np.ndarray:
+    """Overlapping or adjoining spans (start, end) joined."""
+    if not len(spans):
+        return spans
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    reach = np.maximum.accumulate(spans[:, 1])
+    first = np.flatnonzero(np.concatenate([[True], spans[1:, 0] > reach[:-1]]))
+    return np.stack([spans[first, 0], reach[np.append(first[1:], len(spans)) - 1]], axis=1)
+
 
-    keys = rows.mapInArrow(run, "key long, doc_id long, start long")
-    both = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
-    return keys.join(both, "key").select("doc_id", "start", (F.col("start") + MIN_WORDS).alias("end"), (F.col("first") < F.col("doc_id")).alias("later"))
+def _spans(column: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of row i of a column of arrays (start, end, later): all, and the later ones, each joined."""
+    start, end, later = (x.to_numpy(zero_copy_only=False) for x in column.slice(i, 1).flatten().flatten())
+    both = np.stack([start, end], axis=1).astype(np.int64)
+    return _union(both), _union(both[later.astype(bool)])
 
 
-def _merged(spans: DataFrame) -> DataFrame:
-    """Overlapping or adjoining spans of a document joined: doc_id, start, end."""
-    joined = F.expr(
-        "aggregate(array_sort(collect_set(struct(start, end))), cast(array() as array<struct<start:bigint,end:bigint>>), (acc, x) -> "
-        "if(size(acc) > 0 and element_at(acc, -1).end >= x.start, "
-        "concat(slice(acc, 1, size(acc) - 1), array(struct(element_at(acc, -1).start as start, greatest(element_at(acc, -1).end, x.end) as end))), "
-        "concat(acc, array(struct(x.start as start, x.end as end)))))"
-    )
-    return spans.groupBy("doc_id").agg(joined.alias("spans"))
+def _per_row(spans: DataFrame) -> DataFrame:
+    return spans.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.collect_set(F.struct("start", "end", "later")).alias("spans"))
 
 
 def repeats(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """A table of (doc_id, start, end, later), in words, not yet joined; later: an earlier document has the passage too."""
+    """A table of (row, doc_id, start, end, later), in words, not yet joined; later: an earlier document has the passage too."""
     spark = docs.sparkSession
-    ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = docs.where("doc_id is not null").select(_row().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     kept = scratch.table(_retained(ids))
-    twice = kept.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot"))
-    wanted = scratch.table(kept.join(twice, "h"))
-    scratch.drop(kept)
-    scratch.tidy()
-    at = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "h", "hot")).alias("at"))
-    rows = scratch.table(_contexts(ids.join(at, "doc_id").select("doc_id", "text", "at")))
+    twice = scratch.table(kept.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", (F.col("n") > HOT).alias("hot")))
+    wanted = kept.join(twice, "h")
+    at = wanted.groupBy("row").agg(F.collect_set(F.struct("pos", "h", "hot")).alias("at"))
+    rows = scratch.table(_contexts(ids.join(at, "row").select("doc_id", "text", "at", "row")))
     n = rows.count()
-    scratch.drop(wanted)
+    scratch.drop(kept, twice)
     scratch.tidy()
     p = max(parts(spark), n // ROWS_PER_PART + 1)
     spans = _neighbours(rows.where("not hot").repartition(p, "h"))
     if not rows.where("hot").isEmpty():
-        spans = spans.union(_hot_spans(rows.where("hot")))
+        spans = spans.union(_hot_spans(rows.where("hot"), scratch))
     return scratch.table(spans)
 
 
 def passages(docs: DataFrame) -> DataFrame:
     """One row per passage of MIN_WORDS words or more that other documents have too: doc_id, start_word, end_word, n_words,
     n_removed (how many of its words an earlier document has, in such passages)."""
-    scratch = Scratch(docs.sparkSession)
-    spans = repeats(docs, scratch)
-    both = _merged(spans).join(_merged(spans.where("later")).withColumnRenamed("spans", "gone"), "doc_id", "left")
-    one = both.select("doc_id", "gone", F.explode("spans").alias("s"))
-    gone = F.expr("aggregate(coalesce(gone, array()), 0L, (n, g) -> n + greatest(0L, least(g.end, s.end) - greatest(g.start, s.start)))")
-    return one.select("doc_id", F.col("s.start").alias("start_word"), F.col("s.end").alias("end_word"), F.expr("s.end - s.start").alias("n_words"), gone.alias("n_removed"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, out = batch.column(0).to_numpy(), []
+            for i in range(batch.num_rows):
+                every, gone = _spans(batch.column(1), i)
+                # a joined span holds whole ones of those that go
+                total = np.concatenate([[0], np.cumsum(gone[:, 1] - gone[:, 0])])
+                n = total[np.searchsorted(gone[:, 0], every[:, 1])] - total[np.searchsorted(gone[:, 0], every[:, 0])]
+                out.append(np.column_stack([np.full(len(every), ids[i]), every, every[:, 1] - every[:, 0], n]))
+            if out:
+                got = np.concatenate(out)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, j])) for j in range(5)], names=["doc_id", "start_word", "end_word", "n_words", "n_removed"])
+
+    spans = repeats(docs, Scratch(docs.sparkSession))
+    return _per_row(spans).select("doc_id", "spans").mapInArrow(run, "doc_id long, start_word long, end_word long, n_words long, n_removed long")
 
 
 def remove_passages(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
@@ -237,7 +267,7 @@ def remove_passages(docs: DataFrame, text: str = "text", length: str | None = "n
 
     The words of a passage are cut with the white space after them; ``length`` is set anew where the text changes."""
     scratch = Scratch(docs.sparkSession)
-    cuts = _merged(repeats(docs.withColumn("text", F.col(text)), scratch).where("later")).select(F.col("doc_id").alias("_cut_id"), F.col("spans").alias("_cut_spans"))
+    cuts = _per_row(repeats(docs.withColumn("text", F.col(text)), scratch).where("later")).select(F.col("row").alias("_cut_row"), F.col("spans").alias("_cut_spans"))
     names = docs.columns
     t, i = names.index(text), len(names)
 
@@ -253,10 +283,7 @@ def remove_passages(docs: DataFrame, text: str = "text", length: str | None = "n
                     first, n = int(b.bounds[r]), int(b.n_words[r])
                     raw, base = b.data[b.off[r] : b.off[r + 1]].tobytes(), int(b.off[r])
                     out, at, gone = [], 0, 0
-                    for s in spans[lo + r].as_py():
-                        x, y = min(s["start"], n), min(s["end"], n)
-                        if x == y:
-                            continue
+                    for x, y in _spans(spans, lo + r)[1].tolist():
                         gone += y - x
                         out.append(raw[at : int(b.starts[first + x]) - base])
                         at = int(b.starts[first + y]) - base if y < n else len(raw)
@@ -270,7 +297,7 @@ def remove_passages(docs: DataFrame, text: str = "text", length: str | None = "n
                 cols[names.index(length)] = pa.array(lens, cols[names.index(length)].type)
             yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep))
 
-    joined = docs.join(cuts, docs["doc_id"] == cuts["_cut_id"], "left")
+    joined = docs.join(cuts, _row(text) == F.col("_cut_row"), "left")
     return joined.select(*[docs[c] for c in names], "_cut_spans").mapInArrow(run, docs.schema)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.llm import image_copies, license_scan, minhash_dedup, packing, quality_rules, sentencepiece_codec, suffix_dedup, surrogates, toxicity, url_filter
 from millrace.llm.resources import tokenizer_path
 
-from .helpers import SCHEMA, brute_components, brute_repeats, corpus, words
+from .helpers import SCHEMA, brute_components, brute_repeats, corpus, prose, words
 
 
 @pytest.fixture(scope="module")
@@ -374,6 +374,30 @@ def test_remove_passages(docs, rows):
     assert dict(kept)[first] == before[first]
 
 
+def test_rows_of_one_doc_id_keep_their_own_words(spark):
+    rng = random.Random(6)
+    passage, other, third = prose(rng, 60), prose(rng, 120), prose(rng, 80)
+    texts = [(1, prose(rng, 30) + " " + passage), (2, passage + " " + prose(rng, 30)), (2, other), (2, other), (None, passage), (None, passage + " x"), (4, third), (4, third + " more"), (4, None), (5, "")]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in texts], SCHEMA)
+    left = sorted(((r.doc_id, r.text) for r in suffix_dedup.remove_passages(df).collect()), key=str)
+    want = [t if t != texts[1] else (2, t[1][len(passage) + 1 :]) for t in texts]
+    assert left == sorted(want, key=str)
+    assert sorted((r.doc_id, r.start_word, r.n_words, r.n_removed) for r in suffix_dedup.passages(df).collect()) == [(1, 30, 60, 0), (2, 0, 60, 60)]
+
+
+@pytest.mark.parametrize("hot", [3, 20_000])
+def test_long_texts_and_large_groups(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rng = random.Random(12)
+    passage = prose(rng, 80)
+    rows = [(i, prose(rng, 10) + " " + passage + " " + prose(rng, 10), None, None, None) for i in range(12)]
+    rows += [(100, prose(rng, 8000) + " " + passage, None, None, None), (101, passage + " " + passage, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.doc_id, i) for r in suffix_dedup.passages(df).collect() for i in range(r.start_word, r.end_word)}
+    assert got == brute_repeats(rows)
+    assert not brute_repeats([(r.doc_id, r.text) for r in suffix_dedup.remove_passages(df).collect()])
+
+
 def test_minimisers_agree_between_texts():
     import pyarrow as pa
 
