@@ -39,6 +39,7 @@ from ._text import Block, blocks, mix, stream
 SHINGLE, NUM, DEN = 5, 75, 100
 WIDTH = 128  #: minwise values of a set
 TREES, BRANCH, SMALL, DEPTH = 12, 2, 256, 4
+ALL = 16  #: sets of a node that are all compared, whatever shingles they have of their own
 MOST_WORDS = 1 << 19  #: 64-bit words of the Bloom filter over ids, at most
 BLOCK, OUTER = 1024, 256  #: minwise values of sets of a component and sets outside it that are compared at once
 BLOCK_TOKENS = 1 << 19  #: shingles of either side in a comparison of full sets
@@ -137,14 +138,15 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scra
 
 
 def _near(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Whether sets of these minwise values and sizes may be similar enough (5.5 standard deviations of the estimate)."""
+    """Whether sets of these minwise values and sizes may be similar enough (4.5 standard deviations of the estimate: a pair
+    at the bound is missed with a probability of 3e-6)."""
     t = num / den
-    least = WIDTH * (t - 5.5 * np.sqrt(t * (1 - t) / WIDTH))
+    least = WIDTH * (t - 4.5 * np.sqrt(t * (1 - t) / WIDTH))
     return ((x == y).sum(axis=-1) >= least) & (den * np.minimum(nx, ny) >= num * np.maximum(nx, ny))
 
 
 def _shared(full: DataFrame, tokens: int, p: int) -> DataFrame:
-    """(id, n, lim) of the sets (id, s): how many shingles a set has, and how many of them another of these sets has too.
+    """(id, lim) of the sets (id, s): how many of a set's shingles another of these sets has too.
 
     Shingles are dealt out by their hashes; those that come twice in a batch go on without owners, so one that a third of all
     sets has costs a place a batch."""
@@ -187,23 +189,21 @@ def _shared(full: DataFrame, tokens: int, p: int) -> DataFrame:
 
     dealt = full.mapInArrow(deal, "bucket long, token binary, own binary, again binary")
     alone = dealt.repartition(min(buckets, 64 * p), "bucket").sortWithinPartitions("bucket").mapInArrow(count, "id long, alone long").groupBy("id").agg(F.sum("alone").alias("alone"))
-    n = F.length("s") / 8
-    return full.select("id", n.cast("long").alias("n")).join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("lim"))
+    n = (F.length("s") / 8).cast("long")
+    return full.select("id", n.alias("n")).join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("lim"))
 
 
-def _possible(at: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
-    """Those members (key, id) of nodes that may have a partner there: with ``lim``."""
-    x = at.select("key", "id").join(held, "id")
-    least = x.groupBy("key").agg(F.min("n").alias("least"))
+def _possible(at: DataFrame, num: int, den: int) -> DataFrame:
+    """Those members (key, id, n, lim, comp) of nodes that may have a partner there."""
+    least = at.groupBy("key").agg(F.min("n").alias("least"))
     size = F.greatest("least", F.ceil(F.col("n") * num / den))
-    return x.join(least, "key").where((num + den) * F.col("lim") >= num * (F.col("n") + size)).select("key", "id", "lim")
+    return at.join(least, "key").where((num + den) * F.col("lim") >= num * (F.col("n") + size)).select("key", "id", "n", "lim", "comp")
 
 
-def _opened(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (key, id and more) of nodes with several components, with comp and the node's size."""
-    at = members.join(comp, "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
-    open_ = at.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
-    return at.join(open_.select("key", "size"), "key")
+def _opened(members: DataFrame) -> DataFrame:
+    """Members (key, comp and more) of nodes with several components, with the node's size."""
+    open_ = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
+    return members.join(open_.select("key", "size"), "key")
 
 
 def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
@@ -223,7 +223,7 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
-    """(id, met): the components with a set that may be similar to an outer one, within the groups (key, id, comp, n, lim, sig,
+    """(id, n, met): the components with a set that may be similar to an outer one, within the groups (key, id, comp, n, lim, sig,
     outer). Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once."""
 
     def compare(ids, comp, size, lim, sig, outer):
@@ -233,7 +233,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             other = np.flatnonzero(fits & (comp != comp[i]) & (~outer | (np.arange(len(ids)) > i)))
             if len(other):
                 ok = _near(sig[i], sig[other], size[i], size[other], num, den)
-                out += [(ids[i], c) for c in np.unique(comp[other[ok]]).tolist()]
+                out += [(ids[i], size[i], c) for c in np.unique(comp[other[ok]]).tolist()]
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
                 got += compare(ids[lo:hi], comp[lo:hi], n[lo:hi], lim[lo:hi], sig[lo:hi], outer[lo:hi])
             if got:
                 a = np.array(got, np.int64)
-                yield pa.RecordBatch.from_pydict({"id": pa.array(a[:, 0]), "met": pa.array(a[:, 1])})
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a[:, j])) for j in range(3)], names=["id", "n", "met"])
 
         for batch in batches:  # sorted by key: the last key of a batch may go on in the next
             for lo in range(0, batch.num_rows, 2048):
@@ -264,7 +264,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             yield from done(held)
 
     rows = members.select("key", "id", "comp", "n", "lim", "sig", "outer").repartition(p, "key").sortWithinPartitions("key")
-    return rows.mapInArrow(run, "id long, met long")
+    return rows.mapInArrow(run, "id long, n long, met long")
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
@@ -280,13 +280,13 @@ def _in_blocks(large: DataFrame) -> DataFrame:
     return out.union(pairs.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), *own))
 
 
-def _met(nodes: DataFrame, comp: DataFrame, reps: DataFrame, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
-    """What the sets of the nodes (key, id, lim) meet that are outside the node's largest component: that one, and each other."""
-    at = nodes.join(comp, "id", "left").select("key", "id", "lim", F.coalesce("component", "id").alias("comp"))
-    sums = at.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("size"), F.max(F.struct("m", "comp")).alias("t"))
-    at = at.join(sums.select("key", "size", F.col("t.comp").alias("top"), (F.col("size") - F.col("t.m")).alias("n_out")), "key")
-    own = at.select("key", "id", "lim", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer")).join(reps, "id")
-    at = scratch.table(own.withColumn("lim", F.coalesce("lim", "n")))
+def _met(nodes: DataFrame, reps: DataFrame, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
+    """(id, n, met): what the sets of the nodes (key, id, n, lim, comp) meet that are outside the node's largest component: that
+    one, and each other."""
+    sums = nodes.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("size"), F.max(F.struct("m", "comp")).alias("t"))
+    at = nodes.join(sums.select("key", "size", F.col("t.comp").alias("top"), (F.col("size") - F.col("t.m")).alias("n_out")), "key")
+    own = at.select("key", "id", "n", "lim", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer"))
+    at = scratch.table(own.join(reps.select("id", "sig"), "id"))
     small = _exhaustive(at.where(F.col("size") <= SMALL), num, den, p)
     large = at.where(F.col("size") > SMALL)
     if not large.isEmpty():
@@ -298,13 +298,14 @@ def _met(nodes: DataFrame, comp: DataFrame, reps: DataFrame, num: int, den: int,
 
 def _first_keys(reps: DataFrame) -> DataFrame:
     """A set's node in each tree: its minwise token."""
-    return reps.select("id", F.explode(F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(sig, 4 * t + 1, 4)))")).alias("key"))
+    return reps.select("id", "n", F.explode(F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(sig, 4 * t + 1, 4)))")).alias("key"))
 
 
 def _child_keys(members: DataFrame) -> DataFrame:
     """The children that a large node's members go on to; the path picks which minwise tokens are taken."""
     at = f"{TREES} + cast(pmod(xxhash64(key, b), {WIDTH - TREES}) as int)"
-    return members.select("id", F.explode(F.expr(f"transform(sequence(1, {BRANCH}), b -> xxhash64(key, b, substring(sig, 4 * ({at}) + 1, 4)))")).alias("key")).distinct()
+    keys = F.expr(f"array_distinct(transform(sequence(1, {BRANCH}), b -> xxhash64(key, b, substring(sig, 4 * ({at}) + 1, 4))))")
+    return members.select("id", "n", "lim", "comp", F.explode(keys).alias("key")).dropDuplicates(["key", "id"])
 
 
 def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> tuple[DataFrame, DataFrame]:
@@ -323,33 +324,35 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
     links = _confirm(docs, star, k, num, den, scratch)
     comp = scratch.table(components(links, scratch))
     # the star has compared all of a node of two
-    at = scratch.table(_opened(members.where("size > 2").select("key", "id"), comp))
+    at = members.where("size > 2").select("key", "id", "n").join(comp, "id", "left")
+    at = scratch.table(_opened(at.select("key", "id", "n", F.coalesce("component", "id").alias("comp"))))
     scratch.drop(members, star)
-    found = [at.where(F.col("size") <= SMALL).select("key", "id", F.lit(None).cast("long").alias("lim"))]
-    at = at.where(F.col("size") > SMALL)
+    columns = ["key", "id", "n", "lim", "comp"]
+    found = [at.where(F.col("size") <= ALL).withColumn("lim", F.col("n")).select(columns)]
+    at = at.where(F.col("size") > ALL)
     if not at.isEmpty():
-        ids = at.select("id").distinct()
-        full = scratch.table(_full(docs, ids, k))
-        tokens = reps.join(ids, "id").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-        held = scratch.table(_shared(full, tokens, p))
+        ids = at.select("id", "n").distinct()
+        full = scratch.table(_full(docs, ids.select("id"), k))
+        held = scratch.table(_shared(full, ids.agg(F.sum("n")).first()[0], p))
         scratch.drop(full)
         scratch.tidy()
+        at = at.drop("size").join(held, "id")
         for depth in range(1, DEPTH + 1):
-            at = scratch.table(_opened(_possible(at, held, num, den), comp))
-            found.append(at.where(F.col("size") <= SMALL).select("key", "id", "lim"))
+            at = scratch.table(_opened(_possible(at, num, den)))
+            found.append(at.where(F.col("size") <= SMALL).select(columns))
             large = at.where(F.col("size") > SMALL)
             most = large.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max("m").alias("m"))
             large = large.join(most, "key").withColumn("n_out", F.col("size") - F.col("m"))
             # minwise tokens don't part the copies of one text, so a node that one component fills is not branched further
             filled = F.lit(depth == DEPTH) | (F.col("n_out") <= OUTER) | (2 * F.col("n_out") <= F.col("size"))
-            large = scratch.table(large.select("key", "id", "lim", filled.alias("filled")))
-            found.append(large.where("filled").select("key", "id", "lim"))
+            large = scratch.table(large.select(*columns, filled.alias("filled")))
+            found.append(large.where("filled").select(columns))
             parted = large.where("not filled")
             if parted.isEmpty():
                 break
-            at = _child_keys(parted.select("key", "id").join(reps.select("id", "sig"), "id").repartition(p, "id"))
+            at = _child_keys(parted.select(columns).join(reps.select("id", "sig"), "id").repartition(p, "id"))
     nodes = scratch.table(_union(found))
-    met = _met(nodes, comp, reps, num, den, p, scratch)
+    met = _met(nodes, reps, num, den, p, scratch)
     last = _link(docs, met, reps, comp, k, num, den, p, scratch)
     if not last.isEmpty():
         comp = scratch.table(components(links.union(last), scratch))
@@ -360,7 +363,7 @@ def _link(docs: DataFrame, met: DataFrame, reps: DataFrame, comp: DataFrame, k:
     """Links (a, b) between sets and the components they met, on full sets; one for each set and block of a component."""
     of = reps.select("id", "n").join(comp, "id", "left").select("id", "n", F.coalesce("component", "id").alias("met"))
     inner = of.join(met.select("met").distinct(), "met", "left_semi")
-    outer = met.join(reps.select("id", "n"), "id").groupBy("met").agg(F.sum("n").alias("m"))
+    outer = met.groupBy("met").agg(F.sum("n").alias("m"))
     n = inner.groupBy("met").agg(F.sum("n").alias("n")).join(outer, "met")
     n = n.select("met", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("rows"), F.ceil(F.col("m") / BLOCK_TOKENS).cast("int").alias("cols"))
     r, c = F.pmod(F.xxhash64("id"), F.col("rows")).cast("int").alias("r"), F.pmod(F.xxhash64(F.lit(3), "id"), F.col("cols")).cast("int").alias("c")

@@ -47,6 +47,7 @@ def test_near_duplicates_in_small_blocks(docs, rows, monkeypatch, depth):
     monkeypatch.setattr(minhash_dedup, "BLOCK", 3)
     monkeypatch.setattr(minhash_dedup, "OUTER", 2)
     monkeypatch.setattr(minhash_dedup, "SMALL", 2)
+    monkeypatch.setattr(minhash_dedup, "ALL", 2)
     monkeypatch.setattr(minhash_dedup, "DEPTH", depth)
     monkeypatch.setattr(minhash_dedup, "BLOCK_TOKENS", 300)
     monkeypatch.setattr(minhash_dedup, "SHARE_TOKENS", 500)
@@ -60,8 +61,8 @@ def test_shingles_that_no_other_set_has(spark, monkeypatch):
     for tokens in (10**6, 50):
         monkeypatch.setattr(minhash_dedup, "SHARE_TOKENS", tokens)
         df = spark.createDataFrame([(i, bytearray(np.array(sorted(s), np.uint64).tobytes())) for i, s in sets.items()], "id long, s binary").repartition(3)
-        got = {r.id: (r.n, r.lim) for r in minhash_dedup._shared(df, sum(map(len, sets.values())), 4).collect()}
-        assert got == {i: (len(s), sum(any(x in t for j, t in sets.items() if j != i) for x in s)) for i, s in sets.items()}
+        got = {r.id: r.lim for r in minhash_dedup._shared(df, sum(map(len, sets.values())), 4).collect()}
+        assert got == {i: sum(any(x in t for j, t in sets.items() if j != i) for x in s) for i, s in sets.items()}
 
 
 def test_keep_one(spark, docs, rows, empty):
