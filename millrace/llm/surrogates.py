@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch
+from ._scratch import Scratch, parts
 
 ROUNDS = 12
 CYCLE = 10_000  #: entities that exchange their forms in one task
@@ -247,7 +247,9 @@ def replace_entities(docs: DataFrame, key: str = "millrace", text: str = "text",
     found = cut.where("_sha is not null")
     mentions = found.select("_sha", F.explode(F.array_distinct(_odd(F.col("_seg")))).alias("value")).distinct().withColumn("kind", _kind(F.col("value")))
     units = scratch.table(mentions.select("_sha", "value", F.col("kind").alias("of"), F.posexplode(_units(F.col("kind"), F.col("value"))).alias("place", "u")).select("_sha", "value", "of", "place", "u.*"))
-    given = assign(units.select("kind", "canonical").distinct(), key, scratch)
+    # dealt out by number: surrogates cost more time than their few bytes tell Spark
+    entities = units.select("kind", "canonical").distinct().repartition(parts(docs.sparkSession), "kind", "canonical")
+    given = assign(entities, key, scratch)
     told = units.join(given, ["kind", "canonical"]).select("_sha", "value", "of", "place", "word", _rendered(F.col("kind"), F.col("word"), F.col("surrogate")).alias("new"))
     told = told.groupBy("_sha", "value", "of").agg(F.array_sort(F.collect_list(F.struct("place", "word", "new"))).alias("parts"))
     person = F.col("of") == "person"
