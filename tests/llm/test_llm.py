@@ -439,7 +439,28 @@ def test_image_copies(spark):
     assert image_copies.copies(df.limit(0)).count() == 0
 
 
-def test_copies_meet_by_one_shared_entry(spark, monkeypatch):
+def test_recall_of_pairs_that_agree(spark):
+    """Against the consensus of all pairs: crops and edits, and a mark that all images have."""
+    rng = np.random.default_rng(14)
+    fields = np.array([image_copies._blur(rng.normal(size=(120, 120)), 5) for _ in range(16)])
+    mark = np.kron(rng.integers(0, 2, (6, 6)) * 200.0, np.ones((5, 5)))
+    images = []
+    for _ in range(20):
+        m = np.tensordot(rng.normal(size=16), fields, 1)
+        a = 128 + 50 * (m - m.mean()) / m.std()
+        a[45:75, 45:75] = mark
+        for f in (lambda a: a, lambda a: a[15:115, 10:110], lambda a: a + rng.normal(size=a.shape) * 6, lambda a: image_copies._resize(a, 0.8), lambda a: image_copies._blur(a, 2) * 0.9):
+            images.append(image_copies.write_image(f(a)))
+    desc = [image_copies.describe(image_copies.read_image(x)) for x in images]
+    agree = [(i, j) for i in range(len(images)) for j in range(i) if image_copies.inliers(desc[i], desc[j]) >= image_copies.MIN_INLIERS]
+    assert sum(i // 5 == j // 5 for i, j in agree) >= 100
+    got = {r.id: r.class_id for r in image_copies.copies(spark.createDataFrame(list(enumerate(images)), "id long, image binary")).collect()}
+    assert np.mean([got[i] == got[j] for i, j in agree]) >= 0.9
+    assert np.mean([got[5 * i] == got[5 * i + k] for i in range(20) for k in range(1, 5)]) >= 0.9
+
+
+def test_common_descriptors_make_no_pairs_of_all(spark, monkeypatch):
+    monkeypatch.setattr(image_copies, "SMALL", 4)
     rng = np.random.default_rng(6)
 
     def fresh():
@@ -447,17 +468,21 @@ def test_copies_meet_by_one_shared_entry(spark, monkeypatch):
         r["x"], r["y"], r["bits"] = rng.permutation(10) * 9, rng.permutation(10) * 9, rng.integers(0, 256, (10, 32))
         return r
 
-    a, c, d = fresh(), fresh(), fresh()
-    b = a.copy()
-    b["bits"][:, ::8] ^= 1  # a bit of each 64
-    b["bits"][0, 0] ^= 1
-    # 1 and 2 share more entries with 4, but no places
-    c["bits"][:3, 8:16], d["bits"][:3, 8:16] = b["bits"][:3, 8:16], b["bits"][3:6, 8:16]
-    desc = spark.createDataFrame([(1, c.tobytes()), (2, d.tobytes()), (3, a.tobytes()), (4, b.tobytes())], "id long, desc binary")
+    common = fresh()["bits"][:3]
+    recs = []
+    for i in range(60):
+        if i % 3:
+            recs.append(fresh())
+        else:
+            recs.append(recs[-1].copy() if i else fresh())
+        if i % 3 != 0:
+            recs[-1]["bits"][:3] = common  # in all but copies
+        else:
+            recs[-1]["bits"][:, 0] ^= 1
+    desc = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(recs)], "id long, desc binary")
     monkeypatch.setattr(image_copies, "_described", lambda images: desc)
-    images = spark.createDataFrame([(i, bytes([i])) for i in range(1, 5)], "id long, image binary")
-    got = {r.id: r.class_id for r in image_copies.copies(images).collect()}
-    assert got == {1: 1, 2: 2, 3: 3, 4: 3}
+    got = {r.id: r.class_id for r in image_copies.copies(spark.createDataFrame([(i, bytes([i])) for i in range(60)], "id long, image binary")).collect()}
+    assert got == {i: i - 1 if i and i % 3 == 0 else i for i in range(60)}
 
 
 # --- 9
