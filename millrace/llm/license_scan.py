@@ -1,57 +1,46 @@
 """Licences of files, with DataFrame functions only.
 
-Segments of a text (lines and sentences) that speak of licences are compared with templates by the cosine of their sparse
-TF-IDF vectors; the weights come from the templates, and a word that they lack has the weight of the rarest one. Equal
-segments are scored once. A file has the licence of its best segment at THRESHOLD or more. A file without one inherits from
-the nearest directory above it, its own included, that has a licence file (LICENSE, COPYING, NOTICE ...); of several licences
-in one directory the most frequent one, then the first by name. Ancestors are resolved per directory, not per file, so that
-a directory with a third of all files costs one row before the last join, which Spark can split.
-
-Null and empty texts have no licence of their own; files with null paths inherit nothing. Repeated rows are repeated in the
-result. Extra columns are kept out of the result but for those named in ``keys``.
+What a file says of its licence stands in a header or makes up a licence file. The lines and sentences of a text, its paragraphs
+(line ends and comment signs joined), and the whole text of a licence file (LICENSE, COPYING, NOTICE ...) are compared with
+templates, notices and whole licences, by the cosine of their sparse TF-IDF vectors. The weights come from the templates, so that
+a file's licence never depends on other files; a word that the templates lack has the weight of the rarest one. A segment with a
+cosine of THRESHOLD has one of a template's heaviest words, as all others together are too light, and others are left out by
+that bound. Equal segments are scored once. A file has the licence of its best segment at THRESHOLD or more; "all rights
+reserved" counts only beside no other licence. A file without one inherits from the nearest directory above it, its own
+included, that has a licence file; of several licences in one directory the most frequent one, then the first by name. Ancestors
+are resolved per directory, not per file, so that a directory with a third of all files costs one row before the last join,
+which Spark can split.
+
+Null and empty texts have no licence of their own, files with null paths inherit nothing, an empty table gives an empty result.
+Texts of any length are read whole. Of equal scores the first licence by name counts. Repeated rows are repeated in the result.
+Extra columns are kept out of the result but for those named in ``keys``.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch
+from .license_texts import TEMPLATES
 
 THRESHOLD = 0.6
-
-# How the notices of common licences read.
-TEMPLATES: tuple[tuple[str, str], ...] = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("MIT", "Released under the MIT License"),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-4.0", "Licensed under the Creative Commons Attribution 4.0 International License"),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC0-1.0", "Released into the public domain under CC0 1.0"),
-    ("proprietary", "All rights reserved"),
-)
-HINT = r"(?i)licen[cs]e|\brights reserved|permission is hereby|redistribution and use|public domain|copyright|SPDX"
 FILE = r"(?i)^(?:licen[cs]e|copying|notice|copyright)[^/]*$"
+#: A word: letters and digits, and stops before digits.
+WORD = r"[a-z0-9]+(?:\.[0-9][a-z0-9]*)*"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^a-z0-9.]+|\.(?![0-9])"), lambda w: w != "")
+    return F.regexp_extract_all(F.translate(text, _UPPER, _LOWER), F.lit(f"({WORD})"))
 
 
 def _weights() -> tuple[list[tuple[int, str, str, float]], dict[str, float], float]:
     """(template, licence, word, normalised weight), the weight of each word, that of unknown ones."""
-    import re
-
-    split = [[w for w in re.split(r"[^a-z0-9.]+|\.(?![0-9])", t.lower()) if w] for _, t in TEMPLATES]
+    split = [re.findall(WORD, t.lower()) for _, t in TEMPLATES]
     df = {w: sum(w in s for s in split) for s in split for w in s}
     idf = {w: math.log(1 + len(split) / n) for w, n in df.items()}
     rows = []
@@ -62,9 +51,27 @@ def _weights() -> tuple[list[tuple[int, str, str, float]], dict[str, float], flo
     return rows, idf, math.log(1 + len(split))
 
 
-def segments(text: Column) -> Column:
-    """The lines and sentences of a text that speak of licences, each once."""
-    return F.array_distinct(F.filter(F.split(text, r"\n|(?<=[.!?]) +"), lambda s: s.rlike(HINT)))
+def anchors() -> list[str]:
+    """Words of which a segment has one at least if it is as near as THRESHOLD to any template: without a template's, what is
+    left of it is shorter than THRESHOLD, and so is every product with it."""
+    rows, out = _weights()[0], set()
+    for i in range(len(TEMPLATES)):
+        left = 1.0
+        for w, x in sorted(((w, x) for k, _, w, x in rows if k == i), key=lambda r: (-r[1], r[0])):
+            if left < 0.99 * THRESHOLD**2:
+                break
+            out.add(w)
+            left -= x * x
+    return sorted(out)
+
+
+def segments(text: Column, whole: Column) -> Column:
+    """The lines, sentences and paragraphs of a text, and all of it if ``whole``, each once, that have an anchor."""
+    flat = lambda t: F.regexp_replace(t, r"\s*\n[ \t]*(?:[#*;%]+|//+|--+)?[ \t]*", " ")
+    paragraphs = F.transform(F.split(text, r"\n[ \t#*;%/\-]*\n"), flat)
+    every = F.concat(F.split(text, r"\n|[.!?] +"), paragraphs, F.when(whole, F.array(flat(text))).otherwise(F.array().cast("array<string>")))
+    known = F.array(*map(F.lit, anchors()))
+    return F.array_distinct(F.filter(every, lambda s: F.arrays_overlap(words(s), known)))
 
 
 def score_segments(found: DataFrame) -> DataFrame:
@@ -78,7 +85,7 @@ def score_segments(found: DataFrame) -> DataFrame:
     norm = v.groupBy("segment").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
     dot = v.join(table, "word").groupBy("segment", "template", "license").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
     cos = dot.join(norm, "segment").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= THRESHOLD)
-    best = cos.groupBy("segment").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("license"))).alias("b"))
+    best = cos.groupBy("segment").agg(F.min(F.struct((F.col("license") == "proprietary").alias("p"), (-F.col("score")).alias("s"), F.col("license"))).alias("b"))
     return best.select("segment", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
 
 
@@ -86,21 +93,26 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
+def named(path: Column) -> Column:
+    """Whether a path is that of a licence file."""
+    return F.coalesce(F.element_at(F.split(path, "/"), -1).rlike(FILE), F.lit(False))
+
+
 def scan(files: DataFrame, keys: list[str]) -> DataFrame:
     """files: path, text and the columns ``keys``. Per row: keys, path, license, score, origin (own, inherited or null) and
     license_dir (of an inherited one)."""
     scratch = Scratch(files.sparkSession)
-    found = F.when(F.col("text").rlike(HINT), segments(F.col("text")))
-    slim = scratch.table(files.select(*keys, "path", found.alias("seg")))
-    has = slim.where("seg is not null")
+    speaks = F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, anchors())))
+    slim = scratch.table(files.select(*keys, "path", F.when(speaks, segments(F.col("text"), named(F.col("path")))).alias("seg")))
+    has = slim.where("size(seg) > 0")
     scored = score_segments(has.select(F.explode("seg").alias("segment")).distinct())
     rows = has.select(*[F.col(k) for k in keys], "path", "seg").withColumn("segment", F.explode("seg"))
-    first = F.min(F.struct((-F.col("score")).alias("s"), F.col("license").alias("l"))).alias("b")
+    first = F.min(F.struct((F.col("license") == "proprietary").alias("p"), (-F.col("score")).alias("s"), F.col("license").alias("l"))).alias("b")
     own = rows.join(scored, "segment").groupBy("path", F.xxhash64("seg").alias("h")).agg(first)
     own = own.select(F.col("path").alias("_p"), "h", F.col("b.l").alias("license"), (-F.col("b.s")).alias("score"))
-    with_own = slim.withColumn("h", F.when(F.col("seg").isNotNull(), F.xxhash64("seg"))).alias("f").join(own.alias("o"), F.expr("f.path <=> o._p and f.h = o.h"), "left")
+    with_own = slim.withColumn("h", F.when(F.size("seg") > 0, F.xxhash64("seg"))).alias("f").join(own.alias("o"), F.expr("f.path <=> o._p and f.h = o.h"), "left")
     with_own = scratch.table(with_own.select(*[f"f.{k}" for k in keys], "f.path", "license", "score"))
-    given = with_own.where(F.col("license").isNotNull() & F.element_at(F.split("path", "/"), -1).rlike(FILE)).groupBy(directory(F.col("path")).alias("dir"), "license").agg(F.count(F.lit(1)).alias("n"))
+    given = with_own.where(F.col("license").isNotNull() & named(F.col("path"))).groupBy(directory(F.col("path")).alias("dir"), "license").agg(F.count(F.lit(1)).alias("n"))
     given = given.groupBy("dir").agg(F.min(F.struct((-F.col("n")).alias("n"), "license")).alias("b")).select("dir", F.col("b.license").alias("license"))
     dirs = with_own.where("path is not null and license is null").select(directory(F.col("path")).alias("of")).distinct()
     parts = F.split("of", "/")
@@ -113,7 +125,8 @@ def scan(files: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def document_files(docs: DataFrame) -> DataFrame:
-    """Documents as files: source/lang/doc_id.txt; a text of 60 words or fewer that speaks of licences is source/lang/LICENSE-doc_id."""
-    short = F.coalesce(F.col("text").rlike(HINT) & (F.size(F.split(F.col("text"), r"\s+")) <= 60), F.lit(False))
-    name = F.concat(F.when(short, F.lit("LICENSE-")).otherwise(""), F.col("doc_id").cast("string"), F.when(short, "").otherwise(".txt"))
+    """Documents as files: source/lang/doc_id.txt; a text whose first line speaks of a licence is source/lang/LICENSE-doc_id."""
+    first = F.substring_index(F.coalesce("text", F.lit("")), "\n", 1)
+    lic = first.rlike("[Ll]icen[cs]e|[Cc]opyright")
+    name = F.concat(F.when(lic, F.lit("LICENSE-")).otherwise(""), F.col("doc_id").cast("string"), F.when(lic, "").otherwise(".txt"))
     return docs.select("doc_id", F.concat_ws("/", "source", "lang", name).alias("path"), "text")

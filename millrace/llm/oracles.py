@@ -104,5 +104,51 @@ SELECT doc_id, s::BIGINT AS start_word, e::BIGINT AS end_word, (e - s)::BIGINT A
 """
 
 
+def _op2() -> str:
+    from .license_scan import THRESHOLD, WORD
+    from .license_texts import TEMPLATES
+
+    quoted = ",".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (name, text) in enumerate(TEMPLATES))
+    tokens = lambda c: f"regexp_extract_all({_LOWER.format(c)}, '{WORD}')"
+    flat = lambda c: rf"regexp_replace({c}, '\s*\n[ \t]*([#*;%]+|//+|--+)?[ \t]*', ' ', 'g')"
+    return rf"""
+WITH t(i, license, txt) AS (VALUES {quoted}), tw AS (
+  SELECT i, license, w, count(*) AS tf FROM (SELECT i, license, unnest({tokens("txt")}) AS w FROM t) GROUP BY 1, 2, 3
+), idf AS (
+  SELECT w, ln(1 + (SELECT count(*) FROM t) / count(*)) AS x FROM tw GROUP BY w
+), tv AS (
+  SELECT i, license, w, tf * x / sqrt(sum(tf * x * tf * x) OVER (PARTITION BY i)) AS v FROM tw JOIN idf USING (w)
+), f AS (
+  SELECT doc_id, text, concat_ws('/', source, lang) AS dir, regexp_matches(split_part(coalesce(text, ''), chr(10), 1), '[Ll]icen[cs]e|[Cc]opyright') AS lic FROM documents
+), p AS (
+  SELECT doc_id, dir, lic, concat_ws('/', dir, CASE WHEN lic THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END) AS path,
+    list_concat(string_split_regex(text, '\n|[.!?] +'), list_transform(string_split_regex(text, '\n[ \t#*;%/\-]*\n'), lambda x: {flat("x")}),
+      CASE WHEN lic THEN [{flat("text")}] ELSE [] END) AS seg FROM f
+), u AS (
+  SELECT doc_id, unnest(list_distinct(seg)) AS s FROM p
+), d AS (
+  SELECT s, w, count(*) AS tf FROM (SELECT s, unnest({tokens("s")}) AS w FROM (SELECT DISTINCT s FROM u)) GROUP BY 1, 2
+), v AS (
+  SELECT s, d.w, tf * coalesce(x, ln(1 + (SELECT count(*) FROM t))) AS v FROM d LEFT JOIN idf USING (w)
+), norm AS (
+  SELECT s, sqrt(sum(v * v)) AS n FROM v GROUP BY s
+), c AS (
+  SELECT s, license, round(sum(v.v * tv.v) / any_value(n), 6) AS score FROM v JOIN tv USING (w) JOIN norm USING (s) GROUP BY s, i, license
+), own AS (
+  SELECT doc_id, license, score FROM u JOIN c USING (s) WHERE score >= {THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY license = 'proprietary', score DESC, license) = 1
+), given AS (
+  SELECT dir, license FROM (SELECT dir, license, count(*) AS n FROM p JOIN own USING (doc_id) WHERE lic GROUP BY 1, 2)
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY n DESC, license) = 1
+), above AS (
+  SELECT DISTINCT of, k, array_to_string(parts[1:k], '/') AS dir FROM (SELECT dir AS of, string_split(dir, '/') AS parts, unnest(generate_series(0, len(string_split(dir, '/')))) AS k FROM p)
+), nearest AS (
+  SELECT of, above.dir AS license_dir, license AS got FROM above JOIN given ON above.dir = given.dir QUALIFY row_number() OVER (PARTITION BY of ORDER BY k DESC) = 1
+)
+SELECT doc_id, path, coalesce(own.license, got) AS license, score, CASE WHEN own.license IS NOT NULL THEN 'own' WHEN got IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN own.license IS NULL THEN license_dir END AS license_dir FROM p LEFT JOIN own USING (doc_id) LEFT JOIN nearest ON p.dir = nearest.of
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_dedup": OP1, "op7_suffix_dedup": OP7, "op9_url_filter": OP9, "op10_quality_rules": OP10}
+    return {"op2_license_scan": _op2(), "op1_minhash_dedup": OP1, "op7_suffix_dedup": OP7, "op9_url_filter": OP9, "op10_quality_rules": OP10}

@@ -1,6 +1,7 @@
 """The operators against brute force, libraries and round trips, odd rows included."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -105,10 +106,36 @@ def test_license_scan(spark):
     assert license_scan.scan(df.limit(0), ["doc_id"]).count() == 0
 
 
-@pytest.mark.parametrize(("name", "text"), license_scan.TEMPLATES)
-def test_every_template_finds_itself(spark, name, text):
-    got = license_scan.score_segments(spark.createDataFrame([(text,)], "segment string")).first()
-    assert (got.license, got.score) == (name, 1.0)
+def test_every_template_finds_itself(spark):
+    got = {r.segment: (r.license, r.score) for r in license_scan.score_segments(spark.createDataFrame([(t,) for _, t in license_scan.TEMPLATES], "segment string")).collect()}
+    assert got == {t: (name, 1.0) for name, t in license_scan.TEMPLATES}
+
+
+def test_whole_licences_and_headers(spark):
+    mit = max((t for name, t in license_scan.TEMPLATES if name == "MIT"), key=len)
+    folder = "/usr/share/common-licenses"
+    files = [
+        ("MIT", "a/LICENSE", "Copyright (c) 2020 Some One\nAll rights reserved.\n\n" + re.sub(r"(.{60}\S*) ", r"\1\n", mit)),
+        ("GPL-3.0", "b/x.py", "#!/usr/bin/env python\n# " + re.sub(r"(.{50}\S*) ", r"\1\n# ", license_scan.TEMPLATES[[n for n, _ in license_scan.TEMPLATES].index("GPL-3.0")][1]) + "\n\nimport os\n"),
+        ("GPL-3.0", "c/x.py", "Distributed under the terms of the GPL v3"), ("Apache-2.0", "d/x.js", "// SPDX-License-Identifier: Apache-2.0\nlet a = 1"),
+        ("proprietary", "e/x.js", "(c) Some Corp. All rights reserved."), (None, "f/x.js", "the license of the software is a matter of taste and so is the version"), (None, "g/x.js", "word " * 50_000),
+    ]
+    for name, file in (("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.1", "LGPL-2.1"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0"), ("MPL-1.1", "MPL-1.1"), ("CC0-1.0", "CC0-1.0"), ("BSD-3-Clause", "BSD"), ("GFDL-1.3", "GFDL-1.3")):
+        if os.path.exists(f"{folder}/{file}"):
+            with open(f"{folder}/{file}", encoding="utf-8") as f:
+                files.append((name, f"{file}/COPYING", f.read()))
+    files = [f for f in files if f[2].strip()]
+    got = {r.path: r.license for r in license_scan.scan(spark.createDataFrame(files, "want string, path string, text string"), ["want"]).where("origin is null or origin = 'own'").collect()}
+    assert got == {path: want for want, path, _ in files}
+
+
+def test_bound_leaves_out_no_near_segment(spark):
+    rng = random.Random(3)
+    vocab = sorted({w for _, t in license_scan.TEMPLATES for w in re.findall(license_scan.WORD, t.lower())})
+    segs = [" ".join(rng.sample(re.findall(license_scan.WORD, t.lower()), 3 + len(t) // 40) + rng.sample(vocab, 2)) for _, t in license_scan.TEMPLATES if len(t) > 60]
+    scored = {r.segment for r in license_scan.score_segments(spark.createDataFrame([(s,) for s in set(segs)], "segment string")).collect()}
+    known = set(license_scan.anchors())
+    assert scored and all(known & set(s.split(" ")) for s in scored)
 
 
 # --- 3
