@@ -19,7 +19,6 @@ shard: SHARD rows or SHARD_BYTES of text and one document more.
 from __future__ import annotations
 
 import json
-import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._scratch import Scratch, parts
-from ._text import blocks, mix
+from ._text import Block, blocks, mix
 
 WINDOW, END = 4096, 2
 SHARD, SHARD_BYTES = 1024, 16 << 20  #: documents and bytes of a shard
@@ -39,10 +38,8 @@ PART_BYTES = 64 << 20  #: bytes of text in a partition, about
 SLOTS = 1 << 20  #: counters of document frequencies
 K1, B = 1.2, 0.75
 RARITY = 3  #: power of the inverse document frequency that weighs words for shard keys
-CACHE = 450_000  #: words in each of the two generations of an encoder's memory
-#: Where a stop or comma need not be a piece of its own: beside another character that is no letter, number or white space.
-_BESIDE = re.compile(r"(?:[^\w\s]|_)(?:[^\w\s]|_)|[\x1c-\x1f]")
-_FAST = {  # what ``words`` relies on
+CACHE = 600_000  #: words in each of the two generations of an encoder's memory
+_FAST = {  # what the encoder of words relies on
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
     "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
 }
@@ -52,9 +49,9 @@ class Encoder(dict):
     """word -> its ids as little-endian unsigned 32-bit bytes, all of them the library's.
 
     A tokenizer that normalises to NFC, lower-cases, drops white space and cuts at it, and cuts between letters and other
-    characters, gives a text the ids of its words; and a stop or comma beside a letter or number is a word of its own. So words
-    are encoded by the library once, many in a call with a mark between them, and remembered. Texts with one of the tokenizer's
-    own added tokens, and all texts of tokenizers of other kinds, go to the library whole."""
+    characters, gives a text the ids of its words, and letters with a stop or comma the ids of both. So words are encoded by the
+    library once, many in a call, and remembered. Texts with one of the tokenizer's own added tokens, and all texts of tokenizers
+    of other kinds, go to the library whole."""
 
     MARK = "\x01"
 
@@ -70,6 +67,13 @@ class Encoder(dict):
         mark = self.tok.encode(self.MARK, add_special_tokens=False).ids
         self.fast = spec.get("normalizer") == _FAST["normalizer"] and pre[0].get("pattern") == {"Regex": _FAST["pattern"]} and len(mark) == 1 and not any(t.get("normalized") for t in spec.get("added_tokens") or [])
         self.mark = mark[0] if mark else -1
+        model = spec["model"]
+        end = model.get("end_of_word_suffix")
+        # which ids end a word: letters only are one piece, so such words need no mark between them
+        self.ends = np.zeros(max(model["vocab"].values(), default=0) + 1, bool) if end and isinstance(model["vocab"], dict) else None
+        if self.ends is not None:
+            self.ends[[i for t, i in model["vocab"].items() if t.endswith(end)]] = True
+        self.points = {t: self._whole(t) for t in ("", ".", ",")}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -83,8 +87,6 @@ class Encoder(dict):
         """What the text's ids come from, or None: the text as a whole."""
         if not self.fast or any(t in text for t in self.added):
             return None
-        if "Σ" not in text and "İ" not in text and unicodedata.is_normalized("NFC", text) and not _BESIDE.search(text):
-            text = text.lower().replace(".", " .").replace(",", " ,")
         return text.replace("\n", " ").split(" ")
 
     def learn(self, words: set[str]) -> None:
@@ -92,21 +94,45 @@ class Encoder(dict):
         if len(self) >= CACHE:
             self.old = dict(self)
             self.clear()
-        new = []
+        plain: set[str] = set()
+        other: list[str] = []
+        made: list[tuple[str, str, str]] = []
         for w in words:
-            if w not in self:
-                got = self.old.get(w)
-                if got is not None:
-                    self[w] = got
-                elif w and self.MARK not in w:
-                    new.append(w)
-        for lo in range(0, len(new), 8192):
-            part = new[lo : lo + 8192]
-            ids = np.array(self.tok.encode(f" {self.MARK} ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            if len(ends) == len(part):  # else they are encoded one by one when they come
-                raw, starts = ids.tobytes(), np.append(0, ends[:-1] + 1)
-                self.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, starts.tolist(), ends.tolist(), strict=True))
+            if w in self:
+                continue
+            got = self.old.get(w)
+            if got is not None:
+                self[w] = got
+                continue
+            core, point = (w[:-1], w[-1]) if w[-1:] in (".", ",") else (w, "")
+            if self.ends is not None and core.isalpha():
+                low = core.lower()
+                if core.isascii() or ("Σ" not in core and "İ" not in core and low.isalpha() and unicodedata.is_normalized("NFC", core)):
+                    if low not in self and low not in self.old:
+                        plain.add(low)
+                    if low != w:
+                        made.append((w, low, point))
+                    continue
+            if w and self.MARK not in w:
+                other.append(w)
+        for part, ids in self._together(list(plain), " "):
+            self._take(part, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
+        for part, ids in self._together(other, f" {self.MARK} "):
+            self._take(part, ids, np.append(np.flatnonzero(ids == self.mark), len(ids)), 1)
+        for w, low, point in made:
+            ids = self.get(low) or self.old.get(low)
+            if ids:
+                self[w] = ids + self.points[point]
+
+    def _together(self, words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
+        for lo in range(0, len(words), 8192):
+            part = words[lo : lo + 8192]
+            yield part, np.array(self.tok.encode_batch_fast([between.join(part)], add_special_tokens=False)[0].ids, "<u4")
+
+    def _take(self, words: list[str], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
+        if len(ends) == len(words):  # else they are encoded one by one when they come
+            raw, ends = ids.tobytes(), ends.tolist()
+            self.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, [0, *(e + gap for e in ends)], ends, strict=False))
 
     def ids(self, text: str) -> bytes:
         words = self.words(text)
@@ -156,17 +182,22 @@ class Statistics:
     def shared(self, terms: np.ndarray) -> np.ndarray:
         return self.df[_slots(terms, len(self.df))] > 1
 
-    def keys(self, terms: np.ndarray) -> tuple[int, int]:
-        """Two words by weighted minwise hashing: of documents that share words the more likely equal, the rarer those are."""
-        uniq = np.unique(terms)
-        uniq = uniq[self.shared(uniq)]
-        if not len(uniq):
-            return 0, 0
-        u = ((mix(uniq ^ np.uint64(0x7C1D)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
-        clock = -np.log(u) / np.maximum(self.idf(uniq), 1e-9) ** RARITY
-        best = np.argsort(clock, kind="stable")[:2]
-        k = mix(uniq[best]).view(np.int64).tolist()
-        return k[0], k[-1]
+    def keys(self, b: Block) -> np.ndarray:
+        """Two words of each text by weighted minwise hashing: of texts that share words the more likely equal, the rarer those
+        are. 0 without words that others have."""
+        u = ((mix(b.words ^ np.uint64(0x7C1D)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
+        clock = -np.log(u) / np.maximum(self.idf(b.words), 1e-9) ** RARITY
+        clock[~self.shared(b.words)] = np.inf
+        out = np.zeros((b.n, 2), np.int64)
+        has = np.flatnonzero(b.n_words > 0)
+        for j in range(2 if len(has) else 0):
+            least = np.minimum.reduceat(clock, b.bounds[has])
+            of = np.repeat(least, b.n_words[has])
+            at = np.flatnonzero((clock == of) & np.isfinite(clock))
+            text = b.doc_of_word[at]
+            out[text, j] = mix(b.words[at]).view(np.int64)
+            clock[at] = np.inf  # all places of the word
+        return np.where(out[:, 1:] == 0, out[:, :1], out) if len(out) else out
 
 
 class Index:
@@ -198,7 +229,8 @@ class Index:
         q = self.queries[i]
         if not len(q):
             return q
-        at = np.concatenate([np.arange(self.at[t], self.at[t + 1]) for t in q])
+        first, n = self.at[q], self.df[q]
+        at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
         score = np.bincount(self.doc[at], self.weight[at], self.n) * unused
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")]
@@ -255,8 +287,9 @@ def statistics(docs: DataFrame, slots: int = SLOTS) -> Statistics:
         for batch in batches:
             for _, _, b in blocks(batch.column(0), lower=True):
                 slot = (b.words % np.uint64(slots)).astype(np.int64)
-                own = np.unique(b.doc_of_word * slots + slot) % slots  # a document's words, each once
-                df += np.bincount(own, minlength=slots)
+                own = np.sort(b.doc_of_word * slots + slot)
+                own = own[np.append(True, own[1:] != own[:-1])[: len(own)]]  # a document's words, each once
+                np.add.at(df, own % slots, 1)
                 n, words = n + b.n, words + len(slot)
         at = np.flatnonzero(df)
         # two places beyond the slots hold the numbers of documents and words
@@ -272,7 +305,7 @@ def statistics(docs: DataFrame, slots: int = SLOTS) -> Statistics:
 def _keyed(docs: DataFrame, stats: Statistics) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.array([stats.keys(t) for t in _terms(batch.column(1))], np.int64).reshape(-1, 2)
+            keys = np.concatenate([np.zeros((0, 2), np.int64), *(stats.keys(b) for _, _, b in blocks(batch.column(1), lower=True))])
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), *batch.columns], names=["k1", "k2", "h", "text", "doc_id", "size"])
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
