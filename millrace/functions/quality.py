@@ -208,3 +208,17 @@ def threshold_issues(score: Column, mean_chars: Column, empty_ratio: Column) ->
 def chunk_quality(text: Column) -> Column:
     """Coherence and accuracy of a chunk's text in equal parts."""
     return F.round(0.5 * coherence(text) + 0.5 * accuracy(text), 4)
+
+
+def quality_report(score: Column, text: Column, pages: Column, least: float = 0.95, least_chars: int = 1000, most_empty: float = 0.05) -> Column:
+    """struct of the checks of one extraction: score, length status, page coverage, and recommendations."""
+    n = F.length(text)
+    k = F.size(pages)
+    mean = F.aggregate(pages, F.lit(0).cast("long"), lambda a, p: a + p["char_count"]) / F.greatest(k, F.lit(1))
+    empty = F.size(F.filter(pages, lambda p: p["char_count"] < 50))
+    some = k > 0
+    advice = F.array_compact(F.array(F.when(score < least, "Consider re-extracting with different settings or OCR"), F.when(some & (mean < least_chars), "Check for figure-heavy pages or extraction issues")))
+    return F.struct(
+        score.alias("overall_score"), (score >= least).alias("score_passed"), n.cast("long").alias("length"), F.when(n > 10000, "good").when(n > 5000, "adequate").otherwise("low").alias("length_status"),
+        F.when(some, F.round(mean)).alias("avg_chars_per_page"), F.when(some, empty).cast("long").alias("empty_pages"), F.when(some, (mean >= least_chars) & (empty / k <= most_empty)).alias("coverage_passed"), advice.alias("recommendations"),
+    )

@@ -55,8 +55,30 @@ def normalise_whitespace(text: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
 
 
+# Currency signs and their names.
+CURRENCIES = {
+    "€": "EUR", "£": "GBP", "¥": "JPY/CNY", "₹": "INR", "₩": "KRW", "₽": "RUB", "¢": "cent", "₣": "FRF", "₤": "GBP", "₦": "NGN", "₧": "ESP", "₨": "INR/PKR", "₪": "ILS", "₫": "VND", "₭": "LAK", "₮": "MNT", "₯": "GRD", "₰": "PF",
+    "₱": "PHP", "₲": "PYG", "₳": "ARA", "₴": "UAH", "₵": "GHS", "₸": "KZT", "₺": "TRY", "₼": "AZN", "₾": "GEL",
+}
+
+
 def special_characters(text: Column) -> Column:
-    return replace_all(replace_all(replace_all(text, FRACTIONS), ROMAN), ARROWS)
+    return replace_all(replace_all(replace_all(replace_all(text, FRACTIONS), CURRENCIES), ROMAN), ARROWS)
+
+
+def remove_extra_headers(text: Column) -> Column:
+    """Without lines of digits only, and without lines, but for the last one, that begin like those of a conference."""
+    lines = F.split(text, "\n")
+    head = lambda x, i: x.rlike(r"^(?i:proceedings|conference|workshop|©)") & (i < F.size(lines) - 1)
+    return F.array_join(F.filter(lines, lambda x, i: ~(x.rlike(r"^[ \t\r\f]*[0-9]+[ \t\r\f]*$") | head(x, i))), "\n")
+
+
+def duration(seconds: Column) -> Column:
+    """``42s``, ``3m 5s`` or ``2h 7m``."""
+    return (
+        F.when(seconds < 60, F.format_string("%.0fs", seconds.cast("double"))).when(seconds < 3600, F.format_string("%.0fm %.0fs", (seconds / 60).cast("double"), F.pmod(seconds, F.lit(60)).cast("double")))
+        .otherwise(F.format_string("%.0fh %.0fm", (seconds / 3600).cast("double"), (F.pmod(seconds, F.lit(3600)) / 60).cast("double")))
+    )
 
 
 def fix_encoding(text: Column) -> Column:
@@ -168,15 +190,18 @@ def rtl_marked(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, "\n"), lambda x: F.when(x.rlike("[֐-ݏ]"), F.concat(F.lit("‫"), x, F.lit("‬"))).otherwise(x)), "\n")
 
 
-# Lines that a download or a licence puts on every page.
-WATERMARKS = (r"(?i)downloaded from", r"(?i)copyright ©?", r"(?i)all rights reserved", r"(?i)confidential", r"(?i)do not distribute", r"(?i)draft", r"(?i)licensed (?:to|under)", r"(?i)personal use only", r"(?i)preprint", r"(?i)under review")
+# What publishers put on every page.
+WATERMARKS = (
+    r"(?i)this is a pre[- ]?print of the paper accepted for publication in", r"(?i)pre[- ]?print", r"(?i)accepted for publication", r"(?i)under review", r"(?i)copyright [0-9]{4}", r"(?i)arxiv:[0-9]{4}\.[0-9]+",
+    r"(?i)doi:[ \t]*10\.[0-9]+", r"(?i)https?://(?:www\.)?arxiv\.org/abs/", r"(?i)received.*?accepted.*?published", r"(?i)peer-review under responsibility of", r"(?i)all rights reserved", r"(?i)© [0-9]{4}",
+)
 
 
 def is_watermark(line: Column) -> Column:
-    """Shorter than 200 characters, and more than half of it one watermark pattern and what follows it up to a stop."""
+    """Shorter than 200 characters, and more than half of it matches of the patterns, added up."""
     hit = F.lit(0)
     for p in WATERMARKS:
-        hit = F.greatest(hit, F.length(F.regexp_extract(line, f"({p}[^.]*)", 1)))
+        hit = hit + F.length(line) - F.length(F.regexp_replace(line, p, ""))
     return (F.length(line) < 200) & (hit * 2 > F.length(line))
 
 

@@ -38,9 +38,9 @@ def fixed_spans(text: str, size: int = SIZE, overlap: int = OVERLAP, least: int
                     end = ahead.end()
         if len(text[start:end].strip()) >= least:
             out.append((start, end))
-        if end >= n or end - overlap <= start:
+        if end >= n:
             break
-        start = end - overlap
+        start = end - overlap if end - overlap > start else end
     return out
 
 

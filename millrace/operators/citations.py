@@ -13,12 +13,13 @@ from ..functions import identifiers as I
 from ..functions import text as T
 from .structure import lines
 
-MARK = r"\[[0-9]+(?:[, \-][0-9]+)*\]"
+_LIST = r"[0-9]+(?:[, \t\n\r\f\-][0-9]+)*"
+MARK = rf"\[{_LIST}\]|\({_LIST}\)"
 CONTEXT = 100
 
 
 def marks(text: Column) -> Column:
-    """Bracketed citation marks; their separators are single characters."""
+    """Citation marks in brackets; their separators are single characters."""
     return F.regexp_extract_all(text, F.lit(f"({MARK})"), F.lit(1))
 
 
@@ -29,13 +30,15 @@ def numbers(mark: Column) -> Column:
 
 
 def citations(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, place, mark, position, context, numbers. Positions come from what stands between the marks."""
+    """key, place, mark, position, context, numbers, of marks that have a number from 1 to 1000. Positions come from what stands
+    between the marks."""
     cut = F.split("text", MARK)
     rows = docs.select(key, "text", marks(F.col("text")).alias("m"), cut.alias("c"))
     pos = F.transform("m", lambda x, i: F.aggregate(F.slice("c", F.lit(1), i + 1), F.lit(0), lambda a, s: a + F.length(s)) + F.aggregate(F.slice("m", F.lit(1), i), F.lit(0), lambda a, s: a + F.length(s)))
     one = rows.select(key, "text", F.posexplode(F.arrays_zip(F.col("m").alias("mark"), pos.alias("position"))).alias("place", "z")).select(key, "text", "place", "z.mark", "z.position")
     around = F.substring(F.col("text"), F.greatest(F.lit(1), F.col("position") + 1 - CONTEXT), F.length("mark") + F.least(F.col("position"), F.lit(CONTEXT)) + CONTEXT)
-    return one.select(key, F.col("place").cast("long").alias("place"), "mark", F.col("position").cast("long").alias("position"), around.alias("context"), numbers(F.col("mark")).alias("numbers"))
+    out = one.select(key, F.col("place").cast("long").alias("place"), "mark", F.col("position").cast("long").alias("position"), around.alias("context"), numbers(F.col("mark")).alias("numbers"))
+    return out.where(F.size("numbers") > 0)
 
 
 def parse_reference(raw: Column) -> Column:

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+from ..sources.shared import scratch_dir
 
 
 def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -49,12 +57,23 @@ def offsets(df: DataFrame, key: str, order: str, length: Column, gap: int = 2) -
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
-    """Global positions from 0 without a single-task window: rows are range partitioned and each partition's offset is the
-    number of rows before it. One count per partition is broadcast."""
-    parted = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p").orderBy(*order)
-    local = parted.withColumn("_i", F.row_number().over(w) - 1)
-    before = local.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    """Global positions from 0 without a single-task window: rows are range partitioned once and stored with their partition
+    and their place in it, so that all that follows reads the same ones; a partition's offset is the number of rows before it,
+    one count per partition, which are broadcast."""
+    spark, names = df.sparkSession, [*df.columns, "_p", "_i"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, i = TaskContext.get().partitionId(), 0
+        for b in batches:
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(n, p, np.int32)), pa.array(np.arange(i, i + n))], names=names)
+            i += n
+
+    schema = StructType([*df.schema.fields, StructField("_p", IntegerType()), StructField("_i", LongType())])
+    path = scratch_dir(spark)
+    df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema).write.parquet(path)
+    local = spark.read.schema(schema).parquet(path)
+    before = local.groupBy("_p").agg((F.max("_i") + 1).alias("_n"))
     before = before.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     return local.join(F.broadcast(before.select("_p", "_before")), "_p").withColumn(name, (F.col("_i") + F.col("_before")).cast("long")).drop("_p", "_i", "_before")
 

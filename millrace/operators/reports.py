@@ -78,10 +78,9 @@ def improvements(docs: DataFrame, seconds: Column, chars: Column, quality: Colum
 def keyword_fallback(docs: DataFrame, key: str = "doc_id", k: int = 10) -> DataFrame:
     """key, rank, word: the most frequent words of four letters or more that make up less than 5 % of a text; of equally
     frequent ones the earlier."""
+    # texts are dealt out by key once; their words then never leave their partition
     words = F.regexp_extract_all(F.lower("text"), F.lit(f"({T.WORD})"), F.lit(1))
-    rows = docs.select(key, F.posexplode(words).alias("pos", "word"))
-    c = rows.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
-    c = c.withColumn("total", F.sum("n").over(Window.partitionBy(key)))
-    c = c.where((F.length("word") >= 4) & (F.col("n") < 0.05 * F.col("total")))
+    rows = docs.select(key, "text").repartition(key).select(key, words.alias("w")).select(key, F.size("w").alias("total"), F.posexplode("w").alias("pos", "word")).where(F.length("word") >= 4)
+    c = rows.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"), F.first("total").alias("total")).where(F.col("n") < 0.05 * F.col("total"))
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "first", "word"))), 1, k)
     return c.groupBy(key).agg(best.alias("b")).select(key, F.posexplode("b").alias("rank", "r")).select(key, (F.col("rank") + 1).cast("long").alias("rank"), "r.word", (-F.col("r.n")).cast("long").alias("n"))

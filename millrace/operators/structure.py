@@ -9,11 +9,12 @@ from pyspark.sql.types import StructType
 
 from ..functions import text as T
 
-# Section names and how their headers begin.
+# Section names and the headers that open them.
 NAMES = {
-    "Abstract": ("abstract", "summary"), "Introduction": ("introduction", "background", "motivation"), "Related Work": ("related work", "literature review", "prior work"),
-    "Methods": ("method", "methodology", "approach", "materials and methods"), "Experiments": ("experiment", "experimental setup", "evaluation"), "Results": ("result", "findings"),
-    "Discussion": ("discussion", "analysis"), "Conclusion": ("conclusion", "concluding remarks", "future work"), "References": ("references", "bibliography", "works cited"), "Appendix": ("appendix", "supplementary"),
+    "Abstract": ("abstract",), "Introduction": ("introduction",), "Background": ("background",), "Related Work": ("related work", "related works", "related literature", "literature review"), "Methodology": ("methodology",),
+    "Methods": ("methods", "method"), "Approach": ("approach",), "Implementation": ("implementation",), "Results": ("results", "result"), "Discussion": ("discussion",), "Conclusion": ("conclusion", "conclusions"),
+    "References": ("references", "bibliography", "reference", "works cited"), "Appendix": ("appendix", "appendices", "supplementary", "supplement"), "Preliminaries": ("preliminaries",), "Experiments": ("experimental setup", "experiments"),
+    "Evaluation": ("evaluation",), "Analysis": ("analysis",), "Future Work": ("future work",), "Limitations": ("limitations",), "Acknowledgments": ("acknowledgments", "acknowledgements"),
 }
 # Kinds of numbered and unnumbered headings, in the order they are tried; level of each.
 HEADINGS = (
@@ -31,7 +32,7 @@ def heading_name(line: Column) -> Column:
     for name, starts in reversed(NAMES.items()):
         hit = F.lit(False)
         for s in starts:
-            hit = hit | (bare == s) | (bare == s + "s") | ((F.length(bare) < 40) & F.startswith(bare, F.lit(s + " ")) & line.rlike("^[0-9A-Z]"))
+            hit = hit | (bare == s) | ((F.length(bare) < 40) & F.startswith(bare, F.lit(s + " ")) & line.rlike("^[0-9A-Z]"))
         out = F.when(hit, name).otherwise(out)
     return F.when(fits, F.when(line.rlike(r"^\[1\]"), "References").otherwise(out))
 
@@ -45,11 +46,15 @@ def lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def sections(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, section, start_char, end_char, text: the stretches between headers, the first one Introduction; empty ones go."""
+    """key, section, start_char, end_char, text: the stretches between headers, the first one Introduction; empty ones go. A line
+    that begins with ``[1]`` opens the references, but within them it is an entry."""
     rows = lines(docs, key).withColumn("name", heading_name(F.col("value")))
     w = Window.partitionBy(key).orderBy("line")
+    before = F.coalesce(F.last("name", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(""))
+    entry = (F.col("name") == "References") & F.col("value").rlike(r"^\[1\]") & (before == "References")
+    rows = rows.withColumn("name", F.when(~F.coalesce(entry, F.lit(False)), F.col("name"))).withColumn("header", F.col("name").isNotNull())
     rows = rows.withColumn("island", F.sum(F.col("name").isNotNull().cast("int")).over(w)).withColumn("name", F.coalesce(F.last("name", ignorenulls=True).over(w), F.lit("Introduction")))
-    body = rows.where(heading_name(F.col("value")).isNull())
+    body = rows.where("not header")
     out = body.groupBy(key, "island", "name").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("l"), F.min("start").alias("start_char"))
     text = F.array_join(F.transform("l", lambda x: x["value"]), "\n")
     return out.select(key, F.col("name").alias("section"), "start_char", (F.col("start_char") + F.length(text)).cast("long").alias("end_char"), text.alias("text")).where(T.strip(F.col("text")) != "")

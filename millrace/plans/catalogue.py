@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chunks, corpus, embeddings, extraction, relations, texts  # noqa: F401  they register their queries
+from . import chunks, corpus, embeddings, extraction, papers, relations, texts  # noqa: F401  they register their queries
 from .registry import QUERIES, SQL, Query
 
 

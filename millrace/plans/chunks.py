@@ -9,9 +9,17 @@ from ..functions import text as T
 from ..operators import chunking as K
 from ..streaming import incremental
 from .registry import query, table
+from .texts import _SENT, _STRIP, _WORDS
 
 
-@query()
+_SENTENCES = f"""WITH r AS (SELECT doc_id, list_reduce(list_transform({_SENT.format('text')}, lambda x: {{'d': CAST([] AS VARCHAR[]), 'c': [x], 'n': length(x) + 1}}),
+  lambda a, b: CASE WHEN a.n + b.n - 1 > {K.SIZE} THEN {{'d': list_append(a.d, array_to_string(a.c, ' ')), 'c': list_concat(a.c[len(a.c) - list_max(list_filter(generate_series(0, len(a.c)), lambda k: k = 0 OR length(array_to_string(a.c[len(a.c) - k + 1:], ' ')) <= {K.OVERLAP})) + 1:], b.c),
+    'n': (coalesce(list_sum(list_transform(a.c[len(a.c) - list_max(list_filter(generate_series(0, len(a.c)), lambda k: k = 0 OR length(array_to_string(a.c[len(a.c) - k + 1:], ' ')) <= {K.OVERLAP})) + 1:], lambda y: length(y) + 1)), 0) + b.n)::BIGINT}}
+  ELSE {{'d': a.d, 'c': list_concat(a.c, b.c), 'n': a.n + b.n}} END) AS s FROM documents WHERE len({_SENT.format('text')}) > 0), c AS (SELECT doc_id, list_filter(list_append(s.d, array_to_string(s.c, ' ')), lambda x: length(x) >= {K.LEAST}) AS l FROM r)
+  SELECT doc_id, unnest(generate_series(0, len(l) - 1)) AS chunk_index, unnest(list_transform(l, lambda x: length(x)))::BIGINT AS n, unnest(list_transform(l, lambda x: md5(x))) AS digest FROM c"""
+
+
+@query(_SENTENCES)
 def sentence_chunks(spark: SparkSession, d: str) -> DataFrame:
     c = K.by_sentence(table(spark, d, "documents"))
     return c.select("doc_id", "chunk_index", F.length("text").cast("long").alias("n"), F.md5("text").alias("digest"))
@@ -36,7 +44,14 @@ def split_short_untouched(spark: SparkSession, d: str) -> DataFrame:
     return g.where("n_whole = 1").select("doc_id", F.lit(0).alias("n_long"), "n_whole")
 
 
-@query()
+_SPLIT = rf"""WITH p AS (SELECT doc_id, text, length(text) > 1500 AS long, list_reduce(list_transform(string_split(regexp_replace(text, '([.!?])[ \t\n\r\f]+', '\1␞', 'g'), '␞'), lambda x: {{'d': CAST([] AS VARCHAR[]), 'c': x}}),
+  lambda a, b: CASE WHEN a.c <> '' AND length(a.c) + length(b.c) + 1 > 1500 THEN {{'d': list_append(a.d, a.c), 'c': b.c}} ELSE {{'d': a.d, 'c': CASE WHEN a.c = '' THEN b.c ELSE a.c || ' ' || b.c END}} END) AS s FROM documents),
+  l AS (SELECT doc_id, CASE WHEN long THEN list_transform(list_append(s.d, s.c), lambda x: {_STRIP.format('x')}) ELSE [text] END AS l FROM p),
+  u AS (SELECT doc_id, len(l) AS k, unnest(l) AS x, generate_subscripts(l, 1) - 1 AS i FROM l)
+  SELECT doc_id, CASE WHEN k > 1 THEN '0.' || i ELSE '0' END AS chunk_index, k > 1 AS is_split, k::BIGINT AS split_total, length(x)::BIGINT AS chunk_length, len({_WORDS.format('x')})::BIGINT AS word_count FROM u"""
+
+
+@query(_SPLIT)
 def split_oversize(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "documents").select("doc_id", F.lit(0).alias("chunk_index"), "text")
     return K.parts_of_chunks(c, 1500).select("doc_id", "chunk_index", "is_split", "split_total", "chunk_length", "word_count")

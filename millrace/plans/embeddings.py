@@ -31,11 +31,11 @@ def vector_pad_truncate(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""SELECT query_id, rank, vec_id, score FROM (SELECT q.vec_id AS query_id, b.vec_id, round(list_cosine_similarity({_D.format('q.embedding')}, {_D.format('b.embedding')}), 6)::DOUBLE AS score,
-  row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity({_D.format('q.embedding')}, {_D.format('b.embedding')}), 6) DESC, b.vec_id) AS rank FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id < 10) WHERE rank <= 5""")
+  row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity({_D.format('q.embedding')}, {_D.format('b.embedding')}), 6) DESC, b.vec_id) AS rank FROM embeddings q JOIN embeddings b ON q.vec_id <> b.vec_id WHERE q.vec_id % 50 = 0) WHERE rank <= 5""")
 def topk_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    """Ten stated queries against all rows. An extension."""
+    """The rows whose id is divisible by 50 as queries, against all rows. An extension."""
     e = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return V.nearest(e.where("id < 10"), e, 5)
+    return V.nearest(e.where("id % 50 = 0"), e, 5)
 
 
 @query()

@@ -65,10 +65,12 @@ def identifier_totals(spark: SparkSession, d: str) -> DataFrame:
     return enriched(spark, d).select("doc_id", I.identifiers(F.col("text")).alias("i")).select("doc_id", F.size("i.urls").cast("long").alias("n_urls"), F.size("i.emails").cast("long").alias("n_emails"))
 
 
-_MARKS = r"regexp_extract_all(text, '\[[0-9]+(?:[, \-][0-9]+)*\]')"
+_MARKS = r"regexp_extract_all(text, '\[[0-9]+(?:[, \t\n\r\f\-][0-9]+)*\]|\([0-9]+(?:[, \t\n\r\f\-][0-9]+)*\)')"
+#: Marks without a number from 1 to 1000 are no citations.
+_CITES = r"len(list_filter(regexp_extract_all(mark, '[0-9]+'), lambda x: coalesce(TRY_CAST(x AS BIGINT), 0) BETWEEN 1 AND 1000)) > 0"
 
 
-@query(f"SELECT doc_id, place - 1 AS place, mark FROM (SELECT doc_id, unnest({_MARKS}) AS mark, generate_subscripts({_MARKS}, 1) AS place FROM {_E})")
+@query(f"SELECT doc_id, place - 1 AS place, mark FROM (SELECT doc_id, unnest({_MARKS}) AS mark, generate_subscripts({_MARKS}, 1) AS place FROM {_E}) WHERE {_CITES}")
 def citation_mentions(spark: SparkSession, d: str) -> DataFrame:
     return C.citations(enriched(spark, d)).select("doc_id", "place", "mark")
 

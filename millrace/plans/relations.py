@@ -164,11 +164,12 @@ def repeated_runs(spark: SparkSession, d: str) -> DataFrame:
     return r.where("run_length >= 2 and run_place <= run_length - 1").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH l AS (SELECT conv_id, turn, list_distinct(list_filter(list_concat(ls[1:3], ls[greatest(1, len(ls) - 2):]), lambda x: x <> '')) AS ends FROM (SELECT conv_id, turn, list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g')) AS ls FROM conversations)),
+@query("""WITH l AS (SELECT conv_id, turn, list_distinct(list_filter(list_concat(ls[1:3], ls[greatest(1, len(ls) - 2):]), lambda x: x <> '')) AS ends FROM (SELECT conv_id, turn, list_transform(string_split('Head of ' || conv_id || chr(10) || text || CASE WHEN turn % 4 = 0 THEN '' ELSE chr(10) || ' foot ' END, chr(10)), lambda x: regexp_replace(x, '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g')) AS ls FROM conversations)),
   v AS (SELECT conv_id, line, count(DISTINCT turn) AS votes FROM (SELECT conv_id, turn, unnest(ends) AS line FROM l) GROUP BY 1, 2), n AS (SELECT conv_id, count(DISTINCT turn) AS parts FROM conversations GROUP BY 1)
   SELECT conv_id, line, votes, parts FROM v JOIN n USING (conv_id) WHERE votes >= greatest(2, floor(parts * 0.7))""")
 def header_footer_votes(spark: SparkSession, d: str) -> DataFrame:
-    return S.voted_lines(table(spark, d, "conversations"), "conv_id", "turn").select("conv_id", "line", "votes", "parts")
+    text = F.concat(F.lit("Head of "), F.col("conv_id").cast("string"), F.lit("\n"), F.col("text"), F.when(F.col("turn") % 4 == 0, "").otherwise("\n foot "))
+    return S.voted_lines(table(spark, d, "conversations").withColumn("text", text), "conv_id", "turn").select("conv_id", "line", "votes", "parts")
 
 
 @query("SELECT n_name AS name FROM nation UNION SELECT r_name FROM region")
@@ -181,12 +182,12 @@ def events_hourly(spark: SparkSession, d: str) -> DataFrame:
     return incremental.windowed_counts(table(spark, d, "events"), "ts", ["event_type"])
 
 
-@query("SELECT c.conv_id, c.turn, b.item_id FROM conversations c JOIN benchmark b ON lower(trim(c.text)) = lower(trim(b.text))")
+@query("SELECT c.item_id AS query_id, b.item_id FROM benchmark c JOIN benchmark b ON lower(trim('  ' || c.text || ' ')) = lower(trim(b.text))")
 def benchmark_lookup(spark: SparkSession, d: str) -> DataFrame:
     key = lambda c: F.lower(F.trim(c))
-    c = table(spark, d, "conversations").withColumn("k", key(F.col("text"))).select("conv_id", "turn", "k")
-    b = table(spark, d, "benchmark").withColumn("k", key(F.col("text"))).select("item_id", "k")
-    return c.join(b, "k").drop("k")
+    b = table(spark, d, "benchmark")
+    asked = b.select(F.col("item_id").alias("query_id"), key(F.concat(F.lit("  "), F.col("text"), F.lit(" "))).alias("k"))
+    return asked.join(b.select("item_id", key(F.col("text")).alias("k")), "k").drop("k")
 
 
 @query("SELECT doc_id, text IS NOT NULL AND length(text) >= 50 AS kept_by_length, NOT starts_with(source, '._') AS kept_by_name, CASE WHEN n_chars <= 2000 * 5 THEN 0.70 WHEN n_chars > 2000 * 30 THEN 0.90 ELSE 0.85 END::DOUBLE AS ocr_threshold FROM documents")

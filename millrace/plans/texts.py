@@ -31,11 +31,11 @@ def _digest(key: str, name: str, column):
 
 
 #: documents with the characters that the normalising functions are about
-_RICH = "text || ' ½ Ⅳ → “x” ﬁ n² H₂O  a\u00a0b\u2009c ' || chr(10) || chr(10) || chr(10) || chr(10) || doc_id"
+_RICH = "text || ' €5 ₿ £ ½ Ⅳ → “x” ﬁ n² H₂O  a\u00a0b\u2009c ' || chr(10) || chr(10) || chr(10) || chr(10) || doc_id"
 
 
 def _rich(spark: SparkSession, d: str) -> DataFrame:
-    t = F.concat(F.col("text"), F.lit(" ½ Ⅳ → “x” ﬁ n² H₂O  a\u00a0b\u2009c \n\n\n\n"), F.col("doc_id").cast("string"))
+    t = F.concat(F.col("text"), F.lit(" €5 ₿ £ ½ Ⅳ → “x” ﬁ n² H₂O  a\u00a0b\u2009c \n\n\n\n"), F.col("doc_id").cast("string"))
     return table(spark, d, "documents").select("doc_id", t.alias("text"))
 
 
@@ -60,7 +60,7 @@ def whitespace_normalise(spark: SparkSession, d: str) -> DataFrame:
     return _rich(spark, d).select(*_digest("doc_id", "text", T.normalise_whitespace(F.col("text"))))
 
 
-@query(f"SELECT doc_id, md5(x) AS digest, length(x)::BIGINT AS n FROM (SELECT doc_id, {_replaced(_replaced(_replaced(_RICH, T.FRACTIONS), T.ROMAN), T.ARROWS)} AS x FROM documents)")
+@query(f"SELECT doc_id, md5(x) AS digest, length(x)::BIGINT AS n FROM (SELECT doc_id, {_replaced(_replaced(_replaced(_replaced(_RICH, T.FRACTIONS), {"€": "EUR", "£": "GBP", "¥": "JPY/CNY", "¢": "cent", "₹": "INR"}), T.ROMAN), T.ARROWS)} AS x FROM documents)")
 def special_chars(spark: SparkSession, d: str) -> DataFrame:
     return _rich(spark, d).select(*_digest("doc_id", "text", T.special_characters(F.col("text"))))
 
@@ -114,9 +114,14 @@ def keyword_line(spark: SparkSession, d: str) -> DataFrame:
     return _keyed(spark, d).select("doc_id", T.keyword_line(F.col("text")).alias("keywords"))
 
 
-@query("SELECT doc_id, ['deep_learning'] AS tags FROM documents")
+_TOPICS = ("Transformer", "graph neural network", "nothing", "Reinforcement Learning")
+
+
+@query("SELECT doc_id, list_sort(list_distinct(list_filter([CASE doc_id % 4 WHEN 0 THEN 'deep_learning' WHEN 1 THEN 'graph_learning' WHEN 3 THEN 'reinforcement_learning' END, CASE WHEN doc_id % 3 = 0 THEN 'deep_learning' END], lambda x: x IS NOT NULL))) AS tags FROM documents")
 def domain_tags(spark: SparkSession, d: str) -> DataFrame:
-    return _keyed(spark, d).select("doc_id", T.domain_tags(T.keyword_line(F.col("text"))).alias("tags"))
+    k = F.col("doc_id")
+    line = F.concat(F.lit("Keywords: "), F.get(F.array(*map(F.lit, _TOPICS)), (k % 4).cast("int")), F.when(k % 3 == 0, "; ATTENTION").otherwise("; sources"))
+    return table(spark, d, "documents").select("doc_id", T.domain_tags(T.keyword_line(F.concat("text", F.lit("\n"), line))).alias("tags"))
 
 
 @query(r"""SELECT doc_id, list_filter([CASE WHEN len(regexp_extract_all(text, '\b[a-z] [A-Z][a-z]')) > 5 THEN 'broken_words' END, CASE WHEN len(regexp_extract_all(text, '[ \t]{2,}|\n{2,}')) * 20 > greatest(length(text), 1) THEN 'whitespace' END,
@@ -125,13 +130,26 @@ def artifact_flags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.artifact_flags(F.col("text")).alias("flags"))
 
 
-_MARK = " OR ".join(f"length(regexp_extract(x, '({p}[^.]*)', 1)) * 2 > length(x)" for p in T.WATERMARKS)
+_LINES = (
+    "Copyright 2021", "This is a preprint of the paper accepted for publication in Nature", "A long remark that only mentions a preprint in passing, and more", "arXiv:2505.01234", "Under review at some venue", "doi: 10.1234/abc", "https://arxiv.org/abs/2505.01234v2",
+    "Received 1 May; Accepted 2 June; Published 3 July", "Peer-review under responsibility of the committee", "All rights reserved.", "© 2020 ACM", "Pre-print. Accepted for publication", "downloaded from a server", "confidential draft",
+)
+_MARK = "+".join(
+    rf"length(x) - length(regexp_replace(x, '(?i){p}', '', 'g'))"
+    for p in (
+        "this is a pre[- ]?print of the paper accepted for publication in", "pre[- ]?print", "accepted for publication", "under review", "copyright [0-9]{4}", r"arxiv:[0-9]{4}\.[0-9]+", r"doi:[ \t]*10\.[0-9]+",
+        r"https?://(?:www\.)?arxiv\.org/abs/", "received.*?accepted.*?published", "peer-review under responsibility of", "all rights reserved", "© [0-9]{4}",
+    )
+)
+_MARKED = "text || chr(10) || (" + str([*_LINES]) + ")[1 + doc_id % " + str(len(_LINES)) + "]"
 
 
-@query(f"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: length(x) < 200 AND ({_MARK}))) AS n_marks, length(array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT (length(x) < 200 AND ({_MARK}))), chr(10)))::BIGINT AS n_left FROM documents")
+@query(f"SELECT doc_id, len(list_filter(l, lambda x: length(x) < 200 AND ({_MARK}) * 2 > length(x))) AS n_marks, length(array_to_string(list_filter(l, lambda x: NOT (length(x) < 200 AND ({_MARK}) * 2 > length(x))), chr(10)))::BIGINT AS n_left FROM (SELECT doc_id, string_split({_MARKED}, chr(10)) AS l FROM documents)")
 def watermark_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = F.split("text", "\n")
-    return table(spark, d, "documents").select("doc_id", F.size(F.filter(lines, T.is_watermark)).cast("long").alias("n_marks"), F.length(T.remove_watermarks(F.col("text"))).cast("long").alias("n_left"))
+    """Documents with a line at their end that may be a watermark."""
+    extra = F.get(F.array(*map(F.lit, _LINES)), (F.col("doc_id") % len(_LINES)).cast("int"))
+    docs = table(spark, d, "documents").select("doc_id", F.concat("text", F.lit("\n"), extra).alias("text"))
+    return docs.select("doc_id", F.size(F.filter(F.split("text", "\n"), T.is_watermark)).cast("long").alias("n_marks"), F.length(T.remove_watermarks(F.col("text"))).cast("long").alias("n_left"))
 
 
 @query(r"""SELECT doc_id, length(array_to_string(list_filter(l, lambda x, i: NOT (regexp_matches(x, '^[ \t]*(?:[Pp]age[ \t]+)?[0-9]{1,4}[ \t]*$') OR ((i <= 3 OR i > len(l) - 2) AND regexp_matches(x, 'arXiv:[0-9]{4}\.[0-9]+')))), chr(10)))::BIGINT AS n

@@ -9,6 +9,14 @@ from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new place below ``spark.checkpoint.dir``; a local one only where none is set, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
-    return f"{base.rstrip('/')}/scratch/{uuid.uuid4().hex}"
+    """A new place below ``spark.checkpoint.dir``, which is deleted when the driver ends; a local one only in local mode and
+    where none is set, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="millrace-")
+    out = f"{base.rstrip('/')}/scratch/{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return out

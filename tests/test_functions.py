@@ -12,6 +12,7 @@ from millrace.operators import chunking as K
 from millrace.operators import citations as C
 from millrace.operators import formulas as M
 from millrace.operators import layout as L
+from millrace.operators import papers as P
 from millrace.operators import relational as R
 from millrace.operators import structure as S
 from millrace.sources import readers
@@ -62,12 +63,34 @@ def test_arxiv_year(spark, i, year):
 
 
 def test_citation_positions(spark):
-    text = "See [1] and [2,3], not [2, 3x]. [1001] too"
+    text = "See [1] and [2,3], not [2, 3x]. [1001] too (7)"
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     got = [(r.mark, r.position, r.numbers) for r in C.citations(df).orderBy("place").collect()]
-    want = [(m.group(), m.start()) for m in re.finditer(r"\[\d+(?:[, \-]\d+)*\]", text)]
-    assert [g[:2] for g in got] == want
-    assert got[-1][2] == []
+    # marks in round brackets count too, those without a number from 1 to 1000 don't
+    want = [(m.group(), m.start()) for m in re.finditer(r"\[\d+(?:[, \-]\d+)*\]|\(\d+(?:[, \-]\d+)*\)", text) if "1001" not in m.group()]
+    assert [g[:2] for g in got] == want and len(want) == 3
+    assert [g[2] for g in got] == [[1], [2, 3], [7]]
+
+
+def test_windows_go_on_to_the_end():
+    text = "word " * 300
+    for size, overlap in ((60, 50), (100, 99), (512, 50), (50, 60)):
+        spans = K.fixed_spans(text, size, overlap, least=1, most=2 * size)
+        assert spans[-1][1] == len(text) and all(a[0] < b[0] <= a[1] for a, b in zip(spans, spans[1:]))
+
+
+def test_pages_take_the_lines_of_the_cleaned_text(spark):
+    df = spark.createDataFrame([([(1, "a\nb"), (2, "c"), (3, "d\ne")], "A\nB\nC\nD\nE\nF")], "pages array<struct<page int, text string>>, text string")
+    got = df.select(P.pages_of_cleaned(F.col("pages"), F.col("text")).alias("p")).first().p
+    assert [(r.page, r.text, r.char_count) for r in got] == [(1, "A\nB", 3), (2, "C", 1), (3, "D\nE\nF", 5)]
+
+
+def test_places_outside_all_spans(spark):
+    chunks = spark.createDataFrame([(1, 0, 0, 5), (1, 1, 12, 40), (2, 0, 0, 9)], "doc_id long, chunk_index int, char_start int, char_end int")
+    sections = spark.createDataFrame([(1, 3, 10, "A"), (1, 15, 30, "B")], "doc_id long, start long, end long, section string")
+    pages = spark.createDataFrame([(1, 0, 10, 1), (1, 12, 30, 2)], "doc_id long, start long, end long, page int")
+    got = sorted((r.chunk_id, r.section, r.page, r.section_end, r.page_end) for r in P.annotated(chunks, sections, pages).collect())
+    assert got == [("1_chunk_0", "Unknown", 1, "A", 1), ("1_chunk_1", "Unknown", 2, "B", 2), ("2_chunk_0", "Unknown", 1, "Unknown", 1)]
 
 
 def test_references(spark):
@@ -207,3 +230,12 @@ def test_nearest_of_every_fiftieth_row_collects_no_vectors(spark, monkeypatch):
     monkeypatch.setattr(type(base), "toPandas", None)
     got = vectors.nearest(base.where("id % 50 = 0"), base, 5, rows=64).collect()
     assert isinstance(base, DataFrame) and {(r.query_id, r.rank, r.vec_id) for r in got} == want
+
+
+def test_config(tmp_path):
+    from millrace.config import Config
+
+    p = tmp_path / "c.yaml"
+    p.write_text('# all\npaths:\n  pdf_dir: "/x"\n\nchunking:\n  chunk_size: 1024  # tokens\n  chunk_overlap: 100\ntext:\n  max_chunk_size: 1500\nmax_retries: 5\n')
+    c = Config.load(str(p))
+    assert (c.chunk_size, c.chunk_overlap, c.max_chunk_size, c.max_retries, c.min_chunk_size) == (1024, 100, 1500, 5, 200)
