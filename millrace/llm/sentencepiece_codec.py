@@ -7,9 +7,12 @@ character, and characters without a piece merge with nothing, a text falls into
 segment's result is remembered. Short segments that an Arrow batch brings anew go through their agendas in lock step, as
 rows of one matrix; long ones have a heap.
 
-The segments that a batch brings anew are checked against the sentencepiece library, and a difference is an error.
+The segments that a batch brings anew are checked against the sentencepiece library, their ids and what these decode to, and a
+difference is an error. A model of another kind, or with line ends within pieces, is refused.
 
-Null texts count as empty and have no ids. Repeated rows give repeated results. Extra columns are ignored.
+Null and empty texts have no ids and decode to nothing, an empty table gives an empty result. Texts of any length are encoded
+whole; memory holds one batch. Of equal scores the leftmost pair goes first. Repeated rows give repeated results. Extra columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -47,8 +50,8 @@ class Model:
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in self.special}
         self.score = [sp.get_score(i) for i in range(n)]
         chars = {c for p in self.ids for c in p}
-        if len(self.byte) != 256 or any(SPACE in p.lstrip(SPACE) for p in self.ids) or not chars <= set(self.ids):
-            raise ValueError("not a merge-type vocabulary with byte fallback and word-initial spaces")
+        if len(self.byte) != 256 or any(SPACE in p.lstrip(SPACE) for p in self.ids) or not chars <= set(self.ids) or any("\n" in p and p != "\n" for p in self.ids):
+            raise ValueError("not a merge-type vocabulary with byte fallback, word-initial spaces and no line ends within pieces")
         #: rank 0 is the best score; equal scores share a rank
         order = sorted({self.score[i] for i in self.ids.values()}, reverse=True)
         rank = {s: r for r, s in enumerate(order)}
@@ -143,12 +146,15 @@ class Codec(dict):
         mine = self.model.agendas(short) + [self.model.agenda(s) for s in long_]
         # the library starts a text with a space of its own, which a line end parts from the segment
         theirs = self.model.sp.encode(["\n" + s for s in new], num_threads=1)
+        back = self.model.sp.decode(theirs, num_threads=1) if theirs else []
         decimal, surface = self.model.decimal.__getitem__, self.model.surface.__getitem__
-        for s, ids, checked in zip(new, mine, theirs, strict=True):
+        for s, ids, checked, text in zip(new, mine, theirs, back, strict=True):
             if checked[2:] != ids:
                 raise AssertionError(f"the library encodes {s!r} as {checked[2:]}, not as {ids}")
             self[s] = b"".join(map(decimal, ids))
             raw = b"".join(map(surface, ids))
+            if text != text_of(b"\n" + raw):
+                raise AssertionError(f"the library decodes {ids} to {text[1:]!r}, not to {text_of(raw)!r}")
             if raw != s.replace(SPACE, " ").encode():
                 self.odd[s] = raw
 

@@ -6,10 +6,12 @@ symbols for letters, letters repeated), and its length. The lexicon is a fixed l
 beginnings that a third of the training rows use far more often in toxic texts. Another third fits the trees and the last
 one the calibration, so that no part is judged by rows that it has seen.
 
-Training takes a bounded sample of TRAIN_ROWS labelled rows, the first by a hash of doc_id. Labels, language, source and
-doc_id are never features. Null and empty texts have all features zero and get a score too. A doc_id labelled twice is
-toxic if one label says so; rows with null labels or doc_ids are not learnt from. Without labels of both kinds the fixed
-lexicon's density alone gives the score. Extra columns are ignored.
+Training takes a bounded sample of TRAIN_ROWS labelled documents, the first by a hash of doc_id, one text of each doc_id (the
+smallest of several), and LEXICON_ROWS words at most, the most telling ones. Labels, language, source and doc_id are never
+features. Null and empty texts have all features zero and get a score too; texts of any length are read whole; equal texts have
+equal scores. A doc_id labelled twice is toxic if one label says so; rows with null labels or doc_ids are not learnt from.
+Without labels of both kinds the fixed lexicon's density alone gives the score. An empty table gives an empty result. Extra
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import blocks
+from ._text import Block, blocks
 
 TRAIN_ROWS = 20_000
 LEXICON_ROWS = 3_000  #: words and beginnings taken at most
@@ -36,7 +38,6 @@ _LEET = str.maketrans("013457@$!", "oleastasi")
 _WORD = re.compile(r"[^\W\d_]+")
 _MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$!*.\-]+[^\W\d_]+)+")
 _LONG = re.compile(r"(.)\1{2,}")
-_CAPS = re.compile(r"\b[A-Z]{3,}\b")
 
 NAMES = ("lexicon_density", "lexicon_count", "lexicon_kinds", "head_density", "head_count", "near_second", "second_density", "capitals", "shouted", "exclaim", "question", "punctuation", "masked", "stretched", "log_words", "word_length")
 
@@ -51,6 +52,35 @@ _UPPER, _EX, _QU, _DIGIT = _mask(bytes(range(65, 91))), _mask(b"!"), _mask(b"?")
 _PUNCT = _mask(b"#%&'()*+,-./:;<=>@[]^_`{|}~\"$\\")
 
 
+_WORDY = np.zeros(256, bool)
+_WORDY[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] += 32
+
+
+def _shouted(b: Block) -> np.ndarray:
+    """How many words of three letters or more, all A to Z, each text has."""
+    up, wordy = _UPPER[b.data], _WORDY[b.data]
+    edge = np.zeros(len(up) + 1, bool)  # where a text begins or ends
+    edge[b.off] = True
+    off = np.zeros(1, bool)
+    before, after = ~edge[:-1] & np.concatenate([off, wordy[:-1]]), ~edge[1:] & np.concatenate([wordy[1:], off])
+    start = np.flatnonzero(up & (edge[:-1] | ~np.concatenate([off, up[:-1]])))
+    end = np.flatnonzero(up & (edge[1:] | ~np.concatenate([up[1:], off])))
+    alone = (end - start >= 2) & ~before[start] & ~after[end]
+    return np.bincount(np.searchsorted(b.off, start[alone], side="right") - 1, minlength=b.n)
+
+
+def _stretched(b: Block) -> np.ndarray:
+    """Which texts have a letter, of one byte or two, three times in a row."""
+    d, out = _FOLD[b.data], np.zeros(len(b.data), bool)
+    if len(d) > 2:
+        out[:-2] |= (d[:-2] == d[1:-1]) & (d[1:-1] == d[2:]) & _WORDY[d[:-2]]
+    if len(d) > 5:
+        out[:-5] |= (d[:-5] >= 128) & (d[:-5] == d[2:-3]) & (d[2:-3] == d[4:-1]) & (d[1:-4] == d[3:-2]) & (d[3:-2] == d[5:])
+    return b.per_byte(out) > 0
+
+
 @dataclass
 class Lexicon:
     words: frozenset[str] = INSULTS
@@ -69,7 +99,8 @@ def features(texts: pa.Array, lex: Lexicon) -> np.ndarray:
         out[lo:hi, 11] = b.per_byte(_PUNCT[b.data]) / size
         out[lo:hi, 14] = np.log1p(b.n_words)
         out[lo:hi, 15] = np.where(b.n_words > 0, size / n, 0)
-        odd = b.per_byte(_DIGIT[b.data]) > 0
+        odd, long_ = b.per_byte(_DIGIT[b.data]) > 0, _stretched(b)
+        loud = _shouted(b)
         for i in range(lo, hi):
             text = strings[i]
             if not text:
@@ -94,11 +125,10 @@ def features(texts: pa.Array, lex: Lexicon) -> np.ndarray:
                     row[5] = float((1 / (1 + d)).sum()) / m
             if second:
                 row[6] = sum(w in second for w in words) / m
-            if out[i, 7] > 0.02:
-                row[8] = len(_CAPS.findall(text)) / m
+            row[8] = loud[i - lo] / m
             if odd[i - lo]:
                 row[12] = sum(x.translate(_LEET).replace("*", "").replace(".", "").replace("-", "") in lex.words for x in _MASKED.findall(text.lower())) / m
-            row[13] = sum(_LONG.sub(r"\1", w) in lex.words for w in kinds if _LONG.search(w)) / m if any(c * 3 in text for c in "aeiou") else 0
+            row[13] = sum(_LONG.sub(r"\1", w) in lex.words for w in kinds if _LONG.search(w)) / m if long_[i - lo] else 0
     return out
 
 
@@ -195,7 +225,8 @@ def _sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     part = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(3)).alias("part")
     # at most TRAIN_ROWS rows of two numbers: a proven bound
     ids = F.broadcast(chosen.select("doc_id", "y"))
-    return docs.select("doc_id", "text").join(ids, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), F.col("y").cast("int").alias("y"), part)
+    found = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
+    return found.select("text", F.col("y").cast("int").alias("y"), part)
 
 
 def _head(k: int):

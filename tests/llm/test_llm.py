@@ -165,6 +165,42 @@ def test_toxicity_learns(spark):
     assert toxicity.fit(docs, lab.limit(0)).trees is None
 
 
+def test_loud_and_stretched_words_are_found():
+    import pyarrow as pa
+
+    texts = ["STUUUPID", "dammmn it", "You IDIOT! aBC ABCd AB XYZ_ LOSER", "A" * 40 + " BCD", "nothing here", None, "été ééé", "ABC", "DEF GHI" + " x" * 5000]
+    b = toxicity.Block(pa.array(texts, pa.large_string()))
+    assert toxicity._shouted(b).tolist() == [len(re.findall(r"\b[A-Z]{3,}\b", t or "")) for t in texts]
+    assert toxicity._stretched(b).tolist() == [bool(re.search(r"(?i)([^\W_])\1\1", t or "")) for t in texts]
+    lex = toxicity.Lexicon(frozenset({"stupid", "damn"}))
+    x = toxicity.features(pa.array(texts[:2], pa.large_string()), lex)
+    assert (x[:, toxicity.NAMES.index("stretched")] > 0).all() and x[0, toxicity.NAMES.index("shouted")] > 0
+
+
+def test_first_split_is_the_best_one():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, (300, 4)).astype(float)
+    y = ((x[:, 2] > 2) ^ (rng.random(300) < 0.1)).astype(float)
+    t = toxicity.boost(x, y, trees=1, depth=1, rate=1.0)
+    p = y.mean()
+    g, h = y - p, np.full(300, p * (1 - p))
+    gain = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1)
+    best = max(((gain(x[:, j] <= c) + gain(x[:, j] > c), j, c) for j in range(4) for c in range(5)), key=lambda r: r[0])
+    left = x[:, best[1]] <= best[2]
+    want = np.where(left, g[left].sum() / (h[left].sum() + 1), g[~left].sum() / (h[~left].sum() + 1)) + np.log(p / (1 - p))
+    assert t.feature[0, 0] == best[1] and np.allclose(t.raw(x), want)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables")
+def test_toxicity_of_held_out_documents(spark):
+    from millrace.llm import queries
+
+    d = "/root/testdata/sf0.1"
+    rows = queries.op3_toxicity(spark, d).where("held_out").join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").select("predicted", "toxic").collect()
+    hit = sum(r.predicted and r.toxic for r in rows)
+    assert len(rows) > 1000 and hit / sum(r.predicted for r in rows) >= 0.9 and hit / sum(r.toxic for r in rows) >= 0.85
+
+
 def test_isotonic_is_monotone():
     rng = np.random.default_rng(1)
     x = rng.normal(size=300)
