@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import minhash_dedup, packing, quality_rules, suffix_dedup, surrogates
-from millrace.llm._scratch import Scratch
+from millrace.llm._scratch import Scratch, released
 from millrace.llm.resources import tokenizer_path
 
 
@@ -42,9 +42,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written to the shared folder and read again by the next one."""
+    """All stages, each written to the shared folder and read again by the next one; what a stage needed besides is deleted
+    when it is written, and its input too."""
     scratch = Scratch(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = scratch.table(stage(spark, docs, sf_dir))
+        with released():
+            docs = scratch.table(stage(spark, docs, sf_dir))
+        if before is not None:
+            scratch.drop(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
