@@ -623,21 +623,52 @@ def test_words_are_those_of_the_pattern(text):
 # --- all of them
 
 
+def brute_rules(text):
+    n, chars, symbols, dup, again = brute_counts(text)
+    lines = [x for x in (text or "").split("\n") if x.encode().split()]
+    solid = b"".join((text or "").encode().split())
+    letters = sum(chr(b).isalpha() or b >= 128 for b in solid)
+    return n >= 50 and 2 * n <= chars <= 15 * n and 4 * symbols <= n and 2 * letters >= len(solid) and 10 * dup <= 3 * len(lines) and 2 * again <= n
+
+
 def test_pipeline(spark, rows, tmp_path):
+    """Every stage against a plain version on its own input."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
 
+    rows = [(d, t if d % 7 else (t or "") + f" mail me{d}@site.org", *x) for d, t, *x in rows]
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    names = [n for n, _ in corpus_pipeline.STAGES]
-    assert len(names) == 5
-    sizes = []
+    assert len(corpus_pipeline.STAGES) == 5
+    seen = [rows]
     for i, (_, f) in enumerate(corpus_pipeline.STAGES[:-1]):
         f(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / str(i)))
         out = spark.read.parquet(str(tmp_path / str(i)))
         assert out.columns == docs.columns
-        sizes.append(out.count())
+        seen.append([tuple(r) for r in out.collect()])
         docs = out
-    assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0
-    final = {(r.doc_id, r.start) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
-    assert {d for d, _ in final} == {r.doc_id for r in docs.collect()}
+    good, single, cut, private = ({d: t for d, t, *_ in s} for s in seen[1:])
+    assert good == {d: t for d, t, *_ in rows if brute_rules(t)}
+    assert single == {d: good[d] for d, (_, c) in brute_components(seen[1]).items() if c == d}
+    touched = {d for d, _ in brute_repeats(seen[2])}
+    assert not brute_repeats(seen[3]) and {d: t for d, t in cut.items() if d not in touched} == {d: t for d, t in single.items() if d not in touched}
+    assert private.keys() == cut.keys() and not any(re.search(r"me\d+@site", t) for t in private.values())
+    assert {d for d, t in cut.items() if "@" not in t} == {d for d, t in private.items() if t == cut[d]}
+    tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    pieces = {}
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        pieces.setdefault(r.doc_id, {})[r.start] = r.ids
+    assert {d: b"".join(x for _, x in sorted(p.items())) for d, p in pieces.items()} == {d: np.array([*tok.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for d, t in private.items()}
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(2)
+    a, b, c = (prose(rng, 120) for _ in range(3))
+    odd = [(None, a), (None, b), (None, b), (3, c), (3, c), (4, None), (5, ""), (6, "x " * 3000)]
+    for name, texts, kept in (("empty", [], 0), ("odd", odd, 3)):
+        spark.createDataFrame([(i, t, None, None, None) for i, t in texts], SCHEMA).write.parquet(str(tmp_path / name / "documents.parquet"))
+        got = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert sum(r.start == 0 for r in got) == kept
