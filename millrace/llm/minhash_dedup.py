@@ -194,10 +194,10 @@ def _shared(full: DataFrame, tokens: int, p: int) -> DataFrame:
 
 
 def _possible(at: DataFrame, num: int, den: int) -> DataFrame:
-    """Those members (key, id, n, lim, comp) of nodes that may have a partner there."""
+    """Those members (key, tree, id, n, lim, comp) of nodes that may have a partner there."""
     least = at.groupBy("key").agg(F.min("n").alias("least"))
     size = F.greatest("least", F.ceil(F.col("n") * num / den))
-    return at.join(least, "key").where((num + den) * F.col("lim") >= num * (F.col("n") + size)).select("key", "id", "n", "lim", "comp")
+    return at.join(least, "key").where((num + den) * F.col("lim") >= num * (F.col("n") + size)).select("key", "tree", "id", "n", "lim", "comp")
 
 
 def _opened(members: DataFrame) -> DataFrame:
@@ -223,14 +223,23 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
-    """(id, n, met): the components with a set that may be similar to an outer one, within the groups (key, id, comp, n, lim, sig,
-    outer). Rows that aren't outer are compared with the outer ones only, and each pair of outer ones once."""
+    """(id, n, met): the components with a set that may be similar to an outer one, within the groups (key, tree, id, comp, n,
+    lim, sig, mask, side, outer). Rows that aren't outer are compared with the outer ones only, each pair of outer ones once,
+    and of a group with several sides only pairs of two sides. A pair that meets in several trees is compared in the first one
+    (``mask`` has the trees whose nodes are compared as they are)."""
+    bit = 1 << np.arange(TREES)
 
-    def compare(ids, comp, size, lim, sig, outer):
+    def compare(ids, comp, size, lim, sig, outer, tree, mask, side):
         out = []
+        cross = len(np.unique(side)) > 1
+        earlier = (mask[:, None] & bit[None, :tree]) != 0
         for i in np.flatnonzero(outer).tolist():
             fits = (num + den) * np.minimum(lim[i], lim) >= num * (size[i] + size)
-            other = np.flatnonzero(fits & (comp != comp[i]) & (~outer | (np.arange(len(ids)) > i)))
+            fits &= (comp != comp[i]) & (~outer | (np.arange(len(ids)) > i))
+            if cross:
+                fits &= side != side[i]
+            other = np.flatnonzero(fits)
+            other = other[~((sig[other, :tree] == sig[i, :tree]) & earlier[i]).any(axis=1)]
             if len(other):
                 ok = _near(sig[i], sig[other], size[i], size[other], num, den)
                 out += [(ids[i], size[i], c) for c in np.unique(comp[other[ok]]).tolist()]
@@ -242,12 +251,12 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
         def done(t: pa.Table):
             if not t.num_rows:
                 return
-            key, ids, comp, n, lim, outer = (t[c].to_numpy() for c in ("key", "id", "comp", "n", "lim", "outer"))
+            key, tree, ids, comp, n, lim, mask, side, outer = (t[c].to_numpy() for c in ("key", "tree", "id", "comp", "n", "lim", "mask", "side", "outer"))
             sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(-1, WIDTH)
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             got = []
             for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=True):
-                got += compare(ids[lo:hi], comp[lo:hi], n[lo:hi], lim[lo:hi], sig[lo:hi], outer[lo:hi])
+                got += compare(*(x[lo:hi] for x in (ids, comp, n, lim, sig, outer)), int(tree[lo]), mask[lo:hi], side[lo:hi])
             if got:
                 a = np.array(got, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a[:, j])) for j in range(3)], names=["id", "n", "met"])
@@ -263,7 +272,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
         if held is not None:
             yield from done(held)
 
-    rows = members.select("key", "id", "comp", "n", "lim", "sig", "outer").repartition(p, "key").sortWithinPartitions("key")
+    rows = members.select("key", "tree", "id", "comp", "n", "lim", "sig", "mask", "side", "outer").repartition(p, "key").sortWithinPartitions("key")
     return rows.mapInArrow(run, "id long, n long, met long")
 
 
@@ -271,23 +280,25 @@ def _in_blocks(large: DataFrame) -> DataFrame:
     """Large nodes (with outer and the counts n_out and size) cut into groups of BLOCK members and OUTER outer ones."""
     rows, cols = F.ceil(F.col("size") / BLOCK).cast("int"), F.ceil(F.col("n_out") / OUTER).cast("int")
     at = large.withColumn("r", F.pmod(F.xxhash64("id"), rows).cast("int")).withColumn("c", F.pmod(F.xxhash64(F.lit(3), "id"), cols).cast("int"))
-    own = ["id", "comp", "n", "lim", "sig", "outer"]
+    own = ["tree", "id", "comp", "n", "lim", "sig", "mask", "outer"]
     # every member is in one block of rows, with all columns; every outer one in one column, with all rows
     inner = at.where("not outer").select("key", *own, "r", F.explode(F.sequence(F.lit(0), cols - 1)).alias("c"))
     outer = at.where("outer").select("key", *own, F.explode(F.sequence(F.lit(0), rows - 1)).alias("r"), "c")
-    out = inner.union(outer).select(F.xxhash64(F.lit("i"), "key", "r", "c").alias("key"), *own)
+    out = inner.union(outer).select(F.xxhash64(F.lit("i"), "key", "r", "c").alias("key"), *own, F.lit(0).alias("side"))
     pairs = at.where("outer").select("key", *own, F.explode(F.sequence(F.lit(0), cols - 1)).alias("to"), "c")
-    return out.union(pairs.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), *own))
+    return out.union(pairs.select(F.xxhash64(F.lit("o"), "key", F.least("c", "to"), F.greatest("c", "to")).alias("key"), *own, F.col("c").alias("side")))
 
 
 def _met(nodes: DataFrame, reps: DataFrame, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
-    """(id, n, met): what the sets of the nodes (key, id, n, lim, comp) meet that are outside the node's largest component: that
+    """(id, n, met): what the sets of the nodes (key, tree, id, n, lim, comp) meet that are outside the node's largest component: that
     one, and each other."""
     sums = nodes.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("size"), F.max(F.struct("m", "comp")).alias("t"))
     at = nodes.join(sums.select("key", "size", F.col("t.comp").alias("top"), (F.col("size") - F.col("t.m")).alias("n_out")), "key")
-    own = at.select("key", "id", "n", "lim", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer"))
-    at = scratch.table(own.join(reps.select("id", "sig"), "id"))
-    small = _exhaustive(at.where(F.col("size") <= SMALL), num, den, p)
+    own = at.select("key", "tree", "id", "n", "lim", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer"))
+    mask = nodes.where(F.col("tree") < TREES).groupBy("id").agg(F.bit_or(F.expr("shiftleft(1, tree)")).alias("mask"))
+    known = reps.select("id", "sig").join(mask, "id", "left").select("id", "sig", F.coalesce("mask", F.lit(0)).alias("mask"))
+    at = scratch.table(own.join(known, "id"))
+    small = _exhaustive(at.where(F.col("size") <= SMALL).withColumn("side", F.lit(0)), num, den, p)
     large = at.where(F.col("size") > SMALL)
     if not large.isEmpty():
         small = small.union(_exhaustive(_in_blocks(large), num, den, p))
@@ -298,14 +309,14 @@ def _met(nodes: DataFrame, reps: DataFrame, num: int, den: int, p: int, scratch:
 
 def _first_keys(reps: DataFrame) -> DataFrame:
     """A set's node in each tree: its minwise token."""
-    return reps.select("id", "n", F.explode(F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(sig, 4 * t + 1, 4)))")).alias("key"))
+    return reps.select("id", "n", F.posexplode(F.expr(f"transform(sequence(0, {TREES - 1}), t -> xxhash64(t, substring(sig, 4 * t + 1, 4)))")).alias("tree", "key"))
 
 
 def _child_keys(members: DataFrame) -> DataFrame:
     """The children that a large node's members go on to; the path picks which minwise tokens are taken."""
     at = f"{TREES} + cast(pmod(xxhash64(key, b), {WIDTH - TREES}) as int)"
     keys = F.expr(f"array_distinct(transform(sequence(1, {BRANCH}), b -> xxhash64(key, b, substring(sig, 4 * ({at}) + 1, 4))))")
-    return members.select("id", "n", "lim", "comp", F.explode(keys).alias("key")).dropDuplicates(["key", "id"])
+    return members.select("id", "n", "lim", "comp", F.lit(TREES).alias("tree"), F.explode(keys).alias("key")).dropDuplicates(["key", "id"])
 
 
 def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int = NUM, den: int = DEN) -> tuple[DataFrame, DataFrame]:
@@ -324,10 +335,10 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
     links = _confirm(docs, star, k, num, den, scratch)
     comp = scratch.table(components(links, scratch))
     # the star has compared all of a node of two
-    at = members.where("size > 2").select("key", "id", "n").join(comp, "id", "left")
-    at = scratch.table(_opened(at.select("key", "id", "n", F.coalesce("component", "id").alias("comp"))))
+    at = members.where("size > 2").select("key", "tree", "id", "n").join(comp, "id", "left")
+    at = scratch.table(_opened(at.select("key", "tree", "id", "n", F.coalesce("component", "id").alias("comp"))))
     scratch.drop(members, star)
-    columns = ["key", "id", "n", "lim", "comp"]
+    columns = ["key", "tree", "id", "n", "lim", "comp"]
     found = [at.where(F.col("size") <= ALL).withColumn("lim", F.col("n")).select(columns)]
     at = at.where(F.col("size") > ALL)
     if not at.isEmpty():
