@@ -47,7 +47,7 @@ def parse_reference(raw: Column) -> Column:
     plain = F.regexp_extract(raw, r"([A-Z][^.]{10,100})", 1)
     title = F.when(quoted != "", quoted).otherwise(plain)
     before = F.when(F.instr(raw, title) > 1, F.substring(raw, F.lit(1), F.instr(raw, title) - 1)).otherwise("")
-    names = F.filter(F.transform(F.split(F.regexp_replace(before, r"^[ \t]*\[[0-9]+\]", ""), r",| and |;"), lambda a: F.regexp_replace(T.strip(a), "[\"“.]+$", "")), lambda a: F.length(a) > 2)
+    names = F.filter(F.transform(F.split(F.regexp_replace(before, r"^[ \t]*\[[0-9]+\]", ""), r",| and |;"), lambda a: F.regexp_replace(T.strip(a), "[ \t\"“.]+$", "")), lambda a: F.length(a) > 2)
     return F.struct(
         title.alias("title"), F.slice(names, 1, 5).alias("authors"), F.regexp_extract(raw, r"\b((?:19|20)[0-9]{2})\b", 1).try_cast("int").alias("year"),
         F.try_element_at(I.arxiv_ids(raw), F.lit(1)).alias("arxiv_id"), F.try_element_at(I.dois(raw), F.lit(1)).alias("doi"), F.try_element_at(I.urls(raw), F.lit(1)).alias("url"),

@@ -9,9 +9,9 @@ BAND = 8
 
 
 def reading_order(blocks: DataFrame, key: list[str]) -> DataFrame:
-    """key, text: blocks by column, then from top to bottom; gaps become breaks."""
+    """key, text: blocks by column, then from top to bottom, of blocks in one place by text; gaps become breaks."""
     b = with_columns(blocks, key)
-    w = Window.partitionBy(*key).orderBy("column", "y0", "x0")
+    w = Window.partitionBy(*key).orderBy("column", "y0", "x0", "text")
     y, x = F.col("y0") - F.lag("y1").over(w), F.col("x0") - F.lag("x1").over(w)
     turn = F.col("column") != F.lag("column").over(w)
     sep = F.when(y.isNull(), "").when(turn | (y > 30), "\n\n").when(y > 10, "\n").when(x > 10, " ").otherwise("\n")

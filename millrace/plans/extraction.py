@@ -11,6 +11,7 @@ from ..operators import formulas as M
 from ..operators import layout as L
 from ..operators import structure as S
 from .registry import query, table
+from .texts import _STRIP
 
 #: Spark SQL and DuckDB read this expression alike.
 _TAIL = (
@@ -132,7 +133,17 @@ def section_segments(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("doc_id", "section").agg(F.least(F.count(F.lit(1)), F.lit(1)).cast("long").alias("n"))
 
 
-@query()
+def _first_kind(of) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(v, '{p}') THEN {of(k, p)}" for k, p in S.HEADINGS) + " END"
+
+
+_HEADED = "'1 Introduction' || chr(10) || 'words' || chr(10) || '1.1 Setting' || chr(10) || 'words' || chr(10) || '2 Methods' || chr(10) || text || chr(10) || '3 Conclusion' || chr(10) || 'end' || chr(10) || 'References' || chr(10) || '[1] x'"
+
+
+@query(f"""WITH l AS (SELECT doc_id, {_STRIP.format('v')} AS v, line, last FROM (SELECT doc_id, unnest(l) AS v, generate_subscripts(l, 1) - 1 AS line, len(l) - 1 AS last FROM (SELECT doc_id, string_split({_HEADED}, chr(10)) AS l FROM documents))),
+  h AS (SELECT doc_id, line, last, {_first_kind(lambda k, p: f"'{k}'")} AS kind, {_first_kind(lambda k, p: f"regexp_extract(v, '{p}', 1)")} AS number, substr({_first_kind(lambda k, p: f"regexp_extract(v, '{p}', 2)")}, 1, 100) AS title FROM l),
+  n AS (SELECT doc_id, line, CASE WHEN kind = 'sub' THEN len(string_split(number, '.')) ELSE 1 END::BIGINT AS level, number, title, kind, coalesce(lead(line) OVER (PARTITION BY doc_id ORDER BY line), last + 1)::BIGINT AS next_line FROM h WHERE kind IS NOT NULL)
+  SELECT a.*, (SELECT max(b.line) FROM n b WHERE b.doc_id = a.doc_id AND b.line < a.line AND b.level < a.level)::BIGINT AS parent_line FROM n a""")
 def headings(spark: SparkSession, d: str) -> DataFrame:
     t = F.concat(F.lit("1 Introduction\nwords\n1.1 Setting\nwords\n2 Methods\n"), F.col("text"), F.lit("\n3 Conclusion\nend\nReferences\n[1] x"))
     return S.outline(S.headings(table(spark, d, "documents").select("doc_id", t.alias("text"))))
@@ -150,26 +161,35 @@ def titles_and_abstracts(spark: SparkSession, d: str) -> DataFrame:
     return e.select("doc_id", S.title(F.col("text")).alias("title"), S.authors(F.col("text")).alias("authors"), S.abstract(F.col("text"))["text"].alias("abstract"), F.round(S.abstract(F.col("text"))["confidence"], 4).alias("confidence"))
 
 
-@query()
+@query("SELECT doc_id, 'algorithm' AS kind, CASE WHEN doc_id % 3 = 0 THEN '' ELSE (doc_id % 7)::VARCHAR END AS number, 'Sort of ' || source AS title, 1 + (lang = 'en')::INT AS steps, round(0.6 + (doc_id % 3 <> 0)::INT * 0.2 + (lang = 'en')::INT * 0.2, 2)::DOUBLE AS confidence FROM documents")
 def algorithms(spark: SparkSession, d: str) -> DataFrame:
-    t = F.concat(F.col("text"), F.lit("\nAlgorithm 1: Sort\nInput: a list\n1. for each x\n2. if x then return\nend algorithm\n"))
+    """Blocks with and without a number, and with one numbered step or two."""
+    k = F.col("doc_id")
+    number = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit(" "), (k % 7).cast("string")))
+    t = F.concat(F.col("text"), F.lit("\nAlgorithm"), number, F.lit(": Sort of "), F.col("source"), F.lit("\nInput: a list\n1. for each x\n"), F.when(F.col("lang") == "en", "2. ").otherwise("then "), F.lit("if x then return\nend algorithm\n"))
     return table(spark, d, "documents").select("doc_id", t.alias("text")).lateralJoin(S.Algorithms(F.col("text").outer())).select("doc_id", "kind", "number", "title", "steps", F.round("confidence", 2).alias("confidence"))
 
 
-@query()
+@query("SELECT doc_id, (doc_id % 9)::VARCHAR AS number, 'A note of ' || source AS definition, (doc_id % 3)::BIGINT AS n_marks FROM documents")
 def footnotes(spark: SparkSession, d: str) -> DataFrame:
-    t = F.concat(F.col("text"), F.lit(" noted.[^1]\n[^1]: A note."))
-    return C.footnotes(table(spark, d, "documents").select("doc_id", t.alias("text")))
+    n = (F.col("doc_id") % 9).cast("string")
+    t = F.concat(F.col("text"), F.repeat(F.concat(F.lit(" noted.[^"), n, F.lit("]")), (F.col("doc_id") % 3).cast("int")), F.lit("\n[^"), n, F.lit("]: A note of "), F.col("source"))
+    return C.footnotes(table(spark, d, "documents").select("doc_id", t.alias("text"))).withColumn("n_marks", F.col("n_marks").cast("long"))
 
 
-@query()
+_YEAR = "'20' || lpad((doc_id % 25)::VARCHAR, 2, '0')"
+
+
+@query(f"""SELECT doc_id, '1' AS ref_id, '@article{{author' || {_YEAR} || 'title,' || chr(10) || '  title = {{A title of note}},' || chr(10) || '  author = {{A. Author and B. Writer}},' || chr(10) || '  year = {{' || {_YEAR} || '}},' || chr(10) || '  doi = {{10.1234/abc}}' || chr(10) || '}}' AS bibtex,
+  '- A. Author, B. Writer. *A title of note*. ' || {_YEAR} || '. doi:10.1234/abc' AS markdown FROM documents""")
 def bibtex_rendered(spark: SparkSession, d: str) -> DataFrame:
     r = C.references(enriched(spark, d).withColumn("text", F.concat(F.lit("\n"), F.substring_index("text", "\nReferences\n", -1))))
     cols = {k: F.col(k) for k in ("title", "authors", "year", "doi", "url")}
-    return r.select("doc_id", "ref_id", C.reference_bibtex(cols).alias("bibtex"), C.reference_markdown(cols).alias("markdown"))
+    return r.where("ref_id = '1'").select("doc_id", "ref_id", C.reference_bibtex(cols).alias("bibtex"), C.reference_markdown(cols).alias("markdown"))
 
 
-@query()
+@query("""SELECT n_regionkey, true AS has_header, '| key | name |' || chr(10) || '| --- | --- |' || chr(10) || string_agg('| ' || n_nationkey || ' | ' || replace(n_name, '_', '\\_') || ' |', chr(10) ORDER BY n_nationkey) AS markdown,
+  '\\begin{tabular}{ll}' || chr(10) || '\\hline' || chr(10) || 'key & name \\\\' || chr(10) || string_agg(n_nationkey || ' & ' || regexp_replace(n_name, '([&%$#_])', '\\\\\\1', 'g') || ' \\\\', chr(10) ORDER BY n_nationkey) || chr(10) || '\\hline' || chr(10) || '\\end{tabular}' AS latex FROM nation GROUP BY n_regionkey""")
 def table_rendered(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation")
     rows = F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda r: F.array(r["n_nationkey"].cast("string"), r["n_name"]))
@@ -185,7 +205,9 @@ def _blocks(spark: SparkSession, d: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("page"), left.alias("x0"), y.alias("y0"), (left + 200).alias("x1"), (y + 12).alias("y1"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("text"))
 
 
-@query()
+@query("""WITH b AS (SELECT l_orderkey AS page, l_linenumber % 2 * 300.0 AS x0, l_linenumber * 40.0 AS y0, 'part ' || l_partkey AS t, count(*) OVER w AS n, count(*) FILTER (l_linenumber % 2 = 1) OVER w AS odd FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)),
+  c AS (SELECT *, CASE WHEN n >= 4 AND odd BETWEEN 1 AND n - 1 AND x0 > 0 THEN 1 ELSE 0 END AS c FROM b), o AS (SELECT page, t, row_number() OVER w AS i, y0 - lag(y0 + 12) OVER w AS y, x0 - lag(x0 + 200) OVER w AS x, c <> lag(c) OVER w AS turn FROM c WINDOW w AS (PARTITION BY page ORDER BY c, y0, x0, t))
+  SELECT page, string_agg(CASE WHEN y IS NULL THEN '' WHEN turn OR y > 30 THEN chr(10) || chr(10) WHEN y > 10 THEN chr(10) WHEN x > 10 THEN ' ' ELSE chr(10) END || t, '' ORDER BY i) AS text FROM o GROUP BY page""")
 def reading_order(spark: SparkSession, d: str) -> DataFrame:
     return L.reading_order(_blocks(spark, d), ["page"])
 
@@ -196,7 +218,10 @@ def one_column_pages(spark: SparkSession, d: str) -> DataFrame:
     return c.where("n_columns = 1")
 
 
-@query()
+@query("""WITH r AS (SELECT l_orderkey AS page, l_linenumber // 2 AS r, list('part ' || l_partkey ORDER BY l_linenumber % 2, 'part ' || l_partkey) AS c FROM lineitem GROUP BY 1, 2 HAVING count(*) >= 2),
+  k AS (SELECT page, max(len(c)) AS k, count(*) AS n FROM r GROUP BY page HAVING count(*) >= 2),
+  t AS (SELECT page, k, n, list('| ' || array_to_string(list_concat(c, list_transform(range(k - len(c)), lambda x: '')), ' | ') || ' |' ORDER BY r) AS l FROM r JOIN k USING (page) GROUP BY ALL)
+  SELECT page, n::INT AS n_rows, array_to_string(list_concat([l[1], '|' || repeat(' --- |', k::INT)], l[2:]), chr(10)) AS markdown FROM t""")
 def block_tables(spark: SparkSession, d: str) -> DataFrame:
     cells = _blocks(spark, d).withColumn("y0", F.floor(F.col("y0") / 80) * 80)
     return L.tables(cells, ["page"]).select("page", F.size("rows").alias("n_rows"), L.markdown(L.clean_table(F.col("rows"))).alias("markdown"))
