@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
+from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
 
 
 def doubles(v: Column) -> Column:
@@ -38,15 +38,16 @@ def padded(v: Column, dim: int) -> Column:
     return F.coalesce(v, F.array_repeat(F.lit(0.0).cast("float"), dim))
 
 
-def encode(texts: DataFrame, column: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, out: str = "embedding") -> DataFrame:
+def encode(texts: DataFrame, column: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, out: str = "embedding", failed: str | None = None) -> DataFrame:
     """Adds unit vectors. ``encoder`` is called once a worker and gives a function of a list of texts; a batch that fails is
-    encoded text by text, and a text that fails has a zero vector."""
+    encoded text by text, and a text that fails has a zero vector and, in the column that ``failed`` names, the error."""
 
-    @F.pandas_udf(ArrayType(FloatType()))
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf(StructType([StructField("v", ArrayType(FloatType())), StructField("error", StringType())]))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = encoder()
         for s in batches:
             rows = s.fillna("").tolist()
+            errors: list[str | None] = [None] * len(rows)
             try:
                 x = np.asarray(model(rows), np.float32)
             except Exception:
@@ -54,12 +55,13 @@ def encode(texts: DataFrame, column: str, encoder: Callable[[], Callable[[list[s
                 for i, r in enumerate(rows):
                     try:
                         x[i] = model([r])[0]
-                    except Exception:
-                        continue
+                    except Exception as e:  # a model may fail in any way
+                        errors[i] = f"{type(e).__name__}: {e}"
             n = np.linalg.norm(x, axis=1, keepdims=True)
-            yield pd.Series(list(np.divide(x, n, out=np.zeros_like(x), where=n > 0)))
+            yield pd.DataFrame({"v": list(np.divide(x, n, out=np.zeros_like(x), where=n > 0)), "error": errors})
 
-    return texts.withColumn(out, run(F.col(column)))
+    rows = texts.withColumn("_e", run(F.col(column))).withColumn(out, F.col("_e.v"))
+    return (rows.withColumn(failed, F.col("_e.error")) if failed else rows).drop("_e")
 
 
 def hashing_encoder(dim: int = 64) -> Callable[[], Callable[[list[str]], np.ndarray]]:

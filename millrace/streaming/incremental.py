@@ -32,6 +32,11 @@ def current(spark: SparkSession, table: str, key: list[str], order: list[str]) -
     return rows.groupBy(*key).agg(F.max_by(F.struct(*[c for c in rows.columns if c not in key]), F.struct(*order)).alias("r")).select(*key, "r.*")
 
 
+def compact(spark: SparkSession, table: str, key: list[str], order: list[str], out: str) -> None:
+    """Writes the current rows as the first batch of a new table, which the stream can go on with."""
+    current(spark, table, key, order).write.mode("overwrite").parquet(f"{out}/batch=-1")
+
+
 def todo(ids: DataFrame, progress: DataFrame, existing: DataFrame) -> DataFrame:
     """Ids that are neither processed with success nor present in the output."""
     done = progress.where("status = 'success'").select("paper_id").union(existing.select("paper_id")).distinct()

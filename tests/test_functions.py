@@ -239,3 +239,19 @@ def test_config(tmp_path):
     p.write_text('# all\npaths:\n  pdf_dir: "/x"\n\nchunking:\n  chunk_size: 1024  # tokens\n  chunk_overlap: 100\ntext:\n  max_chunk_size: 1500\nmax_retries: 5\n')
     c = Config.load(str(p))
     assert (c.chunk_size, c.chunk_overlap, c.max_chunk_size, c.max_retries, c.min_chunk_size) == (1024, 100, 1500, 5, 200)
+
+
+def test_failures_of_an_encoder_are_told(spark):
+    from millrace.operators import vectors as V
+
+    def make():
+        def run(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("no such word")
+            return [[3.0, 4.0]] * len(texts)
+
+        return run
+
+    df = spark.createDataFrame([(1, "good"), (2, "bad"), (3, None)], "i int, t string").coalesce(1)
+    got = {r.i: (r.embedding, r.err) for r in V.encode(df, "t", make, 2, failed="err").collect()}
+    assert got[2] == ([0.0, 0.0], "ValueError: no such word") and got[3][1] is None and got[1][0] == pytest.approx([0.6, 0.8])
