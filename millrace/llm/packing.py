@@ -22,6 +22,7 @@ import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -97,9 +98,7 @@ class Encoder(dict):
         plain: set[str] = set()
         other: list[str] = []
         made: list[tuple[str, str, str]] = []
-        for w in words:
-            if w in self:
-                continue
+        for w in words.difference(self):
             got = self.old.get(w)
             if got is not None:
                 self[w] = got
@@ -179,21 +178,23 @@ class Statistics:
         df = np.minimum(self.df[_slots(terms, len(self.df))], self.n)
         return np.log(1 + (self.n - df + 0.5) / (df + 0.5))
 
-    def shared(self, terms: np.ndarray) -> np.ndarray:
-        return self.df[_slots(terms, len(self.df))] > 1
+    @cached_property
+    def _weight(self) -> np.ndarray:
+        """What a slot's words weigh for shard keys; nothing, if no two documents have one."""
+        df = np.minimum(self.df, self.n)
+        return np.where(self.df > 1, np.maximum(np.log(1 + (self.n - df + 0.5) / (df + 0.5)), 1e-9) ** RARITY, 1e-300)
 
     def keys(self, b: Block) -> np.ndarray:
         """Two words of each text by weighted minwise hashing: of texts that share words the more likely equal, the rarer those
         are. 0 without words that others have."""
         u = ((mix(b.words ^ np.uint64(0x7C1D)) >> np.uint64(11)).astype(float) + 0.5) / 2.0**53
-        clock = -np.log(u) / np.maximum(self.idf(b.words), 1e-9) ** RARITY
-        clock[~self.shared(b.words)] = np.inf
+        clock = -np.log(u) / self._weight[_slots(b.words, len(self.df))]
         out = np.zeros((b.n, 2), np.int64)
         has = np.flatnonzero(b.n_words > 0)
         for j in range(2 if len(has) else 0):
             least = np.minimum.reduceat(clock, b.bounds[has])
             of = np.repeat(least, b.n_words[has])
-            at = np.flatnonzero((clock == of) & np.isfinite(clock))
+            at = np.flatnonzero((clock == of) & (clock < 1e200))
             text = b.doc_of_word[at]
             out[text, j] = mix(b.words[at]).view(np.int64)
             clock[at] = np.inf  # all places of the word
@@ -206,19 +207,21 @@ class Index:
     def __init__(self, terms: list[np.ndarray], stats: Statistics | None = None):
         n = len(terms)
         stats = stats or Statistics.of(terms)
-        uniq = [np.unique(t, return_counts=True) for t in terms]
-        lens = np.array([len(t) for t in terms], float)
-        doc = np.repeat(np.arange(n), [len(u) for u, _ in uniq])
-        term = np.concatenate([u for u, _ in uniq]) if n else np.zeros(0, np.int64)
-        tf = np.concatenate([c for _, c in uniq]).astype(float) if n else np.zeros(0)
-        self.vocab, inv = np.unique(term, return_inverse=True)
+        size = np.array([len(t) for t in terms], np.int64)
+        lens = size.astype(float)
+        self.vocab, number = np.unique(np.concatenate(terms) if n else np.zeros(0, np.int64), return_inverse=True)
+        # each document's words with their counts, in the order of documents
+        both = np.sort(np.repeat(np.arange(n), size) * max(len(self.vocab), 1) + number)
+        first = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(both)])
+        doc, inv = np.divmod(both[first], max(len(self.vocab), 1))
+        tf = np.diff(np.append(first, len(both))).astype(float)
         df = np.bincount(inv, minlength=len(self.vocab))
         weight = stats.idf(self.vocab)[inv] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lens[doc] / max(stats.mean, 1)))
         order = np.argsort(inv, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         self.at = np.concatenate([[0], np.cumsum(df)])
         self.n, self.df = n, df
-        ends = np.concatenate([[0], np.cumsum([len(u) for u, _ in uniq])])
+        ends = np.searchsorted(doc, np.arange(n + 1))
         self.queries = []
         for i in range(n):  # a document's words that others have as well
             t = inv[ends[i] : ends[i + 1]]
@@ -287,9 +290,10 @@ def statistics(docs: DataFrame, slots: int = SLOTS) -> Statistics:
         for batch in batches:
             for _, _, b in blocks(batch.column(0), lower=True):
                 slot = (b.words % np.uint64(slots)).astype(np.int64)
-                own = np.sort(b.doc_of_word * slots + slot)
+                own = b.doc_of_word * slots + slot
+                own = np.sort(own.astype(np.uint32) if b.n * slots < 1 << 32 else own)
                 own = own[np.append(True, own[1:] != own[:-1])[: len(own)]]  # a document's words, each once
-                np.add.at(df, own % slots, 1)
+                np.add.at(df, (own % slots).astype(np.int64), 1)
                 n, words = n + b.n, words + len(slot)
         at = np.flatnonzero(df)
         # two places beyond the slots hold the numbers of documents and words
