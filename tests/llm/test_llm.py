@@ -543,7 +543,7 @@ def test_common_descriptors_make_no_pairs_of_all(spark, monkeypatch):
         else:
             recs[-1]["bits"][:, 0] ^= 1
     desc = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(recs)], "id long, desc binary")
-    monkeypatch.setattr(image_copies, "_described", lambda images: desc)
+    monkeypatch.setattr(image_copies, "_described", lambda images: desc.selectExpr("id", "cast(id as string) h", "desc"))
     got = {r.id: r.class_id for r in image_copies.copies(spark.createDataFrame([(i, bytes([i])) for i in range(60)], "id long, image binary")).collect()}
     assert got == {i: i - 1 if i and i % 3 == 0 else i for i in range(60)}
 
