@@ -43,7 +43,7 @@ ALL = 16  #: sets of a node that are all compared, whatever shingles they have o
 MOST_WORDS = 1 << 19  #: 64-bit words of the Bloom filter over ids, at most
 BLOCK, OUTER = 1024, 256  #: minwise values of sets of a component and sets outside it that are compared at once
 BLOCK_TOKENS = 1 << 19  #: shingles of either side in a comparison of full sets
-SHARE_TOKENS = 1 << 22  #: shingles that are counted in one task
+SHARE_TOKENS = 1 << 19  #: shingles that are counted in one task
 _A = (stream(101, WIDTH) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (stream(102, WIDTH) >> np.uint64(32)).astype(np.uint32)
 
