@@ -3,12 +3,12 @@
 An image is read at several scales. Corners are local maxima of the Harris response; each gets a patch orientation (the
 direction of its intensity centroid) and BITS binary tests, pairs of smoothed pixels turned by that orientation. The tests are
 those of a seeded pool that are even and little correlated on seeded noise, so that unlike corners rarely agree by chance. A
-descriptor enters TABLES Hamming tables, one for each part of its bits. Images that meet in a table's bucket are compared with
-the bucket's smallest image and with their neighbours by id. What is in different components then is compared exhaustively
-within buckets of up to SMALL images; in larger ones, that have descriptors which many unlike images share, images are
-dealt into buckets of two such descriptors, with their smallest image and neighbours again, and compared exhaustively if these
-are small. A compared pair is a copy if MIN_INLIERS corners agree on one similarity transform (votes for rotation, scale
-and shift). So no bucket makes more pairs than SMALL times its images.
+descriptor enters TABLES Hamming tables, one for each part of its bits. Two images meet if two of their descriptors share an entry
+and differ in MAX_DISTANCE bits at most, whatever the size of the bucket. Every image is compared with the smallest one that it
+meets, and then all that meet and are still in different components: pairs of buckets of up to SMALL images are written, images
+of larger ones are dealt into groups of GROUP_BYTES, and each two groups are compared in one task, which finds anew what meets in
+it and writes links only. A compared pair is a copy if MIN_INLIERS corners agree on one similarity transform (votes for
+rotation, scale and shift). So no bucket makes more pairs than SMALL times its images, and no pair that meets is left out.
 
 Recall: two descriptors that differ in MAX_DISTANCE random bits share a given part with probability (1 - MAX_DISTANCE / BITS) to
 the part's length, 0.08, so the least pair that the consensus accepts, of MIN_INLIERS corners that all differ so much, shares an
@@ -24,7 +24,7 @@ columns are ignored, whatever their names. Rows with null ids are left out.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -40,6 +40,9 @@ SCALES = (1.0, 0.8, 0.6)
 CORNERS, TILE = 48, 112
 RADIUS, BITS, TABLES = 9, 256, 4
 MIN_INLIERS, MAX_DISTANCE, SMALL = 8, 10, 32
+BLOCK = 4096  #: descriptors of a bucket that are compared with as many at once
+GROUP_BYTES = 16 << 20  #: descriptors of a group of images
+MOST_WORDS = 1 << 19  #: 64-bit words of the Bloom filter over buckets, at most
 _TURNS = 32
 _y, _x = np.mgrid[-RADIUS : RADIUS + 1, -RADIUS : RADIUS + 1]
 _DISC = (_x**2 + _y**2) <= RADIUS**2
@@ -155,17 +158,34 @@ def describe(grey: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, RECORD)
 
 
+def _words(rec: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(rec["bits"]).view("<u8")
+
+
+def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int16)
+
+
+def _keys(words: np.ndarray) -> np.ndarray:
+    """The entries of descriptors, one in each table."""
+    return mix(words + stream(41, TABLES)[None])
+
+
 def inliers(a: np.ndarray, b: np.ndarray, enough: int | None = None) -> int:
     """How many corners of two images agree on one similarity transform; with ``enough``, no more than that are looked for."""
     if not len(a) or not len(b):
         return 0
-    x, y = (np.ascontiguousarray(r["bits"]).view("<u8") for r in (a, b))
-    d = sum(np.bitwise_count(x[:, None, k] ^ y[None, :, k]).astype(np.int16) for k in range(BITS // 64))
-    j = d.argmin(axis=1)
-    i = np.flatnonzero(d[np.arange(len(a)), j] <= MAX_DISTANCE)
+    x, y = _words(a), _words(b)
+    # what differs in more bits of the first word differs in more of all
+    i, j = np.nonzero(np.bitwise_count(x[:, None, 0] ^ y[None, :, 0]) <= MAX_DISTANCE)
+    d = _distance(x[i], y[j])
+    order = np.lexsort((j, d, i))[: len(i)]
+    order = order[d[order] <= MAX_DISTANCE]
+    order = order[np.append(True, np.diff(i[order]) != 0)[: len(order)]]  # the nearest of each
+    i, j = i[order], j[order]
     if len(i) < MIN_INLIERS:
         return 0
-    p, q = a[i], b[j[i]]
+    p, q = a[i], b[j]
     best = 0
     turn, size = (q["a"] - p["a"]) % (2 * np.pi), q["s"] - p["s"]
     place = (p["x"] // 4).astype(np.int64) << 32 | (p["y"] // 4).astype(np.int64)
@@ -200,17 +220,36 @@ def _described(images: DataFrame) -> DataFrame:
 
 
 def _buckets(desc: DataFrame) -> DataFrame:
-    """(key, id): the Hamming-table buckets of every image, each once."""
+    """key: the Hamming-table buckets of every image, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = stream(41, TABLES)[None]
         for batch in batches:
-            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                bits = np.frombuffer(raw, RECORD)["bits"]
-                key = np.unique(mix(np.ascontiguousarray(bits).view("<u8") + salt)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), i))], names=["key", "id"])
+            for raw in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"key": pa.array(np.unique(_keys(_words(np.frombuffer(raw, RECORD)))).view(np.int64))})
 
-    return desc.where("length(desc) > 0").mapInArrow(run, "key long, id long")
+    return desc.where("length(desc) > 0").select("desc").mapInArrow(run, "key long")
+
+
+def _entries(desc: DataFrame, shared: DataFrame) -> DataFrame:
+    """(key, n, id, bits): the descriptors in the buckets ``shared`` (key, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = np.unique(_words(np.frombuffer(raw, RECORD)), axis=0)
+                key, bits = _keys(words).ravel().view(np.int64), np.repeat(words, TABLES, axis=0)
+                at = pa.py_buffer(np.arange(0, 32 * len(key) + 1, 32, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), i)), pa.Array.from_buffers(pa.binary(), len(key), [None, at, pa.py_buffer(bits)])], names=["key", "id", "bits"])
+
+    # a Bloom filter of MOST_WORDS rows at most keeps most other entries out of the exact join's shuffle
+    words = min(MOST_WORDS, 1 << max(6, (shared.count() // 8).bit_length()))
+    place = F.pmod(F.xxhash64(F.lit(77), "key"), F.lit(64 * words))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_h").bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    word = F.shiftright("_h", 6).alias("_w")
+    filt = shared.select(place.alias("_h")).select(word, bit.alias("_b")).groupBy("_w").agg(F.bit_or("_b").alias("_bits"))
+    rows = desc.where("length(desc) > 0").select("id", "desc").mapInArrow(run, "key long, id long, bits binary")
+    near = rows.withColumn("_h", place).withColumn("_w", word).join(F.broadcast(filt), "_w").where(F.col("_bits").bitwiseAND(bit) != 0)
+    return near.select("key", "id", "bits").join(shared, "key").select("key", "n", "id", "bits")
 
 
 def _agree(pairs: DataFrame, desc: DataFrame) -> DataFrame:
@@ -224,50 +263,133 @@ def _agree(pairs: DataFrame, desc: DataFrame) -> DataFrame:
     return sided.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _in_order(rows: DataFrame) -> DataFrame:
-    """Pairs of neighbours by id within a bucket, in parts of buckets that sorted range partitions hold."""
+def _meeting(entries: DataFrame, p: int, find: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """What ``find`` gives for the ids of descriptors (key, id, bits, comp), those of others, and a matrix of what meets: both share
+    a bucket, are near, and in different components. Buckets are cut into blocks of BLOCK and BLOCK."""
+    blocks = entries.join(entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cut")), "key")
+    at = blocks.withColumn("r", F.pmod(F.xxhash64("id", "bits"), F.col("cut")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("cut") - 1))
+    asks = at.select("key", "r", every.alias("c"), "id", "comp", "bits", F.lit(True).alias("asks"))
+    told = at.select("key", every.alias("c"), F.col("r").alias("to"), "id", "comp", "bits", F.lit(False).alias("asks")).select("key", F.col("c").alias("r"), F.col("to").alias("c"), "id", "comp", "bits", "asks")
+    rows = asks.union(told).select(F.xxhash64("key", "r", "c").alias("block"), "key", "id", "comp", "asks", "bits")
+
+    def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, comp, asks = (t[c].to_numpy() for c in ("id", "comp", "asks"))
+        words = np.frombuffer(b"".join(t["bits"].to_pylist()), "<u8").reshape(-1, BITS // 64)
+        mine, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        other = other[np.argsort(ids[other], kind="stable")]
+        step = max(1, (1 << 20) // max(1, len(other)))
+        for lo in range(0, len(mine), step):
+            m = mine[lo : lo + step]
+            met = (_distance(words[m][:, None], words[other][None]) <= MAX_DISTANCE) & (comp[m][:, None] != comp[other][None])
+            a, b = find(ids[m], ids[other], met)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for b in batches:
-            key, i = b.column(0).to_numpy(), b.column(1).to_numpy()
-            if not len(key):
+        held: pa.Table | None = None
+        for batch in batches:  # sorted by block: the last one may go on in the next batch
+            if not batch.num_rows:
                 continue
-            if last is not None:
-                key, i = np.append(last[0], key), np.append(last[1], i)
-            ok = key[1:] == key[:-1]
-            yield pa.RecordBatch.from_pydict({"a": pa.array(i[1:][ok]), "b": pa.array(i[:-1][ok])})
-            last = (key[-1], i[-1])
+            t = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, t]) if held is not None else t
+            block, key = held["block"].to_numpy(), held["key"].to_numpy()
+            cut = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (key[1:] != key[:-1])))
+            for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                yield from compare(held.slice(lo, hi - lo))
+            held = held.slice(int(cut[-1]))
+        if held is not None:
+            yield from compare(held)
 
-    return rows.repartitionByRange("key", "id").sortWithinPartitions("key", "id").mapInArrow(run, "a long, b long")
+    return rows.repartition(p, "block").sortWithinPartitions("block", "key").mapInArrow(run, "a long, b long")
 
 
-def _grouped(keys: DataFrame) -> DataFrame:
-    """Rows (key, id) of keys that several images have, with their number n and the smallest id lo."""
-    return keys.join(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo")).where("n > 1"), "key")
+def _first(ids: np.ndarray, others: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """With the smallest id, if that is a smaller one."""
+    if not len(others):
+        return ids[:0], ids[:0]
+    b = others[met.argmax(axis=1)]
+    ok = met.any(axis=1) & (b < ids)
+    return ids[ok], b[ok]
 
 
-def _star(keys: DataFrame) -> DataFrame:
-    return keys.where("id <> lo").selectExpr("id a", "lo b")
+def _pairs(ids: np.ndarray, others: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    i, j = np.nonzero(met & (ids[:, None] > others[None]))
+    return ids[i], others[j]
 
 
-def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """The pairs (a, b) of different components."""
-    of = lambda c: comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}"))
-    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b")
+def _any(ids: np.ndarray, others: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ok = met.any(axis=1)
+    return ids[ok], ids[ok]
 
 
-def _open(keys: DataFrame, comp: DataFrame) -> DataFrame:
-    """Rows of buckets (key, id, n) of several components, with comp."""
-    at = keys.where("n > 2").join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
+def _open(entries: DataFrame, comp: DataFrame) -> DataFrame:
+    """The entries of buckets of several components, with comp."""
+    at = entries.join(comp, "id", "left").select("key", "n", "id", "bits", F.coalesce("component", "id").alias("comp"))
     return at.join(at.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key"), "key")
 
 
-def _pair_keys(hot: DataFrame) -> DataFrame:
-    """Buckets of two large buckets that an image is in: each with the next two, in the order of their keys."""
-    own = hot.groupBy("id").agg(F.array_sort(F.collect_list("key")).alias("k"))
-    two = F.transform("k", lambda x, i: F.array(*[F.when(i + j < F.size("k"), F.xxhash64(x, F.get("k", i + j))) for j in (1, 2)]))
-    return own.select(F.explode(F.array_compact(F.flatten(two))).alias("key"), "id")
+def _within_groups(ids: DataFrame, desc: DataFrame, comp: DataFrame, p: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between these images that meet and are in different components. They are dealt into groups of GROUP_BYTES;
+    each two groups are compared in one task."""
+    at = desc.join(ids, "id", "left_semi").join(comp, "id", "left").select("id", F.coalesce("component", "id").alias("comp"), "desc")
+    at = scratch.table(at)
+    n = -(-(at.agg(F.sum(F.length("desc"))).first()[0] or 0) // GROUP_BYTES) or 1
+    own = at.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(n)))
+    both = own.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    rows = both.select((F.least("g", "to") * n + F.greatest("g", "to")).alias("key"), "g", "id", "comp", "desc")
+
+    def compare(held: list[tuple]) -> Iterator[tuple[int, int]]:
+        recs = [np.frombuffer(r[4], RECORD) for r in held]
+        side, root = np.array([r[1] for r in held]), np.array([r[3] for r in held])
+        cross = len(np.unique(side)) > 1
+        if n > 1 and not cross and held[0][0] != held[0][1] * n + held[0][1]:
+            return  # the other group is empty
+        words = np.concatenate([_words(r) for r in recs])
+        owner = np.repeat(np.arange(len(recs)), [len(r) for r in recs])
+        key = _keys(words).ravel()
+        of = np.argsort(key, kind="stable")
+        key = key[of]
+        several = np.append(False, key[1:] == key[:-1]) | np.append(key[1:] == key[:-1], False)
+        of, key = of[several] // TABLES, key[several]  # descriptors by bucket, in buckets of several
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        size = np.diff(np.append(first, len(key)))
+        at = np.argsort(of, kind="stable")  # the same by descriptor
+        lo, hi, mine = np.repeat(first, size)[at], np.repeat(first + size, size)[at], of[at]
+        ends = np.searchsorted(owner[mine], np.arange(len(recs) + 1))
+        for i in range(len(recs)):
+            met: set[int] = set()
+            for e in range(ends[i], ends[i + 1]):
+                others = of[lo[e] : hi[e]]
+                o = owner[others]
+                ok = (o > i) & (root[o] != root[i])
+                if cross:
+                    ok &= side[o] != side[i]
+                others = others[ok]
+                met.update(owner[others[_distance(words[others], words[mine[e]]) <= MAX_DISTANCE]].tolist())
+            for j in sorted(met):
+                if root[i] != root[j] and inliers(recs[i], recs[j], MIN_INLIERS) >= MIN_INLIERS:
+                    yield held[i][2], held[j][2]
+                    root[root == root[j]] = root[i]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def done() -> pa.RecordBatch:
+            got = list(compare(held)) if held else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in got], pa.int64()), "b": pa.array([y for _, y in got], pa.int64())})
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield done()
+                    held = []
+                held.append(row)
+        yield done()
+
+    out = scratch.table(rows.repartition(max(p, n), "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"))
+    scratch.drop(at)
+    return out
 
 
 def copies(images: DataFrame) -> DataFrame:
@@ -275,48 +397,38 @@ def copies(images: DataFrame) -> DataFrame:
     scratch = Scratch(images.sparkSession)
     p = parts(images.sparkSession)
     own = images.where("id is not null").select(F.col("id").cast("long").alias("id"), "image", F.sha2("image", 256).alias("h"))
-    every = scratch.table(_described(own))
-    rep = every.groupBy("h").agg(F.min("id").alias("rep")).where("h is not null")
-    ids = scratch.table(every.select("id", "h").join(rep, "h", "left").select("id", F.coalesce("rep", "id").alias("rep")))
-    desc = scratch.table(every.select("id", "desc").join(ids.where("id = rep").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
-    scratch.drop(every)
-    keys = scratch.table(_grouped(_buckets(desc)))
-    links = scratch.table(_agree(_star(keys).distinct(), desc))
+    heads = scratch.table(own.select("id", "h"))
+    rep = heads.groupBy("h").agg(F.min("id").alias("rep")).where("h is not null")
+    ids = scratch.table(heads.join(rep, "h", "left").select("id", F.coalesce("rep", "id").alias("rep")))
+    desc = scratch.table(_described(own).select("id", "desc").join(ids.where("id = rep").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
+    scratch.drop(heads)
+    scratch.tidy()
+    shared = scratch.table(_buckets(desc).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    scratch.tidy()
+    entries = scratch.table(_entries(desc, shared))
+    tried = scratch.table(_meeting(entries.withColumn("comp", F.col("id")), p, _first).groupBy("a").agg(F.min("b").alias("b")))
+    links = scratch.table(_agree(tried, desc))
+    scratch.tidy()
     comp = scratch.table(components(links, scratch))
-    at = scratch.table(_open(keys, comp))
-    scratch.drop(keys)
-    pairs = _across_components(at.where(F.col("n") <= SMALL), p)
-    hot = at.where(F.col("n") > SMALL)
-    if not hot.isEmpty():
-        both = scratch.table(_grouped(_pair_keys(hot)))
-        near = _in_order(hot.select("key", "id")).union(_star(both)).union(_in_order(both.select("key", "id")))
-        pairs = pairs.union(_apart(near.distinct(), comp)).union(_across_components(_open(both, comp).where(F.col("n") <= SMALL), p))
-    more = scratch.table(_agree(pairs.distinct().join(links.select("a", "b"), ["a", "b"], "left_anti"), desc))
+    at = scratch.table(_open(entries, comp))
+    scratch.drop(entries, shared)
+    small = _meeting(at.where(F.col("n") <= SMALL), p, _pairs).distinct().join(tried, ["a", "b"], "left_anti")
+    more = scratch.table(_agree(scratch.table(small), desc))
+    scratch.tidy()
+    links = links.union(more)
     if not more.isEmpty():
-        comp = scratch.table(components(links.union(more), scratch))
+        comp = scratch.table(components(links, scratch))
+    large = scratch.table(_meeting(_open(at.where(F.col("n") > SMALL).select("key", "n", "id", "bits"), comp), p, _any).select(F.col("a").alias("id")).distinct())
+    if not large.isEmpty():
+        last = _within_groups(large, desc, comp, p, scratch)
+        if not last.isEmpty():
+            comp = scratch.table(components(links.union(last), scratch))
     corners = desc.select(F.col("id").alias("rep"), (F.length("desc") / RECORD.itemsize).cast("long").alias("n_corners"))
     of = corners.join(comp.withColumnRenamed("id", "rep"), "rep", "left")
     out = ids.join(of, "rep", "left")
     return out.select("id", F.coalesce("n_corners", F.lit(0)).alias("n_corners"), F.coalesce("component", "rep").alias("class_id"))
 
 
-def _across_components(rows: DataFrame, p: int) -> DataFrame:
-    """Pairs of different components within the small groups (key, id, comp)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        for b in batches:
-            out = []
-            for row in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
-                if held and held[0][0] != row[0]:
-                    held = []
-                out += [(max(i, row[1]), min(i, row[1])) for _, i, c in held if c != row[2] and i != row[1]]
-                held.append(row)
-            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
-
-    return rows.select("key", "id", "comp").repartition(p, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
-
-
 def rendered(vectors: DataFrame, side: int = 112) -> DataFrame:
     """Vectors as images, one for each row: id and image. A vector's values weigh fixed fields of smooth noise, so like
     vectors give like images."""

@@ -548,6 +548,32 @@ def test_common_descriptors_make_no_pairs_of_all(spark, monkeypatch):
     assert got == {i: i - 1 if i and i % 3 == 0 else i for i in range(60)}
 
 
+@pytest.mark.parametrize("near", [8, 32])
+def test_one_entry_of_a_large_bucket_is_enough(spark, monkeypatch, near):
+    """Copies that share a descriptor's entry only, which all images have, at places far apart in it; whatever the groups and
+    blocks. near: all images share so many bytes of the descriptor; with 32, all meet each other."""
+    monkeypatch.setattr(image_copies, "SMALL", 4)
+    monkeypatch.setattr(image_copies, "BLOCK", 16, raising=False)
+    monkeypatch.setattr(image_copies, "GROUP_BYTES", 6000, raising=False)
+    rng = np.random.default_rng(8)
+    recs = []
+    for _ in range(30):
+        r = np.zeros(10, image_copies.RECORD)
+        r["x"], r["y"], r["bits"] = rng.permutation(10) * 9, rng.permutation(10) * 9, rng.integers(0, 256, (10, 32))
+        r["bits"][0, :near] = 7  # in all images
+        recs.append(r)
+    for r in recs[::-1]:
+        c = r.copy()
+        c["bits"][0, near::8] ^= 1
+        c["bits"][1:, ::8] ^= 1  # in each of the four parts
+        recs.append(c)
+    desc = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(recs)], "id long, desc binary")
+    monkeypatch.setattr(image_copies, "_described", lambda images: desc.selectExpr("id", "cast(id as string) h", "desc"))
+    assert all(image_copies.inliers(recs[i], recs[j]) < image_copies.MIN_INLIERS for i in range(30) for j in range(i))
+    got = {r.id: r.class_id for r in image_copies.copies(spark.createDataFrame([(i, bytes([i])) for i in range(60)], "id long, image binary")).collect()}
+    assert got == {i: min(i, 59 - i) for i in range(60)}
+
+
 # --- 9
 
 
