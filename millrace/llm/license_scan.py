@@ -4,8 +4,9 @@ What a file says of its licence stands in a header or makes up a licence file. T
 (line ends and comment signs joined), and the whole text of a licence file (LICENSE, COPYING, NOTICE ...) are compared with
 templates, notices and whole licences, by the cosine of their sparse TF-IDF vectors. The weights come from the templates, so that
 a file's licence never depends on other files; a word that the templates lack has the weight of the rarest one. A segment with a
-cosine of THRESHOLD has one of a template's heaviest words, as all others together are too light, and others are left out by
-that bound. Equal segments are scored once. A file has the licence of its best segment at THRESHOLD or more; "all rights
+cosine of THRESHOLD has one of a template's heaviest words, as all others together are too light, and its words of templates
+weigh THRESHOLD of it at least, as the others are orthogonal to all templates; other segments are left out by these bounds.
+Equal segments are scored once, and go from step to step by their hashes. A file has the licence of its best segment at THRESHOLD or more; "all rights
 reserved" counts only beside no other licence. A file without one inherits from the nearest directory above it, its own
 included, that has a licence file; of several licences in one directory the most frequent one, then the first by name. Ancestors
 are resolved per directory, not per file, so that a directory with a third of all files costs one row before the last join,
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,13 +67,48 @@ def anchors() -> list[str]:
     return sorted(out)
 
 
+def near_some(found: Column) -> Column:
+    """Whether words may be those of a segment as near as THRESHOLD to any template."""
+    _, idf, rare = _weights()
+    same: dict[float, list[str]] = {}
+    for w, x in sorted(idf.items()):
+        same.setdefault(x, []).append(w)
+
+    def square(w: Column) -> Column:
+        out = F.lit(rare**2)
+        for x, of in sorted(same.items(), reverse=True):
+            out = F.when(w.isin(*of), F.lit(x**2)).otherwise(out)
+        return out
+
+    # the squares of 1 + 1 + ... of a word add up as 1, 3, 5, ...
+    start = F.struct(F.lit("").alias("w"), F.lit(1.0).alias("n"), F.lit(0.0).alias("s"))
+
+    def add(weigh: Callable[[Column], Column]) -> Callable[[Column, Column], Column]:
+        def one(a: Column, w: Column) -> Column:
+            n = F.when(a["w"] == w, a["n"] + 2).otherwise(1.0)
+            return F.struct(w.alias("w"), n.alias("n"), (a["s"] + n * weigh(w)).alias("s"))
+
+        return one
+
+    def squares(of: Column, weigh: Callable[[Column], Column]) -> Column:
+        return F.aggregate(F.array_sort(of), start, add(weigh), lambda a: a["s"])
+
+    # each of the others once, then as often as it comes
+    least = lambda known: F.lit(rare**2) * (F.size(found) - F.size(known))
+    exact = lambda: squares(F.filter(found, lambda w: ~w.isin(*idf)), lambda w: F.lit(rare**2))
+    enough = lambda ours, rest: ours >= 0.99 * THRESHOLD**2 * (ours + rest)
+    anchored = F.arrays_overlap(found, F.array(*map(F.lit, anchors())))
+    ours = lambda known: F.array(F.struct(squares(known, square).alias("ours"), least(known).alias("least")))
+    near = lambda x: enough(x["ours"], x["least"]) & anchored & enough(x["ours"], exact())
+    return F.exists(F.array(F.filter(found, lambda w: w.isin(*idf))), lambda known: F.exists(ours(known), near))
+
+
 def segments(text: Column, whole: Column) -> Column:
-    """The lines, sentences and paragraphs of a text, and all of it if ``whole``, each once, that have an anchor."""
+    """The lines, sentences and paragraphs of a text, and all of it if ``whole``, each once, that may be near a template."""
     flat = lambda t: F.regexp_replace(t, r"\s*\n[ \t]*(?:[#*;%]+|//+|--+)?[ \t]*", " ")
     paragraphs = F.transform(F.split(text, r"\n[ \t#*;%/\-]*\n"), flat)
     every = F.concat(F.split(text, r"\n|[.!?] +"), paragraphs, F.when(whole, F.array(flat(text))).otherwise(F.array().cast("array<string>")))
-    known = F.array(*map(F.lit, anchors()))
-    return F.array_distinct(F.filter(every, lambda s: F.arrays_overlap(words(s), known)))
+    return F.array_distinct(F.filter(every, lambda s: F.exists(F.array(words(s)), near_some)))
 
 
 def score_segments(found: DataFrame) -> DataFrame:
@@ -80,13 +117,14 @@ def score_segments(found: DataFrame) -> DataFrame:
     spark = found.sparkSession
     table = F.broadcast(spark.createDataFrame(rows, "template int, license string, word string, w double"))  # the templates: fixed
     known = F.broadcast(spark.createDataFrame(list(idf.items()), "word string, idf double"))
-    tf = found.select("segment", F.explode(words(F.col("segment"))).alias("word")).groupBy("segment", "word").agg(F.count(F.lit(1)).alias("tf"))
+    known_as = found.select(F.unhex(F.sha2("segment", 256)).alias("h"), "segment").repartition("h")  # the only shuffle of a segment
+    tf = known_as.select("h", F.explode(words(F.col("segment"))).alias("word")).groupBy("h", "word").agg(F.count(F.lit(1)).alias("tf"))
     v = tf.join(known, "word", "left").withColumn("v", F.col("tf") * F.coalesce("idf", F.lit(rare)))
-    norm = v.groupBy("segment").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
-    dot = v.join(table, "word").groupBy("segment", "template", "license").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
-    cos = dot.join(norm, "segment").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= THRESHOLD)
-    best = cos.groupBy("segment").agg(F.min(F.struct((F.col("license") == "proprietary").alias("p"), (-F.col("score")).alias("s"), F.col("license"))).alias("b"))
-    return best.select("segment", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
+    norm = v.groupBy("h").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"))
+    dot = v.join(table, "word").groupBy("h", "template", "license").agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
+    cos = dot.join(norm, "h").withColumn("score", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("score") >= THRESHOLD)
+    best = cos.groupBy("h").agg(F.min(F.struct((F.col("license") == "proprietary").alias("p"), (-F.col("score")).alias("s"), F.col("license"))).alias("b"))
+    return known_as.join(best, "h").select("segment", F.col("b.license").alias("license"), (-F.col("b.s")).alias("score"))
 
 
 def directory(path: Column) -> Column:
@@ -102,13 +140,12 @@ def scan(files: DataFrame, keys: list[str]) -> DataFrame:
     """files: path, text and the columns ``keys``. Per row: keys, path, license, score, origin (own, inherited or null) and
     license_dir (of an inherited one)."""
     scratch = Scratch(files.sparkSession)
-    speaks = F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, anchors())))
-    slim = scratch.table(files.select(*keys, "path", F.when(speaks, segments(F.col("text"), named(F.col("path")))).alias("seg")))
+    slim = scratch.table(files.select(*keys, "path", segments(F.col("text"), named(F.col("path"))).alias("seg")))
     has = slim.where("size(seg) > 0")
-    scored = score_segments(has.select(F.explode("seg").alias("segment")).distinct())
-    rows = has.select(*[F.col(k) for k in keys], "path", "seg").withColumn("segment", F.explode("seg"))
+    scored = score_segments(has.select(F.explode("seg").alias("segment")).distinct()).select(F.unhex(F.sha2("segment", 256)).alias("of"), "license", "score")
+    rows = has.select("path", F.xxhash64("seg").alias("h"), F.explode(F.transform("seg", lambda s: F.unhex(F.sha2(s, 256)))).alias("of")).distinct()
     first = F.min(F.struct((F.col("license") == "proprietary").alias("p"), (-F.col("score")).alias("s"), F.col("license").alias("l"))).alias("b")
-    own = rows.join(scored, "segment").groupBy("path", F.xxhash64("seg").alias("h")).agg(first)
+    own = rows.join(scored, "of").groupBy("path", "h").agg(first)
     own = own.select(F.col("path").alias("_p"), "h", F.col("b.l").alias("license"), (-F.col("b.s")).alias("score"))
     with_own = slim.withColumn("h", F.when(F.size("seg") > 0, F.xxhash64("seg"))).alias("f").join(own.alias("o"), F.expr("f.path <=> o._p and f.h = o.h"), "left")
     with_own = scratch.table(with_own.select(*[f"f.{k}" for k in keys], "f.path", "license", "score"))

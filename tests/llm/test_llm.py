@@ -129,6 +129,21 @@ def test_whole_licences_and_headers(spark):
     assert got == {path: want for want, path, _ in files}
 
 
+def test_prose_is_left_out_before_it_is_dealt(spark):
+    """The bound on a segment's words of templates leaves out prose, and nothing that a template is near to."""
+    rng = random.Random(5)
+    prose = [" ".join(rng.choice(["the", "of", "to", "use"]) if rng.random() < 0.2 else f"w{rng.randint(0, 999)}" for _ in range(60)) for _ in range(20)]
+    mixed = []
+    for _, t in license_scan.TEMPLATES:
+        w = re.findall(license_scan.WORD, t.lower())
+        mixed += [" ".join(w + [rng.choice(["other", "the", "of", f"w{k}"]) for k in range(n)]) for n in (0, len(w) // 3, len(w), 2 * len(w))]
+    df = spark.createDataFrame([(t,) for t in set(prose + mixed)], "segment string")
+    kept = {r.x for r in df.select(F.explode(license_scan.segments(F.col("segment"), F.lit(False))).alias("x")).collect()}
+    near = {r.segment for r in license_scan.score_segments(df).collect()}
+    assert near and near <= kept
+    assert not kept & set(prose)
+
+
 def test_bound_leaves_out_no_near_segment(spark):
     rng = random.Random(3)
     vocab = sorted({w for _, t in license_scan.TEMPLATES for w in re.findall(license_scan.WORD, t.lower())})
