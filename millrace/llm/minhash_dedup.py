@@ -8,9 +8,8 @@ the full sets. A node is settled once all its sets are in one component. Small n
 similar sets each shares num / (num + den) of both sizes at least, so a set is alone if fewer of its shingles occur in
 another set of a large node. What remains branches: each set goes on to BRANCH children, chosen by minwise tokens that the
 node's path selects. In a large node that one component fills (half of it, or all but a few sets), and at DEPTH, those outside
-are compared with all, block by block. What a set outside meets is a component, not a set: a set is compared with all full
-sets of each component that it met, in blocks of bounded bytes, until one links it. No pairs are written but a link for each
-set and block.
+are compared with all, block by block. No pairs are written, but the sets of a node or block that have a similar one in another
+component; their full sets are compared there, in blocks of bounded bytes, and give the links that join components.
 
 Recall: sets of similarity s share a first node with probability s, and a node's children hold both with probability
 1-(1-s)^2. At s = 0.75 a tree keeps a pair together to any depth with probability 2/3 at least, so 12 trees miss it with
@@ -25,7 +24,7 @@ Extra columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -166,29 +165,45 @@ def _shared(full: DataFrame, tokens: int, p: int) -> DataFrame:
                 a, b = once & (where == k), ~once & (where == k)
                 yield pa.RecordBatch.from_pydict({"bucket": [k], "token": [token[a].tobytes()], "own": [own[a].tobytes()], "again": [token[b].tobytes()]})
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-
-        def done():
-            token, own, again = (np.concatenate([np.frombuffer(r[j], np.uint64) for r in held]) for j in range(3))
-            every = np.concatenate([token, again, again])
-            value, first, times = np.unique(every, return_index=True, return_counts=True)
-            one = first[times == 1]
-            owner, n = np.unique(own[one].view(np.int64), return_counts=True)
-            return pa.RecordBatch.from_pydict({"id": pa.array(owner), "alone": pa.array(n.astype(np.int64))})
+    groups = -(-buckets // 4)  # of owners
 
+    def grouped(batches: Iterator[pa.RecordBatch], done: Callable[[list], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """done of the rows of each first column's value, without it; the rows are sorted by it."""
+        at, held = None, []
         for batch in batches:
-            for bucket, *row in zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True):
-                if bucket != at and held:
-                    yield done()
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != at and held:
+                    yield done(held)
                     held = []
-                at = bucket
+                at = key
                 held.append(row)
         if held:
-            yield done()
+            yield done(held)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(held):
+            token, own, again = (np.concatenate([np.frombuffer(r[j], np.uint64) for r in held]) for j in range(3))
+            value, first, times = np.unique(np.concatenate([token, again, again]), return_index=True, return_counts=True)
+            owner, n = np.unique(own[first[times == 1]].view(np.int64), return_counts=True)
+            to = owner.view(np.uint64) % np.uint64(groups)
+            parts_ = [(g, to == g) for g in np.unique(to).tolist()]
+            return pa.RecordBatch.from_pydict({"group": pa.array([g for g, _ in parts_], pa.int64()), "owner": pa.array([owner[m].tobytes() for _, m in parts_], pa.binary()), "n": pa.array([n[m].astype(np.int64).tobytes() for _, m in parts_], pa.binary())})
+
+        yield from grouped(batches, done)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(held):
+            owner, n = (np.concatenate([np.frombuffer(r[j], np.int64) for r in held]) for j in range(2))
+            ids, where = np.unique(owner, return_inverse=True)
+            out = np.zeros(len(ids), np.int64)
+            np.add.at(out, where, n)
+            return pa.RecordBatch.from_pydict({"id": pa.array(ids), "alone": pa.array(out)})
+
+        yield from grouped(batches, done)
 
     dealt = full.mapInArrow(deal, "bucket long, token binary, own binary, again binary")
-    alone = dealt.repartition(min(buckets, 64 * p), "bucket").sortWithinPartitions("bucket").mapInArrow(count, "id long, alone long").groupBy("id").agg(F.sum("alone").alias("alone"))
+    counted = dealt.repartition(min(buckets, 64 * p), "bucket").sortWithinPartitions("bucket").mapInArrow(count, "group long, owner binary, n binary")
+    alone = counted.repartition(min(groups, 64 * p), "group").sortWithinPartitions("group").mapInArrow(total, "id long, alone long")
     n = (F.length("s") / 8).cast("long")
     return full.select("id", n.alias("n")).join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("lim"))
 
@@ -223,14 +238,14 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
-    """(id, n, met): the components with a set that may be similar to an outer one, within the groups (key, tree, id, comp, n,
-    lim, sig, mask, side, outer). Rows that aren't outer are compared with the outer ones only, each pair of outer ones once,
-    and of a group with several sides only pairs of two sides. A pair that meets in several trees is compared in the first one
-    (``mask`` has the trees whose nodes are compared as they are)."""
+    """(key, id, n, comp, outer): the sets that may be similar to one of another component, within the groups (key, tree, id, comp,
+    n, lim, sig, mask, side, outer). Rows that aren't outer are compared with the outer ones only, each pair of outer ones
+    once, and of a group with several sides only pairs of two sides. A pair that meets in several trees is compared in the first
+    one (``mask`` has the trees whose nodes are compared as they are)."""
     bit = 1 << np.arange(TREES)
 
     def compare(ids, comp, size, lim, sig, outer, tree, mask, side):
-        out = []
+        out = np.zeros(len(ids), bool)
         cross = len(np.unique(side)) > 1
         earlier = (mask[:, None] & bit[None, :tree]) != 0
         for i in np.flatnonzero(outer).tolist():
@@ -242,7 +257,8 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             other = other[~((sig[other, :tree] == sig[i, :tree]) & earlier[i]).any(axis=1)]
             if len(other):
                 ok = _near(sig[i], sig[other], size[i], size[other], num, den)
-                out += [(ids[i], size[i], c) for c in np.unique(comp[other[ok]]).tolist()]
+                out[other[ok]] = True
+                out[i] |= ok.any()
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,12 +270,10 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             key, tree, ids, comp, n, lim, mask, side, outer = (t[c].to_numpy() for c in ("key", "tree", "id", "comp", "n", "lim", "mask", "side", "outer"))
             sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint32).reshape(-1, WIDTH)
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            got = []
-            for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=True):
-                got += compare(*(x[lo:hi] for x in (ids, comp, n, lim, sig, outer)), int(tree[lo]), mask[lo:hi], side[lo:hi])
-            if got:
-                a = np.array(got, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(a[:, j])) for j in range(3)], names=["id", "n", "met"])
+            got = [compare(*(x[lo:hi] for x in (ids, comp, n, lim, sig, outer)), int(tree[lo]), mask[lo:hi], side[lo:hi]) for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(ids)], strict=True)]
+            at = np.flatnonzero(np.concatenate(got))
+            if len(at):
+                yield pa.RecordBatch.from_pydict({"key": pa.array(key[at]), "id": pa.array(ids[at]), "n": pa.array(n[at]), "comp": pa.array(comp[at]), "outer": pa.array(outer[at])})
 
         for batch in batches:  # sorted by key: the last key of a batch may go on in the next
             for lo in range(0, batch.num_rows, 2048):
@@ -273,7 +287,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             yield from done(held)
 
     rows = members.select("key", "tree", "id", "comp", "n", "lim", "sig", "mask", "side", "outer").repartition(p, "key").sortWithinPartitions("key")
-    return rows.mapInArrow(run, "id long, n long, met long")
+    return rows.mapInArrow(run, "key long, id long, n long, comp long, outer boolean")
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
@@ -290,8 +304,8 @@ def _in_blocks(large: DataFrame) -> DataFrame:
 
 
 def _met(nodes: DataFrame, reps: DataFrame, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
-    """(id, n, met): what the sets of the nodes (key, tree, id, n, lim, comp) meet that are outside the node's largest component: that
-    one, and each other."""
+    """(key, id, n, comp, outer): the sets of the nodes (key, tree, id, n, lim, comp) and their blocks that may be similar to one outside
+    its component; outer are those outside the node's largest component."""
     sums = nodes.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.sum("m").alias("size"), F.max(F.struct("m", "comp")).alias("t"))
     at = nodes.join(sums.select("key", "size", F.col("t.comp").alias("top"), (F.col("size") - F.col("t.m")).alias("n_out")), "key")
     own = at.select("key", "tree", "id", "n", "lim", "comp", "size", "n_out", (F.col("comp") != F.col("top")).alias("outer"))
@@ -302,7 +316,7 @@ def _met(nodes: DataFrame, reps: DataFrame, num: int, den: int, p: int, scratch:
     large = at.where(F.col("size") > SMALL)
     if not large.isEmpty():
         small = small.union(_exhaustive(_in_blocks(large), num, den, p))
-    out = scratch.table(small.distinct())
+    out = scratch.table(small.dropDuplicates(["key", "id"]))
     scratch.drop(at)
     return out
 
@@ -364,28 +378,26 @@ def similar_sets(docs: DataFrame, scratch: Scratch, k: int = SHINGLE, num: int =
             at = _child_keys(parted.select(columns).join(reps.select("id", "sig"), "id").repartition(p, "id"))
     nodes = scratch.table(_union(found))
     met = _met(nodes, reps, num, den, p, scratch)
-    last = _link(docs, met, reps, comp, k, num, den, p, scratch)
+    last = _link(docs, met, k, num, den, p, scratch)
     if not last.isEmpty():
         comp = scratch.table(components(links.union(last), scratch))
     return rows, comp
 
 
-def _link(docs: DataFrame, met: DataFrame, reps: DataFrame, comp: DataFrame, k: int, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between sets and the components they met, on full sets; one for each set and block of a component."""
-    of = reps.select("id", "n").join(comp, "id", "left").select("id", "n", F.coalesce("component", "id").alias("met"))
-    inner = of.join(met.select("met").distinct(), "met", "left_semi")
-    outer = met.groupBy("met").agg(F.sum("n").alias("m"))
-    n = inner.groupBy("met").agg(F.sum("n").alias("n")).join(outer, "met")
-    n = n.select("met", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("rows"), F.ceil(F.col("m") / BLOCK_TOKENS).cast("int").alias("cols"))
+def _link(docs: DataFrame, met: DataFrame, k: int, num: int, den: int, p: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between the full sets of the groups (key, id, n, comp, outer) that join two components."""
+    sums = met.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("outer"), F.col("n")).otherwise(0)).alias("m"))
+    cuts = sums.select("key", F.ceil(F.col("n") / BLOCK_TOKENS).cast("int").alias("rows"), F.ceil(F.col("m") / BLOCK_TOKENS).cast("int").alias("cols"))
+    at = met.select("key", "id", "comp", "outer").join(cuts, "key")
     r, c = F.pmod(F.xxhash64("id"), F.col("rows")).cast("int").alias("r"), F.pmod(F.xxhash64(F.lit(3), "id"), F.col("cols")).cast("int").alias("c")
     spread = lambda col: F.explode(F.sequence(F.lit(0), F.col(col) - 1))
-    left = inner.join(n, "met").select("met", "id", r, spread("cols").alias("c"), F.lit(False).alias("outer"))
-    right = met.join(n, "met").select("met", "id", c, spread("rows").alias("r"), F.lit(True).alias("outer")).select("met", "id", "r", "c", "outer")
-    rows = scratch.table(left.union(right).select(F.xxhash64("met", "r", "c").alias("key"), "id", "outer"))
+    left = at.select("key", "id", "comp", r, spread("cols").alias("c"), F.lit(False).alias("outer"))
+    right = at.where("outer").select("key", "id", "comp", c, spread("rows").alias("r"), "outer").select("key", "id", "comp", "r", "c", "outer")
+    rows = scratch.table(left.union(right).select(F.xxhash64("key", "r", "c").alias("key"), "id", "comp", "outer"))
     full = scratch.table(_full(docs, rows.select("id").distinct(), k))
     scratch.tidy()
 
-    def compare(ids: np.ndarray, outer: np.ndarray, sets: list[np.ndarray]):
+    def compare(ids: np.ndarray, comp: np.ndarray, outer: np.ndarray, sets: list[np.ndarray]):
         at = np.flatnonzero(~outer)
         size = np.array([len(sets[i]) for i in at.tolist()])
         if not len(at) or not outer.any():
@@ -400,28 +412,30 @@ def _link(docs: DataFrame, met: DataFrame, reps: DataFrame, comp: DataFrame, k:
             span = hi - lo
             hit = np.repeat(lo - np.cumsum(span) + span, span) + np.arange(span.sum())
             inter = np.bincount(owner[hit], minlength=len(at))
-            ok = np.flatnonzero((den * inter >= num * (size + len(x) - inter)) & (inter > 0) & (ids[at] != ids[i]))
-            if len(ok):
-                yield ids[i], ids[at[ok[0]]]
+            for j in at[(den * inter >= num * (size + len(x) - inter)) & (inter > 0)].tolist():
+                if comp[i] != comp[j]:
+                    yield ids[i], ids[j]
+                    comp[comp == comp[j]] = comp[i]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, outer, sets = None, [], [], []
+        key, ids, comp, outer, sets = None, [], [], [], []
 
         def done():
-            got = list(compare(np.array(ids, np.int64), np.array(outer, bool), sets)) if ids else []
+            got = list(compare(np.array(ids, np.int64), np.array(comp, np.int64), np.array(outer, bool), sets)) if ids else []
             return pa.RecordBatch.from_pydict({"a": pa.array([int(x) for x, _ in got], pa.int64()), "b": pa.array([int(y) for _, y in got], pa.int64())})
 
         for batch in batches:  # sorted by key; a group's sides have about BLOCK_TOKENS shingles each, or one longer set
-            for g, i, o, raw in zip(*(batch.column(j).to_pylist() for j in range(4)), strict=True):
+            for g, i, of, o, raw in zip(*(batch.column(j).to_pylist() for j in range(5)), strict=True):
                 if g != key:
                     yield done()
-                    key, ids, outer, sets = g, [], [], []
+                    key, ids, comp, outer, sets = g, [], [], [], []
                 ids.append(i)
+                comp.append(of)
                 outer.append(o)
                 sets.append(np.frombuffer(raw, np.uint64))
         yield done()
 
-    sided = rows.join(full, "id").select("key", "id", "outer", "s").repartition(p, "key").sortWithinPartitions("key")
+    sided = rows.join(full, "id").select("key", "id", "comp", "outer", "s").repartition(p, "key").sortWithinPartitions("key")
     out = scratch.table(sided.mapInArrow(run, "a long, b long"))
     scratch.drop(full)
     scratch.tidy()

@@ -66,6 +66,29 @@ def test_shingles_that_no_other_set_has(spark, monkeypatch):
         assert got == {i: sum(any(x in t for j, t in sets.items() if j != i) for x in s) for i, s in sets.items()}
 
 
+def test_counts_of_shingles_are_not_written_by_set_and_task(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "SHARE_TOKENS", 500)
+    sets = [(i, bytearray(np.arange(20 * i + 1, 20 * i + 21).astype(np.uint64).tobytes())) for i in range(200)]
+    df = spark.createDataFrame(sets, "id long, s binary").repartition(3)
+    made, real = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: made.append(real(self, *a, **k)) or made[-1])
+    assert {r.lim for r in minhash_dedup._shared(df, 4000, 4).collect()} == {0}
+    assert max(m.count() for m in made) <= 200
+
+
+@pytest.mark.parametrize("outer", [True, False])
+def test_similar_sets_of_a_node_make_no_pairs_of_all(spark, outer):
+    rng = np.random.default_rng(2)
+    sig = rng.integers(0, 2**32, minhash_dedup.WIDTH, np.uint32)
+    rows = []
+    for i in range(100):
+        own = sig.copy()
+        own[rng.integers(0, minhash_dedup.WIDTH, 12)] = i
+        rows.append((1, 0, i, i, 100, 100, bytearray(own.tobytes()), 0, 0, outer or i % 2 == 0))
+    df = spark.createDataFrame(rows, "key long, tree int, id long, comp long, n long, lim long, sig binary, mask int, side int, outer boolean")
+    assert sorted(r.id for r in minhash_dedup._exhaustive(df, 75, 100, 4).collect()) == list(range(100))
+
+
 def test_keep_one(spark, docs, rows, empty):
     kept = minhash_dedup.keep_one(docs)
     assert kept.columns == docs.columns
