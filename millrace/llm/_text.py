@@ -37,6 +37,8 @@ _LOWER[65:91] = _BYTES[97:123]
 _R = _U(0x9E3779B97F4A7C15)
 _GRAM = stream(23, 64) | _U(1)
 _powers = np.ones(1, _U)
+PREFIX_BYTES = 2 << 20  #: blocks up to here are hashed by prefix sums, which take 24 bytes a byte
+_inverse = np.ones(1, _U)
 
 
 def powers(n: int) -> np.ndarray:
@@ -48,13 +50,27 @@ def powers(n: int) -> np.ndarray:
     return _powers[:n]
 
 
+def inverse_powers(n: int) -> np.ndarray:
+    """The same powers' inverses modulo 2^64."""
+    global _inverse
+    if len(_inverse) < n:
+        full = np.full(max(n, 4096), _U(pow(int(_R), -1, 1 << 64)), _U)
+        full[0] = 1
+        _inverse = np.cumprod(full)
+    return _inverse[:n]
+
+
+def _finish(sums: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    return mix(sums + lens.astype(_U) * _U(0xD6E8FEB86659FD93))
+
+
 def _run_hash(values: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """A hash of each run of consecutive table values; all lens > 0."""
     if not len(lens):
         return np.zeros(0, _U)
     first = np.cumsum(lens) - lens
     pos = np.arange(len(values)) - np.repeat(first, lens)
-    return mix(np.add.reduceat(values * powers(int(lens.max()))[pos], first) + lens.astype(_U) * _U(0xD6E8FEB86659FD93))
+    return _finish(np.add.reduceat(values * powers(int(lens.max()))[pos], first), lens)
 
 
 class Block:
@@ -99,10 +115,23 @@ class Block:
     def n_words(self) -> np.ndarray:
         return np.diff(self.bounds)
 
+    @cached_property
+    def _sums(self) -> np.ndarray:
+        out = np.zeros(len(self.data) + 1, _U)
+        np.cumsum((_LOWER if self.lower else _BYTES)[self.data] * powers(len(self.data)), out=out[1:])
+        return out
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from starts to ends, all runs of one byte or more."""
+        lens = ends - starts
+        if len(self.data) <= PREFIX_BYTES:  # differences of one prefix sum, taken to the power 0
+            return _finish((self._sums[ends] - self._sums[starts]) * inverse_powers(len(self.data))[starts], lens)
+        at = np.repeat(starts - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())
+        return _run_hash((_LOWER if self.lower else _BYTES)[self.data[at]], lens)
+
     @cached_property
     def words(self) -> np.ndarray:
-        table = _LOWER if self.lower else _BYTES
-        return _run_hash(table[self.data[self._spans[2]]], self.ends - self.starts)
+        return self.hashes(self.starts, self.ends)
 
     @cached_property
     def doc_of_word(self) -> np.ndarray:

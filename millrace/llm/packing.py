@@ -40,19 +40,102 @@ SLOTS = 1 << 20  #: counters of document frequencies
 K1, B = 1.2, 0.75
 RARITY = 3  #: power of the inverse document frequency that weighs words for shard keys
 CACHE = 600_000  #: words in each of the two generations of an encoder's memory
+SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")  #: of them alone no cut follows but from letters and digits
+_SIGN, _SOLID = np.zeros(256, bool), np.zeros(256, bool)
+_SIGN[list(SIGNS.encode())] = True
+_SOLID[[c for c in range(128) if chr(c).isalnum()]] = True
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
 _FAST = {  # what the encoder of words relies on
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
     "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
 }
 
 
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value's number, from 0 in the order of first places, and the values by number."""
+    coded = pa.array(values).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_numpy()
+
+
+class Words:
+    """The words of texts, A-Z lower-cased: their hashes (terms), text by text (bounds); and what the tokenizer's ids come from
+    (tokens): the words, but letters and digits apart from the signs behind them."""
+
+    def __init__(self, texts: pa.Array):
+        terms, n_words, n_tokens, hashes, starts, lens, data = ([np.zeros(0, t)] for t in (np.uint64, np.int64, np.int64, np.uint64, np.int64, np.int64, np.uint8))
+        marked, at = [np.zeros(0, bool)], 0
+        for _, _, b in blocks(texts, lower=True):
+            first, cut, end = b.starts, _signs_from(b), b.ends
+            both = np.flatnonzero(cut < end)
+            tokens = np.arange(len(first)) + np.searchsorted(both, np.arange(len(first)))  # where each word's first token is
+            lo, hi = np.repeat(first, 1 + (cut < end)), np.repeat(end, 1 + (cut < end))
+            hi[tokens[both]] = lo[tokens[both] + 1] = cut[both]
+            h = b.hashes(lo, hi)
+            of = h[tokens]
+            of[both] = b.hashes(first[both], end[both])
+            terms.append(of)
+            hashes.append(h)
+            starts.append(lo + at)
+            lens.append(hi - lo)
+            n_words.append(b.n_words)
+            n_tokens.append(b.n_words + b.per_text(cut < end))
+            data.append(_SMALL[b.data])
+            marked.append(b.per_byte((b.data == 0xCC) | (b.data == 0xCD)) > 0)  # what U+0300 to U+036F begin with
+            at += len(b.data)
+        self.terms, self.hashes, self.starts, self.lens, self.data, self.marked = (np.concatenate(x) for x in (terms, hashes, starts, lens, data, marked))
+        self.bounds, self.token_bounds = (np.concatenate([[0], np.cumsum(np.concatenate(x))]) for x in (n_words, n_tokens))
+
+    def each(self) -> list[np.ndarray]:
+        """The terms of every text."""
+        return [self.terms[a:b] for a, b in zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)]
+
+    def distinct(self) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Each token's number, the tokens by number, and which texts have no combining marks and no token that is unlike another
+        one of its hash."""
+        number, values = numbered(self.hashes)
+        first = np.zeros(len(values), np.int64)
+        first[number[::-1]] = np.arange(len(number))[::-1]
+        unlike = np.zeros(len(number), bool)
+        for lo in range(0, len(number), 1 << 15):
+            part = slice(lo, lo + (1 << 15))
+            n, of = self.lens[part], first[number[part]]
+            one = self.starts[part] - np.cumsum(n) + n  # a token's place less that in this part
+            differs = self.data[(at := np.arange(n.sum())) + np.repeat(one, n)] != self.data[np.minimum(at + np.repeat(one + self.starts[of] - self.starts[part], n), len(self.data) - 1)]
+            unlike[part] = n != self.lens[of]
+            if differs.any():
+                unlike[lo + np.repeat(np.arange(len(n)), n)[differs]] = True
+        n = self.lens[first] + 1
+        raw = np.full(n.sum(), 32, np.uint8)
+        at = np.arange(len(raw)) + np.repeat(self.starts[first] - np.cumsum(n) + n, n)
+        ends = np.cumsum(n) - 1
+        raw[:] = self.data[np.minimum(at, len(self.data) - 1)] if len(raw) else raw
+        raw[ends] = 32
+        total = np.concatenate([[0], np.cumsum(unlike)])
+        return number, raw.tobytes().decode().split(" ")[: len(first)], ~self.marked & (total[self.token_bounds[1:]] == total[self.token_bounds[:-1]])
+
+
+def _signs_from(b: Block) -> np.ndarray:
+    """Where in each word the signs behind its last letter or digit begin; its end, if that is none that is known here."""
+    out = b.ends.copy()
+    left = np.arange(len(out))
+    for _ in range(16):
+        left = left[_SIGN[b.data[out[left] - 1]] & (out[left] - 1 > b.starts[left])]
+        out[left] -= 1
+    last, before = b.data[out - 1], b.data[np.maximum(out - 2, 0)]
+    # a letter of U+00C0 to U+027F; × and ÷ are none, and İ is lower-cased to a letter and a mark
+    latin = (before >= 0xC3) & (before <= 0xC9) & (last >= 0x80) & (last < 0xC0) & ~((before == 0xC3) & ((last == 0x97) | (last == 0xB7))) & ~((before == 0xC4) & (last == 0xB0))
+    return np.where(_SOLID[last] | latin, out, b.ends)
+
+
 class Encoder(dict):
     """word -> its ids as little-endian unsigned 32-bit bytes, all of them the library's.
 
     A tokenizer that normalises to NFC, lower-cases, drops white space and cuts at it, and cuts between letters and other
-    characters, gives a text the ids of its words, and letters with a stop or comma the ids of both. So words are encoded by the
-    library once, many in a call, and remembered. Texts with one of the tokenizer's own added tokens, and all texts of tokenizers
-    of other kinds, go to the library whole."""
+    characters, gives a text the ids of its words with A-Z lower-cased, and letters or digits with signs behind them the ids
+    of both. So the distinct ones of many texts are found at once, encoded by the library together, and remembered. Texts with one of the
+    tokenizer's own added tokens or with combining marks (which may compose with one case of a letter only), and all texts of
+    tokenizers of other kinds, go to the library whole."""
 
     MARK = "\x01"
 
@@ -74,7 +157,6 @@ class Encoder(dict):
         self.ends = np.zeros(max(model["vocab"].values(), default=0) + 1, bool) if end and isinstance(model["vocab"], dict) else None
         if self.ends is not None:
             self.ends[[i for t, i in model["vocab"].items() if t.endswith(end)]] = True
-        self.points = {t: self._whole(t) for t in ("", ".", ",")}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -84,44 +166,36 @@ class Encoder(dict):
         self[word] = out = self._whole(word) if out is None else out
         return out
 
-    def words(self, text: str) -> list[str] | None:
-        """What the text's ids come from, or None: the text as a whole."""
-        if not self.fast or any(t in text for t in self.added):
-            return None
-        return text.replace("\n", " ").split(" ")
-
-    def learn(self, words: set[str]) -> None:
-        """Takes in new words together."""
+    def learn(self, words: list[str]) -> None:
+        """Takes in new words, A-Z lower-cased, together."""
         if len(self) >= CACHE:
             self.old = dict(self)
             self.clear()
-        plain: set[str] = set()
+        new = [w for w in words if w not in self]
+        if self.old:
+            known = {w: ids for w in new if (ids := self.old.get(w)) is not None}
+            self.update(known)
+            new = [w for w in new if w not in known]
+        plain = [w for w in new if w.isascii() and w.isalpha()] if self.ends is not None else []
         other: list[str] = []
-        made: list[tuple[str, str, str]] = []
-        for w in words.difference(self):
-            got = self.old.get(w)
-            if got is not None:
-                self[w] = got
-                continue
-            core, point = (w[:-1], w[-1]) if w[-1:] in (".", ",") else (w, "")
-            if self.ends is not None and core.isalpha():
-                low = core.lower()
-                if core.isascii() or ("Σ" not in core and "İ" not in core and low.isalpha() and unicodedata.is_normalized("NFC", core)):
-                    if low not in self and low not in self.old:
-                        plain.add(low)
-                    if low != w:
-                        made.append((w, low, point))
-                    continue
-            if w and self.MARK not in w:
-                other.append(w)
-        for part, ids in self._together(list(plain), " "):
+        made: list[tuple[str, str]] = []
+        for w in new if len(plain) < len(new) else []:
+            if self.ends is None or not w.isalpha() or "Σ" in w or "İ" in w or not (low := w.lower()).isalpha() or not unicodedata.is_normalized("NFC", w):
+                if self.MARK not in w:
+                    other.append(w)
+            elif low != w:
+                made.append((w, low))
+            elif not w.isascii():
+                plain.append(w)
+        plain += {low for _, low in made}.difference(self, self.old, plain)
+        for part, ids in self._together(plain, " "):
             self._take(part, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
         for part, ids in self._together(other, f" {self.MARK} "):
             self._take(part, ids, np.append(np.flatnonzero(ids == self.mark), len(ids)), 1)
-        for w, low, point in made:
+        for w, low in made:
             ids = self.get(low) or self.old.get(low)
             if ids:
-                self[w] = ids + self.points[point]
+                self[w] = ids
 
     def _together(self, words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
         for lo in range(0, len(words), 8192):
@@ -134,13 +208,22 @@ class Encoder(dict):
             self.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, [0, *(e + gap for e in ends)], ends, strict=False))
 
     def ids(self, text: str) -> bytes:
-        words = self.words(text)
-        return self._whole(text) if words is None else b"".join(map(self.__getitem__, words))
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        words = [self.words(t) for t in texts]
-        self.learn(set().union(*(w for w in words if w is not None)))
-        return [self._whole(t) if w is None else b"".join(map(self.__getitem__, w)) for t, w in zip(texts, words, strict=True)]
+        return self.batch([text])[0]
+
+    def batch(self, texts: list[str], words: Words | None = None) -> list[bytes]:
+        if not self.fast:
+            return [self._whole(t) for t in texts]
+        words = words or Words(pa.array(texts, pa.large_string()))
+        number, distinct, plain = words.distinct()
+        self.learn(distinct)
+        each = list(map(self.__getitem__, distinct))
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        at = np.cumsum(size) - size
+        n = size[number]
+        before = np.concatenate([[0], np.cumsum(n)])
+        flat = np.frombuffer(b"".join(each), "<u4")[np.repeat(at[number] - before[:-1], n) + np.arange(before[-1])]
+        ends = before[words.token_bounds].tolist()
+        return [flat[a:b].tobytes() if ok and not any(x in t for x in self.added) else self._whole(t) for t, ok, a, b in zip(texts, plain.tolist(), ends, ends[1:], strict=False)]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -154,7 +237,7 @@ def encoder(path: str) -> Encoder:
 
 
 def _terms(texts: pa.Array) -> list[np.ndarray]:
-    return [b.words[b.bounds[i] : b.bounds[i + 1]] for _, _, b in blocks(texts, lower=True) for i in range(b.n)]
+    return Words(texts).each()
 
 
 def _slots(terms: np.ndarray, slots: int) -> np.ndarray:
@@ -209,7 +292,7 @@ class Index:
         stats = stats or Statistics.of(terms)
         size = np.array([len(t) for t in terms], np.int64)
         lens = size.astype(float)
-        self.vocab, number = np.unique(np.concatenate(terms) if n else np.zeros(0, np.int64), return_inverse=True)
+        number, self.vocab = numbered(np.concatenate(terms) if n else np.zeros(0, np.int64))
         # each document's words with their counts, in the order of documents
         both = np.sort(np.repeat(np.arange(n), size) * max(len(self.vocab), 1) + number)
         first = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(both)])
@@ -331,8 +414,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHA
         held: list[tuple[int | None, bytes, int, np.ndarray]] = []
 
         def take(ids: list, texts: list[str]):
-            terms = _terms(pa.array(texts, pa.large_string()))
-            held.extend(zip(ids, (x + tail for x in enc.batch(texts)), [0] * len(ids), terms, strict=True))
+            words = Words(pa.array(texts, pa.large_string()))
+            held.extend(zip(ids, (x + tail for x in enc.batch(texts, words)), [0] * len(ids), words.each(), strict=True))
 
         def done(last: bool):
             nonlocal first, held
@@ -351,7 +434,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHA
                     "doc_tokens": pa.array([len(d[1]) // 4 for d in docs_], pa.int64()), "sequence_id": pa.array(first + seq), "offset": pa.array(off), "ids": pa.array(piece, pa.binary()),
                 })
             first += out[-1][3] + 1 if out else 0
-            held = [(d, x, at + n, t) for (d, x, at, t), n in zip(held, packed.tolist(), strict=True) if at + n < len(x) // 4]
+            held = [(d, x, at + n, t.copy()) for (d, x, at, t), n in zip(held, packed.tolist(), strict=True) if at + n < len(x) // 4]
 
         ids: list = []
         texts: list[str] = []

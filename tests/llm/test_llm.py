@@ -407,6 +407,36 @@ def test_ids_are_the_librarys():
     assert not other.fast and other.ids("A b.") == np.array(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")).encode("A b.", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_library_sees_words_once_whatever_signs_follow():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), packing.Encoder(path)
+    asked = []
+    together = enc._together
+    enc._together = lambda words, between: asked.extend(words) or together(words, between)
+    texts = ["Nodule nodule, NODULE*** nodule&&& nodule.!! nodule7", "señora señora### Señora,", "J\u030c \u01f0 j\u030c A\u0301 a\u0301", "AİB!! Σας.", ""]
+    for part in (texts, texts[::-1]):
+        assert enc.batch(part) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+    assert [sum("nodule" == w.lower().rstrip(".,*&!") for w in asked), asked.count("señora")] == [1, 1]
+
+
+def test_hashes_by_prefix_sums_are_those_by_runs(monkeypatch):
+    import pyarrow as pa
+
+    from millrace.llm import _text
+
+    texts = pa.array(["One two, ONE\n", None, "", " é🙂 three  " * 40], pa.large_string())
+    for lower in (False, True):
+        got = _text.Block(texts, lower)
+        monkeypatch.setattr(_text, "PREFIX_BYTES", 0)
+        want = _text.Block(texts, lower)
+        assert (got.starts == want.starts).all()
+        slow = want.words
+        monkeypatch.undo()
+        assert (got.words == slow).all() and len(slow) == 83
+
+
 def test_shards_hold_neighbours(spark):
     rng = random.Random(9)
     common = [f"c{i}" for i in range(500)]
