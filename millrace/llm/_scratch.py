@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of an Arrow batch, where the session keeps Spark's own 64 MB.
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
 _open: list[list[Scratch]] = []
+_kept: dict[str, dict] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,6 +44,34 @@ def released() -> Iterator[None]:
             s.close()
 
 
+def kept(name: str) -> dict:
+    """What a worker process keeps for later tasks of the same kind."""
+    return _kept.setdefault(name, {})
+
+
+def _give_back(keep: str | None) -> None:
+    for name in [n for n in _kept if n != keep]:
+        _kept[name].clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator], keep: str | None = None) -> Callable[[Iterator], Iterator]:
+    """``run`` in a worker process that first drops what tasks of other kinds kept there, and gives back free memory before and
+    after. Spark uses worker processes again, so an idle one's memory would count against all later tasks of its executor."""
+
+    def held(batches: Iterator) -> Iterator:
+        _give_back(keep)
+        try:
+            yield from run(batches)
+        finally:
+            _give_back(keep)
+
+    return held
+
+
 class Scratch:
     """Writes DataFrames as Parquet tables, which cuts their lineage and outlives executors. They go when the driver ends, or
     earlier with ``drop``, ``close`` and ``released``."""

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._scratch import Scratch, parts
+from ._scratch import Scratch, lean, parts
 from ._text import mix, stream
 
 SCALES = (1.0, 0.8, 0.6)
@@ -216,7 +216,7 @@ def _described(images: DataFrame) -> DataFrame:
                     got.append(describe(g).tobytes() if g is not None else b"")
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), batch.column(2).slice(lo, 256), pa.array(got, pa.binary())], names=["id", "h", "desc"])
 
-    return images.mapInArrow(run, "id long, h string, desc binary")
+    return images.mapInArrow(lean(run), "id long, h string, desc binary")
 
 
 def _buckets(desc: DataFrame) -> DataFrame:
@@ -227,7 +227,7 @@ def _buckets(desc: DataFrame) -> DataFrame:
             for raw in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_pydict({"key": pa.array(np.unique(_keys(_words(np.frombuffer(raw, RECORD)))).view(np.int64))})
 
-    return desc.where("length(desc) > 0").select("desc").mapInArrow(run, "key long")
+    return desc.where("length(desc) > 0").select("desc").mapInArrow(lean(run), "key long")
 
 
 def _entries(desc: DataFrame, shared: DataFrame) -> DataFrame:
@@ -247,7 +247,7 @@ def _entries(desc: DataFrame, shared: DataFrame) -> DataFrame:
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_h").bitwiseAND(F.lit(63).cast("long")).cast("int"))
     word = F.shiftright("_h", 6).alias("_w")
     filt = shared.select(place.alias("_h")).select(word, bit.alias("_b")).groupBy("_w").agg(F.bit_or("_b").alias("_bits"))
-    rows = desc.where("length(desc) > 0").select("id", "desc").mapInArrow(run, "key long, id long, bits binary")
+    rows = desc.where("length(desc) > 0").select("id", "desc").mapInArrow(lean(run), "key long, id long, bits binary")
     near = rows.withColumn("_h", place).withColumn("_w", word).join(F.broadcast(filt), "_w").where(F.col("_bits").bitwiseAND(bit) != 0)
     return near.select("key", "id", "bits").join(shared, "key").select("key", "n", "id", "bits")
 
@@ -260,7 +260,7 @@ def _agree(pairs: DataFrame, desc: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"a": batch.column(0).filter(mask), "b": batch.column(1).filter(mask)})
 
     sided = pairs.join(desc.selectExpr("id a", "desc x"), "a").join(desc.selectExpr("id b", "desc y"), "b")
-    return sided.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return sided.select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
 
 
 def _meeting(entries: DataFrame, p: int, find: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -301,7 +301,7 @@ def _meeting(entries: DataFrame, p: int, find: Callable[[np.ndarray, np.ndarray,
         if held is not None:
             yield from compare(held)
 
-    return rows.repartition(p, "block").sortWithinPartitions("block", "key").mapInArrow(run, "a long, b long")
+    return rows.repartition(p, "block").sortWithinPartitions("block", "key").mapInArrow(lean(run), "a long, b long")
 
 
 def _first(ids: np.ndarray, others: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,6 +339,20 @@ def _within_groups(ids: DataFrame, desc: DataFrame, comp: DataFrame, p: int, scr
     both = own.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
     rows = both.select((F.least("g", "to") * n + F.greatest("g", "to")).alias("key"), "g", "id", "comp", "desc")
 
+    def buckets(words: np.ndarray, owner: np.ndarray, n_images: int, t: int) -> tuple[np.ndarray, ...]:
+        """Of one table: the descriptors in buckets of several, by bucket; for each of them, by image, where its bucket begins and
+        ends, and which it is; and where each image's begin. One table at a time, and 32 bits, keep a group's memory low."""
+        key = mix(words[:, t] + stream(41, TABLES)[t])
+        of = np.argsort(key, kind="stable").astype(np.int32)
+        key = key[of]
+        several = np.append(False, key[1:] == key[:-1]) | np.append(key[1:] == key[:-1], False)
+        of, key = of[several], key[several]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)]).astype(np.int32)
+        size = np.diff(np.append(first, np.int32(len(key))))
+        at = np.argsort(of, kind="stable").astype(np.int32)
+        lo, hi, mine = np.repeat(first, size)[at], np.repeat(first + size, size)[at], of[at]
+        return of, lo, hi, mine, np.searchsorted(owner[mine], np.arange(n_images + 1))
+
     def compare(held: list[tuple]) -> Iterator[tuple[int, int]]:
         recs = [np.frombuffer(r[4], RECORD) for r in held]
         side, root = np.array([r[1] for r in held]), np.array([r[3] for r in held])
@@ -346,27 +360,19 @@ def _within_groups(ids: DataFrame, desc: DataFrame, comp: DataFrame, p: int, scr
         if n > 1 and not cross and held[0][0] != held[0][1] * n + held[0][1]:
             return  # the other group is empty
         words = np.concatenate([_words(r) for r in recs])
-        owner = np.repeat(np.arange(len(recs)), [len(r) for r in recs])
-        key = _keys(words).ravel()
-        of = np.argsort(key, kind="stable")
-        key = key[of]
-        several = np.append(False, key[1:] == key[:-1]) | np.append(key[1:] == key[:-1], False)
-        of, key = of[several] // TABLES, key[several]  # descriptors by bucket, in buckets of several
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-        size = np.diff(np.append(first, len(key)))
-        at = np.argsort(of, kind="stable")  # the same by descriptor
-        lo, hi, mine = np.repeat(first, size)[at], np.repeat(first + size, size)[at], of[at]
-        ends = np.searchsorted(owner[mine], np.arange(len(recs) + 1))
+        owner = np.repeat(np.arange(len(recs), dtype=np.int32), [len(r) for r in recs])
+        tables = [buckets(words, owner, len(recs), t) for t in range(TABLES)]
         for i in range(len(recs)):
             met: set[int] = set()
-            for e in range(ends[i], ends[i + 1]):
-                others = of[lo[e] : hi[e]]
-                o = owner[others]
-                ok = (o > i) & (root[o] != root[i])
-                if cross:
-                    ok &= side[o] != side[i]
-                others = others[ok]
-                met.update(owner[others[_distance(words[others], words[mine[e]]) <= MAX_DISTANCE]].tolist())
+            for of, lo, hi, mine, ends in tables:
+                for e in range(ends[i], ends[i + 1]):
+                    others = of[lo[e] : hi[e]]
+                    o = owner[others]
+                    ok = (o > i) & (root[o] != root[i])
+                    if cross:
+                        ok &= side[o] != side[i]
+                    others = others[ok]
+                    met.update(owner[others[_distance(words[others], words[mine[e]]) <= MAX_DISTANCE]].tolist())
             for j in sorted(met):
                 if root[i] != root[j] and inliers(recs[i], recs[j], MIN_INLIERS) >= MIN_INLIERS:
                     yield held[i][2], held[j][2]
@@ -387,7 +393,7 @@ def _within_groups(ids: DataFrame, desc: DataFrame, comp: DataFrame, p: int, scr
                 held.append(row)
         yield done()
 
-    out = scratch.table(rows.repartition(max(p, n), "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long"))
+    out = scratch.table(rows.repartition(max(p, n), "key").sortWithinPartitions("key").mapInArrow(lean(run), "a long, b long"))
     scratch.drop(at)
     return out
 
@@ -435,9 +441,9 @@ def rendered(vectors: DataFrame, side: int = 112) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for lo, batch in ((lo, b) for b in batches for lo in range(0, b.num_rows, 256)):  # few images at once, in the JVM too
             out = []
-            for v in batch.column(1).to_pylist():
+            for v in batch.column(1).slice(lo, 256).to_pylist():
                 x = np.array([0.0 if a is None else a for a in v or []], np.float32)
                 if len(x) not in fields:
                     rng = np.random.default_rng(len(x))
@@ -445,6 +451,6 @@ def rendered(vectors: DataFrame, side: int = 112) -> DataFrame:
                 mixed = x @ fields[len(x)]
                 spread = float(mixed.std()) if len(x) else 0.0
                 out.append(write_image(128 + 50 * ((mixed - mixed.mean()) / spread).reshape(side, side)) if spread > 0 else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "image"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, 256), pa.array(out, pa.binary())], names=["id", "image"])
 
-    return vectors.mapInArrow(run, "id long, image binary")
+    return vectors.mapInArrow(lean(run), "id long, image binary")

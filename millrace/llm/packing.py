@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch, parts
+from ._scratch import Scratch, kept, lean, parts
 from ._text import Block, blocks, mix
 
 WINDOW, END = 4096, 2
@@ -226,14 +226,12 @@ class Encoder(dict):
         return [flat[a:b].tobytes() if ok and not any(x in t for x in self.added) else self._whole(t) for t, ok, a, b in zip(texts, plain.tolist(), ends, ends[1:], strict=False)]
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    """One for each worker process, so that its memory serves all tasks that come there."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    """One for each worker process, so that its memory serves all tasks that come there, until one of another kind comes."""
+    encoders = kept("packing")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def _terms(texts: pa.Array) -> list[np.ndarray]:
@@ -382,7 +380,7 @@ def statistics(docs: DataFrame, slots: int = SLOTS) -> Statistics:
         # two places beyond the slots hold the numbers of documents and words
         yield pa.RecordBatch.from_pydict({"slot": pa.array(np.append(at, [slots, slots + 1])), "n": pa.array(np.append(df[at], [n, words]))})
 
-    sums = docs.select(F.col("text").alias("text")).mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    sums = docs.select(F.col("text").alias("text")).mapInArrow(lean(run), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     got = sums.toArrow()
     df = np.zeros(slots + 2, np.int64)
     df[got["slot"].to_numpy()] = got["n"].to_numpy()
@@ -396,7 +394,7 @@ def _keyed(docs: DataFrame, stats: Statistics) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys[:, 0]), pa.array(keys[:, 1]), *batch.columns], names=["k1", "k2", "h", "text", "doc_id", "size"])
 
     rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-    return rows.withColumn("size", F.octet_length("text").cast("long")).mapInArrow(run, "k1 long, k2 long, h long, text string, doc_id long, size long")
+    return rows.withColumn("size", F.octet_length("text").cast("long")).mapInArrow(lean(run), "k1 long, k2 long, h long, text string, doc_id long, size long")
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHARD, end: int = END, slots: int = SLOTS) -> DataFrame:
@@ -455,5 +453,5 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard: int = SHA
     p = max(1, -(-size // PART_BYTES), min(parts(docs.sparkSession), -(-size // (PART_BYTES >> 4))))
     ranged = keyed.repartitionByRange(p, "k1", "k2", "h").sortWithinPartitions("k1", "k2", "h", "doc_id", "text")
     return ranged.select("text", "doc_id").mapInArrow(
-        run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+        lean(run, "packing"), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
     )

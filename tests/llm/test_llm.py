@@ -407,6 +407,36 @@ def test_ids_are_the_librarys():
     assert not other.fast and other.ids("A b.") == np.array(Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json")).encode("A b.", add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_workers_drop_what_tasks_of_other_kinds_kept():
+    from millrace.llm import _scratch
+
+    path = tokenizer_path("word_bpe_49k.json")
+    enc = []
+    same = lambda batches: [enc.append(packing.encoder(path)) or b for b in batches]
+    assert list(_scratch.lean(same, "packing")([1])) == list(_scratch.lean(same, "packing")([1])) == [1]
+    assert enc[0] is enc[1]
+    assert list(_scratch.lean(lambda batches: batches)([2])) == [2]
+    assert not _scratch.kept("packing") and list(_scratch.lean(same, "packing")([3])) == [3]
+    assert enc[2] is not enc[0]
+
+
+def test_images_are_rendered_few_at_once():
+    import pyarrow as pa
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng = np.random.default_rng(4)
+    rows = pa.RecordBatch.from_pydict({"id": pa.array(range(600)), "embedding": pa.array([[0.0] * 8, *rng.normal(size=(599, 8)).tolist()])})
+    got = list(image_copies.rendered(Rows(), 16)(iter([rows, rows.slice(0, 1)])))
+    assert max(b.num_rows for b in got) <= 256
+    assert [i for b in got for i in b.column(0).to_pylist()] == [*range(600), 0]
+    one = [next(image_copies.rendered(Rows(), 16)(iter([rows.slice(i, 1)]))).column(1)[0].as_py() for i in (1, 255, 256, 599)]
+    images = [x for b in got for x in b.column(1).to_pylist()]
+    assert one == [images[i] for i in (1, 255, 256, 599)] and images[0] is None
+
+
 def test_library_sees_words_once_whatever_signs_follow():
     from tokenizers import Tokenizer
 
