@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._graph import components
-from ._scratch import Scratch, parts
+from ._scratch import Scratch, lean, parts
 from ._text import Block, blocks, mix, stream
 
 SHINGLE, NUM, DEN = 5, 75, 100
@@ -89,7 +89,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
                     sig.append(minwise(s).tobytes() if len(s) else None)
                 yield pa.RecordBatch.from_pydict({"key": batch.column(0).slice(lo, hi - lo), "doc_id": batch.column(1).slice(lo, hi - lo), "n": pa.array(n, pa.int64()), "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()), "sig": pa.array(sig, pa.binary())})
 
-    return docs.select(_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, "key long, doc_id long, n long, h1 long, h2 long, sig binary")
+    return docs.select(_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(lean(run), "key long, doc_id long, n long, h1 long, h2 long, sig binary")
 
 
 def _full(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -109,7 +109,7 @@ def _full(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     filt = ids.select(place.alias("_h")).select(word, bit.alias("_b")).groupBy("_w").agg(F.bit_or("_b").alias("_bits"))
     near = rows.withColumn("_h", place).withColumn("_w", word).join(F.broadcast(filt), "_w").where(F.col("_bits").bitwiseAND(bit) != 0)
     # an inner join with distinct ids: a semi join would be pushed below the filter
-    return near.select("id", "text").join(ids.distinct(), "id").dropDuplicates(["id"]).mapInArrow(run, "id long, s binary")
+    return near.select("id", "text").join(ids.distinct(), "id").dropDuplicates(["id"]).mapInArrow(lean(run), "id long, s binary")
 
 
 def _confirm(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
@@ -130,7 +130,7 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, scra
             yield pa.RecordBatch.from_pydict({"a": a.filter(ok), "b": b.filter(ok)})
 
     sided = pairs.join(full.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(full.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    out = scratch.table(sided.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"))
+    out = scratch.table(sided.select("a", "b", "sa", "sb").mapInArrow(lean(run), "a long, b long"))
     scratch.drop(full)
     scratch.tidy()
     return out
@@ -201,9 +201,9 @@ def _shared(full: DataFrame, tokens: int, p: int) -> DataFrame:
 
         yield from grouped(batches, done)
 
-    dealt = full.mapInArrow(deal, "bucket long, token binary, own binary, again binary")
-    counted = dealt.repartition(min(buckets, 64 * p), "bucket").sortWithinPartitions("bucket").mapInArrow(count, "group long, owner binary, n binary")
-    alone = counted.repartition(min(groups, 64 * p), "group").sortWithinPartitions("group").mapInArrow(total, "id long, alone long")
+    dealt = full.mapInArrow(lean(deal), "bucket long, token binary, own binary, again binary")
+    counted = dealt.repartition(min(buckets, 64 * p), "bucket").sortWithinPartitions("bucket").mapInArrow(lean(count), "group long, owner binary, n binary")
+    alone = counted.repartition(min(groups, 64 * p), "group").sortWithinPartitions("group").mapInArrow(lean(total), "id long, alone long")
     n = (F.length("s") / 8).cast("long")
     return full.select("id", n.alias("n")).join(alone, "id", "left").select("id", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("lim"))
 
@@ -234,7 +234,7 @@ def _star(members: DataFrame, reps: DataFrame, num: int, den: int) -> DataFrame:
 
     pairs = members.where("id <> lo").select(F.greatest("id", "lo").alias("a"), F.least("id", "lo").alias("b")).distinct()
     sided = pairs.join(reps.selectExpr("id a", "sig xa", "n na"), "a").join(reps.selectExpr("id b", "sig xb", "n nb"), "b")
-    return sided.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(run, "a long, b long")
+    return sided.select("a", "b", "xa", "xb", "na", "nb").mapInArrow(lean(run), "a long, b long")
 
 
 def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
@@ -287,7 +287,7 @@ def _exhaustive(members: DataFrame, num: int, den: int, p: int) -> DataFrame:
             yield from done(held)
 
     rows = members.select("key", "tree", "id", "comp", "n", "lim", "sig", "mask", "side", "outer").repartition(p, "key").sortWithinPartitions("key")
-    return rows.mapInArrow(run, "key long, id long, n long, comp long, outer boolean")
+    return rows.mapInArrow(lean(run), "key long, id long, n long, comp long, outer boolean")
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
@@ -436,7 +436,7 @@ def _link(docs: DataFrame, met: DataFrame, k: int, num: int, den: int, p: int, s
         yield done()
 
     sided = rows.join(full, "id").select("key", "id", "comp", "outer", "s").repartition(p, "key").sortWithinPartitions("key")
-    out = scratch.table(sided.mapInArrow(run, "a long, b long"))
+    out = scratch.table(sided.mapInArrow(lean(run), "a long, b long"))
     scratch.drop(full)
     scratch.tidy()
     return out

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._scratch import Scratch, parts
+from ._scratch import Scratch, lean, parts
 from ._text import Block, blocks, mix
 
 MIN_WORDS = 50
@@ -96,7 +96,7 @@ def _retained(docs: DataFrame) -> DataFrame:
                 doc = b.doc_of_word[at]
                 yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "row": pa.array(ids[lo + doc]), "pos": pa.array((at - b.bounds[doc]).astype(np.int32))})
 
-    return docs.select("row", "text").mapInArrow(run, "h long, row long, pos int")
+    return docs.select("row", "text").mapInArrow(lean(run), "h long, row long, pos int")
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def _contexts(rows: DataFrame) -> DataFrame:
                     "hot": pa.array(np.concatenate(out["hot"])), "lc": pa.array(out["lc"], pa.binary()), "rc": pa.array(out["rc"], pa.binary()),
                 })
 
-    return rows.mapInArrow(run, "h long, row long, doc_id long, pos int, hot boolean, lc binary, rc binary")
+    return rows.mapInArrow(lean(run), "h long, row long, doc_id long, pos int, hot boolean, lc binary, rc binary")
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -182,7 +182,7 @@ def _neighbours(rows: DataFrame) -> DataFrame:
             most, least = CTX - kind[i][:, ::-1].argmax(axis=1), kind[i].argmax(axis=1)
             yield pa.RecordBatch.from_pydict({"row": pa.array(own[i]), "doc_id": pa.array(doc[i]), "start": pa.array(pos[i] - most), "end": pa.array(pos[i] + K + CTX - least), "later": pa.array(np.full(len(i), flag))})
 
-    return rows.mapInArrow(run, _OUT)
+    return rows.mapInArrow(lean(run), _OUT)
 
 
 def _hot_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -195,7 +195,7 @@ def _hot_spans(rows: DataFrame, scratch: Scratch) -> DataFrame:
                 for m, (key, at) in enumerate(zip(*_keys(batch), strict=True)):
                     yield pa.RecordBatch.from_pydict({"key": pa.array(key[at].view(np.int64)), "row": pa.array(own[at]), "doc_id": pa.array(doc[at]), "start": pa.array(pos[at] - m)})
 
-    keys = rows.mapInArrow(run, "key long, row long, doc_id long, start long")
+    keys = rows.mapInArrow(lean(run), "key long, row long, doc_id long, start long")
     # stored, so that the join has two shuffles of its own, whose large keys are split
     both = scratch.table(keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last"))
     return keys.join(both, "key").select("row", "doc_id", "start", (F.col("start") + MIN_WORDS).alias("end"), (F.col("first") < F.col("doc_id")).alias("later"))
@@ -259,7 +259,7 @@ def passages(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, j])) for j in range(5)], names=["doc_id", "start_word", "end_word", "n_words", "n_removed"])
 
     spans = repeats(docs, Scratch(docs.sparkSession))
-    return _per_row(spans).select("doc_id", "spans").mapInArrow(run, "doc_id long, start_word long, end_word long, n_words long, n_removed long")
+    return _per_row(spans).select("doc_id", "spans").mapInArrow(lean(run), "doc_id long, start_word long, end_word long, n_words long, n_removed long")
 
 
 def remove_passages(docs: DataFrame, text: str = "text", length: str | None = "n_chars") -> DataFrame:
@@ -298,6 +298,6 @@ def remove_passages(docs: DataFrame, text: str = "text", length: str | None = "n
             yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep))
 
     joined = docs.join(cuts, _row(text) == F.col("_cut_row"), "left")
-    return joined.select(*[docs[c] for c in names], "_cut_spans").mapInArrow(run, docs.schema)
+    return joined.select(*[docs[c] for c in names], "_cut_spans").mapInArrow(lean(run), docs.schema)
 
 
