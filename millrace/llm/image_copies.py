@@ -4,10 +4,12 @@ An image is read at several scales. Corners are local maxima of the Harris respo
 direction of its intensity centroid) and BITS binary tests, pairs of smoothed pixels turned by that orientation. The tests are
 those of a seeded pool that are even and little correlated on seeded noise, so that unlike corners rarely agree by chance. A
 descriptor enters TABLES Hamming tables, one for each part of its bits. Two images meet if two of their descriptors share an entry
-and differ in MAX_DISTANCE bits at most, whatever the size of the bucket. Every image is compared with the smallest one that it
-meets, and then all that meet and are still in different components: pairs of buckets of up to SMALL images are written, images
-of larger ones are dealt into groups of GROUP_BYTES, and each two groups are compared in one task, which finds anew what meets in
-it and writes links only. A compared pair is a copy if MIN_INLIERS corners agree on one similarity transform (votes for
+and differ in MAX_DISTANCE bits at most, whatever the size of the bucket. Links are sought in three steps. In one of EARLY buckets
+each image is compared with the smallest one that it meets, then, in all buckets with several components, one image of each
+component, and then all that meet and are still in different components: pairs of buckets of up to SMALL images are written,
+images of larger ones are dealt into groups of GROUP_BYTES, and each two groups are compared in one task, which finds anew what
+meets in it and writes links only. So copies that share all their descriptors make a row for few of them, and a group that is one
+component meets the images outside it, but not itself, again. A compared pair is a copy if MIN_INLIERS corners agree on one similarity transform (votes for
 rotation, scale and shift). So no bucket makes more pairs than SMALL times its images, and no pair that meets is left out.
 
 Recall: two descriptors that differ in MAX_DISTANCE random bits share a given part with probability (1 - MAX_DISTANCE / BITS) to
@@ -40,6 +42,7 @@ SCALES = (1.0, 0.8, 0.6)
 CORNERS, TILE = 48, 112
 RADIUS, BITS, TABLES = 9, 256, 4
 MIN_INLIERS, MAX_DISTANCE, SMALL = 8, 10, 32
+EARLY = 16  #: one of so many buckets is looked through before the others
 BLOCK = 4096  #: descriptors of a bucket that are compared with as many at once
 GROUP_BYTES = 16 << 20  #: descriptors of a group of images
 MOST_WORDS = 1 << 19  #: 64-bit words of the Bloom filter over buckets, at most
@@ -263,26 +266,38 @@ def _agree(pairs: DataFrame, desc: DataFrame) -> DataFrame:
     return sided.select("a", "b", "x", "y").mapInArrow(lean(run), "a long, b long")
 
 
-def _meeting(entries: DataFrame, p: int, find: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """What ``find`` gives for the ids of descriptors (key, id, bits, comp), those of others, and a matrix of what meets: both share
-    a bucket, are near, and in different components. Buckets are cut into blocks of BLOCK and BLOCK."""
-    blocks = entries.join(entries.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("cut")), "key")
-    at = blocks.withColumn("r", F.pmod(F.xxhash64("id", "bits"), F.col("cut")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("cut") - 1))
-    asks = at.select("key", "r", every.alias("c"), "id", "comp", "bits", F.lit(True).alias("asks"))
-    told = at.select("key", every.alias("c"), F.col("r").alias("to"), "id", "comp", "bits", F.lit(False).alias("asks")).select("key", F.col("c").alias("r"), F.col("to").alias("c"), "id", "comp", "bits", "asks")
-    rows = asks.union(told).select(F.xxhash64("key", "r", "c").alias("block"), "key", "id", "comp", "asks", "bits")
+def _meeting(entries: DataFrame, p: int, find: Callable[..., tuple[np.ndarray, np.ndarray]], every: bool = True) -> DataFrame:
+    """What ``find`` gives for the ids of descriptors (key, id, bits, comp), those of others, a matrix of what meets, and the
+    descriptors' comp: both share a bucket, are near, and in different components. Buckets are cut into blocks of BLOCK. With
+    ``every``, what is outside a bucket's largest component is compared with all of the bucket, block by block; else a block with
+    itself only."""
+    deal = lambda cut: F.pmod(F.xxhash64("id", "bits"), F.col(cut)).cast("int")
+    cuts = lambda n: F.ceil(n / BLOCK).cast("int")
+    if every:
+        sizes = entries.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key")
+        sizes = sizes.agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), cuts(F.sum("m")).alias("cut"), cuts(F.sum("m") - F.max("m")).alias("out")).where("out > 0")
+        at = entries.join(sizes, "key")
+        each = lambda cut: F.explode(F.sequence(F.lit(0), F.col(cut) - 1))
+        asks = at.where("comp <> main").select("key", deal("out").alias("r"), each("cut").alias("c"), "id", "comp", "bits", F.lit(True).alias("asks"))
+        rows = asks.union(at.select("key", each("out").alias("r"), deal("cut").alias("c"), "id", "comp", "bits", F.lit(False).alias("asks")))
+        rows = rows.select(F.xxhash64("key", "r", "c").alias("block"), "key", "id", "comp", "asks", "bits")
+    else:
+        at = entries.join(entries.groupBy("key").agg(cuts(F.count(F.lit(1))).alias("cut")), "key")
+        rows = at.select(F.xxhash64("key", deal("cut")).alias("block"), "key", "id", "comp", "bits")
 
     def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        ids, comp, asks = (t[c].to_numpy() for c in ("id", "comp", "asks"))
+        ids, comp = (t[c].to_numpy() for c in ("id", "comp"))
         words = np.frombuffer(b"".join(t["bits"].to_pylist()), "<u8").reshape(-1, BITS // 64)
-        mine, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        mine = other = np.arange(len(ids))
+        if every:
+            asks = t["asks"].to_numpy()
+            mine, other = np.flatnonzero(asks), np.flatnonzero(~asks)
         other = other[np.argsort(ids[other], kind="stable")]
         step = max(1, (1 << 20) // max(1, len(other)))
         for lo in range(0, len(mine), step):
             m = mine[lo : lo + step]
             met = (_distance(words[m][:, None], words[other][None]) <= MAX_DISTANCE) & (comp[m][:, None] != comp[other][None])
-            a, b = find(ids[m], ids[other], met)
+            a, b = find(ids[m], ids[other], met, comp[m])
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
@@ -304,23 +319,26 @@ def _meeting(entries: DataFrame, p: int, find: Callable[[np.ndarray, np.ndarray,
     return rows.repartition(p, "block").sortWithinPartitions("block", "key").mapInArrow(lean(run), "a long, b long")
 
 
-def _first(ids: np.ndarray, others: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """With the smallest id, if that is a smaller one."""
+def _first(ids: np.ndarray, others: np.ndarray, met: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One image of each component, with the smallest id that the component meets, if that is a smaller one than the image's."""
     if not len(others):
         return ids[:0], ids[:0]
     b = others[met.argmax(axis=1)]
-    ok = met.any(axis=1) & (b < ids)
+    ok = np.flatnonzero(met.any(axis=1) & (b < ids))
+    ok = ok[np.argsort(b[ok], kind="stable")]
+    ok = ok[np.unique(comp[ok], return_index=True)[1]]
     return ids[ok], b[ok]
 
 
-def _pairs(ids: np.ndarray, others: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    i, j = np.nonzero(met & (ids[:, None] > others[None]))
-    return ids[i], others[j]
+def _pairs(ids: np.ndarray, others: np.ndarray, met: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    i, j = np.nonzero(met)
+    a, b = np.unique(np.stack([np.maximum(ids[i], others[j]), np.minimum(ids[i], others[j])]), axis=1)
+    return a, b
 
 
-def _any(ids: np.ndarray, others: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ok = met.any(axis=1)
-    return ids[ok], ids[ok]
+def _any(ids: np.ndarray, others: np.ndarray, met: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    met_ = np.union1d(ids[met.any(axis=1)], others[met.any(axis=0)])
+    return met_, met_
 
 
 def _open(entries: DataFrame, comp: DataFrame) -> DataFrame:
@@ -412,19 +430,30 @@ def copies(images: DataFrame) -> DataFrame:
     shared = scratch.table(_buckets(desc).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     scratch.tidy()
     entries = scratch.table(_entries(desc, shared))
-    tried = scratch.table(_meeting(entries.withColumn("comp", F.col("id")), p, _first).groupBy("a").agg(F.min("b").alias("b")))
+    early = entries.where(F.pmod(F.xxhash64(F.lit(5), "key"), F.lit(EARLY)) == 0).withColumn("comp", F.col("id"))
+    smallest = lambda met: met.groupBy("a").agg(F.min("b").alias("b"))
+    tried = scratch.table(smallest(_meeting(early, p, _first, every=False)))
     links = scratch.table(_agree(tried, desc))
     scratch.tidy()
     comp = scratch.table(components(links, scratch))
     at = scratch.table(_open(entries, comp))
     scratch.drop(entries, shared)
-    small = _meeting(at.where(F.col("n") <= SMALL), p, _pairs).distinct().join(tried, ["a", "b"], "left_anti")
-    more = scratch.table(_agree(scratch.table(small), desc))
-    scratch.tidy()
-    links = links.union(more)
-    if not more.isEmpty():
-        comp = scratch.table(components(links, scratch))
-    large = scratch.table(_meeting(_open(at.where(F.col("n") > SMALL).select("key", "n", "id", "bits"), comp), p, _any).select(F.col("a").alias("id")).distinct())
+
+    def further(pairs: DataFrame) -> None:
+        """Compares these pairs, but those compared before."""
+        nonlocal tried, links, comp, at
+        new = scratch.table(pairs.join(tried, ["a", "b"], "left_anti"))
+        more = scratch.table(_agree(new, desc))
+        scratch.tidy()
+        tried, links = tried.union(new), links.union(more)
+        if not more.isEmpty():
+            comp, old = scratch.table(components(links, scratch)), at
+            at = scratch.table(_open(old.select("key", "n", "id", "bits"), comp))
+            scratch.drop(old)
+
+    further(smallest(_meeting(at, p, _first, every=False)))
+    further(_meeting(at.where(F.col("n") <= SMALL), p, _pairs).distinct())
+    large = scratch.table(_meeting(at.where(F.col("n") > SMALL), p, _any).select(F.col("a").alias("id")).distinct())
     if not large.isEmpty():
         last = _within_groups(large, desc, comp, p, scratch)
         if not last.isEmpty():

@@ -672,6 +672,41 @@ def test_one_entry_of_a_large_bucket_is_enough(spark, monkeypatch, near):
     assert got == {i: min(i, 59 - i) for i in range(60)}
 
 
+def test_near_copies_make_no_row_for_each_descriptor(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    base = np.zeros(40, image_copies.RECORD)
+    base["x"], base["y"], base["bits"] = rng.permutation(40) * 9, rng.permutation(40) * 9, rng.integers(0, 256, (40, 32))
+    recs = []
+    for i in range(60):
+        recs.append(base.copy())
+        recs[-1]["bits"][i % 40, 0] ^= 1 + i // 40
+    desc = spark.createDataFrame([(i, r.tobytes()) for i, r in enumerate(recs)], "id long, desc binary")
+    monkeypatch.setattr(image_copies, "_described", lambda images: desc.selectExpr("id", "cast(id as string) h", "desc"))
+    made, meeting = [], image_copies._meeting
+
+    def counted(*args, **how):
+        out = meeting(*args, **how)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(image_copies, "_meeting", counted)
+    got = {r.id: r.class_id for r in image_copies.copies(spark.createDataFrame([(i, bytes([i])) for i in range(60)], "id long, image binary")).collect()}
+    assert got == dict.fromkeys(range(60), 0)
+    assert sum(made) < 59 * 160 // 4  # 59 images meet a smaller one by each of 40 descriptors in 4 tables
+
+
+def test_what_is_one_component_does_not_meet_itself_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(image_copies, "BLOCK", 8)
+    entries = spark.createDataFrame([(1, i, 50 if i in (50, 70) else i if i == 90 else 0, bytes(32)) for i in range(100)], "key long, id long, comp long, bits binary")
+    asked = image_copies._meeting(entries, 2, lambda ids, *rest: (ids, ids)).collect()
+    assert sorted({r.a for r in asked}) == [50, 70, 90] and len(asked) <= 3 * 13
+    found = {r.a for r in image_copies._meeting(entries, 2, image_copies._any).collect()}
+    assert found == set(range(100))
+    pairs = {(r.a, r.b) for r in image_copies._meeting(entries, 2, image_copies._pairs).collect()}
+    comp = {r.id: r.comp for r in entries.collect()}
+    assert pairs == {(i, j) for i in range(100) for j in range(i) if comp[i] != comp[j]}
+
+
 # --- 9
 
 
