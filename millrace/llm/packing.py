@@ -46,6 +46,7 @@ _SIGN[list(SIGNS.encode())] = True
 _SOLID[[c for c in range(128) if chr(c).isalnum()]] = True
 _SMALL = np.arange(256, dtype=np.uint8)
 _SMALL[65:91] += 32
+_BESIDE = np.arange(64, -1, -8).astype(np.uint64)  #: bits of eight bytes that aren't among the first so many
 _FAST = {  # what the encoder of words relies on
     "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
     "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
@@ -97,14 +98,17 @@ class Words:
         first = np.zeros(len(values), np.int64)
         first[number[::-1]] = np.arange(len(number))[::-1]
         unlike = np.zeros(len(number), bool)
+        eight = np.ndarray(len(self.data), "<u8", np.append(self.data, np.zeros(8, np.uint8)), 0, (1,))  # those from each byte on
         for lo in range(0, len(number), 1 << 15):
             part = slice(lo, lo + (1 << 15))
-            n, of = self.lens[part], first[number[part]]
-            one = self.starts[part] - np.cumsum(n) + n  # a token's place less that in this part
-            differs = self.data[(at := np.arange(n.sum())) + np.repeat(one, n)] != self.data[np.minimum(at + np.repeat(one + self.starts[of] - self.starts[part], n), len(self.data) - 1)]
+            n, a, of = self.lens[part].copy(), self.starts[part].copy(), first[number[part]]
+            b, left = self.starts[of], np.flatnonzero(n == self.lens[of])
             unlike[part] = n != self.lens[of]
-            if differs.any():
-                unlike[lo + np.repeat(np.arange(len(n)), n)[differs]] = True
+            while len(left):  # eight bytes of each at a time
+                differs = (eight[a[left]] ^ eight[b[left]]) << _BESIDE[np.minimum(n[left], 8)]
+                unlike[lo + left[differs != 0]] = True
+                left = left[n[left] > 8]
+                n[left], a[left], b[left] = n[left] - 8, a[left] + 8, b[left] + 8
         n = self.lens[first] + 1
         raw = np.full(n.sum(), 32, np.uint8)
         at = np.arange(len(raw)) + np.repeat(self.starts[first] - np.cumsum(n) + n, n)
@@ -141,6 +145,7 @@ class Encoder(dict):
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(path)
         self.old: dict[str, bytes] = {}
@@ -151,6 +156,10 @@ class Encoder(dict):
         mark = self.tok.encode(self.MARK, add_special_tokens=False).ids
         self.fast = spec.get("normalizer") == _FAST["normalizer"] and pre[0].get("pattern") == {"Regex": _FAST["pattern"]} and len(mark) == 1 and not any(t.get("normalized") for t in spec.get("added_tokens") or [])
         self.mark = mark[0] if mark else -1
+        # the signs that the model sees for the bytes of letters up to U+024F, from the library
+        self.signs: dict[int, str] = {}
+        for c in map(chr, range(0x80, 0x250)) if self.fast else ():
+            self.signs.update(zip(c.encode(), ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0], strict=True))
         model = spec["model"]
         end = model.get("end_of_word_suffix")
         # which ids end a word: letters only are one piece, so such words need no mark between them
@@ -187,9 +196,12 @@ class Encoder(dict):
                 made.append((w, low))
             elif not w.isascii():
                 plain.append(w)
-        plain += {low for _, low in made}.difference(self, self.old, plain)
-        for part, ids in self._together(plain, " "):
-            self._take(part, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
+        plain += {low for _, low in made if low not in self and low not in self.old} - set(plain if made else ())
+        latin = [w for w in plain if w.isascii() or max(w) < "\u0250"] if self.fast else []
+        others = [w for w in plain if not w.isascii() and max(w) >= "\u0250"] if self.fast else plain
+        for between, kind in (("", latin), (" ", others)):
+            for part, ids in self._together(kind, between):
+                self._take(part, ids, np.flatnonzero(self.ends[ids]) + 1, 0)
         for part, ids in self._together(other, f" {self.MARK} "):
             self._take(part, ids, np.append(np.flatnonzero(ids == self.mark), len(ids)), 1)
         for w, low in made:
@@ -198,9 +210,16 @@ class Encoder(dict):
                 self[w] = ids
 
     def _together(self, words: list[str], between: str) -> Iterator[tuple[list[str], np.ndarray]]:
+        """The ids of some words at once. With nothing between them, of lower-case Latin letters only, by the library's model: its
+        other steps leave such words as they are."""
+        model = self.tok.model
         for lo in range(0, len(words), 8192):
             part = words[lo : lo + 8192]
-            yield part, np.array(self.tok.encode_batch_fast([between.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            if between:
+                yield part, np.array(self.tok.encode_batch_fast([between.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            else:
+                seen = (w if w.isascii() else w.encode().decode("latin-1").translate(self.signs) for w in part)
+                yield part, np.array([t.id for w in seen for t in model.tokenize(w)], "<u4")
 
     def _take(self, words: list[str], ids: np.ndarray, ends: np.ndarray, gap: int) -> None:
         if len(ends) == len(words):  # else they are encoded one by one when they come

@@ -451,6 +451,36 @@ def test_library_sees_words_once_whatever_signs_follow():
     assert [sum("nodule" == w.lower().rstrip(".,*&!") for w in asked), asked.count("señora")] == [1, 1]
 
 
+def test_latin_words_need_the_model_only():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), packing.Encoder(path)
+    rng = random.Random(5)
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha()]
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(60)) for _ in range(50)] + [" ".join(c + " a" + c + "b" for c in letters)]
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert enc.batch(texts) == want
+
+    class Model:
+        model = tok.model
+
+    enc = packing.Encoder(path)
+    enc.tok = Model()  # what is normalised and cut would need its other methods
+    texts = ["Größe SEÑORA señora, naïve the\nword ŝipo ɏ".replace(",", ""), "", "the the"]
+    assert enc.batch(texts) == [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_tokens_of_one_hash_are_told_apart():
+    import pyarrow as pa
+
+    base = "abcdefghijklmnopqrst"
+    others = [base[:i] + "0" + base[i + 1 :] for i in range(20)] + [base[:n] for n in (1, 7, 8, 9, 15, 16, 17)]
+    words = packing.Words(pa.array([base, f"{base.upper()} {base}", *others], pa.large_string()))
+    words.hashes = np.zeros_like(words.hashes)
+    assert words.distinct()[2].tolist() == [True, True] + [False] * len(others)
+
+
 def test_hashes_by_prefix_sums_are_those_by_runs(monkeypatch):
     import pyarrow as pa
 
