@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 # How formulas are written, in the order they are reported.
 KINDS = {
-    "display": r"\$\$([^$]+)\$\$", "bracket": r"\\\[(.+?)\\\]", "environment": r"\\begin\{(?:equation|align|gather)\*?\}", "inline": r"(?:^|[^$])\$([^$\n]+)\$(?!\$)", "command": r"\\(?:frac|sum|int|sqrt|alpha|beta|gamma)\b",
+    "display": r"\$\$([^$]+)\$\$", "bracket": r"\\\[(.+?)\\\]", "environment": r"\\begin\{(?:equation|align|gather)\*?\}", "inline": r"(?:^|[^$])\$([^$\n]+)\$(?!\$)", "command": rf"\\(?:frac|sum|int|sqrt|alpha|beta|gamma){T.END}",
 }
 SYMBOLS = {"\\alpha": "α", "\\beta": "β", "\\gamma": "γ", "\\delta": "δ", "\\lambda": "λ", "\\mu": "μ", "\\pi": "π", "\\sigma": "σ", "\\omega": "ω", "\\sum": "∑", "\\int": "∫", "\\infty": "∞", "\\leq": "≤", "\\geq": "≥", "\\neq": "≠", "\\times": "×", "\\pm": "±", "\\rightarrow": "→", "\\in": "∈", "\\forall": "∀", "\\exists": "∃", "\\partial": "∂", "\\nabla": "∇", "\\cdot": "·", "\\sqrt": "√"}
 FORMULA = r"\$\$[^$]+\$\$|\\\[.+?\\\]|\$[^$\n]+\$"

@@ -130,7 +130,7 @@ def abstract(text: Column) -> Column:
 
 def mentions(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, kind, number: figures, tables, equations, algorithms and sections that a text mentions, each as often as it does."""
-    kinds = {"figure": r"\b(?:Figure|Fig\.?) *([0-9]+)", "table": r"\b(?:Table|Tab\.) *([0-9]+)", "equation": r"\b(?:Equation|Eq\.?) *\(?([0-9]+)", "algorithm": r"\bAlgorithm *([0-9]+)", "section": r"\bSection *([0-9]+)"}
+    kinds = {"figure": rf"{T.BEGIN}(?:Figure|Fig\.?) *([0-9]+)", "table": rf"{T.BEGIN}(?:Table|Tab\.) *([0-9]+)", "equation": rf"{T.BEGIN}(?:Equation|Eq\.?) *\(?([0-9]+)", "algorithm": rf"{T.BEGIN}Algorithm *([0-9]+)", "section": rf"{T.BEGIN}Section *([0-9]+)"}
 
     def of(kind: str, pattern: str) -> Column:
         return F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("number")))

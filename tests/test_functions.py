@@ -2,6 +2,7 @@
 
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from millrace.operators import layout as L
 from millrace.operators import papers as P
 from millrace.operators import relational as R
 from millrace.operators import structure as S
+from millrace.plans import catalogue
 from millrace.sources import readers
 from millrace.streaming import incremental
 
@@ -255,3 +257,14 @@ def test_failures_of_an_encoder_are_told(spark):
     df = spark.createDataFrame([(1, "good"), (2, "bad"), (3, None)], "i int, t string").coalesce(1)
     got = {r.i: (r.embedding, r.err) for r in V.encode(df, "t", make, 2, failed="err").collect()}
     assert got[2] == ([0.0, 0.0], "ValueError: no such word") and got[3][1] is None and got[1][0] == pytest.approx([0.6, 0.8])
+
+
+def test_word_boundaries_are_those_of_sql(spark):
+    # after a letter beyond ASCII, RE2 sees a word begin, Java 17 does not
+    duck = duckdb.connect()
+    for text in ("éa Bc " * 6, "xa Bc " * 6, "_a Bc " * 6, " a Bc " * 6):
+        want = duck.execute(catalogue.oracle_sql()["artifact_flags"].replace("FROM documents", "FROM (SELECT 1 AS doc_id, $t AS text)"), {"t": text}).fetchone()[1]
+        assert one(spark, T.artifact_flags(F.lit(text))) == want
+    docs = spark.createDataFrame([(1, "éFigure 3, xFigure 4, Figure 5")], "doc_id long, text string")
+    assert sorted(r.number for r in S.mentions(docs).collect()) == ["3", "5"]
+    assert one(spark, M.counts(F.lit("\\fracé \\fracx \\frac1 \\sum_"))["command"]) == 1
