@@ -25,7 +25,8 @@ _E = f"(SELECT doc_id, concat(text, {_SQL_TAIL}) AS text FROM documents)"
 
 
 def enriched(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", F.concat("text", F.expr(_TAIL)).alias("text"))
+    """Documents with a tail; a missing text is the tail alone, as SQL's concat has it."""
+    return table(spark, d, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.expr(_TAIL)).alias("text"))
 
 
 @query(r"SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}')) AS email FROM documents")
@@ -84,8 +85,9 @@ def citation_numbers(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT doc_id, mark, (instr(text, mark) - 1)::BIGINT AS start, (instr(text, mark) - 1 + length(mark))::BIGINT AS \"end\" FROM (SELECT DISTINCT doc_id, text, unnest({_MARKS}) AS mark FROM {_E})")
 def citation_first_span(spark: SparkSession, d: str) -> DataFrame:
-    chunks = enriched(spark, d).withColumn("chunk_index", F.lit(0))
-    return C.first_spans(chunks).select("doc_id", "mark", "start", "end")
+    # by text too: SQL keeps texts of one doc_id apart
+    chunks = enriched(spark, d).select(F.struct("doc_id", F.md5("text")).alias("doc"), F.lit(0).alias("chunk_index"), "text")
+    return C.first_spans(chunks, "doc").select("doc.doc_id", "mark", "start", "end")
 
 
 @query(f"""SELECT doc_id, '1' AS ref_id, 2000 + (doc_id % 25)::INT AS year, 'A title of note' AS title, '10.1234/abc' AS doi FROM {_E} UNION ALL SELECT doc_id, '2', 1999, 'Another work of some length', NULL FROM {_E}""")

@@ -268,3 +268,15 @@ def test_word_boundaries_are_those_of_sql(spark):
     docs = spark.createDataFrame([(1, "éFigure 3, xFigure 4, Figure 5")], "doc_id long, text string")
     assert sorted(r.number for r in S.mentions(docs).collect()) == ["3", "5"]
     assert one(spark, M.counts(F.lit("\\fracé \\fracx \\frac1 \\sum_"))["command"]) == 1
+
+
+def test_first_spans_are_those_of_sql(spark, tmp_path):
+    # marks without a number from 1 to 1000 and missing texts once had no row, texts of one doc_id one together
+    rows = [(0, "a [1001] é(0) and [0, 5] [1001]"), (1, None), (2, "(99999999999) [2024]"), (3, ""), (3, "other (7)"), (3, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("citation_first_span", "citation_mentions"):
+        got = catalogue.queries()[name](spark, str(tmp_path))
+        assert sorted(map(tuple, got.collect())) == sorted(duck.execute(catalogue.oracle_sql()[name]).fetchall())
+    assert catalogue.queries()["citation_first_span"](spark, str(tmp_path)).where("mark in ('[1001]', '(0)', '(99999999999)')").count() == 3
