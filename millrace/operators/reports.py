@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,11 +81,49 @@ def improvements(docs: DataFrame, seconds: Column, chars: Column, quality: Colum
 
 
 def keyword_fallback(docs: DataFrame, key: str = "doc_id", k: int = 10) -> DataFrame:
-    """key, rank, word: the most frequent words of four letters or more that make up less than 5 % of a text; of equally
-    frequent ones the earlier."""
-    # texts are dealt out by key once; their words then never leave their partition
+    """key, rank, word, n: the most frequent words of four letters or more that make up less than 5 % of a text; of equally
+    frequent ones the earlier. Texts of one key count together.
+
+    Texts are dealt out and sorted by key once and their words counted beside them, so words are never written anywhere."""
+
+    def best(texts: list[pa.Array]) -> tuple[list[str], list[int]]:
+        words = (pa.concat_arrays(texts) if len(texts) > 1 else texts[0]).dictionary_encode()
+        names, at = words.dictionary, words.indices.to_numpy()
+        n, first = np.bincount(at, minlength=len(names)), np.full(len(names), len(at))
+        np.minimum.at(first, at, np.concatenate([np.arange(len(t)) for t in texts]))
+        fit = np.flatnonzero((n < 0.05 * len(texts[0])) & (pc.utf8_length(names).to_numpy() >= 4))
+        tie = np.zeros(len(fit), np.int64)
+        if len(texts) > 1:  # words of different texts may stand in one place
+            tie[sorted(range(len(fit)), key=lambda i: names[int(fit[i])].as_py().encode())] = np.arange(len(fit))
+        top = fit[np.lexsort((tie, first[fit], -n[fit]))[:k]]
+        return names.take(pa.array(top)).to_pylist(), n[top].tolist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table(keys: pa.Array, groups: list[list[pa.Array]]) -> pa.RecordBatch:
+            found = [best(g) for g in groups]
+            size = [len(w) for w, _ in found]
+            at = np.repeat(np.arange(len(found)), size)
+            rank = np.concatenate([np.arange(1, m + 1) for m in size]) if size else np.zeros(0, np.int64)
+            words, n = [x for w, _ in found for x in w], [x for _, c in found for x in c]
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), pa.array(rank, pa.int64()), pa.array(words, pa.string()), pa.array(n, pa.int64())], names=[key, "rank", "word", "n"])
+
+        last, kept = None, []  # the last key may go on in the next batch
+        for b in batches:
+            keys, w = b.column(0), b.column(1)
+            at, values, same = w.offsets.to_numpy(), w.values, keys.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]])) if len(b) else []
+            groups = [[values.slice(at[i], at[i + 1] - at[i]) for i in range(s, e)] for s, e in zip(starts, [*starts[1:], len(b)], strict=True)]
+            if groups and last is not None:
+                if last[0].as_py() == keys[0].as_py():
+                    groups[0] = kept + groups[0]
+                else:
+                    yield table(last, [kept])
+            if groups:
+                yield table(keys.take(pa.array(starts[:-1], pa.int64())), groups[:-1])
+                last, kept = keys.slice(int(starts[-1]), 1), groups[-1]
+        if last is not None:
+            yield table(last, [kept])
+
     words = F.regexp_extract_all(F.lower("text"), F.lit(f"({T.WORD})"), F.lit(1))
-    rows = docs.select(key, "text").repartition(key).select(key, words.alias("w")).select(key, F.size("w").alias("total"), F.posexplode("w").alias("pos", "word")).where(F.length("word") >= 4)
-    c = rows.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"), F.first("total").alias("total")).where(F.col("n") < 0.05 * F.col("total"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "first", "word"))), 1, k)
-    return c.groupBy(key).agg(best.alias("b")).select(key, F.posexplode("b").alias("rank", "r")).select(key, (F.col("rank") + 1).cast("long").alias("rank"), "r.word", (-F.col("r.n")).cast("long").alias("n"))
+    rows = docs.select(key, "text").where(F.col("text").isNotNull()).repartition(key).sortWithinPartitions(key).select(key, words.alias("w"))
+    return rows.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, rank long, word string, n long")

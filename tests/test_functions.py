@@ -1,5 +1,6 @@
 """Functions against small cases and plain Python."""
 
+import collections
 import re
 
 import duckdb
@@ -15,6 +16,7 @@ from millrace.operators import formulas as M
 from millrace.operators import layout as L
 from millrace.operators import papers as P
 from millrace.operators import relational as R
+from millrace.operators import reports
 from millrace.operators import structure as S
 from millrace.plans import catalogue
 from millrace.sources import readers
@@ -280,3 +282,26 @@ def test_first_spans_are_those_of_sql(spark, tmp_path):
         got = catalogue.queries()[name](spark, str(tmp_path))
         assert sorted(map(tuple, got.collect())) == sorted(duck.execute(catalogue.oracle_sql()[name]).fetchall())
     assert catalogue.queries()["citation_first_span"](spark, str(tmp_path)).where("mark in ('[1001]', '(0)', '(99999999999)')").count() == 3
+
+
+def test_keywords_are_counted_beside_their_text(spark, tmp_path):
+    # every word was a row of an aggregate once, which spilled far more than the texts
+    rows = [(i % 7, "Wörter words über Words four five six " * (i % 5) + f"only{i} é1_é2 " * 3 + "the end " * 30) for i in range(40)] + [(7, None), (8, ""), (9, "one four"), (10, "Äpfel bbbb cccc dddd " + "x " * 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = reports.keyword_fallback(docs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "HashAggregate" not in plan and plan.count("Exchange") <= 2
+
+    def plain(texts):
+        n, first = collections.Counter(), {}
+        for t in texts:
+            for i, w in enumerate(re.findall(r"\w+", t.lower())):
+                if len(w) >= 4:
+                    n[w] += 1
+                    first[w] = min(i, first.get(w, i))
+        sizes = {len(re.findall(r"\w+", t)) for t in texts}
+        return {z: [(w, n[w]) for w in sorted((w for w in n if n[w] < 0.05 * z), key=lambda w: (-n[w], first[w], w.encode()))[:10]] for z in sizes}
+
+    for d in {i for i, _ in rows}:
+        mine = [(r.word, r.n) for r in got.where(f"doc_id = {d}").orderBy("rank").collect()]
+        assert mine in [*plain([t for i, t in rows if i == d and t is not None]).values(), *([[]] if d == 7 else [])]
