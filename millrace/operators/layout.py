@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BAND = 8
+#: Blocks of one task, which sorts them more than once.
+ROWS = 1 << 18
 
 
 def reading_order(blocks: DataFrame, key: list[str]) -> DataFrame:
@@ -20,13 +22,20 @@ def reading_order(blocks: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.array_join(parts, "").alias("text"))
 
 
+def dealt(blocks: DataFrame, key: list[str]) -> DataFrame:
+    """Pages dealt over as many tasks as their number of blocks asks for. Spark's own number doesn't grow with the table, and
+    it joins small parts to such of 64 MB as written, which sorted are many times that."""
+    n = max(-(-blocks.count() // ROWS), blocks.sparkSession.sparkContext.defaultParallelism)
+    return blocks.repartition(n, *key)
+
+
 def with_columns(blocks: DataFrame, key: list[str]) -> DataFrame:
     """Adds ``column``: the page's x centres parted where a gap is over twice the mean gap and a tenth of the width."""
     c = (F.col("x0") + F.col("x1")) / 2
     w = Window.partitionBy(*key).orderBy(c, "y0", "x0", "text")
     page = Window.partitionBy(*key)
     gap = c - F.lag(c).over(w)
-    b = blocks.withColumn("gap", gap).withColumn("mean_gap", F.avg("gap").over(page)).withColumn("width", F.max("x1").over(page) - F.min("x0").over(page))
+    b = dealt(blocks, key).withColumn("gap", gap).withColumn("mean_gap", F.avg("gap").over(page)).withColumn("width", F.max("x1").over(page) - F.min("x0").over(page))
     new = (F.col("gap") > 2 * F.col("mean_gap")) & (F.col("gap") > F.col("width") * 0.1)
     order = Window.partitionBy(*key).orderBy(c, "y0", "x0", "text").rowsBetween(Window.unboundedPreceding, 0)
     return b.withColumn("column", F.sum(F.coalesce(new, F.lit(False)).cast("int")).over(order)).drop("gap", "mean_gap", "width")

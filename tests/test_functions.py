@@ -305,3 +305,13 @@ def test_keywords_are_counted_beside_their_text(spark, tmp_path):
     for d in {i for i, _ in rows}:
         mine = [(r.word, r.n) for r in got.where(f"doc_id = {d}").orderBy("rank").collect()]
         assert mine in [*plain([t for i, t in rows if i == d and t is not None]).values(), *([[]] if d == 7 else [])]
+
+
+def test_tasks_of_a_layout_are_bounded(spark, monkeypatch):
+    # the number of tasks once stayed the same however many blocks there were
+    monkeypatch.setattr(L, "ROWS", 50, raising=False)
+    n = F.col("id")
+    blocks = spark.range(1000).select((n / 5).cast("long").alias("page"), (n % 2 * 300.0).alias("x0"), (n % 5 * 40.0).alias("y0"), (n % 2 * 300.0 + 200).alias("x1"), (n % 5 * 40.0 + 12).alias("y1"), n.cast("string").alias("text"))
+    for got in (L.reading_order(blocks, ["page"]), L.with_columns(blocks, ["page"])):
+        sizes = got.groupBy(F.spark_partition_id()).agg(F.countDistinct("page").alias("n")).collect()
+        assert sum(r.n for r in sizes) == 200 and len(sizes) > 15 and max(r.n for r in sizes) <= 30
