@@ -96,11 +96,13 @@ def by_sentence(docs: DataFrame, key: str = "doc_id", size: int = SIZE, overlap:
 
 def split_long(text: Column, most: int = 1500) -> Column:
     """Short texts as they are. Else paragraphs are packed, and the last part, if too long, is packed again by sentence."""
-    parts = packed_paragraphs(F.split(text, "\n\n"), most)
-    last = F.element_at(parts, -1)
-    cut = packed_by(F.split(F.regexp_replace(last, r"([.!?])[ \t\n\r\f]+", "$1␞"), "␞"), most, " ")
-    head = F.slice(parts, F.lit(1), F.size(parts) - 1)
-    out = F.when(F.length(last) > most, F.concat(head, cut)).otherwise(parts)
+
+    def of_parts(parts: Column) -> Column:
+        last = F.element_at(parts, -1)
+        cut = packed_by(F.split(F.regexp_replace(last, r"([.!?])[ \t\n\r\f]+", "$1␞"), "␞"), most, " ")
+        return F.when(F.length(last) > most, F.concat(F.slice(parts, F.lit(1), F.size(parts) - 1), cut)).otherwise(parts)
+
+    out = T.let(packed_paragraphs(F.split(text, "\n\n"), most), of_parts)
     return F.when(F.length(text) <= most, F.array(text)).otherwise(F.transform(out, T.strip))
 
 
@@ -124,7 +126,8 @@ def packed_paragraphs(parts: Column, most: int) -> Column:
 def parts_of_chunks(chunks: DataFrame, most: int = 1500) -> DataFrame:
     """chunks: doc_id, chunk_index, text. Long ones in parts numbered ``index.part``, with place, size and word count."""
     cut = chunks.withColumn("parts", split_long(F.col("text"), most))
-    out = cut.select("doc_id", F.col("chunk_index").alias("original"), F.col("text").alias("whole"), F.size("parts").alias("total"), F.posexplode("parts").alias("part", "text"))
+    # outer: see T.let
+    out = cut.select("doc_id", F.col("chunk_index").alias("original"), F.col("text").alias("whole"), F.size("parts").alias("total"), F.posexplode_outer("parts").alias("part", "text")).where("part is not null")
     split = F.col("total") > 1
     at = F.greatest(F.instr(F.col("whole"), F.substring("text", 1, 50)) - 1, F.lit(0))
     return out.select(

@@ -4,6 +4,7 @@ import collections
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from millrace.operators import papers as P
 from millrace.operators import relational as R
 from millrace.operators import reports
 from millrace.operators import structure as S
+from millrace.operators import vectors as V
 from millrace.plans import catalogue
 from millrace.sources import readers
 from millrace.streaming import incremental
@@ -315,3 +317,15 @@ def test_tasks_of_a_layout_are_bounded(spark, monkeypatch):
     for got in (L.reading_order(blocks, ["page"]), L.with_columns(blocks, ["page"])):
         sizes = got.groupBy(F.spark_partition_id()).agg(F.countDistinct("page").alias("n")).collect()
         assert sum(r.n for r in sizes) == 200 and len(sizes) > 15 and max(r.n for r in sizes) <= 30
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_chunks_are_cleaned_and_split_once(spark):
+    # an inferred filter once held the whole cleaning some dozen times over
+    chunks = spark.createDataFrame([(1, 0, "One two. " * 400, "T", "S"), (2, 0, None, "T", "S")], "doc_id long, chunk_index int, text string, title string, section string")
+    got = K.fix_pipeline(chunks)
+    assert optimized(got).count("<[^>]+>") == 1 and optimized(got).count("aggregate(split(text") == 1
+    assert {r.doc_id for r in got.collect()} == {1} and {r.doc_id for r in K.parts_of_chunks(chunks).collect()} == {1}
