@@ -111,7 +111,7 @@ def authors(text: Column) -> Column:
 def abstract(text: Column) -> Column:
     """struct(text, confidence): the best of several places, checked and weighted; null if none is good enough."""
     head = F.substring(text, 1, 6000)
-    tries = (
+    places = (
         (F.regexp_extract(head, r"(?is)\babstract\b[ \t:.\-]*\n?(.{50,2000}?)(?=\n[ \t]*(?:1\.?[ \t]+)?introduction\b)", 1), 0.9),
         (F.regexp_extract(head, r"(?is)\babstract\b[ \t:.\-]*\n?(.{50,2000}?)(?=\n[ \t]*keywords?\b)", 1), 0.85),
         (F.regexp_extract(head, r"(?is)\bsummary\b[ \t:.\-]*\n(.{50,2000}?)(?=\n\n)", 1), 0.8),
@@ -119,13 +119,17 @@ def abstract(text: Column) -> Column:
         (F.regexp_extract(head, r"(?s)^(.{50,1500}?)(?=\n\n|$)", 1), 0.5),
     )
     terms = ("propose", "present", "show", "demonstrate", "approach", "method", "results", "paper", "study", "model", "novel", "achieve", "performance", "introduce", "evaluate", "we ", "our ", "data", "algorithm", "problem")
-    found = []
-    for t, conf in tries:
-        low = F.lower(t)
-        hits = sum((low.contains(x).cast("int") for x in terms), F.lit(0))
-        v = (F.length(t) > 50).cast("double") / 3 + (F.size(T.sentences(t)) >= 1).cast("double") / 3 + F.least(F.lit(1.0), hits / 3) / 3
-        found.append(F.when((t != "") & (v >= 0.5), F.struct((0.7 * conf + 0.3 * v).alias("confidence"), T.strip(t).alias("text"))))
-    return F.array_max(F.array_compact(F.array(*found)))
+
+    def checked(place: Column) -> Column:
+        t = place["t"]
+        hits = T.let(F.lower(t), lambda low: sum((low.contains(x).cast("int") for x in terms), F.lit(0)))
+        value = (F.length(t) > 50).cast("double") / 3 + (F.size(T.sentences(t)) >= 1).cast("double") / 3 + F.least(F.lit(1.0), hits / 3) / 3
+        fit = lambda v: F.when(v >= 0.5, F.struct((0.7 * place["conf"] + 0.3 * v).alias("confidence"), T.strip(t).alias("text")))
+        return F.when(t != "", T.let(value, fit))
+
+    # each place is looked for once, whatever is asked of it
+    tried = F.array(*[F.struct(t.alias("t"), F.lit(conf).alias("conf")) for t, conf in places])
+    return F.array_max(F.transform(tried, checked))
 
 
 def mentions(docs: DataFrame, key: str = "doc_id") -> DataFrame:

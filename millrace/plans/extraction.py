@@ -160,7 +160,8 @@ def structure_check(spark: SparkSession, d: str) -> DataFrame:
 def titles_and_abstracts(spark: SparkSession, d: str) -> DataFrame:
     t = F.concat(F.lit("A Study of Plain Things\nAuthors: Ann Bee, Cee Dee\nAbstract: We propose a novel method that improves results on data and we evaluate our approach.\n\n1 Introduction\n"), F.col("text"))
     e = table(spark, d, "documents").select("doc_id", t.alias("text"))
-    return e.select("doc_id", S.title(F.col("text")).alias("title"), S.authors(F.col("text")).alias("authors"), S.abstract(F.col("text"))["text"].alias("abstract"), F.round(S.abstract(F.col("text"))["confidence"], 4).alias("confidence"))
+    a = e.select("doc_id", S.title(F.col("text")).alias("title"), S.authors(F.col("text")).alias("authors"), S.abstract(F.col("text")).alias("a"))
+    return a.select("doc_id", "title", "authors", F.col("a.text").alias("abstract"), F.round("a.confidence", 4).alias("confidence"))
 
 
 @query("SELECT doc_id, 'algorithm' AS kind, CASE WHEN doc_id % 3 = 0 THEN '' ELSE (doc_id % 7)::VARCHAR END AS number, 'Sort of ' || source AS title, 1 + (lang = 'en')::INT AS steps, round(0.6 + (doc_id % 3 <> 0)::INT * 0.2 + (lang = 'en')::INT * 0.2, 2)::DOUBLE AS confidence FROM documents")

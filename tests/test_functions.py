@@ -329,3 +329,12 @@ def test_chunks_are_cleaned_and_split_once(spark):
     got = K.fix_pipeline(chunks)
     assert optimized(got).count("<[^>]+>") == 1 and optimized(got).count("aggregate(split(text") == 1
     assert {r.doc_id for r in got.collect()} == {1} and {r.doc_id for r in K.parts_of_chunks(chunks).collect()} == {1}
+
+
+def test_abstracts_are_looked_for_once(spark):
+    # each check once looked for every place again
+    docs = spark.createDataFrame([(1, "Abstract: We propose a novel method and our results show that it works well.\n\n1 Introduction\nwords"), (2, None), (3, "short")], "doc_id long, text string")
+    got = docs.select("doc_id", S.abstract(F.col("text")).alias("a")).select("doc_id", "a.text", "a.confidence")
+    assert optimized(got).count("summary") == 1 and optimized(got).count("introduction") == 1
+    found = {r.doc_id: r for r in got.collect()}
+    assert found[1].text.startswith("We propose") and found[1].confidence == pytest.approx(0.93) and found[2].text is None and found[3].text is None
