@@ -28,13 +28,17 @@ def heading_name(line: Column) -> Column:
     """The section that a line opens, or null."""
     bare = T.strip(F.regexp_replace(F.lower(line), r"^(?:section[ \t]+)?(?:[0-9]+(?:\.[0-9]+)*|[ivx]+)[.):]?[ \t]+|[:.]$", ""))
     fits = (F.length(line) >= 3) & (F.length(line) < 100) & ~line.contains("@") & ~line.rlike("^[0-9]+$")
-    out = F.lit(None).cast("string")
-    for name, starts in reversed(NAMES.items()):
-        hit = F.lit(False)
-        for s in starts:
-            hit = hit | (bare == s) | ((F.length(bare) < 40) & F.startswith(bare, F.lit(s + " ")) & line.rlike("^[0-9A-Z]"))
-        out = F.when(hit, name).otherwise(out)
-    return F.when(fits, F.when(line.rlike(r"^\[1\]"), "References").otherwise(out))
+
+    def name_of(b: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name, starts in reversed(NAMES.items()):
+            hit = F.lit(False)
+            for s in starts:
+                hit = hit | (b == s) | ((F.length(b) < 40) & F.startswith(b, F.lit(s + " ")) & line.rlike("^[0-9A-Z]"))
+            out = F.when(hit, name).otherwise(out)
+        return out
+
+    return F.when(fits, F.when(line.rlike(r"^\[1\]"), "References").otherwise(T.let(bare, name_of)))
 
 
 def lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:

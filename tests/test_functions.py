@@ -338,3 +338,11 @@ def test_abstracts_are_looked_for_once(spark):
     assert optimized(got).count("summary") == 1 and optimized(got).count("introduction") == 1
     found = {r.doc_id: r for r in got.collect()}
     assert found[1].text.startswith("We propose") and found[1].confidence == pytest.approx(0.93) and found[2].text is None and found[3].text is None
+
+
+def test_headings_are_prepared_once(spark):
+    # every name once prepared the line again
+    docs = spark.createDataFrame([("2. Related Work",), ("IV) RESULTS:",), ("[1] x y",), ("Methods of note",), ("methods of note",), (None,), ("words",)], "x string")
+    got = docs.select("x", S.heading_name(F.col("x")).alias("n"))
+    assert optimized(got).count("section[") == 1
+    assert {r.x: r.n for r in got.collect()} == {"2. Related Work": "Related Work", "IV) RESULTS:": "Results", "[1] x y": "References", "Methods of note": "Methods", "methods of note": None, None: None, "words": None}
