@@ -6,9 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, FloatType, StringType, StructField, StructType
 
 
 def doubles(v: Column) -> Column:
@@ -38,32 +40,75 @@ def padded(v: Column, dim: int) -> Column:
     return F.coalesce(v, F.array_repeat(F.lit(0.0).cast("float"), dim))
 
 
+#: Texts, and their characters, that an encoder is given at once.
+PIECE, PIECE_CHARS = 1024, 1 << 20
+
+
+def _pieces(texts: pa.Array) -> Iterator[list[str]]:
+    """Texts, empty ones for missing, in lists of bounded size; only one list is out of Arrow's buffers at a time."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        full = np.searchsorted(size, (size[at - 1] if at else 0) + PIECE_CHARS, "right")
+        end = min(max(int(full), at + 1), at + PIECE, len(texts))
+        yield [t or "" for t in texts.slice(at, end - at).to_pylist()]
+        at = end
+
+
+def _unit_vectors(model: Callable[[list[str]], np.ndarray], rows: list[str], dim: int) -> tuple[np.ndarray, list[str | None]]:
+    errors: list[str | None] = [None] * len(rows)
+    try:
+        x = np.asarray(model(rows), np.float32)
+    except Exception:
+        x = np.zeros((len(rows), dim), np.float32)
+        for i, r in enumerate(rows):
+            try:
+                x[i] = model([r])[0]
+            except Exception as e:  # a model may fail in any way
+                errors[i] = f"{type(e).__name__}: {e}"
+    n = np.linalg.norm(x, axis=1, keepdims=True)
+    return np.divide(x, n, out=np.zeros_like(x), where=n > 0), errors
+
+
 def encode(texts: DataFrame, column: str, encoder: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, out: str = "embedding", failed: str | None = None) -> DataFrame:
-    """Adds unit vectors. ``encoder`` is called once a worker and gives a function of a list of texts; a batch that fails is
+    """Adds unit vectors. ``encoder`` is called once a worker and gives a function of a list of texts; a list that fails is
     encoded text by text, and a text that fails has a zero vector and, in the column that ``failed`` names, the error."""
 
-    @F.pandas_udf(StructType([StructField("v", ArrayType(FloatType())), StructField("error", StringType())]))
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(StructType([StructField("v", ArrayType(FloatType())), StructField("error", StringType())]))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = encoder()
         for s in batches:
-            rows = s.fillna("").tolist()
-            errors: list[str | None] = [None] * len(rows)
-            try:
-                x = np.asarray(model(rows), np.float32)
-            except Exception:
-                x = np.zeros((len(rows), dim), np.float32)
-                for i, r in enumerate(rows):
-                    try:
-                        x[i] = model([r])[0]
-                    except Exception as e:  # a model may fail in any way
-                        errors[i] = f"{type(e).__name__}: {e}"
-            n = np.linalg.norm(x, axis=1, keepdims=True)
-            yield pd.DataFrame({"v": list(np.divide(x, n, out=np.zeros_like(x), where=n > 0)), "error": errors})
+            found = [_unit_vectors(model, rows, dim) for rows in _pieces(s)]
+            x = np.concatenate([v for v, _ in found]) if found else np.zeros((0, dim), np.float32)
+            ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1])
+            yield pa.StructArray.from_arrays([pa.ListArray.from_arrays(ends, pa.array(x.ravel())), pa.array([e for _, es in found for e in es], pa.string())], names=["v", "error"])
 
     rows = texts.withColumn("_e", run(F.col(column))).withColumn(out, F.col("_e.v"))
     return (rows.withColumn(failed, F.col("_e.error")) if failed else rows).drop("_e")
 
 
+def breaks(texts: Column, encoder: Callable[[], Callable[[list[str]], np.ndarray]], dim: int, least: float) -> Column:
+    """For an array of texts, whether the cosine of each to the one before is below ``least``; false for the first."""
+
+    @F.arrow_udf(ArrayType(BooleanType()))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = encoder()
+        for b in batches:
+            last, far = None, [np.zeros(0, bool)]
+            for rows in _pieces(b.flatten()):
+                x, _ = _unit_vectors(model, rows, dim)
+                x = x.astype(np.float64)
+                before = np.concatenate([x[:1] if last is None else last, x[:-1]])
+                far.append(np.cumsum(x * before, axis=1)[:, -1] < least)  # summed up in order, as ``dot`` does
+                last = x[-1:]
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(b), 0).to_numpy())]).astype(np.int32)
+            flat = np.concatenate(far)
+            flat[ends[:-1][ends[:-1] < ends[1:]]] = False
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+    return run(texts)
+
+
 def hashing_encoder(dim: int = 64) -> Callable[[], Callable[[list[str]], np.ndarray]]:
     """A deterministic stand-in for a model."""
 

@@ -346,3 +346,17 @@ def test_headings_are_prepared_once(spark):
     got = docs.select("x", S.heading_name(F.col("x")).alias("n"))
     assert optimized(got).count("section[") == 1
     assert {r.x: r.n for r in got.collect()} == {"2. Related Work": "Related Work", "IV) RESULTS:": "Results", "[1] x y": "References", "Methods of note": "Methods", "methods of note": None, None: None, "words": None}
+
+
+def test_encoders_get_bounded_lists(spark):
+    # they once got whole Arrow batches
+    small = spark.range(5000).select("id", F.when(F.col("id") % 7 > 0, F.lit("x" * 10)).alias("t"))
+    docs = small.union(spark.range(3).select("id", F.lit("y" * 700000).alias("t"))).coalesce(1)
+
+    def make():
+        return lambda texts: [[len(texts), 1 + (sum(map(len, texts)) > 1 << 20)] for _ in texts]
+
+    got = V.encode(docs, "t", make, 2).select("embedding").collect()
+    assert len(got) == 5003 and all(1 <= round(r.embedding[0] / r.embedding[1], 2) <= 1024 for r in got)
+    alone = [r.embedding for r in got[-2:]]
+    assert all(e[0] == pytest.approx(e[1]) for e in alone)
