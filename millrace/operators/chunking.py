@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -145,13 +145,11 @@ def citations_in_part(citations: Column, part: Column) -> Column:
 
 
 def by_similarity(docs: DataFrame, key: str = "doc_id", most: int = MOST, least_similarity: float = 0.7, encoder=None, dim: int = 64) -> DataFrame:
-    """Sentences of more than 10 characters; a chunk ends where it is full or the next sentence is unlike the last one."""
-    s = docs.select(key, F.posexplode(F.filter(T.sentences(F.col("text")), lambda x: F.length(x) > 10)).alias("i", "s"))
-    s = V.encode(s, "s", encoder or V.hashing_encoder(dim), dim, "v")
-    w = Window.partitionBy(key).orderBy("i")
-    s = s.withColumn("before", F.lag("v").over(w))
-    s = s.withColumn("far", F.coalesce(V.dot(F.col("v"), F.col("before")) < least_similarity, F.lit(False)))
-    rows = s.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", "s", "far"))).alias("rows"))
+    """Sentences of more than 10 characters; a chunk ends where it is full or the next sentence is unlike the last one. Each
+    row is chunked by itself, beside its text: neither sentences nor vectors are rows."""
+    s = docs.select(key, F.filter(T.sentences(F.col("text")), lambda x: F.length(x) > 10).alias("s"))
+    s = s.withColumn("far", V.breaks(F.col("s"), encoder or V.hashing_encoder(dim), dim, least_similarity))
+    rows = F.zip_with("s", "far", lambda x, y: F.struct(x.alias("s"), y.alias("far")))
     state = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
 
     def add(a: Column, r: Column) -> Column:
@@ -159,8 +157,8 @@ def by_similarity(docs: DataFrame, key: str = "doc_id", most: int = MOST, least_
         joined = F.when(a["cur"] == "", r["s"]).otherwise(F.concat(a["cur"], F.lit(" "), r["s"]))
         return F.struct(F.when(cut, F.concat(a["done"], F.array(a["cur"]))).otherwise(a["done"]).alias("done"), F.when(cut, r["s"]).otherwise(joined).alias("cur"))
 
-    chunks = F.aggregate("rows", state, add, lambda a: F.concat(a["done"], F.array(a["cur"])))
-    return rows.select(key, F.posexplode(chunks).alias("chunk_index", "text")).withColumn("chunk_index", F.col("chunk_index").cast("long"))
+    chunks = F.when(F.size("s") > 0, F.aggregate(rows, state, add, lambda a: F.concat(a["done"], F.array(a["cur"]))))
+    return s.select(key, F.posexplode(chunks).alias("chunk_index", "text")).withColumn("chunk_index", F.col("chunk_index").cast("long"))
 
 
 def chunk(docs: DataFrame, method: str = "sentence", key: str = "doc_id", encoder=None, **how) -> DataFrame:

@@ -360,3 +360,22 @@ def test_encoders_get_bounded_lists(spark):
     assert len(got) == 5003 and all(1 <= round(r.embedding[0] / r.embedding[1], 2) <= 1024 for r in got)
     alone = [r.embedding for r in got[-2:]]
     assert all(e[0] == pytest.approx(e[1]) for e in alone)
+
+
+def test_breaks_by_similarity_stay_beside_their_text(spark, monkeypatch):
+    # sentences with their vectors were once rows that were dealt out and sorted
+    monkeypatch.setattr(V, "PIECE", 3, raising=False)
+    texts = ["The cat sat on a mat. The cat sat on a mat too. Quite other words here! Quite other words here? " * k for k in range(4)] + [None, "short. tiny."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = K.by_similarity(docs, most=90, dim=64)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    model = V.hashing_encoder(64)()
+    for d, text in enumerate(texts):
+        want, cur, last = [], "", None
+        for s in [x for x in re.findall(r"[^.!?]+[.!?]", text or "") for x in [x.strip()] if len(x) > 10]:
+            v = model([s])[0] / np.linalg.norm(model([s])[0])
+            if cur and (float(v.astype(float) @ last.astype(float)) < 0.7 or len(cur) + 1 + len(s) > 90):
+                want.append(cur)
+                cur = ""
+            cur, last = f"{cur} {s}".strip(), v
+        assert [r.text for r in got.where(f"doc_id = {d}").orderBy("chunk_index").collect()] == want + [cur] * bool(cur)
